@@ -26,11 +26,11 @@ def _filled(c: str, at: Column, hold: int, line: int) -> Column:
     """
     prev, nxt = F.col(f"{c}_prev"), F.col(f"{c}_next")
     gone = at - prev["at"]
-    share = (gone - hold) / (nxt["at"] - prev["at"] - hold)
-    slope = prev["value"] + (nxt["value"] - prev["value"]) * share
+    slope = (nxt["value"] - prev["value"]) / (nxt["at"] - prev["at"] - hold)
+    between = slope * (gone - hold) + prev["value"]
     return (
         F.when(gone <= hold, prev["value"])
-        .when(gone <= hold + line, F.when(nxt.isNull(), prev["value"]).otherwise(slope))
+        .when(gone <= hold + line, F.when(nxt.isNull(), prev["value"]).otherwise(between))
     )
 
 

@@ -79,7 +79,7 @@ def read_station_csv(spark: SparkSession, path: str) -> DataFrame:
     """Station files ``<station_id>.csv``, or folders of that name holding parts."""
     raw = spark.read.csv(path, header=True)
     file = F.col("_metadata.file_path")
-    station = F.regexp_extract(file, r"([^/]+)\.csv(?:/[^/]*)?$", 1).alias("station_id")
+    station = F.regexp_extract(file, r"([^/=]+)\.csv(?:/[^/]*)?$", 1).alias("station_id")
     return select_available(_renamed(raw, STATION_HEADERS, [station]), STATION_COLUMNS)
 
 
@@ -88,17 +88,21 @@ def read_city_day_csv(spark: SparkSession, path: str, city: str) -> DataFrame:
     return _renamed(filter_city(spark.read.csv(path, header=True), city), CITY_HEADERS)
 
 
-def read_weather_json(spark: SparkSession, path: str) -> DataFrame:
+def read_weather_json(
+    spark: SparkSession, path: str, node_id: str | None = None, lines: bool = False,
+) -> DataFrame:
     """Weather responses with parallel arrays under ``hourly``, one row per hour.
 
-    A ``node_id`` beside ``hourly`` is kept; documents may be one per line or
-    spread over lines, one per file.
+    The node is given, or stands beside ``hourly``. Files hold one document each,
+    or one per line (``lines``), which Spark can split.
     """
     fields = ", ".join(
         f"{f}: array<{'string' if f == 'time' else 'double'}>" for f in WEATHER_FIELDS
     )
-    raw = spark.read.schema(f"node_id string, hourly struct<{fields}>").json(path, multiLine=True)
-    rows = raw.select("node_id", F.inline(F.arrays_zip(*[F.col(f"hourly.{f}") for f in WEATHER_FIELDS])))
+    raw = spark.read.schema(f"node_id string, hourly struct<{fields}>").json(path, multiLine=not lines)
+    node = F.col("node_id") if node_id is None else F.lit(node_id)
+    hours = F.arrays_zip(*[F.col(f"hourly.{f}") for f in WEATHER_FIELDS])
+    rows = raw.select(node.alias("node_id"), F.inline(hours))
     return rows.select(
         "node_id",
         *[(F.col(f).try_cast("timestamp_ntz") if f == "time" else F.col(f)).alias(name)
@@ -106,10 +110,12 @@ def read_weather_json(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_measurements_json(spark: SparkSession, path: str) -> DataFrame:
+def read_measurements_json(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """Measurement responses: ``results`` to long rows, under the location's name."""
     result = "struct<date: struct<utc: string>, parameter: string, value: double, unit: string>"
-    raw = spark.read.schema(f"name string, results array<{result}>").json(path, multiLine=True)
+    raw = spark.read.schema(f"name string, results array<{result}>").json(
+        path, multiLine=not lines
+    )
     rows = raw.select(F.coalesce("name", F.lit("Unknown")).alias("location"),
                       F.explode("results").alias("r"))
     return rows.select(
@@ -119,20 +125,20 @@ def read_measurements_json(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_nodes_json(spark: SparkSession, path: str) -> DataFrame:
+def read_nodes_json(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """Node dimension from the ``nodes`` lists of the documents."""
     node = "struct<id: string, name: string, lat: double, lon: double, characteristic: string>"
-    raw = spark.read.schema(f"nodes array<{node}>").json(path, multiLine=True)
+    raw = spark.read.schema(f"nodes array<{node}>").json(path, multiLine=not lines)
     return raw.select(F.inline("nodes")).withColumnRenamed("id", "node_id")
 
 
 def read_node_csvs(spark: SparkSession, folder: str, ordered: bool = True) -> DataFrame:
-    """All ``node_*.csv`` files of a folder as one panel.
+    """All ``node_*.csv`` files, or ``node=*`` folders of parts, as one panel.
 
     ``ordered`` sorts by (timestamp, node_id), for a final output only.
     """
     try:
-        raw = spark.read.csv(f"{folder}/node_*.csv", header=True)
+        raw = spark.read.csv(f"{folder}/{{node_*.csv,node=*}}", header=True)
     except AnalysisException as e:
         raise FileNotFoundError(f"no node_*.csv in {folder}") from e
     out = raw.select(
@@ -163,7 +169,7 @@ def write_processed(df: DataFrame, path: str, key: str = "node_id") -> None:
 
 def write_node_csv(df: DataFrame, path: str, key: str = "node_id") -> None:
     """One CSV folder per node; the node stays a column of the files."""
-    df.withColumn("_node", F.col(key)).write.mode("overwrite").partitionBy("_node").csv(
+    df.withColumn("node", F.col(key)).write.mode("overwrite").partitionBy("node").csv(
         path, header=True
     )
 
