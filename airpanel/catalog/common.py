@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airpanel.functions.aqi import BREAKPOINTS, POLLUTANTS
-from airpanel.functions.clock import hour_index, hour_start
+from airpanel.functions.clock import hour_index
 from airpanel.operators.chunks import windowed
 from airpanel.operators.gaps import clean_panel
 from airpanel.plans.panel import with_aqi
@@ -37,7 +37,8 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 # the two engines differ; adding zero turns -0.0 into 0.0.
 
 def rd(c: str | Column, digits: int = 6) -> Column:
-    c = F.col(c) if isinstance(c, str) else c
+    if isinstance(c, str):
+        return F.expr(f"round({c} + 1e-9D, {digits}) + 0D")
     return F.round(c + F.lit(1e-9), digits) + F.lit(0.0)
 
 
@@ -64,7 +65,7 @@ def readings(spark: SparkSession, sf: str, nodes: int = 10) -> DataFrame:
     e = table(spark, sf, "events")
     node = F.concat(F.lit("N"), F.lpad((F.col("user_id") % nodes + 1).cast("string"), 2, "0"))
     value = F.col("value")
-    return e.groupBy(node.alias("node_id"), hour_start(hour_index("ts")).alias("timestamp")).agg(
+    return e.groupBy(node.alias("node_id"), hours("ts").alias("timestamp")).agg(
         F.max(value).alias("pm25"),
         F.sum(value.cast("decimal(18,2)")).cast("double").alias("pm10"),
         F.min(value).alias("no2"),
@@ -78,6 +79,11 @@ def readings(spark: SparkSession, sf: str, nodes: int = 10) -> DataFrame:
     )
 
 
+def hours(ts: str) -> Column:
+    """The hour a wall-clock time lies in."""
+    return F.timestamp_add("HOUR", hour_index(ts), F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))
+
+
 def sparse(spark: SparkSession, sf: str) -> DataFrame:
     return readings(spark, sf, 40)
 
@@ -88,9 +94,9 @@ def signed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def scored(spark: SparkSession, sf: str, nodes: int = 10) -> DataFrame:
-    """Clean panel with its index, written once for the passes that follow."""
+    """Clean panel, written once for the passes that follow, with its index."""
     raw = materialize(readings(spark, sf, nodes), "readings")
-    return materialize(with_aqi(clean_panel(raw)), "scored")
+    return with_aqi(materialize(clean_panel(raw), "clean"))
 
 
 def stations(spark: SparkSession, sf: str) -> DataFrame:

@@ -40,7 +40,7 @@ CENTRE = ("18.52::DOUBLE", "73.85::DOUBLE")
 @query("haversine_km", with_sql(SQL_STATIONS, select=f"""
     SELECT node_id, {sq(_sql_distance('lat', 'lon', *CENTRE))} AS km FROM stations"""))
 def _(spark, sf):
-    km = haversine_km(F.col("lat"), F.col("lon"), F.lit(18.52), F.lit(73.85))
+    km = haversine_km("lat", "lon", "18.52D", "73.85D")
     return stations(spark, sf).select("node_id", rd(km).alias("km"))
 
 

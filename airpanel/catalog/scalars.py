@@ -65,8 +65,8 @@ def _(spark, sf):
            CASE WHEN o3 IS NOT NULL THEN {sq('least(greatest(o3 * 3 - 50, 0), 500)')} END AS o3 FROM readings"""))
 def _(spark, sf):
     return signed(spark, sf).select(
-        *ID, rd(A.clamp_aqi(F.col("pm25") * 2)).alias("clamped"),
-        rd(A.clamp_aqi(F.col("o3") * 3 - 50)).alias("o3"),
+        *ID, rd(A.clamp_aqi("pm25 * 2")).alias("clamped"),
+        rd(A.clamp_aqi("o3 * 3 - 50")).alias("o3"),
     )
 
 
@@ -110,7 +110,7 @@ def _(spark, sf):
 def _(spark, sf):
     return signed(spark, sf).select(
         *ID, *[rd(A.sub_index(p, p)).alias(p) for p in MEASURES],
-        rd(A.sub_index(F.col("pm10") / 2, "SO2")).alias("half"),
+        rd(A.sub_index("pm10 / 2", "SO2")).alias("half"),
         A.sub_index("pm25", "dust").alias("unknown"),
     )
 
@@ -139,11 +139,7 @@ def _(spark, sf):
     return readings(spark, sf).select(*ID, A.dominant_pollutant().alias("pollutant"))
 
 
-LEVEL = "(pm10 * 1.5::DOUBLE)"
-
-
-def _level():
-    return F.col("pm10") * F.lit(1.5)
+LEVEL = "(pm10 * CAST(1.5 AS DOUBLE))"  # reads the same in both engines
 
 
 @query("aqi_category_index", with_sql(R, select=f"""
@@ -151,14 +147,14 @@ def _level():
     FROM readings"""))
 def _(spark, sf):
     return readings(spark, sf).select(
-        *ID, A.category_index(_level()).alias("category"), A.category_index("o3").alias("of_o3")
+        *ID, A.category_index(LEVEL).alias("category"), A.category_index("o3").alias("of_o3")
     )
 
 
 @query("aqi_category", with_sql(R, select=f"""
     SELECT node_id, timestamp, {SQL_CATEGORY.format(LEVEL)} AS category, {SQL_CATEGORY.format('o3')} AS of_o3 FROM readings"""))
 def _(spark, sf):
-    return readings(spark, sf).select(*ID, A.category(_level()).alias("category"), A.category("o3").alias("of_o3"))
+    return readings(spark, sf).select(*ID, A.category(LEVEL).alias("category"), A.category("o3").alias("of_o3"))
 
 
 @query("aqi_category_banded", with_sql(R, select=f"""
@@ -166,7 +162,7 @@ def _(spark, sf):
            {SQL_CATEGORY_BANDED.format('o3')} AS of_o3 FROM readings"""))
 def _(spark, sf):
     return readings(spark, sf).select(
-        *ID, A.category_banded(_level()).alias("category"), A.category_banded("o3").alias("of_o3")
+        *ID, A.category_banded(LEVEL).alias("category"), A.category_banded("o3").alias("of_o3")
     )
 
 
@@ -178,9 +174,12 @@ def _sql_map(column: str, values: dict[str, str], default: str = "NULL") -> str:
     SELECT node_id, timestamp, {_sql_map(SQL_CATEGORY.format(LEVEL), A.MAP_COLORS)} AS map_color,
            {_sql_map(SQL_CATEGORY_BANDED.format(LEVEL), A.SERVICE_COLORS)} AS service_color FROM readings"""))
 def _(spark, sf):
-    return readings(spark, sf).select(
-        *ID, A.category_color(A.category(_level())).alias("map_color"),
-        A.category_color(A.category_banded(_level()), service=True).alias("service_color"),
+    r = readings(spark, sf).select(
+        *ID, A.category(LEVEL).alias("on_map"), A.category_banded(LEVEL).alias("in_service")
+    )
+    return r.select(
+        *ID, A.category_color("on_map").alias("map_color"),
+        A.category_color("in_service", service=True).alias("service_color"),
     )
 
 
@@ -188,7 +187,8 @@ def _(spark, sf):
     SELECT node_id, timestamp, {_sql_map(SQL_CATEGORY.format('o3'), A.ADVISORIES, repr(A.DEFAULT_ADVISORY))} AS advisory
     FROM readings"""))
 def _(spark, sf):
-    return readings(spark, sf).select(*ID, A.health_advisory(A.category("o3")).alias("advisory"))
+    r = readings(spark, sf).select(*ID, A.category("o3").alias("category"))
+    return r.select(*ID, A.health_advisory().alias("advisory"))
 
 
 # -- time and weather. Events cover January only; shifted copies of the hour

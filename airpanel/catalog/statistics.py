@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from airpanel.catalog.common import (
-    ALL, MEASURES, query, rd, rds, readings, scored, sparse, sq, sql_ffill, sql_grid,
+    ALL, MEASURES, hours, query, rd, rds, readings, scored, sparse, sq, sql_ffill, sql_grid,
     sql_interpolate, sql_readings, sql_scored, sqs, stations, SQL_STATIONS, table, with_sql,
 )
 from airpanel.catalog.panel import SCORED, SPLIT, _raw
-from airpanel.functions.clock import hour_index, hour_start
 from airpanel.operators import graph, quality, rows, scaling, splits, summaries
 from airpanel.operators import quantiles as Q
 from airpanel.operators.gaps import hourly_fill
@@ -128,7 +127,7 @@ KINDS = ["click", "error", "purchase", "signup", "view"]
       GROUP BY 1, 2""")
 def _(spark, sf):
     long = table(spark, sf, "events").select(
-        hour_start(hour_index("ts")).alias("timestamp"),
+        hours("ts").alias("timestamp"),
         F.concat(F.lit("L"), (F.col("user_id") % 10).cast("string")).alias("location"),
         F.col("event_type").alias("parameter"), "value",
     )

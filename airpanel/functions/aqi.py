@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -95,32 +97,51 @@ LABEL_CUTS = [50, 100, 200, 300, 400]
 SERVICE_BANDS = [(0, 50), (51, 100), (101, 200), (201, 300), (301, 400), (401, 500)]
 
 
-def _col(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+# Arguments called ``c`` are a column name or any SQL expression. The long CASE
+# chains go to Spark as one SQL text each.
+
+
+def _number(x: float) -> str:
+    """SQL literal of the very double that ``x`` is."""
+    return f"{float(x)!r}D"
+
+
+def _cases(cases: Iterable[tuple[str, str]], default: str = "NULL") -> Column:
+    return F.expr("CASE " + " ".join(f"WHEN {i} THEN {t}" for i, t in cases) + f" ELSE {default} END")
+
 
+def clamp_sql(c: str) -> str:
+    return f"(CASE WHEN ({c}) < 0 THEN 0D WHEN ({c}) > {AQI_MAX}D THEN {AQI_MAX}D ELSE ({c}) END)"
 
-def clamp_aqi(c: str | Column) -> Column:
+
+def clamp_aqi(c: str) -> Column:
     """Clip to [0, 500]; NULL stays NULL."""
-    c = _col(c)
-    return F.when(c < 0, F.lit(0.0)).when(c > AQI_MAX, F.lit(AQI_MAX)).otherwise(c)
+    return F.expr(clamp_sql(c))
+
 
+def sub_index_sql(c: str, pollutant: str) -> str:
+    bands = BREAKPOINTS.get(pollutant.lower())
+    if bands is None:
+        return "CAST(NULL AS DOUBLE)"
+    # A value between two bands meets a NULL branch before the next band.
+    cases = [f"WHEN ({c}) < 0 THEN NULL"]
+    for low, high, c_low, c_high in bands:
+        slope = (high - low) / (c_high - c_low)
+        cases.append(f"WHEN ({c}) < {_number(c_low)} THEN NULL")
+        cases.append(
+            f"WHEN ({c}) <= {_number(c_high)} "
+            f"THEN {_number(slope)} * (({c}) - {_number(c_low)}) + {_number(low)}"
+        )
+    return f"(CASE {' '.join(cases)} WHEN ({c}) > {_number(bands[-1][3])} THEN {AQI_MAX}D END)"
 
-def sub_index(concentration: str | Column, pollutant: str) -> Column:
+
+def sub_index(c: str, pollutant: str) -> Column:
     """Index of one pollutant.
 
     NULL for NULL, negative, unknown pollutant and for values that lie between
     two bands; 500 above the last band.
     """
-    bands = BREAKPOINTS.get(pollutant.lower())
-    if bands is None:
-        return F.lit(None).cast("double")
-    c = _col(concentration)
-    expr = F.when(c > F.lit(float(bands[-1][3])), F.lit(AQI_MAX))
-    for low, high, c_low, c_high in bands:
-        slope = (high - low) / (c_high - c_low)
-        inside = (c >= F.lit(float(c_low))) & (c <= F.lit(float(c_high)))
-        expr = expr.when(inside, F.lit(slope) * (c - F.lit(float(c_low))) + F.lit(float(low)))
-    return expr
+    return F.expr(sub_index_sql(c, pollutant))
 
 
 def _present(columns: list[str] | None) -> list[str]:
@@ -128,65 +149,60 @@ def _present(columns: list[str] | None) -> list[str]:
 
 
 def aqi(columns: list[str] | None = None) -> Column:
-    """Largest non-NULL sub-index of the pollutant columns present."""
-    present = _present(columns)
-    if not present:
-        return F.lit(None).cast("double")
-    subs = [sub_index(p, p) for p in present]
-    return clamp_aqi(F.greatest(*subs) if len(subs) > 1 else subs[0])
+    """Largest non-NULL sub-index of the pollutant columns present.
+
+    Sub-indices lie in [0, 500] by their bands, so the largest needs no clipping.
+    """
+    subs = [sub_index_sql(p, p) for p in _present(columns)]
+    # greatest needs two arguments and skips NULL.
+    return F.expr(f"greatest({', '.join(subs + ['CAST(NULL AS DOUBLE)'] * 2)})")
 
 
 def dominant_pollutant(columns: list[str] | None = None) -> Column:
     """Pollutant with the largest sub-index; the first in table order on a tie."""
-    present = _present(columns)
     # array_max orders structs field by field: value first, then the rank.
-    ranked = [
-        F.struct(sub_index(p, p).alias("sub"), F.lit(-i).alias("rank"), F.lit(p).alias("name"))
-        for i, p in enumerate(present)
-    ]
-    best = F.array_max(F.array(*ranked))
-    return F.when(best["sub"].isNotNull(), best["name"])
+    ranked = ", ".join(
+        f"struct({sub_index_sql(p, p)} AS sub, {-i} AS rank, '{p}' AS name)"
+        for i, p in enumerate(_present(columns))
+    )
+    best = f"array_max(array({ranked}))"
+    return F.expr(f"CASE WHEN {best}.sub IS NOT NULL THEN {best}.name END")
+
 
+def category_index_sql(c: str) -> str:
+    cases = " ".join(f"WHEN ({c}) < {cut} THEN {i}" for i, cut in enumerate(INDEX_CUTS))
+    return f"(CASE {cases} WHEN ({c}) IS NOT NULL THEN {len(INDEX_CUTS)} END)"
 
-def category_index(c: str | Column) -> Column:
+
+def category_index(c: str) -> Column:
     """0 to 5, cut at 51, 101, 201, 301 and 401, so 50.5 is still 0."""
-    c = _col(c)
-    expr = F.when(c.isNull(), F.lit(None).cast("int"))
-    for i, cut in enumerate(INDEX_CUTS):
-        expr = expr.when(c < cut, F.lit(i))
-    return expr.otherwise(F.lit(len(INDEX_CUTS)))
+    return F.expr(category_index_sql(c))
 
 
-def category(c: str | Column) -> Column:
+def category(c: str) -> Column:
     """Label for the map, cut at 50, 100, 200, 300 and 400 inclusive."""
-    c = _col(c)
-    expr = F.when(c.isNull(), F.lit(None).cast("string"))
-    for cut, name in zip(LABEL_CUTS, CATEGORIES):
-        expr = expr.when(c <= cut, F.lit(name))
-    return expr.otherwise(F.lit(CATEGORIES[-1]))
+    cases = [(f"({c}) <= {cut}", f"'{name}'") for cut, name in zip(LABEL_CUTS, CATEGORIES)]
+    return _cases([*cases, (f"({c}) IS NOT NULL", f"'{CATEGORIES[-1]}'")])
 
 
-def category_banded(c: str | Column) -> Column:
+def category_banded(c: str) -> Column:
     """Label for the service: closed integer bands, anything else is Severe."""
-    c = _col(c)
-    expr = F.when(c.isNull(), F.lit(None).cast("string"))
-    for (low, high), name in zip(SERVICE_BANDS, CATEGORIES):
-        expr = expr.when(c.between(low, high), F.lit(name))
-    return expr.otherwise(F.lit(CATEGORIES[-1]))
+    cases = [
+        (f"({c}) BETWEEN {low} AND {high}", f"'{name}'")
+        for (low, high), name in zip(SERVICE_BANDS, CATEGORIES)
+    ]
+    return _cases([*cases, (f"({c}) IS NOT NULL", f"'{CATEGORIES[-1]}'")])
 
 
-def _lookup(key: Column, table: dict[str, str]) -> Column:
-    expr = None
-    for name, value in table.items():
-        expr = (F if expr is None else expr).when(key == name, F.lit(value))
-    return expr
+def _lookup(label: str, table: dict[str, str], default: str = "NULL") -> Column:
+    return _cases([(f"{label} = '{name}'", f"'{value}'") for name, value in table.items()], default)
 
 
-def category_color(label: str | Column, service: bool = False) -> Column:
+def category_color(label: str = "category", service: bool = False) -> Column:
     """Hex colour of a category label."""
-    return _lookup(_col(label), SERVICE_COLORS if service else MAP_COLORS)
+    return _lookup(label, SERVICE_COLORS if service else MAP_COLORS)
 
 
-def health_advisory(label: str | Column) -> Column:
+def health_advisory(label: str = "category") -> Column:
     """Advice for a category label, with a default for unknown labels."""
-    return F.coalesce(_lookup(_col(label), ADVISORIES), F.lit(DEFAULT_ADVISORY))
+    return _lookup(label, ADVISORIES, f"'{DEFAULT_ADVISORY}'")

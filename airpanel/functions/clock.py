@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,70 +18,65 @@ WINTER_EFFECT = 15.0
 FESTIVAL_EFFECT = 80.0 * 0.6
 FESTIVAL_DAY_EFFECT = 80.0 * 0.4
 
-_EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
-
+# Arguments called ``ts`` and ``hour`` are a column name or any SQL expression.
 
-def _col(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+_EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
-def hour_index(ts: str | Column) -> Column:
+def hour_index(ts: str = "timestamp") -> Column:
     """Whole hours since 1970 on the wall clock, whatever the session zone."""
-    ts = _col(ts).cast("timestamp_ntz")
-    return F.unix_date(F.to_date(ts)).cast("bigint") * 24 + F.hour(ts)
+    ntz = f"CAST({ts} AS TIMESTAMP_NTZ)"
+    return F.expr(f"CAST(unix_date(CAST({ntz} AS DATE)) AS BIGINT) * 24 + hour({ntz})")
 
 
-def hour_start(hour: str | Column) -> Column:
+def hour_start(hour: str) -> Column:
     """Inverse of :func:`hour_index`."""
-    return F.timestamp_add("HOUR", _col(hour), F.expr(_EPOCH))
+    return F.expr(f"timestampadd(HOUR, {hour}, {_EPOCH})")
 
 
-def time_parts(ts: str | Column = "timestamp") -> dict[str, Column]:
-    ts = _col(ts)
-    return {"hour": F.hour(ts), "day_of_week": F.weekday(ts), "month": F.month(ts)}
+def _all(exprs: dict[str, str]) -> dict[str, Column]:
+    return {name: F.expr(e) for name, e in exprs.items()}
 
 
-def _cycle(value: Column, period: int) -> tuple[Column, Column]:
-    angle = F.lit(2 * math.pi) * value / F.lit(period)
-    return F.sin(angle), F.cos(angle)
+def time_parts(ts: str = "timestamp") -> dict[str, Column]:
+    return _all({"hour": f"hour({ts})", "day_of_week": f"weekday({ts})", "month": f"month({ts})"})
 
 
-def cyclical_time(ts: str | Column = "timestamp") -> dict[str, Column]:
+def cyclical_time(ts: str = "timestamp") -> dict[str, Column]:
     """Sine and cosine of hour of day, weekday (Monday 0) and month."""
-    ts = _col(ts)
-    out = {}
-    for name, value, period in (
-        ("hour", F.hour(ts), 24),
-        ("dow", F.weekday(ts), 7),
-        ("month", F.month(ts), 12),
-    ):
-        out[f"{name}_sin"], out[f"{name}_cos"] = _cycle(value, period)
-    return out
+    turns = {"hour": f"hour({ts}) / 24", "dow": f"weekday({ts}) / 7", "month": f"month({ts}) / 12"}
+    return _all({
+        f"{name}_{wave}": f"{wave}(2 * pi() * {turn})"
+        for name, turn in turns.items() for wave in ("sin", "cos")
+    })
 
 
-def weekend_flag(ts: str | Column = "timestamp") -> Column:
-    return (F.weekday(_col(ts)) >= 5).cast("int")
+def weekend_flag(ts: str = "timestamp") -> Column:
+    return F.expr(f"CAST(weekday({ts}) >= 5 AS INT)")
 
 
-def festival_flag(ts: str | Column = "timestamp") -> Column:
+def festival_flag(ts: str = "timestamp") -> Column:
     """Within two days of a festival, compared as timestamps.
 
     The last day therefore counts at midnight only.
     """
-    ts = _col(ts).cast("timestamp_ntz")
-    near = F.lit(False)
-    for day in FESTIVAL_DATES:
-        midnight = F.lit(day).cast("timestamp_ntz")
-        span = F.make_dt_interval(days=F.lit(FESTIVAL_DAYS_AROUND))
-        near = near | ((ts >= midnight - span) & (ts <= midnight + span))
-    return near.cast("int")
+    days = f"INTERVAL '{FESTIVAL_DAYS_AROUND}' DAY"
+    near = " OR ".join(
+        f"CAST({ts} AS TIMESTAMP_NTZ) BETWEEN TIMESTAMP_NTZ'{d}' - {days} AND TIMESTAMP_NTZ'{d}' + {days}"
+        for d in FESTIVAL_DATES
+    )
+    return F.expr(f"CAST({near} AS INT)")
 
 
-def monsoon_flag(ts: str | Column = "timestamp") -> Column:
-    return F.month(_col(ts)).isin(MONSOON_MONTHS).cast("int")
+def _in_months(ts: str, months: list[int]) -> str:
+    return f"month({ts}) IN ({', '.join(map(str, months))})"
 
 
-def calendar_features(ts: str | Column = "timestamp") -> dict[str, Column]:
+def monsoon_flag(ts: str = "timestamp") -> Column:
+    return F.expr(f"CAST({_in_months(ts, MONSOON_MONTHS)} AS INT)")
+
+
+def calendar_features(ts: str = "timestamp") -> dict[str, Column]:
     return {
         **cyclical_time(ts),
         "is_weekend": weekend_flag(ts),
@@ -92,36 +85,31 @@ def calendar_features(ts: str | Column = "timestamp") -> dict[str, Column]:
     }
 
 
-def rush_hour_flag(ts: str | Column = "timestamp") -> Column:
-    hour = F.hour(_col(ts))
-    return (hour.between(7, 9) | hour.between(17, 20)).cast("int")
+def rush_hour_flag(ts: str = "timestamp") -> Column:
+    return F.expr(f"CAST(hour({ts}) BETWEEN 7 AND 9 OR hour({ts}) BETWEEN 17 AND 20 AS INT)")
 
 
-def season_flags(ts: str | Column = "timestamp") -> dict[str, Column]:
-    month = F.month(_col(ts))
-    return {
-        "is_diwali_season": month.between(10, 11).cast("int"),
-        "is_monsoon": month.between(6, 9).cast("int"),
-        "is_winter": month.isin(12, 1, 2).cast("int"),
-    }
+def season_flags(ts: str = "timestamp") -> dict[str, Column]:
+    return _all({
+        "is_diwali_season": f"CAST(month({ts}) IN (10, 11) AS INT)",
+        "is_monsoon": f"CAST(month({ts}) BETWEEN 6 AND 9 AS INT)",
+        "is_winter": f"CAST(month({ts}) IN (12, 1, 2) AS INT)",
+    })
 
 
-def temporal_effect(ts: str | Column = "timestamp") -> Column:
+def temporal_effect(ts: str = "timestamp") -> Column:
     """Expected additive change of the index for an hour, season and festival."""
-    ts = _col(ts)
-    hour, month, day = F.hour(ts), F.month(ts), F.to_date(ts)
-    rush = ((hour >= 7) & (hour < 9)) | ((hour >= 17) & (hour < 20))
-    night = (hour >= 23) | (hour < 5)
-    total = (
-        F.when(rush, RUSH_EFFECT).when(night, NIGHT_EFFECT).otherwise(0.0)
-        + F.when(month.isin(MONSOON_MONTHS), MONSOON_EFFECT)
-        .when(month.isin(WINTER_MONTHS), WINTER_EFFECT)
-        .otherwise(0.0)
-    )
-    for festival in FESTIVAL_DATES:
-        date = F.to_date(F.lit(festival))
-        apart = F.abs(F.date_diff(day, date))
-        total = total + F.when(apart == 0, FESTIVAL_EFFECT + FESTIVAL_DAY_EFFECT).when(
-            apart <= FESTIVAL_DAYS_AROUND, FESTIVAL_EFFECT
-        ).otherwise(0.0)
-    return total
+    hour = f"hour({ts})"
+    terms = [
+        f"CASE WHEN {hour} IN (7, 8, 17, 18, 19) THEN {RUSH_EFFECT}D "
+        f"WHEN {hour} >= 23 OR {hour} < 5 THEN {NIGHT_EFFECT}D ELSE 0D END",
+        f"CASE WHEN {_in_months(ts, MONSOON_MONTHS)} THEN {MONSOON_EFFECT}D "
+        f"WHEN {_in_months(ts, WINTER_MONTHS)} THEN {WINTER_EFFECT}D ELSE 0D END",
+    ]
+    for d in FESTIVAL_DATES:
+        apart = f"abs(datediff(CAST({ts} AS DATE), DATE'{d}'))"
+        terms.append(
+            f"CASE WHEN {apart} = 0 THEN {FESTIVAL_EFFECT + FESTIVAL_DAY_EFFECT}D "
+            f"WHEN {apart} <= {FESTIVAL_DAYS_AROUND} THEN {FESTIVAL_EFFECT}D ELSE 0D END"
+        )
+    return F.expr(" + ".join(f"({t})" for t in terms))

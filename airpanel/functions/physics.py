@@ -9,26 +9,23 @@ from pyspark.sql import functions as F
 PROXY_SHARES = {"pm25": 0.6, "pm10": 0.8, "no2": 0.3, "so2": 0.15, "co": 0.01, "o3": 0.4}
 
 
-def clamp_nonneg(c: str | Column) -> Column:
-    """Values below zero become zero; NULL stays NULL."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.when(c < 0, F.lit(0.0)).otherwise(c)
+def clamp_nonneg(c: str) -> Column:
+    """Values below zero become zero; NULL stays NULL. ``c`` is a name or SQL expression."""
+    return F.expr(f"CASE WHEN ({c}) < 0 THEN 0D ELSE ({c}) END")
 
 
-def null_negatives(c: str | Column) -> Column:
+def null_negatives(c: str) -> Column:
     """Values below zero become NULL."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.when(c >= 0, c)
+    return F.expr(f"CASE WHEN ({c}) >= 0 THEN ({c}) END")
 
 
 def wind_vectors(columns: list[str]) -> dict[str, Column]:
     """East and north wind components; nothing when a column is absent."""
     if not {"wind_speed", "wind_direction"} <= set(columns):
         return {}
-    angle = F.radians("wind_direction")
     return {
-        "wind_u": F.col("wind_speed") * F.sin(angle),
-        "wind_v": F.col("wind_speed") * F.cos(angle),
+        "wind_u": F.expr("wind_speed * sin(radians(wind_direction))"),
+        "wind_v": F.expr("wind_speed * cos(radians(wind_direction))"),
     }
 
 
@@ -36,12 +33,12 @@ def weather_interactions(columns: list[str]) -> dict[str, Column]:
     """Products used as features, each only when its inputs exist."""
     out = {}
     if {"temperature", "humidity"} <= set(columns):
-        out["temp_humidity"] = F.col("temperature") * F.col("humidity") / F.lit(100)
+        out["temp_humidity"] = F.expr("temperature * humidity / 100")
     if "wind_speed" in columns:
-        out["wind_speed_inv"] = F.lit(1.0) / (F.col("wind_speed") + F.lit(0.1))
+        out["wind_speed_inv"] = F.expr("1D / (wind_speed + 0.1D)")
     return out
 
 
 def pollutants_from_aqi(aqi: str = "aqi") -> dict[str, Column]:
     """Proxy concentrations proportional to the index."""
-    return {p: clamp_nonneg(F.col(aqi) * F.lit(k)) for p, k in PROXY_SHARES.items()}
+    return {p: clamp_nonneg(f"{aqi} * {k}D") for p, k in PROXY_SHARES.items()}

@@ -27,9 +27,12 @@ TIME = "timestamp"
 CHUNK = 4096
 
 
-def chunk_of(position: Column, size: int) -> Column:
-    """Number of the chunk that holds a position (floor, also below zero)."""
-    return ((position - F.pmod(position, F.lit(size))) / F.lit(size)).cast("bigint")
+def chunk_of(position: str, size: int) -> Column:
+    """Number of the chunk that holds a position (floor, also below zero).
+
+    ``position`` is a column name or SQL expression.
+    """
+    return F.expr(f"(({position}) - pmod({position}, {size})) DIV {size}")
 
 
 def _by_node(keys: Sequence[str]) -> WindowSpec:
@@ -50,7 +53,7 @@ def with_positions(
     from one summary row per chunk. ``total`` adds the node's row count.
     """
     keys = list(keys)
-    chunked = df.withColumn("_tc", chunk_of(hour_index(order[0]), size))
+    chunked = df.withColumn("_h", hour_index(order[0])).withColumn("_tc", chunk_of("_h", size))
     counts = chunked.groupBy(*keys, "_tc").agg(F.count(F.lit(1)).alias("_n"))
     earlier = _by_node(keys).orderBy("_tc").rowsBetween(Window.unboundedPreceding, -1)
     summary = [F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")]
@@ -62,7 +65,7 @@ def with_positions(
         chunked.withColumn("_rn", F.row_number().over(inside) - 1)
         .join(offsets, [*keys, "_tc"])
         .withColumn(name, (F.col("_before") + F.col("_rn")).cast("bigint"))
-        .drop("_tc", "_rn", "_before")
+        .drop("_h", "_tc", "_rn", "_before")
     )
 
 
@@ -91,12 +94,11 @@ def windowed(
         df = with_positions(df, keys, order, size, name="_pos")
     else:
         df = df.withColumn("_pos", position)
-    first = chunk_of(F.col("_pos") - lookahead, size)
-    last = chunk_of(F.col("_pos") + lookback, size)
+    first, last = chunk_of(f"_pos - {lookahead}", size), chunk_of(f"_pos + {lookback}", size)
     df = df.withColumn("_chunk", F.explode(F.sequence(first, last)))
     w = Window.partitionBy(*keys, "_chunk").orderBy("_pos")
     df = df.withColumns({name: make(w) for name, make in columns.items()})
-    own = chunk_of(F.col("_pos"), size) == F.col("_chunk")
+    own = chunk_of("_pos", size) == F.col("_chunk")
     return df.where(own).drop("_pos", "_chunk")
 
 
@@ -107,7 +109,7 @@ def known_neighbours(
     chunk: str,
     keys: Sequence[str] = (NODE,),
     order: str | None = None,
-    carry: dict[str, Callable[[WindowSpec], Column]] | None = None,
+    carry: dict[str, str] | None = None,
     carry_from: Sequence[Column] = (),
 ) -> DataFrame:
     """Add ``{c}_prev`` and ``{c}_next``: nearest known ``(at, value)`` of each column.
@@ -115,48 +117,47 @@ def known_neighbours(
     ``_prev`` looks back including the row itself, ``_next`` looks ahead without
     it, both without limit. Every chunk contributes its first and last known
     value; those few rows are carried across chunks, the rest stays inside.
-    ``carry`` adds further columns computed over the chunk summary, from the
+    ``carry`` adds window functions over the chunk summary, as SQL, of the
     aggregates in ``carry_from``.
     """
     keys = list(keys)
-    pos = F.col(position)
     aggs = list(carry_from)
     for c in columns:
-        at = F.when(F.col(c).isNotNull(), pos)
+        at = f"CASE WHEN {c} IS NOT NULL THEN {position} END"
         aggs += [
-            F.min(at).alias(f"{c}_fa"), F.min_by(c, at).alias(f"{c}_fv"),
-            F.max(at).alias(f"{c}_la"), F.max_by(c, at).alias(f"{c}_lv"),
+            F.expr(f"min({at}) AS {c}_fa"), F.expr(f"min_by({c}, {at}) AS {c}_fv"),
+            F.expr(f"max({at}) AS {c}_la"), F.expr(f"max_by({c}, {at}) AS {c}_lv"),
         ]
     edges = df.groupBy(*keys, chunk).agg(*aggs)
-    up = Window.partitionBy(*keys).orderBy(chunk)
-    down = Window.partitionBy(*keys).orderBy(F.desc(chunk))
+    node = f"PARTITION BY {', '.join(keys)} ORDER BY {chunk}"
 
-    def nearest(known: Column, value: Column, w: WindowSpec, upto: int) -> Column:
-        pair = F.when(known.isNotNull(), F.struct(known.alias("at"), value.alias("value")))
-        return F.last(pair, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, upto))
+    def nearest(at: str, value: str, over: str, upto: str) -> str:
+        pair = f"CASE WHEN {value} IS NOT NULL THEN struct({at} AS at, {value} AS value) END"
+        rows = f"ROWS BETWEEN UNBOUNDED PRECEDING AND {upto}"
+        return f"last({pair}, true) OVER ({over} {rows})"
 
     carried = []
     for c in columns:
-        carried.append(nearest(F.col(f"{c}_la"), F.col(f"{c}_lv"), up, -1).alias(f"{c}_in"))
         # Looking ahead is a look back in descending order: linear, where a
         # frame up to the end would be evaluated anew for every row.
-        carried.append(nearest(F.col(f"{c}_fa"), F.col(f"{c}_fv"), down, -1).alias(f"{c}_out"))
-    for name, make in (carry or {}).items():
-        carried.append(make(up).alias(name))
+        last = nearest(f"{c}_la", f"{c}_lv", node, "1 PRECEDING")
+        first = nearest(f"{c}_fa", f"{c}_fv", f"{node} DESC", "1 PRECEDING")
+        carried += [F.expr(f"{last} AS {c}_in"), F.expr(f"{first} AS {c}_out")]
+    for name, expr in (carry or {}).items():
+        carried.append(F.expr(f"{expr} OVER ({node}) AS {name}"))
     edges = edges.select(*keys, chunk, *carried)
 
-    order = order or position
-    up = Window.partitionBy(*keys, chunk).orderBy(order)
-    down = Window.partitionBy(*keys, chunk).orderBy(F.desc(order))
-    out = df.join(edges, [*keys, chunk])
+    part = f"PARTITION BY {', '.join([*keys, chunk])} ORDER BY {order or position}"
     ahead, behind = {}, {}
     for c in columns:
-        at = F.when(F.col(c).isNotNull(), pos)
-        ahead[f"{c}_next"] = F.coalesce(nearest(at, F.col(c), down, -1), F.col(f"{c}_out"))
-        behind[f"{c}_prev"] = F.coalesce(nearest(at, F.col(c), up, 0), F.col(f"{c}_in"))
+        after = nearest(position, c, f"{part} DESC", "1 PRECEDING")
+        before = nearest(position, c, part, "CURRENT ROW")
+        ahead[f"{c}_next"] = F.expr(f"coalesce({after}, {c}_out)")
+        behind[f"{c}_prev"] = F.expr(f"coalesce({before}, {c}_in)")
     drop = [f"{c}_{side}" for c in columns for side in ("in", "out")]
     # The descending look goes first: the rows then stay in rising order, which
     # later windows of the caller reuse without another sort.
+    out = df.join(edges, [*keys, chunk])
     return out.withColumns(ahead).withColumns(behind).drop(*drop)
 
 

@@ -17,21 +17,31 @@ GAP_FILL_LIMIT = 3
 INTERPOLATE_LIMIT = 12
 
 
-def _filled(c: str, at: Column, hold: int, line: int) -> Column:
-    """Value at position ``at`` from the known neighbours of column ``c``.
+def _line(c: str, hold: int, line: int) -> dict[str, Column]:
+    """The line that fills column ``c`` after its last known value.
 
-    The last known value is held for ``hold`` rows, the next ``line`` rows lie on
-    the straight line from there to the next known value (or stay at the held
-    value when there is none), later rows are NULL.
+    The value is held for ``hold`` rows; the next ``line`` rows lie on the
+    straight line from there to the next known value, or stay at the held value
+    when there is none. As columns: value, slope, where the line starts and ends.
     """
-    prev, nxt = F.col(f"{c}_prev"), F.col(f"{c}_next")
-    gone = at - prev["at"]
-    slope = (nxt["value"] - prev["value"]) / (nxt["at"] - prev["at"] - hold)
-    between = slope * (gone - hold) + prev["value"]
-    return (
-        F.when(gone <= hold, prev["value"])
-        .when(gone <= hold + line, F.when(nxt.isNull(), prev["value"]).otherwise(between))
-    )
+    run = f"({c}_next.at - {c}_prev.at - {hold})"
+    slope = f"({c}_next.value - {c}_prev.value) / {run}"
+    return {
+        f"{c}_base": F.expr(f"{c}_prev.value"),
+        f"{c}_slope": F.expr(f"CASE WHEN {run} > 0 THEN {slope} ELSE 0D END"),
+        f"{c}_from": F.expr(f"{c}_prev.at + {hold}"),
+        f"{c}_upto": F.expr(f"{c}_prev.at + {hold + line}"),
+    }
+
+
+def _on_line(c: str, at: str) -> str:
+    """Value of the line at a position, as SQL; NULL past its end."""
+    rise = f"{c}_slope * greatest({at} - {c}_from, 0)"
+    return f"CASE WHEN {at} <= {c}_upto THEN {rise} + {c}_base END"
+
+
+def _line_columns(columns: Sequence[str]) -> list[str]:
+    return [f"{c}_{part}" for c in columns for part in ("base", "slope", "from", "upto")]
 
 
 def hourly_fill(
@@ -52,16 +62,14 @@ def hourly_fill(
     values as ``{c}_raw``.
     """
     columns = list(columns) if columns is not None else numeric_columns(df, exclude=[key, time])
-    hour = hour_index(time)
-    on_grid = F.col(time).cast("timestamp_ntz") == hour_start(hour)
     rows = df.select(
-        key,
-        F.col(time).cast("timestamp_ntz").alias("_t"),
-        hour.alias("_h"),
-        *[F.when(on_grid, F.col(c)).alias(c) for c in columns],
-    ).withColumn("_chunk", chunk_of(F.col("_h"), size))
-
-    ahead = {"_h_out": lambda w: F.lead("_h0").over(w)}
+        key, F.col(time).cast("timestamp_ntz").alias("_t"), hour_index(time).alias("_h"), *columns
+    ).withColumn("_on", F.col("_t") == hour_start("_h"))
+    rows = rows.select(
+        key, "_t", "_h", chunk_of("_h", size).alias("_chunk"),
+        *[F.expr(f"CASE WHEN _on THEN {c} END AS {c}") for c in columns],
+    )
+    ahead = {"_h_out": "lead(_h0)"}
     first_hour = [F.min("_h").alias("_h0")]
     fill = columns if hold or line else []
     rows = known_neighbours(
@@ -75,17 +83,17 @@ def hourly_fill(
         .otherwise(~F.col("_again"))
     )
     upto = F.coalesce(F.lead("_h").over(w), F.col("_h_out"), F.col("_h") + 1)
-    rows = rows.withColumn("_upto", upto - 1).withColumn(
+    lines = {name: e for c in fill for name, e in _line(c, hold, line).items()}
+    rows = rows.withColumns({"_upto": upto - 1, **lines}).withColumn(
         "_at", F.explode(F.sequence("_h", "_upto"))
     )
-    at = F.col("_at")
-    values = [
-        (_filled(c, at, hold, line) if fill else F.when(at == F.col("_h"), F.col(c))).alias(c)
-        for c in columns
-    ]
+    raw = {c: f"CASE WHEN _at = _h THEN {c} END" for c in columns}
+    values = {c: _on_line(c, "_at") if fill else raw[c] for c in columns}
     if keep_raw:
-        values += [F.when(at == F.col("_h"), F.col(c)).alias(f"{c}_raw") for c in columns]
-    return rows.select(key, hour_start(at).alias(time), *values)
+        values |= {f"{c}_raw": e for c, e in raw.items()}
+    return rows.select(
+        key, hour_start("_at").alias(time), *[F.expr(f"{e} AS {n}") for n, e in values.items()]
+    )
 
 
 def hourly_grid(df: DataFrame, columns: Sequence[str] | None = None, **kw) -> DataFrame:
@@ -106,16 +114,17 @@ def ffill_limit(
 
 
 def _with_neighbours(
-    df: DataFrame, columns: Sequence[str], key: str, time: str, size: int,
+    df: DataFrame, columns: Sequence[str], key: str, time: str, size: int, line: int = 0,
 ) -> DataFrame:
     rows = with_positions(df, [key], [time], size, name="_pos")
-    rows = rows.withColumn("_chunk", chunk_of(F.col("_pos"), size))
-    return known_neighbours(rows, columns, "_pos", "_chunk", [key])
+    rows = rows.withColumn("_chunk", chunk_of("_pos", size))
+    rows = known_neighbours(rows, columns, "_pos", "_chunk", [key])
+    return rows.withColumns({n: e for c in columns for n, e in _line(c, 0, line).items()})
 
 
 def _replace(df: DataFrame, columns: Sequence[str], values: dict[str, Column]) -> DataFrame:
     drop = [f"{c}_{side}" for c in columns for side in ("prev", "next")]
-    return df.withColumns(values).drop(*drop, "_pos", "_chunk")
+    return df.withColumns(values).drop(*drop, *_line_columns(columns), "_pos", "_chunk")
 
 
 def interpolate_limit(
@@ -123,8 +132,8 @@ def interpolate_limit(
     key: str = NODE, time: str = TIME, size: int = CHUNK,
 ) -> DataFrame:
     """Straight line by row between known values, at most ``limit`` rows after each."""
-    rows = _with_neighbours(df, columns, key, time, size)
-    return _replace(rows, columns, {c: _filled(c, F.col("_pos"), 0, limit) for c in columns})
+    rows = _with_neighbours(df, columns, key, time, size, limit)
+    return _replace(rows, columns, {c: F.expr(_on_line(c, "_pos")) for c in columns})
 
 
 def ffill_bfill(
@@ -132,7 +141,7 @@ def ffill_bfill(
 ) -> DataFrame:
     """Last known value of the node, or the next one where none came before."""
     rows = _with_neighbours(df, columns, key, time, size)
-    values = {c: F.coalesce(F.col(f"{c}_prev")["value"], F.col(f"{c}_next")["value"]) for c in columns}
+    values = {c: F.expr(f"coalesce({c}_prev.value, {c}_next.value)") for c in columns}
     return _replace(rows, columns, values)
 
 
@@ -145,12 +154,11 @@ def interpolate_fill(
     A row still empty after interpolation takes the value reached by the last
     interpolated row before it, else the next known value.
     """
-    rows = _with_neighbours(df, columns, key, time, size)
+    rows = _with_neighbours(df, columns, key, time, size, limit)
     values = {}
     for c in columns:
-        prev, nxt = F.col(f"{c}_prev"), F.col(f"{c}_next")
-        reach = F.least(F.col("_pos"), prev["at"] + limit)
-        values[c] = F.coalesce(_filled(c, reach, 0, limit), nxt["value"])
+        reached = _on_line(c, f"least(_pos, {c}_upto)")
+        values[c] = F.expr(f"coalesce({reached}, {c}_next.value)")
     return _replace(rows, columns, values)
 
 

@@ -28,20 +28,17 @@ def near_pairs(
     spread over ``salts`` so a crowded one is split over tasks.
     """
     cells = ["_cx", "_cy", "_cz"]
-    at = dict(zip(cells, sphere_cells(F.col("lat"), F.col("lon"), within_km)))
-    near = F.array(*[F.lit(d) for d in (-1, 0, 1)])
-    left = stations.select(F.col(key).alias("src"), F.col("lat").alias("_lat1"),
-                           F.col("lon").alias("_lon1"), *[e.alias(c) for c, e in at.items()])
-    left = left.withColumn("_salt", F.pmod(F.xxhash64("src"), F.lit(salts)).cast("int"))
-    right = stations.select(F.col(key).alias("dst"), F.col("lat").alias("_lat2"),
-                            F.col("lon").alias("_lon2"), *[e.alias(c) for c, e in at.items()])
+    at = [e.alias(c) for c, e in zip(cells, sphere_cells("lat", "lon", within_km))]
+    left = stations.select(F.expr(f"{key} AS src"), F.expr("lat AS _lat1"), F.expr("lon AS _lon1"), *at)
+    left = left.withColumn("_salt", F.expr(f"CAST(pmod(xxhash64(src), {salts}) AS INT)"))
+    right = stations.select(F.expr(f"{key} AS dst"), F.expr("lat AS _lat2"), F.expr("lon AS _lon2"), *at)
     for c in cells:
-        right = right.withColumn(c, F.explode(F.transform(near, lambda d, c=c: F.col(c) + d)))
-    right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    distance = haversine_km(F.col("_lat1"), F.col("_lon1"), F.col("_lat2"), F.col("_lon2"))
+        right = right.withColumn(c, F.expr(f"explode(array({c} - 1, {c}, {c} + 1))"))
+    right = right.withColumn("_salt", F.expr(f"explode(sequence(0, {salts - 1}))"))
+    distance = haversine_km("_lat1", "_lon1", "_lat2", "_lon2")
     return (
         left.join(right, [*cells, "_salt"])
-        .where(F.col("src") != F.col("dst"))
+        .where("src <> dst")
         .select("src", "dst", distance.alias("distance_km"))
         .where(F.col("distance_km") <= within_km)
     )
@@ -59,11 +56,10 @@ def adjacency_edges(
     self_loop: bool = True, key: str = "node_id",
 ) -> DataFrame:
     """Edges (src, dst, distance_km, weight), weight falling with squared distance."""
-    d = F.col("distance_km")
     pairs = distance_pairs(stations, threshold_km, key) if self_loop else near_pairs(
         stations, threshold_km, key
     )
-    return pairs.withColumn("weight", F.exp(-(d * d) / F.lit(2 * sigma * sigma)))
+    return pairs.withColumn("weight", F.expr(f"exp(-(distance_km * distance_km) / {2.0 * sigma * sigma}D)"))
 
 
 def station_index(stations: DataFrame, key: str = "node_id") -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from airpanel.functions.aqi import category_index
+from airpanel.functions.aqi import category_index_sql
 from airpanel.operators.chunks import NODE, TIME, with_positions
 
 HORIZONS = (1, 6, 12, 24)
@@ -19,50 +19,49 @@ T, P, B = "y_true", "y_pred", "y_baseline"
 
 
 def mae(t: str = T, p: str = P) -> Column:
-    return F.avg(F.abs(F.col(t) - F.col(p)))
+    return F.expr(f"avg(abs({t} - {p}))")
 
 
-def mse(t: str = T, p: str = P) -> Column:
-    error = F.col(t) - F.col(p)
-    return F.avg(error * error)
+def _mse(t: str, p: str) -> str:
+    return f"avg(({t} - {p}) * ({t} - {p}))"
 
 
 def rmse(t: str = T, p: str = P) -> Column:
-    return F.sqrt(mse(t, p))
+    return F.expr(f"sqrt({_mse(t, p)})")
 
 
 def mape(t: str = T, p: str = P) -> Column:
-    return F.avg(F.abs((F.col(t) - F.col(p)) / (F.col(t) + F.lit(EPSILON)))) * F.lit(100.0)
+    return F.expr(f"avg(abs(({t} - {p}) / ({t} + {EPSILON}D))) * 100")
 
 
 def r2(t: str = T, p: str = P) -> Column:
     """Share of variance explained; 0 when the truth is constant."""
-    spread = F.var_pop(t)
-    return F.when(spread == 0, F.lit(0.0)).otherwise(F.lit(1.0) - mse(t, p) / spread)
+    return F.expr(f"CASE WHEN var_pop({t}) = 0 THEN 0D ELSE 1 - {_mse(t, p)} / var_pop({t}) END")
 
 
-def _category_gap(t: str, p: str) -> Column:
-    return F.abs(category_index(t) - category_index(p))
+def _category_gap(t: str = T, p: str = P) -> str:
+    return f"abs({category_index_sql(t)} - {category_index_sql(p)})"
 
 
 def category_accuracy(t: str = T, p: str = P) -> Column:
-    return F.avg((_category_gap(t, p) == 0).cast("double"))
+    return F.expr(f"avg(CAST({_category_gap(t, p)} = 0 AS DOUBLE))")
 
 
 def adjacent_category_accuracy(t: str = T, p: str = P) -> Column:
-    return F.avg((_category_gap(t, p) <= 1).cast("double"))
+    return F.expr(f"avg(CAST({_category_gap(t, p)} <= 1 AS DOUBLE))")
 
 
 def skill_score(t: str = T, p: str = P, b: str = B) -> Column:
     """Gain over the baseline's squared error; 0 when the baseline is perfect."""
-    base = mse(t, b)
-    return F.when(base == 0, F.lit(0.0)).otherwise(F.lit(1.0) - mse(t, p) / base)
+    return F.expr(f"CASE WHEN {_mse(t, b)} = 0 THEN 0D ELSE 1 - {_mse(t, p)} / {_mse(t, b)} END")
 
 
 def combined_loss(t: str = T, p: str = P, alpha: float = 0.7) -> Column:
-    error = F.abs(F.col(p) - F.col(t))
-    relative = F.avg(error / (F.abs(F.col(t)) + F.lit(1)))
-    return F.lit(alpha) * F.avg(error) + F.lit(1 - alpha) * relative * F.lit(100)
+    """Blend of the mean error and the mean error relative to the truth, in percent."""
+    error = f"abs({p} - {t})"
+    return F.expr(
+        f"{alpha}D * avg({error}) + {1 - alpha!r}D * avg({error} / (abs({t}) + 1)) * 100"
+    )
 
 
 def all_metrics(df: DataFrame, by: Sequence[str] = ("model",), baseline: str | None = None) -> DataFrame:
@@ -79,10 +78,10 @@ def all_metrics(df: DataFrame, by: Sequence[str] = ("model",), baseline: str | N
 
 def category_error_breakdown(df: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
     """Percent of forecasts in the right category, one off, and two or more off."""
-    gap = _category_gap(T, P)
-    share = {"correct": gap == 0, "off_by_one": gap == 1, "wrong": gap >= 2}
+    share = {"correct": "= 0", "off_by_one": "= 1", "wrong": ">= 2"}
     return df.groupBy(*by).agg(*[
-        (F.avg(hit.cast("double")) * F.lit(100.0)).alias(name) for name, hit in share.items()
+        F.expr(f"avg(CAST({_category_gap()} {hit} AS DOUBLE)) * 100 AS {name}")
+        for name, hit in share.items()
     ])
 
 

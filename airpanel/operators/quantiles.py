@@ -26,36 +26,34 @@ class _Span:
     inside: int
 
 
-def _pairs(spans: Sequence[_Span], value: str) -> Column:
-    """One ``(span, value)`` per span that holds the row's value."""
-    return F.inline(F.array_compact(F.array(*[
-        F.when(
-            F.col(s.column).between(F.lit(s.low), F.lit(s.high)),
-            F.struct(F.lit(i).alias("span"), F.col(s.column).cast("double").alias(value)),
-        )
+def _pairs(spans: Sequence[_Span]) -> Column:
+    """One ``(span, v)`` per span that holds the row's value."""
+    cells = [
+        f"CASE WHEN {s.column} BETWEEN {s.low!r}D AND {s.high!r}D "
+        f"THEN struct({i} AS span, CAST({s.column} AS DOUBLE) AS v) END"
         for i, s in enumerate(spans)
-    ])))
+    ]
+    return F.expr(f"inline(array_compact(array({', '.join(cells)})))")
 
 
 def _narrow(df: DataFrame, spans: dict[tuple[str, int], _Span]) -> dict[tuple[str, int], _Span]:
     """Cut every span to the bucket that holds its rank: one pass, small shuffle."""
     distinct = sorted(set(spans.values()), key=lambda s: (s.column, s.low, s.high))
-    bucket = F.lit(None).cast("bigint")
-    for i, s in enumerate(distinct):
-        place = F.width_bucket("v", F.lit(s.low), F.lit(s.high), F.lit(BUCKETS))
-        bucket = F.when(F.col("span") == i, place).otherwise(bucket)
+    bucket = F.expr("CASE span " + " ".join(
+        f"WHEN {i} THEN width_bucket(v, {s.low!r}D, {s.high!r}D, {BUCKETS})"
+        for i, s in enumerate(distinct)
+    ) + " END")
     rows = (
-        df.select(_pairs(distinct, "v"))
+        df.select(_pairs(distinct))
         .groupBy("span", bucket.alias("bucket"))
         .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
     )
     running = Window.partitionBy("span").orderBy("bucket")
     rows = rows.withColumn("upto", F.sum("n").over(running))
-    wanted = F.lit(False)
-    for (_, rank), s in spans.items():
-        inside = rank - s.before
-        hit = (F.col("upto") > inside) & (F.col("upto") - F.col("n") <= inside)
-        wanted = wanted | ((F.col("span") == distinct.index(s)) & hit)
+    wanted = " OR ".join(
+        f"(span = {distinct.index(s)} AND upto > {rank - s.before} AND upto - n <= {rank - s.before})"
+        for (_, rank), s in spans.items()
+    )
     found = rows.where(wanted).collect()  # one row per wanted rank
     out = {}
     for (column, rank), s in spans.items():
@@ -71,14 +69,12 @@ def _narrow(df: DataFrame, spans: dict[tuple[str, int], _Span]) -> dict[tuple[st
 def _pick(df: DataFrame, spans: dict[tuple[str, int], _Span]) -> dict[tuple[str, int], float]:
     """Values at the wanted ranks of spans that hold few rows."""
     distinct = sorted(set(spans.values()), key=lambda s: (s.column, s.low, s.high))
-    counts = df.select(_pairs(distinct, "v")).groupBy("span", "v").agg(F.count(F.lit(1)).alias("n"))
+    counts = df.select(_pairs(distinct)).groupBy("span", "v").agg(F.count(F.lit(1)).alias("n"))
     upto = F.sum("n").over(Window.partitionBy("span").orderBy("v"))
     keys = list(spans)
     picks = [
-        F.min(F.when(
-            (F.col("span") == distinct.index(spans[k])) & (F.col("upto") > k[1] - spans[k].before),
-            F.col("v"),
-        )).alias(f"k{i}")
+        F.expr(f"min(CASE WHEN span = {distinct.index(spans[k])} "
+               f"AND upto > {k[1] - spans[k].before} THEN v END) AS k{i}")
         for i, k in enumerate(keys)
     ]
     row = counts.withColumn("upto", upto).agg(*picks).first()
@@ -98,9 +94,9 @@ def exact_quantiles(
     """
     columns = sorted({c for c, _ in wanted.values()})
     ends = df.agg(*[
-        f(c).alias(f"{n}_{i}")
+        F.expr(f"{f}({c}) AS {n}_{i}")
         for i, c in enumerate(columns)
-        for n, f in (("n", F.count), ("lo", F.min), ("hi", F.max))
+        for n, f in (("n", "count"), ("lo", "min"), ("hi", "max"))
     ]).first()
     size = {c: ends[f"n_{i}"] for i, c in enumerate(columns)}
     whole = {
@@ -146,7 +142,7 @@ def clip_bounds(
 def clipped(c: str, low: float | None, high: float | None) -> Column:
     if low is None:
         return F.col(c)
-    return F.when(F.col(c) < low, F.lit(low)).when(F.col(c) > high, F.lit(high)).otherwise(F.col(c))
+    return F.expr(f"CASE WHEN {c} < {low!r}D THEN {low!r}D WHEN {c} > {high!r}D THEN {high!r}D ELSE {c} END")
 
 
 def clip_outliers(
@@ -169,7 +165,8 @@ def null_extremes(
     """Values above ``factor`` times the top quantile become NULL."""
     top = _top(df, columns, percentile)
     return df.withColumns({
-        c: F.when(F.col(c) <= top[c] * factor, F.col(c)) for c in columns if top[c] is not None
+        c: F.expr(f"CASE WHEN {c} <= {top[c] * factor!r}D THEN {c} END")
+        for c in columns if top[c] is not None
     })
 
 
@@ -179,7 +176,7 @@ def cap_extremes(
     """Values above ``factor`` times a positive top quantile become that limit."""
     top = _top(df, columns, percentile)
     return df.withColumns({
-        c: F.when(F.col(c) > top[c] * factor, F.lit(top[c] * factor)).otherwise(F.col(c))
+        c: F.expr(f"CASE WHEN {c} > {top[c] * factor!r}D THEN {top[c] * factor!r}D ELSE {c} END")
         for c in columns if top[c] is not None and top[c] > 0
     })
 

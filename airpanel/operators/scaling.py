@@ -51,8 +51,8 @@ def unscale(df: DataFrame, stats: DataFrame, fitted: str, columns: Sequence[str]
             clamp: bool = False) -> DataFrame:
     """Bring columns back to the unit of the ``fitted`` one, optionally clipped to the index range."""
     shift, by = _constants(stats)[fitted]
-    back = {c: F.col(c) * F.lit(by) + F.lit(shift) for c in columns}
-    return df.withColumns({c: clamp_aqi(e) if clamp else e for c, e in back.items()})
+    back = {c: f"{c} * {by!r}D + {shift!r}D" for c in columns}
+    return df.withColumns({c: clamp_aqi(e) if clamp else F.expr(e) for c, e in back.items()})
 
 
 def save_scaler(stats: DataFrame, path: str) -> None:

@@ -22,33 +22,29 @@ def explode_forecast(df: DataFrame, horizon: int = 24) -> DataFrame:
         raise ValueError(f"horizon must lie in 1..{MAX_HORIZON}")
     rows = df.select(
         "station_id", "model", "base_time",
-        F.round(clamp_aqi(F.get("values", F.lit(0))), 1).alias("current_aqi"),
+        F.round(clamp_aqi("get(values, 0)"), 1).alias("current_aqi"),
         F.posexplode(F.slice("values", 1, horizon)).alias("hour", "_v"),
     )
-    value = clamp_aqi("_v")
-    label = category_banded(value)
+    rows = rows.withColumn("_v", clamp_aqi("_v")).withColumn("category", category_banded("_v"))
     return rows.select(
         "station_id", "model", "hour",
         F.timestamp_add("HOUR", F.col("hour"), F.col("base_time")).alias("timestamp"),
-        F.round(value, 1).alias("aqi"),
-        label.alias("category"),
-        category_color(label, service=True).alias("color"),
+        F.round("_v", 1).alias("aqi"),
+        "category",
+        category_color(service=True).alias("color"),
         "current_aqi",
     )
 
 
 def heatmap_points(nodes: DataFrame, values: DataFrame, key: str = "node_id") -> DataFrame:
     """One marker per node, whether it has a value or not."""
-    points = left_join_default(nodes, values, key)
-    aqi, label = F.col("aqi"), category("aqi")
-    size = F.lit(8) + aqi / F.lit(500) * F.lit(17)
+    points = left_join_default(nodes, values, key).withColumn("category", category("aqi"))
     return points.select(
-        key, "lat", "lon", "aqi",
-        label.alias("category"),
-        category_color(label).alias("color"),
-        health_advisory(label).alias("advisory"),
-        F.least(F.lit(25.0), F.greatest(F.lit(8.0), size)).alias("radius"),
-        (aqi / F.lit(500)).alias("intensity"),
+        key, "lat", "lon", "aqi", "category",
+        category_color().alias("color"),
+        health_advisory().alias("advisory"),
+        F.expr("least(25D, greatest(8D, 8 + aqi / 500 * 17)) AS radius"),
+        F.expr("aqi / 500 AS intensity"),
     )
 
 

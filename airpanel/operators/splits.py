@@ -24,7 +24,7 @@ def _first_rows(df: DataFrame, ranks: list[int], time: str, key: str, size: int)
     wanted instants are then ordered by key, one per node.
     """
     counts = df.groupBy(time).agg(F.count(F.lit(1)).alias("n"))
-    counts = counts.withColumn("_tc", chunk_of(hour_index(time), size))
+    counts = counts.withColumn("_h", hour_index(time)).withColumn("_tc", chunk_of("_h", size))
     sums = counts.groupBy("_tc").agg(F.sum("n").alias("n"))
     earlier = Window.orderBy("_tc").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("_tc", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))

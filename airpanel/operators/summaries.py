@@ -47,6 +47,6 @@ def node_bias_adjust(
 
     The table is a constant of the call, so it becomes a map literal, not a join.
     """
-    table = F.create_map(*[F.lit(x) for pair in biases.items() for x in pair])
-    bias = F.coalesce(F.try_element_at(table, F.col(key)), F.lit(0.0))
-    return df.withColumn(column, clamp_aqi(F.col(column) + bias))
+    table = ", ".join(f"'{node}', {float(bias)!r}D" for node, bias in biases.items())
+    bias = f"coalesce(try_element_at(map({table}), {key}), 0D)"
+    return df.withColumn(column, clamp_aqi(f"{column} + {bias}"))

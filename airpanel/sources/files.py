@@ -163,7 +163,8 @@ def write_processed(df: DataFrame, path: str, key: str = "node_id") -> None:
     Rows are spread by (node, month) first: a node's folder is then written by
     many tasks, and each task holds few folders.
     """
-    spread = df.repartition(F.col(key), chunk_of(hour_index("timestamp"), CHUNK))
+    hours = df.withColumn("_h", hour_index("timestamp"))
+    spread = hours.repartition(F.col(key), chunk_of("_h", CHUNK)).drop("_h")
     spread.write.mode("overwrite").partitionBy(key).parquet(path)
 
 
