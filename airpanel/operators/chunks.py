@@ -35,10 +35,6 @@ def chunk_of(position: str, size: int) -> Column:
     return F.expr(f"(({position}) - pmod({position}, {size})) DIV {size}")
 
 
-def _by_node(keys: Sequence[str]) -> WindowSpec:
-    return Window.partitionBy(*keys)
-
-
 def with_positions(
     df: DataFrame,
     keys: Sequence[str] = (NODE,),
@@ -52,20 +48,34 @@ def with_positions(
     Rows are numbered inside (node, time chunk); the count of earlier rows comes
     from one summary row per chunk. ``total`` adds the node's row count.
     """
-    keys = list(keys)
-    chunked = df.withColumn("_h", hour_index(order[0])).withColumn("_tc", chunk_of("_h", size))
-    counts = chunked.groupBy(*keys, "_tc").agg(F.count(F.lit(1)).alias("_n"))
-    earlier = _by_node(keys).orderBy("_tc").rowsBetween(Window.unboundedPreceding, -1)
+    df = df.withColumn("_h", hour_index(order[0])).withColumn("_tc", chunk_of("_h", size))
+    return placed(numbered(df, "_tc", keys, order), "_tc", keys, name, total).drop("_h")
+
+
+def numbered(
+    df: DataFrame, chunk: str, keys: Sequence[str] = (NODE,), order: Sequence[str] = (TIME,),
+) -> DataFrame:
+    """Add ``_rn``, the 0-based place within (node, chunk)."""
+    inside = Window.partitionBy(*keys, chunk).orderBy(*order)
+    return df.withColumn("_rn", F.row_number().over(inside) - 1)
+
+
+def placed(
+    df: DataFrame, chunk: str, keys: Sequence[str] = (NODE,), name: str = "position",
+    total: str | None = None,
+) -> DataFrame:
+    """Turn ``_rn`` and a chunk column that rises with time into the place within the node."""
+    node = Window.partitionBy(*keys)
+    earlier = node.orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
+    counts = df.groupBy(*keys, chunk).agg(F.count(F.lit(1)).alias("_n"))
     summary = [F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")]
     if total:
-        summary.append(F.sum("_n").over(_by_node(keys)).alias(total))
-    offsets = counts.select(*keys, "_tc", *summary)
-    inside = Window.partitionBy(*keys, "_tc").orderBy(*order)
+        summary.append(F.sum("_n").over(node).alias(total))
+    offsets = counts.select(*keys, chunk, *summary)
     return (
-        chunked.withColumn("_rn", F.row_number().over(inside) - 1)
-        .join(offsets, [*keys, "_tc"])
-        .withColumn(name, (F.col("_before") + F.col("_rn")).cast("bigint"))
-        .drop("_h", "_tc", "_rn", "_before")
+        df.join(offsets, [*keys, chunk])
+        .withColumn(name, F.expr("CAST(_before + _rn AS BIGINT)"))
+        .drop(chunk, "_rn", "_before")
     )
 
 

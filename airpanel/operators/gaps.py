@@ -53,13 +53,15 @@ def hourly_fill(
     time: str = TIME,
     size: int = CHUNK,
     keep_raw: bool = False,
+    keep_chunk: bool = False,
 ) -> DataFrame:
     """Rows at every hour of each node, with gaps filled, in one shuffle.
 
     Each reading emits itself and the missing hours up to the next reading, so
     no grid is joined. Readings off the hour count for the extent only. A
     repeated timestamp of a node is an error. ``keep_raw`` adds the unfilled
-    values as ``{c}_raw``.
+    values as ``{c}_raw``, ``keep_chunk`` the ``_chunk`` the rows are partitioned
+    by, which rises with time.
     """
     columns = list(columns) if columns is not None else numeric_columns(df, exclude=[key, time])
     rows = df.select(
@@ -91,8 +93,10 @@ def hourly_fill(
     values = {c: _on_line(c, "_at") if fill else raw[c] for c in columns}
     if keep_raw:
         values |= {f"{c}_raw": e for c, e in raw.items()}
+    chunk = ["_chunk"] if keep_chunk else []
     return rows.select(
-        key, hour_start("_at").alias(time), *[F.expr(f"{e} AS {n}") for n, e in values.items()]
+        key, hour_start("_at").alias(time), *chunk,
+        *[F.expr(f"{e} AS {n}") for n, e in values.items()],
     )
 
 

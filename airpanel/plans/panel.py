@@ -12,7 +12,7 @@ from airpanel.functions import clock, physics
 from airpanel.functions.aqi import POLLUTANTS, aqi
 from airpanel.functions.physics import null_negatives
 from airpanel.operators import features as ft
-from airpanel.operators.chunks import windowed
+from airpanel.operators.chunks import numbered, placed, windowed
 from airpanel.operators.gaps import clean_panel, interpolate_fill
 from airpanel.operators.quantiles import (
     cap_extremes, clip_outliers, exact_quantiles, median_fill, null_extremes,
@@ -36,9 +36,13 @@ def _present(df: DataFrame, columns: Sequence[str]) -> list[str]:
 
 
 def _features(df: DataFrame, rolling: Sequence[str]) -> DataFrame:
-    """Lags, rolling columns, wind and calendar; one shuffle for all frames."""
+    """Lags, rolling columns, wind and calendar; one shuffle for all frames.
+
+    Rows come numbered by chunk, so their positions need no shuffle of their own.
+    """
     columns = {**ft.lag_columns("aqi"), **ft.rolling_columns(_present(df, rolling))}
-    df = windowed(df, columns, lookback=max(ft.WINDOWS))
+    df = placed(df, "_chunk")
+    df = windowed(df, columns, lookback=max(ft.WINDOWS), position=F.col("position")).drop("position")
     return df.withColumns({**physics.wind_vectors(df.columns), **clock.calendar_features()})
 
 
@@ -49,10 +53,13 @@ def engineer_panel(
     """Clean, clip, score, add features, drop incomplete rows.
 
     ``clip`` defaults to every numeric column. The clean panel is written once,
-    because the clip bounds and the features both need all of it.
+    because the clip bounds and the features both need all of it. It is written
+    with the row numbers of its chunks, which cost nothing while the rows still
+    lie together.
     """
-    clean = materialize(clean_panel(readings), "clean")
-    columns = numeric_columns(clean) if clip is None else _present(clean, clip)
+    clean = materialize(numbered(clean_panel(readings, keep_chunk=True), "_chunk"), "clean")
+    own = numeric_columns(clean, ["_chunk", "_rn"])
+    columns = own if clip is None else _present(clean, clip)
     panel = clip_outliers(clean, columns)
     if "aqi" not in panel.columns:
         present = _present(panel, POLLUTANTS)
