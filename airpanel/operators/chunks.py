@@ -152,23 +152,23 @@ def known_neighbours(
         # frame up to the end would be evaluated anew for every row.
         last = nearest(f"{c}_la", f"{c}_lv", node, "1 PRECEDING")
         first = nearest(f"{c}_fa", f"{c}_fv", f"{node} DESC", "1 PRECEDING")
-        carried += [F.expr(f"{last} AS {c}_in"), F.expr(f"{first} AS {c}_out")]
+        carried += [f"{last} AS {c}_in", f"{first} AS {c}_out"]
     for name, expr in (carry or {}).items():
-        carried.append(F.expr(f"{expr} OVER ({node}) AS {name}"))
-    edges = edges.select(*keys, chunk, *carried)
+        carried.append(f"{expr} OVER ({node}) AS {name}")
+    edges = edges.selectExpr(*keys, chunk, *carried)
 
     part = f"PARTITION BY {', '.join([*keys, chunk])} ORDER BY {order or position}"
-    ahead, behind = {}, {}
+    ahead, behind = [], []
     for c in columns:
         after = nearest(position, c, f"{part} DESC", "1 PRECEDING")
         before = nearest(position, c, part, "CURRENT ROW")
-        ahead[f"{c}_next"] = F.expr(f"coalesce({after}, {c}_out)")
-        behind[f"{c}_prev"] = F.expr(f"coalesce({before}, {c}_in)")
-    drop = [f"{c}_{side}" for c in columns for side in ("in", "out")]
+        ahead.append(f"coalesce({after}, {c}_out) AS {c}_next")
+        behind.append(f"coalesce({before}, {c}_in) AS {c}_prev")
+    own = [*df.columns, *(carry or {})]
     # The descending look goes first: the rows then stay in rising order, which
     # later windows of the caller reuse without another sort.
-    out = df.join(edges, [*keys, chunk])
-    return out.withColumns(ahead).withColumns(behind).drop(*drop)
+    out = df.join(edges, [*keys, chunk]).selectExpr(*own, *[f"{c}_in" for c in columns], *ahead)
+    return out.selectExpr(*own, *[f"{c}_next" for c in columns], *behind)
 
 
 def global_index(df: DataFrame, order: Sequence[str], name: str = "index") -> DataFrame:

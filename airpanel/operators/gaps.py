@@ -17,21 +17,21 @@ GAP_FILL_LIMIT = 3
 INTERPOLATE_LIMIT = 12
 
 
-def _line(c: str, hold: int, line: int) -> dict[str, Column]:
+def _line(c: str, hold: int, line: int) -> list[str]:
     """The line that fills column ``c`` after its last known value.
 
     The value is held for ``hold`` rows; the next ``line`` rows lie on the
     straight line from there to the next known value, or stay at the held value
-    when there is none. As columns: value, slope, where the line starts and ends.
+    when there is none. As SQL columns: value, slope, where the line starts and ends.
     """
     run = f"({c}_next.at - {c}_prev.at - {hold})"
     slope = f"({c}_next.value - {c}_prev.value) / {run}"
-    return {
-        f"{c}_base": F.expr(f"{c}_prev.value"),
-        f"{c}_slope": F.expr(f"CASE WHEN {run} > 0 THEN {slope} ELSE 0D END"),
-        f"{c}_from": F.expr(f"{c}_prev.at + {hold}"),
-        f"{c}_upto": F.expr(f"{c}_prev.at + {hold + line}"),
-    }
+    return [
+        f"{c}_prev.value AS {c}_base",
+        f"CASE WHEN {run} > 0 THEN {slope} ELSE 0D END AS {c}_slope",
+        f"{c}_prev.at + {hold} AS {c}_from",
+        f"{c}_prev.at + {hold + line} AS {c}_upto",
+    ]
 
 
 def _on_line(c: str, at: str) -> str:
@@ -67,9 +67,8 @@ def hourly_fill(
     rows = df.select(
         key, F.col(time).cast("timestamp_ntz").alias("_t"), hour_index(time).alias("_h"), *columns
     ).withColumn("_on", F.col("_t") == hour_start("_h"))
-    rows = rows.select(
-        key, "_t", "_h", chunk_of("_h", size).alias("_chunk"),
-        *[F.expr(f"CASE WHEN _on THEN {c} END AS {c}") for c in columns],
+    rows = rows.withColumn("_chunk", chunk_of("_h", size)).selectExpr(
+        key, "_t", "_h", "_chunk", *[f"CASE WHEN _on THEN {c} END AS {c}" for c in columns]
     )
     ahead = {"_h_out": "lead(_h0)"}
     first_hour = [F.min("_h").alias("_h0")]
@@ -85,18 +84,16 @@ def hourly_fill(
         .otherwise(~F.col("_again"))
     )
     upto = F.coalesce(F.lead("_h").over(w), F.col("_h_out"), F.col("_h") + 1)
-    lines = {name: e for c in fill for name, e in _line(c, hold, line).items()}
-    rows = rows.withColumns({"_upto": upto - 1, **lines}).withColumn(
-        "_at", F.explode(F.sequence("_h", "_upto"))
-    )
+    rows = rows.withColumn("_upto", upto - 1)
+    lines = [e for c in fill for e in _line(c, hold, line)]
+    rows = rows.selectExpr("*", *lines).selectExpr("*", "explode(sequence(_h, _upto)) AS _at")
     raw = {c: f"CASE WHEN _at = _h THEN {c} END" for c in columns}
     values = {c: _on_line(c, "_at") if fill else raw[c] for c in columns}
     if keep_raw:
         values |= {f"{c}_raw": e for c, e in raw.items()}
     chunk = ["_chunk"] if keep_chunk else []
-    return rows.select(
-        key, hour_start("_at").alias(time), *chunk,
-        *[F.expr(f"{e} AS {n}") for n, e in values.items()],
+    return rows.withColumn(time, hour_start("_at")).selectExpr(
+        key, time, *chunk, *[f"{e} AS {n}" for n, e in values.items()]
     )
 
 
@@ -123,7 +120,7 @@ def _with_neighbours(
     rows = with_positions(df, [key], [time], size, name="_pos")
     rows = rows.withColumn("_chunk", chunk_of("_pos", size))
     rows = known_neighbours(rows, columns, "_pos", "_chunk", [key])
-    return rows.withColumns({n: e for c in columns for n, e in _line(c, 0, line).items()})
+    return rows.selectExpr("*", *[e for c in columns for e in _line(c, 0, line)])
 
 
 def _replace(df: DataFrame, columns: Sequence[str], values: dict[str, Column]) -> DataFrame:

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from airpanel.functions.clock import hour_index
+from airpanel.functions.clock import hour_index, hour_start
 from airpanel.operators.chunks import CHUNK, NODE, TIME, chunk_of
 
 
@@ -16,40 +18,39 @@ def _instant(df: DataFrame, time: str, value: datetime) -> Column:
     return F.lit(value.isoformat(sep=" ")).cast(df.schema[time].dataType)
 
 
-def _first_rows(df: DataFrame, ranks: list[int], time: str, key: str, size: int) -> dict:
-    """The row at each place of the order (time, key), found by counting.
+def _rows_at(
+    df: DataFrame, starts: dict[int, tuple[int, int]], time: str, key: str, size: int,
+) -> dict[int, tuple[datetime, str]]:
+    """The (time, key) of the row at each rank, given its chunk and the rows before that.
 
-    Counts per instant are summed per chunk of time and carried, so the running
-    total never runs over more than one chunk of instants. Only the rows of the
-    wanted instants are then ordered by key, one per node.
+    Only the instants of the wanted chunks are counted, then only the rows of the
+    wanted instants are ordered by key, one per node.
     """
-    counts = df.groupBy(time).agg(F.count(F.lit(1)).alias("n"))
-    counts = counts.withColumn("_h", hour_index(time)).withColumn("_tc", chunk_of("_h", size))
-    sums = counts.groupBy("_tc").agg(F.sum("n").alias("n"))
-    earlier = Window.orderBy("_tc").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select("_tc", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    inside = Window.partitionBy("_tc").orderBy(time)
-    upto = F.col("before") + F.sum("n").over(inside)
-    places = counts.join(sums, "_tc").withColumn("upto", upto)
-    start = F.col("upto") - F.col("n")
-    here = {r: (start <= r) & (F.col("upto") > r) for r in ranks}
-    instants = places.agg(*[
-        F.max(F.when(hit, F.struct(time, start.alias("start")))).alias(f"r{r}")
-        for r, hit in here.items()
-    ]).first()
-    at = {r: instants[f"r{r}"] for r in ranks}
-    rows = df.where(F.col(time).isin([_instant(df, time, v[time]) for v in at.values()]))
-    rows = rows.select(time, key)
-    rows = rows.withColumn("i", F.row_number().over(Window.partitionBy(time).orderBy(key)) - 1)
-    pick = F.lit(False)
-    for r, v in at.items():
-        pick = pick | ((F.col(time) == _instant(df, time, v[time])) & (F.col("i") == r - v["start"]))
-    found = rows.where(pick).collect()  # one row per rank
-    return {
-        r: next((f[time], f[key]) for f in found
-                if f[time] == v[time] and f["i"] == r - v["start"])
-        for r, v in at.items()
+    here = [
+        (F.col(time) >= hour_start(f"{c * size}")) & (F.col(time) < hour_start(f"{(c + 1) * size}"))
+        for c, _ in starts.values()
+    ]
+    counts = (
+        df.where(reduce(or_, here)).withColumn("_h", hour_index(time))
+        .groupBy(chunk_of("_h", size).alias("_tc"), time).agg(F.count(F.lit(1)).alias("n"))
+    )
+    upto = F.sum("n").over(Window.partitionBy("_tc").orderBy(time))
+    hits = " OR ".join(
+        f"(_tc = {c} AND upto > {r - before} AND upto - n <= {r - before})"
+        for r, (c, before) in starts.items()
+    )
+    instants = counts.withColumn("upto", upto).where(hits).collect()  # one row per rank
+    at = {
+        r: (i[time], r - before - i["upto"] + i["n"])
+        for r, (c, before) in starts.items() for i in instants
+        if i["_tc"] == c and i["upto"] - i["n"] <= r - before < i["upto"]
     }
+    rows = df.where(F.col(time).isin([_instant(df, time, t) for t, _ in at.values()]))
+    place = F.row_number().over(Window.partitionBy(time).orderBy(key)) - 1
+    rows = rows.select(time, key).withColumn("i", place)
+    rows = rows.where(F.col("i").isin([i for _, i in at.values()])).collect()  # a row per pair
+    keys = {(r[time], r["i"]): r[key] for r in rows}
+    return {r: (t, keys[t, i]) for r, (t, i) in at.items()}
 
 
 def chrono_split(
@@ -58,24 +59,30 @@ def chrono_split(
 ) -> DataFrame:
     """Add ``split``: the first rows by (time, key) train, the next val, the rest test.
 
-    The two boundary rows are found by counting; each row is then compared with
-    them, so the table itself is neither sorted nor shuffled. (time, key) must be
-    unique, as it is on a clean panel.
+    The two boundary rows are found by counting, from chunks of time to instants
+    to rows; each row is then compared with them, so the table itself is neither
+    sorted nor shuffled. (time, key) must be unique, as it is on a clean panel.
     """
-    n = df.count()
-    train_end, val_end = int(n * train_ratio), int(n * (train_ratio + val_ratio))
+    chunks = df.withColumn("_h", hour_index(time)).groupBy(chunk_of("_h", size).alias("_tc")).count()
+    counts = sorted((r["_tc"], r["count"]) for r in chunks.collect())  # one row per chunk of time
+    n = sum(c for _, c in counts)
     if n == 0:
         return df.withColumn("split", F.lit("test"))
-    bounds = _first_rows(df, sorted({train_end, val_end}), time, key, size)
+    train_end, val_end = int(n * train_ratio), int(n * (train_ratio + val_ratio))
+    starts, before = {}, 0
+    for chunk, c in counts:
+        starts |= {r: (chunk, before) for r in (train_end, val_end) if before <= r < before + c}
+        before += c
+    bounds = _rows_at(df, starts, time, key, size)
 
-    def before(rank: int):
+    def earlier(rank: int) -> Column:
         t, k = bounds[rank]
         t = _instant(df, time, t)
         return (F.col(time) < t) | ((F.col(time) == t) & (F.col(key) < F.lit(k)))
 
     return df.withColumn(
         "split",
-        F.when(before(train_end), "train").when(before(val_end), "val").otherwise("test"),
+        F.when(earlier(train_end), "train").when(earlier(val_end), "val").otherwise("test"),
     )
 
 

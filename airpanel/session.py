@@ -20,6 +20,8 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        # Wide plans of many short queries: keep their compiled code.
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
