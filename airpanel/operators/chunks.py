@@ -119,19 +119,21 @@ def known_neighbours(
     chunk: str,
     keys: Sequence[str] = (NODE,),
     order: str | None = None,
-    carry: dict[str, str] | None = None,
-    carry_from: Sequence[Column] = (),
+    ahead: bool = True,
+    extra: dict[str, str] | None = None,
 ) -> DataFrame:
     """Add ``{c}_prev`` and ``{c}_next``: nearest known ``(at, value)`` of each column.
 
-    ``_prev`` looks back including the row itself, ``_next`` looks ahead without
-    it, both without limit. Every chunk contributes its first and last known
-    value; those few rows are carried across chunks, the rest stays inside.
-    ``carry`` adds window functions over the chunk summary, as SQL, of the
-    aggregates in ``carry_from``.
+    ``_prev`` looks back including the row itself, ``_next`` (with ``ahead``)
+    looks ahead without it, both without limit. Every chunk contributes its first
+    and last known values; these few rows are carried along the node and come
+    back as one row before and one row after each chunk, so the looks need one
+    shuffle, one sort and no join. ``extra`` adds window functions over the rows
+    of the chunk, as SQL; the row after the chunk has the next chunk's first
+    position.
     """
     keys = list(keys)
-    aggs = list(carry_from)
+    aggs = [F.expr(f"min({position}) AS _first")]
     for c in columns:
         at = f"CASE WHEN {c} IS NOT NULL THEN {position} END"
         aggs += [
@@ -139,36 +141,38 @@ def known_neighbours(
             F.expr(f"max({at}) AS {c}_la"), F.expr(f"max_by({c}, {at}) AS {c}_lv"),
         ]
     edges = df.groupBy(*keys, chunk).agg(*aggs)
-    node = f"PARTITION BY {', '.join(keys)} ORDER BY {chunk}"
 
-    def nearest(at: str, value: str, over: str, upto: str) -> str:
-        pair = f"CASE WHEN {value} IS NOT NULL THEN struct({at} AS at, {value} AS value) END"
-        rows = f"ROWS BETWEEN UNBOUNDED PRECEDING AND {upto}"
-        return f"last({pair}, true) OVER ({over} {rows})"
+    def known(at: str, value: str) -> str:
+        return f"CASE WHEN {value} IS NOT NULL THEN struct({at} AS at, {value} AS value) END"
 
-    carried = []
+    node = f"(PARTITION BY {', '.join(keys)} ORDER BY {chunk})"
+    before = f"(PARTITION BY {', '.join(keys)} ORDER BY {chunk} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    carried = [f"lead(_first) OVER {node} AS _next_first"]
     for c in columns:
-        # Looking ahead is a look back in descending order: linear, where a
-        # frame up to the end would be evaluated anew for every row.
-        last = nearest(f"{c}_la", f"{c}_lv", node, "1 PRECEDING")
-        first = nearest(f"{c}_fa", f"{c}_fv", f"{node} DESC", "1 PRECEDING")
-        carried += [f"{last} AS {c}_in", f"{first} AS {c}_out"]
-    for name, expr in (carry or {}).items():
-        carried.append(f"{expr} OVER ({node}) AS {name}")
-    edges = edges.selectExpr(*keys, chunk, *carried)
-
-    part = f"PARTITION BY {', '.join([*keys, chunk])} ORDER BY {order or position}"
-    ahead, behind = [], []
+        carried += [
+            f"last({known(f'{c}_la', f'{c}_lv')}, true) OVER {before} AS {c}_in",
+            f"lead({known(f'{c}_fa', f'{c}_fv')}, 1) IGNORE NULLS OVER {node} AS {c}_out",
+        ]
+    cells = {
+        side: ", ".join(f"{c}_{side}.value AS {c}, {c}_{side}.at AS {c}_at" for c in columns)
+        for side in ("in", "out")
+    }
+    ends = ", ".join(
+        f"struct({where} AS _side, {at} AS {position}{', ' if columns else ''}{cells[side]})"
+        for side, where, at in (("in", -1, "CAST(NULL AS BIGINT)"), ("out", 1, "_next_first"))
+    )
+    edges = edges.selectExpr(*keys, chunk, *carried).selectExpr(*keys, chunk, f"inline(array({ends}))")
+
+    rows = df.withColumn("_side", F.lit(0)).unionByName(edges, allowMissingColumns=True)
+    over = f"PARTITION BY {', '.join([*keys, chunk])} ORDER BY _side, {order or position}"
+    looks = [f"{e} OVER ({over}) AS {name}" for name, e in (extra or {}).items()]
     for c in columns:
-        after = nearest(position, c, f"{part} DESC", "1 PRECEDING")
-        before = nearest(position, c, part, "CURRENT ROW")
-        ahead.append(f"coalesce({after}, {c}_out) AS {c}_next")
-        behind.append(f"coalesce({before}, {c}_in) AS {c}_prev")
-    own = [*df.columns, *(carry or {})]
-    # The descending look goes first: the rows then stay in rising order, which
-    # later windows of the caller reuse without another sort.
-    out = df.join(edges, [*keys, chunk]).selectExpr(*own, *[f"{c}_in" for c in columns], *ahead)
-    return out.selectExpr(*own, *[f"{c}_next" for c in columns], *behind)
+        pair = known(f"coalesce({c}_at, {position})", c)
+        so_far = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+        looks.append(f"last({pair}, true) OVER ({over} {so_far}) AS {c}_prev")
+        if ahead:
+            looks.append(f"lead({pair}, 1) IGNORE NULLS OVER ({over}) AS {c}_next")
+    return rows.selectExpr(*df.columns, "_side", *looks).where("_side = 0").drop("_side")
 
 
 def global_index(df: DataFrame, order: Sequence[str], name: str = "index") -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from airpanel.functions.clock import hour_index, hour_start
@@ -25,10 +25,10 @@ def _line(c: str, hold: int, line: int) -> list[str]:
     when there is none. As SQL columns: value, slope, where the line starts and ends.
     """
     run = f"({c}_next.at - {c}_prev.at - {hold})"
-    slope = f"({c}_next.value - {c}_prev.value) / {run}"
+    slope = f"CASE WHEN {run} > 0 THEN ({c}_next.value - {c}_prev.value) / {run} ELSE 0D END"
     return [
         f"{c}_prev.value AS {c}_base",
-        f"CASE WHEN {run} > 0 THEN {slope} ELSE 0D END AS {c}_slope",
+        f"{slope if line else '0D'} AS {c}_slope",
         f"{c}_prev.at + {hold} AS {c}_from",
         f"{c}_prev.at + {hold + line} AS {c}_upto",
     ]
@@ -70,27 +70,22 @@ def hourly_fill(
     rows = rows.withColumn("_chunk", chunk_of("_h", size)).selectExpr(
         key, "_t", "_h", "_chunk", *[f"CASE WHEN _on THEN {c} END AS {c}" for c in columns]
     )
-    ahead = {"_h_out": "lead(_h0)"}
-    first_hour = [F.min("_h").alias("_h0")]
-    fill = columns if hold or line else []
+    looks = {"_ahead": "lead(_h)", "_same": "lag(_t)"}
     rows = known_neighbours(
-        rows, fill, "_h", "_chunk", [key], order="_t", carry=ahead, carry_from=first_hour,
+        rows, columns, "_h", "_chunk", [key], order="_t", ahead=line > 0, extra=looks
     )
-    w = Window.partitionBy(key, "_chunk").orderBy("_t")
-    repeated = F.lag("_t").over(w) == F.col("_t")
-    again = F.coalesce(F.lag("_h").over(w) == F.col("_h"), F.lit(False))
-    rows = rows.withColumns({"_again": again, "_repeated": repeated}).where(
-        F.when(F.col("_repeated"), F.raise_error(F.lit("duplicate timestamp")).cast("boolean"))
-        .otherwise(~F.col("_again"))
+    # The last reading of an hour stands for it: its last known value is that of
+    # the reading on the hour, if there is one.
+    rows = rows.where(
+        "CASE WHEN _same = _t THEN CAST(raise_error('duplicate timestamp') AS BOOLEAN) "
+        "ELSE _ahead IS NULL OR _ahead > _h END"
     )
-    upto = F.coalesce(F.lead("_h").over(w), F.col("_h_out"), F.col("_h") + 1)
-    rows = rows.withColumn("_upto", upto - 1)
-    lines = [e for c in fill for e in _line(c, hold, line)]
-    rows = rows.selectExpr("*", *lines).selectExpr("*", "explode(sequence(_h, _upto)) AS _at")
-    raw = {c: f"CASE WHEN _at = _h THEN {c} END" for c in columns}
-    values = {c: _on_line(c, "_at") if fill else raw[c] for c in columns}
+    lines = [e for c in columns for e in _line(c, hold, line)]
+    hours = "explode(sequence(_h, coalesce(_ahead - 1, _h))) AS _at"
+    rows = rows.selectExpr(key, "_chunk", "_h", "_ahead", *lines).selectExpr("*", hours)
+    values = {c: _on_line(c, "_at") for c in columns}
     if keep_raw:
-        values |= {f"{c}_raw": e for c, e in raw.items()}
+        values |= {f"{c}_raw": f"CASE WHEN _at = {c}_from - {hold} THEN {c}_base END" for c in columns}
     chunk = ["_chunk"] if keep_chunk else []
     return rows.withColumn(time, hour_start("_at")).selectExpr(
         key, time, *chunk, *[f"{e} AS {n}" for n, e in values.items()]
