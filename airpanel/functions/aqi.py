@@ -119,20 +119,19 @@ def clamp_aqi(c: str) -> Column:
     return F.expr(clamp_sql(c))
 
 
-def sub_index_sql(c: str, pollutant: str) -> str:
+def sub_index_sql(c: str, pollutant: str, none: str = "NULL") -> str:
+    """CASE over the bands from the top down; ``none`` where there is no index."""
     bands = BREAKPOINTS.get(pollutant.lower())
     if bands is None:
         return "CAST(NULL AS DOUBLE)"
-    # A value between two bands meets a NULL branch before the next band.
-    cases = [f"WHEN ({c}) < 0 THEN NULL"]
-    for low, high, c_low, c_high in bands:
-        slope = (high - low) / (c_high - c_low)
-        cases.append(f"WHEN ({c}) < {_number(c_low)} THEN NULL")
-        cases.append(
-            f"WHEN ({c}) <= {_number(c_high)} "
-            f"THEN {_number(slope)} * (({c}) - {_number(c_low)}) + {_number(low)}"
-        )
-    return f"(CASE {' '.join(cases)} WHEN ({c}) > {_number(bands[-1][3])} THEN {AQI_MAX}D END)"
+    cases = [f"WHEN ({c}) > {_number(bands[-1][3])} THEN {AQI_MAX}D"]
+    for i, (low, high, c_low, c_high) in reversed(list(enumerate(bands))):
+        slope = _number((high - low) / (c_high - c_low))
+        line = f"{slope} * (({c}) - {_number(c_low)}) + {_number(low)}"
+        cases.append(f"WHEN ({c}) >= {_number(c_low)} THEN {line}")
+        if i > 0:  # between the band below and this one
+            cases.append(f"WHEN ({c}) > {_number(bands[i - 1][3])} THEN {none}")
+    return f"(CASE {' '.join(cases)} ELSE {none} END)"
 
 
 def sub_index(c: str, pollutant: str) -> Column:
@@ -148,25 +147,31 @@ def _present(columns: list[str] | None) -> list[str]:
     return POLLUTANTS if columns is None else [p for p in POLLUTANTS if p in columns]
 
 
-def aqi(columns: list[str] | None = None) -> Column:
-    """Largest non-NULL sub-index of the pollutant columns present.
+def aqi_sql(columns: list[str] | None = None) -> str:
+    """Largest sub-index, or -1 when there is none.
 
     Sub-indices lie in [0, 500] by their bands, so the largest needs no clipping.
+    With -1 in place of NULL no branch tracks NULLs, which halves the generated
+    method: above 8000 bytes the JVM would leave it uncompiled.
     """
-    subs = [sub_index_sql(p, p) for p in _present(columns)]
-    # greatest needs two arguments and skips NULL.
-    return F.expr(f"greatest({', '.join(subs + ['CAST(NULL AS DOUBLE)'] * 2)})")
+    subs = [sub_index_sql(f"coalesce({p}, -1D)", p, "-1D") for p in _present(columns)]
+    return f"greatest({', '.join(subs + ['-1D'] * max(1, 2 - len(subs)))})"
+
+
+def aqi(columns: list[str] | None = None) -> Column:
+    """Largest non-NULL sub-index of the pollutant columns present."""
+    return F.expr(f"nullif({aqi_sql(columns)}, -1D)")
 
 
 def dominant_pollutant(columns: list[str] | None = None) -> Column:
     """Pollutant with the largest sub-index; the first in table order on a tie."""
-    # array_max orders structs field by field: value first, then the rank.
-    ranked = ", ".join(
-        f"struct({sub_index_sql(p, p)} AS sub, {-i} AS rank, '{p}' AS name)"
-        for i, p in enumerate(_present(columns))
-    )
-    best = f"array_max(array({ranked}))"
-    return F.expr(f"CASE WHEN {best}.sub IS NOT NULL THEN {best}.name END")
+    # array_max orders structs field by field: value first, then the rank. The
+    # nameless entry wins when no pollutant has an index.
+    ranked = ["struct(-1D AS sub, 1 AS rank, CAST(NULL AS STRING) AS name)"]
+    for i, p in enumerate(_present(columns)):
+        score = sub_index_sql(f"coalesce({p}, -1D)", p, "-1D")
+        ranked.append(f"struct({score} AS sub, {-i} AS rank, '{p}' AS name)")
+    return F.expr(f"array_max(array({', '.join(ranked)})).name")
 
 
 def category_index_sql(c: str) -> str:

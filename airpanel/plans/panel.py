@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airpanel.functions import clock, physics
-from airpanel.functions.aqi import POLLUTANTS, aqi
+from airpanel.functions.aqi import POLLUTANTS, aqi, aqi_sql
 from airpanel.functions.physics import null_negatives
 from airpanel.operators import features as ft
 from airpanel.operators.chunks import numbered, placed, windowed
@@ -26,9 +26,13 @@ WEATHER = ["temperature", "humidity", "wind_speed"]
 
 
 def with_aqi(df: DataFrame) -> DataFrame:
-    """Score every row and drop rows without a score."""
-    present = [p for p in POLLUTANTS if p in df.columns]
-    return df.withColumn("aqi", aqi(present)).dropna(subset=["aqi"])
+    """Score every row and drop rows without a score.
+
+    A list that is empty without a score drops the row as it is taken apart, so
+    the score is computed once; a filter would move below it and compute it again.
+    """
+    score = aqi_sql(_present(df, POLLUTANTS))
+    return df.drop("aqi").selectExpr("*", f"explode(array_remove(array({score}), -1D)) AS aqi")
 
 
 def _present(df: DataFrame, columns: Sequence[str]) -> list[str]:

@@ -19,6 +19,9 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
+        # The JVM leaves methods above 8000 bytes uncompiled unless told otherwise;
+        # the generated code of wide rows is longer.
+        .config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")
         .config("spark.ui.enabled", "false")
         # Wide plans of many short queries: keep their compiled code.
         .config("spark.sql.codegen.cache.maxEntries", "2000")
