@@ -10,11 +10,9 @@ from airpanel.catalog.common import (
 )
 from airpanel.catalog.forecasts import comparison
 from airpanel.catalog.graphs import _sql_edges
-from airpanel.catalog.panel import SCORED, SPLIT
+from airpanel.catalog.panel import SPLIT
 from airpanel.catalog.statistics import LEVELS
-from airpanel.functions.clock import hour_index, hour_start
 from airpanel.operators import graph, scaling, splits
-from airpanel.operators.chunks import chunk_of
 from airpanel.session import new_path
 from airpanel.sources import files
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from airpanel.catalog.common import (
-    ALL, MEASURES, query, rd, rds, readings, scored, signed, sparse, sq, sql_aqi, sql_clean,
+    ALL, MEASURES, query, rd, rds, readings, scored, sparse, sq, sql_aqi, sql_clean,
     sql_ffill, sql_grid, sql_interpolate, sql_readings, sql_scored, sqs, with_sql,
 )
 from airpanel.catalog.scalars import (

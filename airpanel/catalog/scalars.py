@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from airpanel.catalog.common import (
-    ALL, MEASURES, SQL_CATEGORY, SQL_CATEGORY_BANDED, SQL_CATEGORY_INDEX, SQL_SIGNED, query, rd,
-    rds, readings, signed, sparse, sq, sql_aqi, sql_readings, sql_sub_index, sqs, table, with_sql,
+    MEASURES, SQL_CATEGORY, SQL_CATEGORY_BANDED, SQL_CATEGORY_INDEX, SQL_SIGNED, query, rd,
+    readings, signed, sparse, sq, sql_aqi, sql_readings, sql_sub_index, table, with_sql,
 )
 from airpanel.functions import aqi as A
 from airpanel.functions import clock, physics

@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from airpanel.catalog.common import (
-    ALL, MEASURES, hours, query, rd, rds, readings, scored, sparse, sq, sql_ffill, sql_grid,
-    sql_interpolate, sql_readings, sql_scored, sqs, stations, SQL_STATIONS, table, with_sql,
+    ALL, MEASURES, SQL_STATIONS, hours, query, rd, rds, readings, scored, sq, sql_ffill, sql_grid,
+    sql_interpolate, sql_readings, stations, table, with_sql,
 )
 from airpanel.catalog.panel import SCORED, SPLIT, _raw
 from airpanel.operators import graph, quality, rows, scaling, splits, summaries
 from airpanel.operators import quantiles as Q
 from airpanel.operators.gaps import hourly_fill
-from airpanel.session import materialize
 
 ID = ["node_id", "timestamp"]
 R = sql_readings()

@@ -23,8 +23,8 @@ def test_station_csv(spark, tmp_path):
 
 def test_city_csv(spark, tmp_path):
     (tmp_path / "city_day.csv").write_text(
-        "City,Date,PM2.5,NO,CO,AQI\nPune,2020-01-01,5,1,0.2,80\nDelhi,2020-01-01,9,1,1,300\nPUNE,2020-01-02,6,1,,90\n")
-    got = files.read_city_day_csv(spark, str(tmp_path), "pune")
+        "City,Date,PM2.5,NO,CO,AQI\nAgra,2020-01-01,5,1,0.2,80\nDelhi,2020-01-01,9,1,1,300\nAGRA,2020-01-02,6,1,,90\n")
+    got = files.read_city_day_csv(spark, str(tmp_path), "agra")
     assert got.columns == ["timestamp", "pm25", "co", "aqi"]
     assert sorted(r["aqi"] for r in got.collect()) == [80.0, 90.0]
 
