@@ -49,14 +49,20 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.
 
 
 class Cache(dict):
-    """A dictionary that forgets everything when it holds ``limit`` keys: bounded memory per worker."""
+    """A dictionary of what is in use: at ``limit`` keys it starts anew, and takes back what is asked for again."""
 
     def __init__(self, limit: int):
         super().__init__()
-        self.limit = limit
+        self.limit, self.past = limit, {}
+
+    def recall(self, key):
+        """The value of a key that is not among the present ones, or None."""
+        value = self.past.get(key)
+        return value if value is None else self.put(key, value)
 
     def put(self, key, value):
         if len(self) >= self.limit:
+            self.past = dict(self)
             self.clear()
         self[key] = value
         return value

@@ -34,7 +34,7 @@ NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 
 
 class PieceCodec:
-    def __init__(self, path: str, cache: int = 350_000):
+    def __init__(self, path: str, cache: int = 200_000):
         from sentencepiece import sentencepiece_model_pb2 as proto
 
         model = proto.ModelProto()
@@ -74,7 +74,7 @@ class PieceCodec:
         spans = any(a != MARK and b == MARK for p in self.ids for a, b in zip(p, p[1:]))
         newline = "" if "\n" in self.alphabet else r"\n"
         self.cuts = None if spans else re.compile(rf"{MARK}*[^{MARK}{newline}]+|{MARK}+" + (r"|\n+" if newline else ""))
-        self.compatible: Cache = Cache(1_000_000)
+        self.compatible: Cache = Cache(400_000)
         self.encoded: Cache = Cache(cache)
 
     def merged(self, text: str) -> list[str]:
@@ -108,10 +108,10 @@ class PieceCodec:
     def fits(self, left: int, right: int) -> bool:
         """Whether the encoding of the joined texts is just these two tokens."""
         key = left << 32 | right
-        known = self.compatible.get(key)
+        known = self.compatible.recall(key)
         if known is None:
             a, b = self.piece_of[left], self.piece_of[right]
-            apart = a[-1] + b[0] not in self.inside and self.fits_alone(left) and self.fits_alone(right)
+            apart = a[-1] + b[0] not in self.inside and self.merged(a) == [a] and self.merged(b) == [b]
             known = self.compatible.put(key, apart or self.merged(a + b) == [a, b])
         return known
 
@@ -148,7 +148,7 @@ class PieceCodec:
         return ids
 
     def fits_alone(self, token: int) -> bool:
-        known = self.compatible.get(token)
+        known = self.compatible.recall(token)
         if known is None:
             piece = self.piece_of[token]
             known = self.compatible.put(token, self.merged(piece) == [piece])
@@ -158,6 +158,8 @@ class PieceCodec:
         """Ids of a cut; characters outside the alphabet are bytes and part the rest."""
         if cut[-2:] not in self.inside and len(cut) > 1:
             head = self.encoded.get(cut[:-1])
+            if head is None:
+                head = self.encoded.recall(cut[:-1])
             if head is None:
                 head = self.encoded.put(cut[:-1], self._cut(cut[:-1]))
             return head + self._cut(cut[-1])
@@ -181,6 +183,8 @@ class PieceCodec:
         known, parts = self.encoded, []
         for cut in self.cuts.findall(marked):
             ids = known.get(cut)
+            if ids is None:
+                ids = known.recall(cut)
             if ids is None:
                 ids = known.put(cut, self._cut(cut)) if len(cut) < 200 else self._cut(cut)
             parts.append(ids)

@@ -36,7 +36,7 @@ PLAIN = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)")
 class MergeCounter:
     """Counts the tokens that the vocabulary file's library would give."""
 
-    def __init__(self, path: str, cache: int = 500_000):
+    def __init__(self, path: str, cache: int = 300_000):
         from tokenizers import Tokenizer
 
         spec = json.load(open(path, encoding="utf-8"))
@@ -99,6 +99,8 @@ class MergeCounter:
 
     def word(self, word: str) -> int:
         known = self.by_piece.get(word)
+        if known is None:
+            known = self.by_piece.recall(word)
         if known is None:
             known = self.by_piece.put(word, self.merged([self.byte_ids[b] for b in word.encode()]))
         return known
@@ -117,6 +119,8 @@ class MergeCounter:
         known, total = self.by_chunk, 0
         for c in CHUNKS.findall(text):
             n = known.get(c)
+            if n is None:
+                n = known.recall(c)
             if n is None:
                 n = known.put(c, self.chunk(c)) if len(c) < 200 else self.chunk(c)
             total += n
