@@ -8,9 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from airpanel.llm.common import LOWER, UPPER, read
 from airpanel.llm.exact_dedup import exact_duplicates
+from airpanel.llm.packing import pack_documents
 from airpanel.llm.piece_codec import round_trip
 from airpanel.llm.quality_rules import BOILERPLATE, END_MARKS, SEPARATORS, judge_quality
+from airpanel.llm.secrets import scan_secrets
+from airpanel.llm.simhash import near_duplicates
+from airpanel.llm.suffix_dedup import remove_repeats
 from airpanel.llm.token_counts import count_tokens
+from airpanel.llm.toxicity import score_toxicity
 from airpanel.llm.url_filter import judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +52,27 @@ def lower_sql(text: str) -> str:
     return f"translate({text}, '{UPPER}', '{LOWER}')"
 
 
+@query("op1_suffix_dedup")
+def op1_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return remove_repeats(read(spark, sf, "documents"))
+
+
+@query("op2_toxicity")
+def op2_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return score_toxicity(read(spark, sf, "documents"), read(spark, sf, "labels"))
+
+
+@query("op3_secret_scan")
+def op3_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    found = scan_secrets(read(spark, sf, "documents"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_live")
+
+
+@query("op4_packing")
+def op4_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return pack_documents(read(spark, sf, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
 @query("op5_url_filter", f"""
     WITH rules(verdict, host, path) AS (VALUES
            ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
@@ -82,6 +108,11 @@ def op8_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return count_tokens(read(spark, sf, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+@query("op9_simhash")
+def op9_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    return near_duplicates(read(spark, sf, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
 _WORD = r"[^\x20\x09-\x0D]"
 _SPACE = r"[\x20\x09-\x0D]"
 _NO_SPACE = f"regexp_replace({{}}, '{_SPACE}', '', 'g')"

@@ -1,4 +1,9 @@
-"""The text pipeline: a list of stages, each a DataFrame job on what the stage before kept."""
+"""The text pipeline: each stage works on all that the stage before kept, and its decisions take effect.
+
+Toxic documents go; of equal texts the row with the largest id stays; one document of each near-duplicate
+group stays (the one of smallest id); secrets that look live are replaced by a placeholder; what is left is
+packed into sequences. All stages but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
@@ -8,21 +13,45 @@ from pyspark.sql import DataFrame, SparkSession
 
 from airpanel.llm.common import read, written
 from airpanel.llm.exact_dedup import without_copies
+from airpanel.llm.packing import pack_documents
+from airpanel.llm.queries import tokenizer_path
+from airpanel.llm.secrets import redact_secrets
+from airpanel.llm.simhash import one_of_each
+from airpanel.llm.toxicity import without_toxic
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return without_toxic(docs, read(spark, sf_dir, "labels"))
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return without_copies(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return one_of_each(docs)
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return redact_secrets(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pack_documents(docs, tokenizer_path("word_bpe_49k.json"))
+
+
 STAGES: list[tuple[str, Stage]] = [
-    ("exact dedup", exact_dedup),
+    ("toxicity", toxicity), ("exact dedup", exact_dedup), ("simhash near-dedup", near_dedup),
+    ("secret scan", secrets), ("packing", packing),
 ]
+#: SQL can neither train the classifier nor pack; the tests hold the pipeline against plain Python.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage; every other stage is written and read again."""
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
