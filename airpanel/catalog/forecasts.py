@@ -150,16 +150,17 @@ def _(spark, sf):
 
 # -- forecast jobs
 
-SQL_AR = f"""
+def _sql_ar(horizon: int) -> str:
+    return f"""
     pairs AS (SELECT node_id, timestamp, aqi, lag(aqi) OVER ({W}) AS before FROM scored),
     fitted AS (SELECT node_id, regr_slope(aqi, before) AS phi, regr_intercept(aqi, before) AS c,
                       arg_max(aqi, timestamp) AS y, max(timestamp) AS t FROM pairs GROUP BY 1),
     ar AS (SELECT node_id, CAST(h AS INT) AS h, t + to_hours(CAST(h AS INT)) AS timestamp, t,
-                  CASE WHEN phi = 1 THEN y + c * h ELSE c * (1 - phi ** h) / (1 - phi) + phi ** h * y END AS y_pred
-           FROM fitted, (SELECT unnest(range(1, 25)) AS h) hs)"""
+                  coalesce(CASE WHEN phi = 1 THEN y + c * h ELSE c * (1 - phi ** h) / (1 - phi) + phi ** h * y END, y) AS y_pred
+           FROM fitted, (SELECT unnest(range(1, {horizon + 1})) AS h) hs)"""
 
 
-@query("forecast_ar", with_sql(SCORED, SQL_AR, select=f"SELECT node_id, h, timestamp, {sq('y_pred')} AS y_pred FROM ar"))
+@query("forecast_ar", with_sql(SCORED, _sql_ar(24), select=f"SELECT node_id, h, timestamp, {sq('y_pred')} AS y_pred FROM ar"))
 def _(spark, sf):
     return forecast.forecast_ar(scored(spark, sf)).withColumn("y_pred", rd("y_pred"))
 
@@ -194,15 +195,15 @@ def _(spark, sf):
 
 # -- serving
 
-@query("explode_forecast", with_sql(SCORED, SQL_AR, "clamped AS (SELECT *, least(greatest(y_pred, 0), 500) AS v FROM ar)", select=f"""
+@query("explode_forecast", with_sql(SCORED, _sql_ar(72), "clamped AS (SELECT *, least(greatest(y_pred, 0), 500) AS v FROM ar)", select=f"""
     SELECT node_id AS station_id, 'ar' AS model, h - 1 AS hour, t + to_hours(h - 1) AS timestamp, {sq('v', 1)} AS aqi,
            {SQL_CATEGORY_BANDED.format('v')} AS category,
            {_sql_map(SQL_CATEGORY_BANDED.format('v'), A.SERVICE_COLORS)} AS color,
            first_value({sq('v', 1)}) OVER (PARTITION BY node_id ORDER BY h) AS current_aqi
     FROM clamped"""))
 def _(spark, sf):
-    ar = forecast.forecast_ar(scored(spark, sf))
-    # A forecast has 24 steps, so the list of a node is bounded.
+    ar = forecast.forecast_ar(scored(spark, sf), horizon=72)
+    # A forecast has 72 steps, so the list of a node is bounded.
     steps = F.sort_array(F.collect_list(F.struct("h", "y_pred")))
     base = F.timestamp_add("HOUR", F.lit(-1), F.min("timestamp"))
     one = ar.groupBy(F.col("node_id").alias("station_id")).agg(

@@ -274,7 +274,8 @@ def _(spark, sf):
     return ft.persistence_last(train).withColumn("y_pred", rd("y_pred"))
 
 
-@query("rolling_origin", with_sql(SCORED, f"""
+def _sql_origins(tail: int, context: int) -> str:
+    return with_sql(SCORED, f"""
     numbered AS (SELECT node_id, timestamp, aqi, row_number() OVER ({W}) - 1 AS p,
                         count(*) OVER (PARTITION BY node_id) AS n FROM scored),
     ends AS (SELECT DISTINCT node_id, n, CAST(floor(n * 0.7::DOUBLE) AS BIGINT) AS te,
@@ -284,17 +285,29 @@ def _(spark, sf):
       SELECT o.node_id, o.o // 24 AS origin, r.timestamp, r.aqi,
              row_number() OVER (PARTITION BY o.node_id, o.o ORDER BY r.p DESC) AS back
       FROM origins o JOIN numbered r ON r.node_id = o.node_id
-       AND ((r.p >= o.te - 1000 AND r.p < o.te) OR (r.p >= o.ve AND r.p < o.ve + o.o)))""", select=f"""
+       AND ((r.p >= o.te - {tail} AND r.p < o.te) OR (r.p >= o.ve AND r.p < o.ve + o.o)))""", select=f"""
     SELECT node_id, origin, count(*) AS context_rows, min(timestamp) AS context_from, max(timestamp) AS context_to,
            {sq('avg(aqi)', 5)} AS context_mean, {sq('arg_max(aqi, timestamp)')} AS context_last
-    FROM context WHERE back <= 2000 GROUP BY 1, 2"""))
-def _(spark, sf):
-    out = ft.rolling_origin(_score(spark, sf))
+    FROM context WHERE back <= {context} GROUP BY 1, 2""")
+
+
+def _origins(spark, sf, **limits):
+    out = ft.rolling_origin(_score(spark, sf), **limits)
     return out.withColumns({
         "context_mean": rd("context_mean", 5), "context_last": rd("context_last"),
     })
 
 
+@query("rolling_origin", _sql_origins(10**9, 10**9))
+def _(spark, sf):
+    return _origins(spark, sf)
+
+
+@query("rolling_origin_limited", _sql_origins(100, 130))
+def _(spark, sf):
+    return _origins(spark, sf, train_tail=100, context=130)
+
+
 @query("chrono_split", with_sql(SPLIT, select="SELECT node_id, timestamp, split FROM parts"))
 def _(spark, sf):
     return splits.chrono_split(_score(spark, sf)).select(*ID, "split")

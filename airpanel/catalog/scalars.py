@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from airpanel.catalog.common import (
     MEASURES, SQL_CATEGORY, SQL_CATEGORY_BANDED, SQL_CATEGORY_INDEX, SQL_SIGNED, query, rd,
-    readings, signed, sparse, sq, sql_aqi, sql_readings, sql_sub_index, table, with_sql,
+    readings, signed, sq, sql_aqi, sql_readings, sql_sub_index, table, with_sql,
 )
 from airpanel.functions import aqi as A
 from airpanel.functions import clock, physics
-from airpanel.operators import rows, summaries
+from airpanel.operators import rows
 
 ID = ["node_id", "timestamp"]
 R = sql_readings()
@@ -89,12 +89,6 @@ def _(spark, sf):
     return rows.usable_features(r, ["pm25", "o3", "empty", "absent", "humidity"])
 
 
-@query("limit_locations", "SELECT user_id AS id, count(*) AS n FROM events GROUP BY 1 ORDER BY 1 LIMIT 5")
-def _(spark, sf):
-    e = table(spark, sf, "events").groupBy(F.col("user_id").alias("id")).agg(F.count(F.lit(1)).alias("n"))
-    return rows.first_locations(e)
-
-
 @query("union_nodes", with_sql(R, select="""
     SELECT node_id, timestamp, pm25, no2, NULL::DOUBLE AS wind_speed FROM readings
     UNION ALL SELECT node_id, timestamp, NULL, NULL, wind_speed FROM readings"""))
@@ -309,40 +303,3 @@ SQL_WEATHER = {"temp_humidity": "temperature * humidity / 100", "wind_speed_inv"
 def _(spark, sf):
     r = readings(spark, sf)
     return r.select(*ID, *_rounded(physics.weather_interactions(r.columns)))
-
-
-def _sql_effect() -> str:
-    parts = [
-        """CASE WHEN hour(timestamp) IN (7, 8, 17, 18, 19) THEN 15
-                WHEN hour(timestamp) IN (23, 0, 1, 2, 3, 4) THEN -10 ELSE 0 END""",
-        """CASE WHEN month(timestamp) IN (7, 8, 9) THEN -20
-                WHEN month(timestamp) IN (11, 12, 1, 2) THEN 15 ELSE 0 END""",
-    ]
-    for d in clock.FESTIVAL_DATES:
-        day = f"CAST(timestamp AS DATE) BETWEEN DATE '{d}' - 2 AND DATE '{d}' + 2"
-        parts.append(f"CASE WHEN CAST(timestamp AS DATE) = DATE '{d}' THEN 80 WHEN {day} THEN 48 ELSE 0 END")
-    return " + ".join(parts)
-
-
-@query("temporal_effects", with_sql(SHIFTED, select=f"SELECT node_id, timestamp, ({_sql_effect()})::DOUBLE AS effect FROM hours"))
-def _(spark, sf):
-    return _hours(spark, sf).select(*ID, clock.temporal_effect().alias("effect"))
-
-
-SQL_BIAS = _sql_map("node_id", {k: v for k, v in summaries.NODE_BIASES.items()}, "0")
-
-
-@query("node_bias_adjust", with_sql(sql_readings(40), select=f"""
-    SELECT node_id, timestamp, {sq(f'least(greatest(pm10 + {SQL_BIAS}, 0), 500)')} AS aqi FROM readings"""))
-def _(spark, sf):
-    r = sparse(spark, sf).select(*ID, F.col("pm10").alias("aqi"))
-    return summaries.node_bias_adjust(r).withColumn("aqi", rd("aqi"))
-
-
-@query("pollutants_from_aqi", with_sql(SQL_SIGNED, select=f"""
-    SELECT node_id, timestamp,
-           {', '.join(f"{sq(f'greatest(pm25 * {k}::DOUBLE, 0)')} AS {p}" for p, k in physics.PROXY_SHARES.items())}
-    FROM readings"""))
-def _(spark, sf):
-    r = signed(spark, sf).select(*ID, F.col("pm25").alias("aqi"))
-    return r.select(*ID, *_rounded(physics.pollutants_from_aqi()))

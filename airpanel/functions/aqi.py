@@ -111,11 +111,11 @@ def _cases(cases: Iterable[tuple[str, str]], default: str = "NULL") -> Column:
 
 
 def clamp_sql(c: str) -> str:
-    return f"(CASE WHEN ({c}) < 0 THEN 0D WHEN ({c}) > {AQI_MAX}D THEN {AQI_MAX}D ELSE ({c}) END)"
+    return f"(CASE WHEN isnan({c}) THEN NULL WHEN ({c}) < 0 THEN 0D WHEN ({c}) > {AQI_MAX}D THEN {AQI_MAX}D ELSE ({c}) END)"
 
 
 def clamp_aqi(c: str) -> Column:
-    """Clip to [0, 500]; NULL stays NULL."""
+    """Clip to [0, 500]; NULL stays NULL, and NaN becomes it."""
     return F.expr(clamp_sql(c))
 
 
@@ -137,10 +137,10 @@ def sub_index_sql(c: str, pollutant: str, none: str = "NULL") -> str:
 def sub_index(c: str, pollutant: str) -> Column:
     """Index of one pollutant.
 
-    NULL for NULL, negative, unknown pollutant and for values that lie between
+    NULL for NULL, NaN, negative, unknown pollutant and for values that lie between
     two bands; 500 above the last band.
     """
-    return F.expr(sub_index_sql(c, pollutant))
+    return F.expr(sub_index_sql(f"nanvl({c}, -1D)", pollutant))
 
 
 def _present(columns: list[str] | None) -> list[str]:
@@ -154,7 +154,7 @@ def aqi_sql(columns: list[str] | None = None) -> str:
     With -1 in place of NULL no branch tracks NULLs, which halves the generated
     method: above 8000 bytes the JVM would leave it uncompiled.
     """
-    subs = [sub_index_sql(f"coalesce({p}, -1D)", p, "-1D") for p in _present(columns)]
+    subs = [sub_index_sql(f"nanvl(coalesce({p}, -1D), -1D)", p, "-1D") for p in _present(columns)]
     return f"greatest({', '.join(subs + ['-1D'] * max(1, 2 - len(subs)))})"
 
 
@@ -169,14 +169,14 @@ def dominant_pollutant(columns: list[str] | None = None) -> Column:
     # nameless entry wins when no pollutant has an index.
     ranked = ["struct(-1D AS sub, 1 AS rank, CAST(NULL AS STRING) AS name)"]
     for i, p in enumerate(_present(columns)):
-        score = sub_index_sql(f"coalesce({p}, -1D)", p, "-1D")
+        score = sub_index_sql(f"nanvl(coalesce({p}, -1D), -1D)", p, "-1D")
         ranked.append(f"struct({score} AS sub, {-i} AS rank, '{p}' AS name)")
     return F.expr(f"array_max(array({', '.join(ranked)})).name")
 
 
 def category_index_sql(c: str) -> str:
     cases = " ".join(f"WHEN ({c}) < {cut} THEN {i}" for i, cut in enumerate(INDEX_CUTS))
-    return f"(CASE {cases} WHEN ({c}) IS NOT NULL THEN {len(INDEX_CUTS)} END)"
+    return f"(CASE {cases} WHEN ({c}) IS NOT NULL AND NOT isnan({c}) THEN {len(INDEX_CUTS)} END)"
 
 
 def category_index(c: str) -> Column:
@@ -187,7 +187,7 @@ def category_index(c: str) -> Column:
 def category(c: str) -> Column:
     """Label for the map, cut at 50, 100, 200, 300 and 400 inclusive."""
     cases = [(f"({c}) <= {cut}", f"'{name}'") for cut, name in zip(LABEL_CUTS, CATEGORIES)]
-    return _cases([*cases, (f"({c}) IS NOT NULL", f"'{CATEGORIES[-1]}'")])
+    return _cases([*cases, (f"({c}) IS NOT NULL AND NOT isnan({c})", f"'{CATEGORIES[-1]}'")])
 
 
 def category_banded(c: str) -> Column:
@@ -196,7 +196,7 @@ def category_banded(c: str) -> Column:
         (f"({c}) BETWEEN {low} AND {high}", f"'{name}'")
         for (low, high), name in zip(SERVICE_BANDS, CATEGORIES)
     ]
-    return _cases([*cases, (f"({c}) IS NOT NULL", f"'{CATEGORIES[-1]}'")])
+    return _cases([*cases, (f"({c}) IS NOT NULL AND NOT isnan({c})", f"'{CATEGORIES[-1]}'")])
 
 
 def _lookup(label: str, table: dict[str, str], default: str = "NULL") -> Column:

@@ -5,18 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Festival days, rain and winter months, rush and quiet hours,
-# and the additive effect of each on the index.
+# Festival days and rain months.
 FESTIVAL_DATES = ["2022-10-24", "2023-11-12", "2024-11-01"]
 FESTIVAL_DAYS_AROUND = 2
 MONSOON_MONTHS = [7, 8, 9]
-WINTER_MONTHS = [11, 12, 1, 2]
-RUSH_EFFECT = 15.0
-NIGHT_EFFECT = -10.0
-MONSOON_EFFECT = -20.0
-WINTER_EFFECT = 15.0
-FESTIVAL_EFFECT = 80.0 * 0.6
-FESTIVAL_DAY_EFFECT = 80.0 * 0.4
 
 # Arguments called ``ts`` and ``hour`` are a column name or any SQL expression.
 
@@ -95,21 +87,3 @@ def season_flags(ts: str = "timestamp") -> dict[str, Column]:
         "is_monsoon": f"CAST(month({ts}) BETWEEN 6 AND 9 AS INT)",
         "is_winter": f"CAST(month({ts}) IN (12, 1, 2) AS INT)",
     })
-
-
-def temporal_effect(ts: str = "timestamp") -> Column:
-    """Expected additive change of the index for an hour, season and festival."""
-    hour = f"hour({ts})"
-    terms = [
-        f"CASE WHEN {hour} IN (7, 8, 17, 18, 19) THEN {RUSH_EFFECT}D "
-        f"WHEN {hour} >= 23 OR {hour} < 5 THEN {NIGHT_EFFECT}D ELSE 0D END",
-        f"CASE WHEN {_in_months(ts, MONSOON_MONTHS)} THEN {MONSOON_EFFECT}D "
-        f"WHEN {_in_months(ts, WINTER_MONTHS)} THEN {WINTER_EFFECT}D ELSE 0D END",
-    ]
-    for d in FESTIVAL_DATES:
-        apart = f"abs(datediff(CAST({ts} AS DATE), DATE'{d}'))"
-        terms.append(
-            f"CASE WHEN {apart} = 0 THEN {FESTIVAL_EFFECT + FESTIVAL_DAY_EFFECT}D "
-            f"WHEN {apart} <= {FESTIVAL_DAYS_AROUND} THEN {FESTIVAL_EFFECT}D ELSE 0D END"
-        )
-    return F.expr(" + ".join(f"({t})" for t in terms))

@@ -1,22 +1,18 @@
-"""Wind, weather interactions and proxies derived from the index."""
+"""Wind, weather interactions and limits of measured values."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Share of the index taken as concentration of each pollutant.
-PROXY_SHARES = {"pm25": 0.6, "pm10": 0.8, "no2": 0.3, "so2": 0.15, "co": 0.01, "o3": 0.4}
-
-
 def clamp_nonneg(c: str) -> Column:
-    """Values below zero become zero; NULL stays NULL. ``c`` is a name or SQL expression."""
-    return F.expr(f"CASE WHEN ({c}) < 0 THEN 0D ELSE ({c}) END")
+    """Values below zero become zero; NULL and NaN become NULL. ``c`` is a name or SQL expression."""
+    return F.expr(f"CASE WHEN isnan({c}) THEN NULL WHEN ({c}) < 0 THEN 0D ELSE ({c}) END")
 
 
 def null_negatives(c: str) -> Column:
-    """Values below zero become NULL."""
-    return F.expr(f"CASE WHEN ({c}) >= 0 THEN ({c}) END")
+    """Values below zero and NaN become NULL."""
+    return F.expr(f"CASE WHEN ({c}) >= 0 AND NOT isnan({c}) THEN ({c}) END")
 
 
 def wind_vectors(columns: list[str]) -> dict[str, Column]:
@@ -37,8 +33,3 @@ def weather_interactions(columns: list[str]) -> dict[str, Column]:
     if "wind_speed" in columns:
         out["wind_speed_inv"] = F.expr("1D / (wind_speed + 0.1D)")
     return out
-
-
-def pollutants_from_aqi(aqi: str = "aqi") -> dict[str, Column]:
-    """Proxy concentrations proportional to the index."""
-    return {p: clamp_nonneg(f"{aqi} * {k}D") for p, k in PROXY_SHARES.items()}

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from airpanel.functions.clock import hour_index
+from airpanel.operators.rows import quoted
 from airpanel.session import checkpointed
 
 NODE = "node_id"
@@ -133,46 +134,48 @@ def known_neighbours(
     position.
     """
     keys = list(keys)
+    q = quoted
+    names = [q(k) for k in keys]
     aggs = [F.expr(f"min({position}) AS _first")]
     for c in columns:
-        at = f"CASE WHEN {c} IS NOT NULL THEN {position} END"
+        at = f"CASE WHEN {q(c)} IS NOT NULL THEN {position} END"
         aggs += [
-            F.expr(f"min({at}) AS {c}_fa"), F.expr(f"min_by({c}, {at}) AS {c}_fv"),
-            F.expr(f"max({at}) AS {c}_la"), F.expr(f"max_by({c}, {at}) AS {c}_lv"),
+            F.expr(f"min({at}) AS {q(c + '_fa')}"), F.expr(f"min_by({q(c)}, {at}) AS {q(c + '_fv')}"),
+            F.expr(f"max({at}) AS {q(c + '_la')}"), F.expr(f"max_by({q(c)}, {at}) AS {q(c + '_lv')}"),
         ]
-    edges = df.groupBy(*keys, chunk).agg(*aggs)
+    edges = df.groupBy(*names, chunk).agg(*aggs)
 
     def known(at: str, value: str) -> str:
         return f"CASE WHEN {value} IS NOT NULL THEN struct({at} AS at, {value} AS value) END"
 
-    node = f"(PARTITION BY {', '.join(keys)} ORDER BY {chunk})"
-    before = f"(PARTITION BY {', '.join(keys)} ORDER BY {chunk} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    node = f"(PARTITION BY {', '.join(names)} ORDER BY {chunk})"
+    before = f"(PARTITION BY {', '.join(names)} ORDER BY {chunk} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     carried = [f"lead(_first) OVER {node} AS _next_first"]
     for c in columns:
         carried += [
-            f"last({known(f'{c}_la', f'{c}_lv')}, true) OVER {before} AS {c}_in",
-            f"lead({known(f'{c}_fa', f'{c}_fv')}, 1) IGNORE NULLS OVER {node} AS {c}_out",
+            f"last({known(q(c + '_la'), q(c + '_lv'))}, true) OVER {before} AS {q(c + '_in')}",
+            f"lead({known(q(c + '_fa'), q(c + '_fv'))}, 1) IGNORE NULLS OVER {node} AS {q(c + '_out')}",
         ]
     cells = {
-        side: ", ".join(f"{c}_{side}.value AS {c}, {c}_{side}.at AS {c}_at" for c in columns)
+        side: ", ".join(f"{q(f'{c}_{side}')}.value AS {q(c)}, {q(f'{c}_{side}')}.at AS {q(c + '_at')}" for c in columns)
         for side in ("in", "out")
     }
     ends = ", ".join(
         f"struct({where} AS _side, {at} AS {position}{', ' if columns else ''}{cells[side]})"
         for side, where, at in (("in", -1, "CAST(NULL AS BIGINT)"), ("out", 1, "_next_first"))
     )
-    edges = edges.selectExpr(*keys, chunk, *carried).selectExpr(*keys, chunk, f"inline(array({ends}))")
+    edges = edges.selectExpr(*names, chunk, *carried).selectExpr(*names, chunk, f"inline(array({ends}))")
 
     rows = df.withColumn("_side", F.lit(0)).unionByName(edges, allowMissingColumns=True)
-    over = f"PARTITION BY {', '.join([*keys, chunk])} ORDER BY _side, {order or position}"
+    over = f"PARTITION BY {', '.join([*names, chunk])} ORDER BY _side, {order or position}"
     looks = [f"{e} OVER ({over}) AS {name}" for name, e in (extra or {}).items()]
     for c in columns:
-        pair = known(f"coalesce({c}_at, {position})", c)
+        pair = known(f"coalesce({q(c + '_at')}, {position})", q(c))
         so_far = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
-        looks.append(f"last({pair}, true) OVER ({over} {so_far}) AS {c}_prev")
+        looks.append(f"last({pair}, true) OVER ({over} {so_far}) AS {q(c + '_prev')}")
         if ahead:
-            looks.append(f"lead({pair}, 1) IGNORE NULLS OVER ({over}) AS {c}_next")
-    return rows.selectExpr(*df.columns, "_side", *looks).where("_side = 0").drop("_side")
+            looks.append(f"lead({pair}, 1) IGNORE NULLS OVER ({over}) AS {q(c + '_next')}")
+    return rows.selectExpr(*map(q, df.columns), "_side", *looks).where("_side = 0").drop("_side")
 
 
 def global_index(df: DataFrame, order: Sequence[str], name: str = "index") -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from airpanel.operators.chunks import NODE, TIME, frame, windowed, with_positions
@@ -171,56 +171,66 @@ def persistence_last(
     return last.select(key, F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("h"), "y_pred")
 
 
-def tail_context(df: DataFrame, n: int = 2000, key: str = NODE, time: str = TIME, **kw) -> DataFrame:
+def tail_context(df: DataFrame, n: int, key: str = NODE, time: str = TIME, **kw) -> DataFrame:
     """The last ``n`` rows of each node."""
     rows = with_positions(df, [key], [time], total="_n", **kw)
     return rows.where(F.col("_n") - F.col("position") <= n).drop("_n", "position")
 
 
 def rolling_origin(
-    df: DataFrame, column: str = "aqi", horizon: int = 24, train_tail: int = 1000,
-    context: int = 2000, train_ratio: float = 0.7, val_ratio: float = 0.15,
+    df: DataFrame, column: str = "aqi", horizon: int = 24, train_tail: int | None = None,
+    context: int | None = None, train_ratio: float = 0.7, val_ratio: float = 0.15,
     max_predictions: int | None = None, key: str = NODE, time: str = TIME, **kw,
 ) -> DataFrame:
     """Backtest origins per node with a summary of the context each one sees.
 
-    Origins lie ``horizon`` test rows apart. The context of an origin is the end
-    of the train rows and all test rows before it, at most ``context`` rows. A
-    row belongs to at most ``context / horizon`` origins (rounded up), so it is
-    sent to those by number and each context is aggregated, not collected.
-    ``max_predictions`` stops after that many forecast rows per node.
+    Origins lie ``horizon`` test rows apart. The context of an origin is the train
+    rows and all test rows before it; ``train_tail`` keeps only the last train
+    rows, ``context`` only the last rows of all. ``max_predictions`` stops after
+    that many forecast rows per node.
+
+    Rows are summed once, in blocks between the places where some context begins
+    or ends; a running frame over these few block rows gives every context.
     """
     rows = with_positions(df.select(key, time, column), [key], [time], total="_n", **kw)
     n, pos = F.col("_n"), F.col("position")
     test_at = F.floor(n * F.lit(train_ratio + val_ratio))
     train_end = F.floor(n * F.lit(train_ratio))
-    kept = F.least(F.lit(train_tail), train_end)
+    kept = train_end if train_tail is None else F.least(F.lit(train_tail), train_end)
+    # Places count from the first test row; train rows lie below zero.
     place = (
-        F.when((pos >= train_end - kept) & (pos < train_end), pos - train_end + kept)
-        .when(pos >= test_at, kept + pos - test_at)
+        F.when((pos >= train_end - kept) & (pos < train_end), pos - train_end)
+        .when(pos >= test_at, pos - test_at)
     )
     origins = F.ceil((n - test_at - horizon) / F.lit(horizon))
     if max_predictions is not None:
         origins = F.least(origins, F.lit(-(-max_predictions // horizon)))
-    # Origin k sees places kept + k*horizon - context up to kept + k*horizon - 1.
-    first = F.greatest(F.floor((F.col("_place") - F.col("_kept")) / F.lit(horizon)) + 1, F.lit(0))
-    last = F.least(
-        F.floor((F.col("_place") - F.col("_kept") + context) / F.lit(horizon)),
-        F.col("_origins") - 1,
-    )
-    seen = (
-        rows.select(
-            key, time, column, place.alias("_place"), kept.alias("_kept"), origins.alias("_origins")
+    # Contexts end at multiples of the horizon and begin ``context`` places before.
+    # A block is a stretch between such places: two per horizon, or one if they coincide.
+    begins = -context % horizon if context is not None else 0
+    block = 2 * F.floor(F.col("_place") / F.lit(horizon)) + F.when(
+        F.lit(begins > 0) & (F.pmod(F.col("_place"), F.lit(horizon)) >= begins), 1
+    ).otherwise(0)
+    blocks = (
+        rows.select(key, time, column, place.alias("_place"), origins.alias("_origins"))
+        .where("_place IS NOT NULL").withColumn("_block", block)
+        .groupBy(key, "_block").agg(
+            F.max("_origins").alias("_origins"), F.count(F.lit(1)).alias("_rows"), F.sum(column).alias("_sum"),
+            F.count(column).alias("_known"), F.min(time).alias("_from"), F.max(time).alias("_to"),
+            F.max_by(column, time).alias("_last"),
         )
-        .where("_place IS NOT NULL")
-        .withColumns({"_first": first, "_last": last})
-        .where("_first <= _last")
-        .withColumn("origin", F.explode(F.sequence("_first", "_last")))
     )
-    return seen.groupBy(key, "origin").agg(
-        F.count(F.lit(1)).alias("context_rows"),
-        F.min(time).alias("context_from"),
-        F.max(time).alias("context_to"),
-        F.avg(column).alias("context_mean"),
-        F.max_by(column, time).alias("context_last"),
+    first = Window.unboundedPreceding if context is None else -(2 * -(-context // horizon) - 2)
+    seen = Window.partitionBy(key).orderBy("_block").rangeBetween(first, 0)
+    # The block before an origin ends its context.
+    origin = F.floor((F.col("_block") + (1 if begins else 2)) / 2)
+    ends = F.pmod(F.col("_block"), F.lit(2)) == (1 if begins else 0)
+    return (
+        blocks.withColumns({
+            "origin": F.when(ends, origin), "context_rows": F.sum("_rows").over(seen),
+            "context_from": F.min("_from").over(seen), "context_to": F.col("_to"),
+            "context_mean": F.sum("_sum").over(seen) / F.sum("_known").over(seen), "context_last": F.col("_last"),
+        })
+        .where("origin >= 0 AND origin < _origins")
+        .select(key, "origin", "context_rows", "context_from", "context_to", "context_mean", "context_last")
     )

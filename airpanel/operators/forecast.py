@@ -39,6 +39,7 @@ def forecast_ar(df: DataFrame, column: str = "aqi", horizon: int = 24,
     value = F.when(phi == 1, y + c * h).otherwise(
         c * (F.lit(1.0) - decay) / (F.lit(1.0) - phi) + decay * y
     )
+    value = F.coalesce(value, y)  # a constant or single value has no slope
     return rows.select(
         key, "h", F.timestamp_add("HOUR", h, F.col("last_time")).alias(time), value.alias("y_pred")
     )

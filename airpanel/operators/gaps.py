@@ -11,7 +11,7 @@ from airpanel.functions.clock import hour_index, hour_start
 from airpanel.operators.chunks import (
     CHUNK, NODE, TIME, chunk_of, known_neighbours, windowed, with_positions,
 )
-from airpanel.operators.rows import drop_null_critical, numeric_columns
+from airpanel.operators.rows import drop_null_critical, known, numeric_columns, quoted
 
 GAP_FILL_LIMIT = 3
 INTERPOLATE_LIMIT = 12
@@ -24,20 +24,22 @@ def _line(c: str, hold: int, line: int) -> list[str]:
     straight line from there to the next known value, or stay at the held value
     when there is none. As SQL columns: value, slope, where the line starts and ends.
     """
-    run = f"({c}_next.at - {c}_prev.at - {hold})"
-    slope = f"CASE WHEN {run} > 0 THEN ({c}_next.value - {c}_prev.value) / {run} ELSE 0D END"
+    before, after = quoted(f"{c}_prev"), quoted(f"{c}_next")
+    run = f"({after}.at - {before}.at - {hold})"
+    slope = f"CASE WHEN {run} > 0 THEN ({after}.value - {before}.value) / {run} ELSE 0D END"
+    base, rise, start, end = map(quoted, _line_columns([c]))
     return [
-        f"{c}_prev.value AS {c}_base",
-        f"{slope if line else '0D'} AS {c}_slope",
-        f"{c}_prev.at + {hold} AS {c}_from",
-        f"{c}_prev.at + {hold + line} AS {c}_upto",
+        f"{before}.value AS {base}",
+        f"{slope if line else '0D'} AS {rise}",
+        f"{before}.at + {hold} AS {start}",
+        f"{before}.at + {hold + line} AS {end}",
     ]
 
 
 def _on_line(c: str, at: str) -> str:
     """Value of the line at a position, as SQL; NULL past its end."""
-    rise = f"{c}_slope * greatest({at} - {c}_from, 0)"
-    return f"CASE WHEN {at} <= {c}_upto THEN {rise} + {c}_base END"
+    base, slope, start, end = map(quoted, _line_columns([c]))
+    return f"CASE WHEN {at} <= {end} THEN {slope} * greatest({at} - {start}, 0) + {base} END"
 
 
 def _line_columns(columns: Sequence[str]) -> list[str]:
@@ -64,11 +66,12 @@ def hourly_fill(
     by, which rises with time.
     """
     columns = list(columns) if columns is not None else numeric_columns(df, exclude=[key, time])
-    rows = df.select(
-        key, F.col(time).cast("timestamp_ntz").alias("_t"), hour_index(time).alias("_h"), *columns
+    rows = known(df, columns).select(
+        key, F.col(time).cast("timestamp_ntz").alias("_t"), hour_index(time).alias("_h"),
+        *map(quoted, columns),
     ).withColumn("_on", F.col("_t") == hour_start("_h"))
     rows = rows.withColumn("_chunk", chunk_of("_h", size)).selectExpr(
-        key, "_t", "_h", "_chunk", *[f"CASE WHEN _on THEN {c} END AS {c}" for c in columns]
+        key, "_t", "_h", "_chunk", *[f"CASE WHEN _on THEN {quoted(c)} END AS {quoted(c)}" for c in columns]
     )
     looks = {"_ahead": "lead(_h)", "_same": "lag(_t)"}
     rows = known_neighbours(
@@ -85,10 +88,12 @@ def hourly_fill(
     rows = rows.selectExpr(key, "_chunk", "_h", "_ahead", *lines).selectExpr("*", hours)
     values = {c: _on_line(c, "_at") for c in columns}
     if keep_raw:
-        values |= {f"{c}_raw": f"CASE WHEN _at = {c}_from - {hold} THEN {c}_base END" for c in columns}
+        values |= {
+            f"{c}_raw": f"CASE WHEN _at = {quoted(f'{c}_from')} - {hold} THEN {quoted(f'{c}_base')} END" for c in columns
+        }
     chunk = ["_chunk"] if keep_chunk else []
     return rows.withColumn(time, hour_start("_at")).selectExpr(
-        key, time, *chunk, *[f"{e} AS {n}" for n, e in values.items()]
+        key, time, *chunk, *[f"{e} AS {quoted(n)}" for n, e in values.items()]
     )
 
 
@@ -103,7 +108,7 @@ def ffill_limit(
 ) -> DataFrame:
     """Carry the last known value forward over at most ``limit`` rows."""
     fills = {
-        c: (lambda w, c=c: F.last(c, ignorenulls=True).over(w.rowsBetween(-limit, 0)))
+        c: (lambda w, c=c: F.last(quoted(c), ignorenulls=True).over(w.rowsBetween(-limit, 0)))
         for c in columns
     }
     return windowed(df, fills, lookback=limit, position=position, **kw)
@@ -137,7 +142,7 @@ def ffill_bfill(
 ) -> DataFrame:
     """Last known value of the node, or the next one where none came before."""
     rows = _with_neighbours(df, columns, key, time, size)
-    values = {c: F.expr(f"coalesce({c}_prev.value, {c}_next.value)") for c in columns}
+    values = {c: F.expr(f"coalesce({quoted(f'{c}_prev')}.value, {quoted(f'{c}_next')}.value)") for c in columns}
     return _replace(rows, columns, values)
 
 
@@ -153,8 +158,8 @@ def interpolate_fill(
     rows = _with_neighbours(df, columns, key, time, size, limit)
     values = {}
     for c in columns:
-        reached = _on_line(c, f"least(_pos, {c}_upto)")
-        values[c] = F.expr(f"coalesce({reached}, {c}_next.value)")
+        reached = _on_line(c, f"least(_pos, {quoted(f'{c}_upto')})")
+        values[c] = F.expr(f"coalesce({reached}, {quoted(f'{c}_next')}.value)")
     return _replace(rows, columns, values)
 
 

@@ -111,9 +111,9 @@ def node_mae(df: DataFrame, horizon: int = 24, key: str = NODE, time: str = TIME
     """
     rows = with_positions(df, [key], [time], total="_n", **kw)
     rows = rows.where((F.col("position") < horizon) & (F.col("_n") >= horizon))
-    return rows.rollup(key).agg(mae().alias("mae")).withColumn(
-        key, F.coalesce(F.col(key), F.lit("average"))
-    )
+    # A node without a name is not the average: the rollup tells them apart.
+    out = rows.rollup(key).agg(mae().alias("mae"), F.grouping(key).alias("_all"))
+    return out.withColumn(key, F.when(F.col("_all") == 1, F.lit("average")).otherwise(F.col(key))).drop("_all")
 
 
 def ensemble_mean(df: DataFrame, by: Sequence[str]) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from airpanel.functions.aqi import AQI_MAX
 from airpanel.operators.chunks import NODE, TIME, windowed
-from airpanel.operators.rows import drop_null_critical, missing_nodes
+from airpanel.operators.rows import drop_null_critical, known, missing_nodes, quoted
 
 
 class DataValidationError(ValueError):
@@ -56,9 +56,10 @@ def validate_panel(
     """Violations as rows (check, node_id, found); no row means a valid panel.
 
     Checks the node set, NULLs, the index range and that every node has the
-    timestamps of the first node.
+    timestamps of the first node, each once.
     """
-    blank = sum((F.col(c).isNull().cast("bigint") for c in df.columns if c != key), F.lit(0))
+    df = known(df)
+    blank = sum((F.col(quoted(c)).isNull().cast("bigint") for c in df.columns if c != key), F.lit(0))
     per_node = df.groupBy(key).agg(
         F.sum(blank).alias("null_values"),
         F.count_if((F.col(column) < 0) | (F.col(column) > AQI_MAX)).alias("out_of_range"),
@@ -71,14 +72,18 @@ def validate_panel(
 
     first = df.agg(F.min(key).alias("k")).first()["k"]
     ref = df.where(F.col(key) == F.lit(first)).select(time).distinct().withColumn("_ref", F.lit(1))
-    # Rows that have no partner in the first node, and partners that are missing.
-    match = df.join(ref, time, "left").groupBy(key).agg(
-        F.count_if(F.col("_ref").isNull()).alias("extra"), F.count("_ref").alias("hit")
+    # Per node: times that the first node lacks, times of the first node that are
+    # missing, and rows beyond the first at one time. Each is counted on its own, so
+    # none makes up for another.
+    times = df.groupBy(key, time).agg(F.count(F.lit(1)).alias("_times"))
+    match = times.join(ref, time, "left").groupBy(key).agg(
+        F.count_if(F.col("_ref").isNull()).alias("extra"), F.count("_ref").alias("hit"),
+        F.sum(F.col("_times") - 1).alias("repeats"),
     )
     total = ref.agg(F.count(F.lit(1)).alias("n"))
-    wrong = match.withColumn("found", F.col("extra") + (total.scalar() - F.col("hit")))
+    wrong = match.withColumn("found", F.col("extra") + (total.scalar() - F.col("hit")) + F.col("repeats"))
     found = found.union(
-        wrong.where("found <> 0").select(F.lit("mismatched_timestamps"), key, "found")
+        wrong.where("found > 0").select(F.lit("mismatched_timestamps"), key, "found")
     )
     if expected is not None:
         gone = missing_nodes(expected, df, key)

@@ -9,7 +9,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from airpanel.operators.rows import numeric_columns
+from airpanel.operators.rows import numeric_columns, quoted
 
 BUCKETS = 1000
 SMALL = 1_000_000
@@ -29,8 +29,8 @@ class _Span:
 def _pairs(spans: Sequence[_Span]) -> Column:
     """One ``(span, v)`` per span that holds the row's value."""
     cells = [
-        f"CASE WHEN {s.column} BETWEEN {s.low!r}D AND {s.high!r}D "
-        f"THEN struct({i} AS span, CAST({s.column} AS DOUBLE) AS v) END"
+        f"CASE WHEN {quoted(s.column)} BETWEEN {s.low!r}D AND {s.high!r}D "
+        f"THEN struct({i} AS span, CAST({quoted(s.column)} AS DOUBLE) AS v) END"
         for i, s in enumerate(spans)
     ]
     return F.expr(f"inline(array_compact(array({', '.join(cells)})))")
@@ -84,7 +84,10 @@ def _pick(df: DataFrame, spans: dict[tuple[str, int], _Span]) -> dict[tuple[str,
 def exact_quantiles(
     df: DataFrame, wanted: dict[str, tuple[str, float]], small: int = SMALL,
 ) -> dict[str, float | None]:
-    """Linearly interpolated quantiles ``{name: (column, p)}`` of non-NULL values.
+    """Linearly interpolated quantiles ``{name: (column, p)}`` of the known values.
+
+    NULL and NaN are not known. Infinite values count at their end of the order; a
+    quantile between a finite and an infinite value is infinite.
 
     The range of each column is narrowed by bucket counts until the bucket of
     the wanted rank holds at most ``small`` rows (or one value); only those rows
@@ -93,23 +96,38 @@ def exact_quantiles(
     to the driver.
     """
     columns = sorted({c for c, _ in wanted.values()})
+    if not columns:
+        return {}
+    values = {c: f"CAST({quoted(c)} AS DOUBLE)" for c in columns}
+    least, most = "CAST('-Infinity' AS DOUBLE)", "CAST('Infinity' AS DOUBLE)"
     ends = df.agg(*[
-        F.expr(f"{f}({c}) AS {n}_{i}")
-        for i, c in enumerate(columns)
-        for n, f in (("n", "count"), ("lo", "min"), ("hi", "max"))
+        F.expr(f"{e} AS {n}_{i}")
+        for i, v in enumerate(values.values())
+        for n, e in (
+            ("n", f"count_if({v} IS NOT NULL AND NOT isnan({v}))"), ("below", f"count_if({v} = {least})"),
+            ("above", f"count_if({v} = {most})"),
+            ("lo", f"min(CASE WHEN {v} > {least} AND {v} < {most} THEN {v} END)"),
+            ("hi", f"max(CASE WHEN {v} > {least} AND {v} < {most} THEN {v} END)"),
+        )
     ]).first()
     size = {c: ends[f"n_{i}"] for i, c in enumerate(columns)}
+    below = {c: ends[f"below_{i}"] for i, c in enumerate(columns)}
+    above = {c: ends[f"above_{i}"] for i, c in enumerate(columns)}
     whole = {
-        c: _Span(c, float(ends[f"lo_{i}"]), float(ends[f"hi_{i}"]), 0, size[c])
-        for i, c in enumerate(columns) if size[c]
+        c: _Span(c, ends[f"lo_{i}"], ends[f"hi_{i}"], below[c], size[c] - below[c] - above[c])
+        for i, c in enumerate(columns) if size[c] > below[c] + above[c]
     }
     at = {name: p * (size[c] - 1) for name, (c, p) in wanted.items()}
-    spans = {
-        (c, rank): whole[c]
-        for name, (c, _) in wanted.items() if size[c]
-        for rank in (math.floor(at[name]), math.ceil(at[name]))
-    }
     value: dict[tuple[str, int], float] = {}
+    spans = {}
+    for name, (c, _) in wanted.items():
+        for rank in (math.floor(at[name]), math.ceil(at[name])) if size[c] else ():
+            if rank < below[c]:
+                value[c, rank] = -math.inf
+            elif rank >= size[c] - above[c]:
+                value[c, rank] = math.inf
+            else:
+                spans[c, rank] = whole[c]
     while spans:
         value |= {k: s.low for k, s in spans.items() if s.low == s.high}
         spans = {k: s for k, s in spans.items() if k not in value}
@@ -125,33 +143,41 @@ def exact_quantiles(
             out[name] = None
             continue
         low, high = value[c, math.floor(at[name])], value[c, math.ceil(at[name])]
-        out[name] = low + (high - low) * (at[name] - math.floor(at[name]))
+        part = at[name] - math.floor(at[name])
+        out[name] = low if low == high or part == 0 else low + (high - low) * part
     return out
 
 
+def _literal(x: float) -> str:
+    return f"{float(x)!r}D" if math.isfinite(x) else f"CAST('{float(x)!r}' AS DOUBLE)"
+
+
 def clip_bounds(
-    df: DataFrame, columns: Sequence[str], percentile: float = 0.999,
+    df: DataFrame, columns: Sequence[str], percentile: float = 0.999, small: int = SMALL,
 ) -> dict[str, tuple[float | None, float | None]]:
     wanted = {}
     for c in columns:
         wanted[f"{c}.low"], wanted[f"{c}.high"] = (c, 1 - percentile), (c, percentile)
-    found = exact_quantiles(df, wanted)
+    found = exact_quantiles(df, wanted, small)
     return {c: (found[f"{c}.low"], found[f"{c}.high"]) for c in columns}
 
 
 def clipped(c: str, low: float | None, high: float | None) -> Column:
+    c = quoted(c)
     if low is None:
         return F.col(c)
-    return F.expr(f"CASE WHEN {c} < {low!r}D THEN {low!r}D WHEN {c} > {high!r}D THEN {high!r}D ELSE {c} END")
+    low, high = _literal(low), _literal(high)
+    # NaN is above every number in Spark's order; here it is no number.
+    return F.expr(f"CASE WHEN {c} < {low} THEN {low} WHEN {c} > {high} AND NOT isnan({c}) THEN {high} ELSE {c} END")
 
 
 def clip_outliers(
     df: DataFrame, columns: Sequence[str] | None = None, percentile: float = 0.999,
-    fit_on: DataFrame | None = None,
+    fit_on: DataFrame | None = None, small: int = SMALL,
 ) -> DataFrame:
     """Clip columns to their outer quantiles, taken from ``fit_on`` or ``df`` itself."""
     columns = [c for c in (numeric_columns(df) if columns is None else columns) if c in df.columns]
-    bounds = clip_bounds(df if fit_on is None else fit_on, columns, percentile)
+    bounds = clip_bounds(df if fit_on is None else fit_on, columns, percentile, small)
     return df.withColumns({c: clipped(c, *bounds[c]) for c in columns})
 
 
@@ -165,7 +191,7 @@ def null_extremes(
     """Values above ``factor`` times the top quantile become NULL."""
     top = _top(df, columns, percentile)
     return df.withColumns({
-        c: F.expr(f"CASE WHEN {c} <= {top[c] * factor!r}D THEN {c} END")
+        c: F.expr(f"CASE WHEN {quoted(c)} <= {_literal(top[c] * factor)} AND NOT isnan({quoted(c)}) THEN {quoted(c)} END")
         for c in columns if top[c] is not None
     })
 
@@ -176,7 +202,7 @@ def cap_extremes(
     """Values above ``factor`` times a positive top quantile become that limit."""
     top = _top(df, columns, percentile)
     return df.withColumns({
-        c: F.expr(f"CASE WHEN {c} > {top[c] * factor!r}D THEN {top[c] * factor!r}D ELSE {c} END")
+        c: clipped(c, -math.inf, top[c] * factor)
         for c in columns if top[c] is not None and top[c] > 0
     })
 
@@ -189,5 +215,5 @@ def median_fill(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Remaining NULLs become the median of their column."""
     middle = medians(df, columns)
     return df.withColumns({
-        c: F.coalesce(F.col(c), F.lit(middle[c])) for c in columns if middle[c] is not None
+        c: F.coalesce(F.expr(f"CASE WHEN NOT isnan({quoted(c)}) THEN {quoted(c)} END"), F.lit(middle[c])) for c in columns if middle[c] is not None
     })

@@ -26,8 +26,20 @@ def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
     ]
 
 
+def quoted(name: str) -> str:
+    """A column name as it must stand in SQL."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def known(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """NaN becomes NULL in the floating-point columns: both mean that nothing was measured."""
+    floats = [f.name for f in df.schema.fields if isinstance(f.dataType, T.FractionalType) and not isinstance(f.dataType, T.DecimalType)]
+    chosen = [c for c in floats if columns is None or c in columns]
+    return df.withColumns({c: F.expr(f"CASE WHEN NOT isnan({quoted(c)}) THEN {quoted(c)} END") for c in chosen})
+
+
 def select_numeric(df: DataFrame, exclude: Sequence[str] = (NODE, TIME, "split")) -> DataFrame:
-    return df.select(*numeric_columns(df, exclude))
+    return df.select(*[quoted(c) for c in numeric_columns(df, exclude)])
 
 
 def filter_city(df: DataFrame, city: str, column: str = "City") -> DataFrame:
@@ -62,11 +74,6 @@ def usable_features(df: DataFrame, candidates: Sequence[str]) -> DataFrame:
     return counts.select(F.inline(pairs)).where("known > 0")
 
 
-def first_locations(df: DataFrame, key: str = "id", n: int = 5) -> DataFrame:
-    """The first ``n`` locations by id."""
-    return df.orderBy(key).limit(n)
-
-
 def union_nodes(frames: Sequence[DataFrame]) -> DataFrame:
     """All frames by column name; a column missing from one is NULL there."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -13,17 +13,18 @@ from airpanel.operators.rows import left_join_default
 MAX_HORIZON = 72
 
 
-def explode_forecast(df: DataFrame, horizon: int = 24) -> DataFrame:
+def explode_forecast(df: DataFrame, horizon: int | None = None) -> DataFrame:
     """One row per forecast hour of (station_id, model, base_time, values ARRAY<DOUBLE>).
 
+    All hours of the array, or the first ``horizon`` if a request asks for so many.
     Values are clipped to the index range; the category is taken before rounding.
     """
-    if not 1 <= horizon <= MAX_HORIZON:
+    if horizon is not None and not 1 <= horizon <= MAX_HORIZON:
         raise ValueError(f"horizon must lie in 1..{MAX_HORIZON}")
     rows = df.select(
         "station_id", "model", "base_time",
         F.round(clamp_aqi("get(values, 0)"), 1).alias("current_aqi"),
-        F.posexplode(F.slice("values", 1, horizon)).alias("hour", "_v"),
+        F.posexplode("values" if horizon is None else F.slice("values", 1, horizon)).alias("hour", "_v"),
     )
     rows = rows.withColumn("_v", clamp_aqi("_v")).withColumn("category", category_banded("_v"))
     return rows.select(

@@ -69,13 +69,16 @@ def chrono_split(
     if n == 0:
         return df.withColumn("split", F.lit("test"))
     train_end, val_end = int(n * train_ratio), int(n * (train_ratio + val_ratio))
+    train_end, val_end = min(train_end, n), min(val_end, n)
     starts, before = {}, 0
     for chunk, c in counts:
         starts |= {r: (chunk, before) for r in (train_end, val_end) if before <= r < before + c}
         before += c
-    bounds = _rows_at(df, starts, time, key, size)
+    bounds = _rows_at(df, starts, time, key, size) if starts else {}
 
     def earlier(rank: int) -> Column:
+        if rank >= n:  # no row lies at or after the end
+            return F.lit(True)
         t, k = bounds[rank]
         t = _instant(df, time, t)
         return (F.col(time) < t) | ((F.col(time) == t) & (F.col(key) < F.lit(k)))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airpanel.functions.aqi import clamp_aqi
 from airpanel.operators.chunks import NODE, TIME
 
 
@@ -23,30 +22,3 @@ def node_means(df: DataFrame, base: str, column: str = "aqi", key: str = NODE) -
     means = df.groupBy(key).agg(F.avg(column).alias("mean"))
     of_base = df.where(F.col(key) == base).agg(F.avg(column)).scalar()
     return means.withColumn("difference", F.col("mean") - of_base)
-
-
-# How much each node of the sensor grid lies above the reference.
-NODE_BIASES = {
-    "N01": 0.0,
-    "N02": 15.0,
-    "N03": 25.0,
-    "N04": 5.0,
-    "N05": 8.0,
-    "N06": 10.0,
-    "N07": 12.0,
-    "N08": -10.0,
-    "N09": 20.0,
-    "N10": 3.0,
-}
-
-
-def node_bias_adjust(
-    df: DataFrame, biases: dict[str, float] = NODE_BIASES, column: str = "aqi", key: str = NODE,
-) -> DataFrame:
-    """Add each node's bias (0 when unlisted) and clip to the index range.
-
-    The table is a constant of the call, so it becomes a map literal, not a join.
-    """
-    table = ", ".join(f"'{node}', {float(bias)!r}D" for node, bias in biases.items())
-    bias = f"coalesce(try_element_at(map({table}), {key}), 0D)"
-    return df.withColumn(column, clamp_aqi(f"{column} + {bias}"))

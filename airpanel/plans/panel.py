@@ -17,7 +17,7 @@ from airpanel.operators.gaps import clean_panel, interpolate_fill
 from airpanel.operators.quantiles import (
     cap_extremes, clip_outliers, exact_quantiles, median_fill, null_extremes,
 )
-from airpanel.operators.rows import drop_null_all, numeric_columns
+from airpanel.operators.rows import drop_null_all, known, numeric_columns
 from airpanel.operators.scaling import fit_minmax, scale
 from airpanel.operators.splits import chrono_split
 from airpanel.session import materialize
@@ -75,7 +75,7 @@ def clean_stations(df: DataFrame, key: str = "node_id") -> DataFrame:
     """Thorough cleaning of raw station rows, each station on its own."""
     pollutants = _present(df, POLLUTANTS)
     columns = pollutants + _present(df, WEATHER)
-    df = df.dropna(subset=["timestamp"]).withColumns({c: null_negatives(c) for c in pollutants})
+    df = known(df.dropna(subset=["timestamp"]), columns).withColumns({c: null_negatives(c) for c in pollutants})
     df = interpolate_fill(null_extremes(df, pollutants), columns, limit=6, key=key)
     df = materialize(drop_null_all(df, _present(df, ["pm25", "pm10"])), "filled")
     return median_fill(df, pollutants)
@@ -84,7 +84,7 @@ def clean_stations(df: DataFrame, key: str = "node_id") -> DataFrame:
 def clean_capped(df: DataFrame, key: str = "node_id") -> DataFrame:
     """Cleaning that caps extremes instead of removing them."""
     columns = _present(df, POLLUTANTS + WEATHER)
-    df = df.withColumns({c: null_negatives(c) for c in columns})
+    df = known(df, columns).withColumns({c: null_negatives(c) for c in columns})
     df = interpolate_fill(cap_extremes(df, columns), columns, limit=12, key=key)
     return median_fill(materialize(df, "filled"), columns)
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -59,15 +62,41 @@ def _number(name: str) -> Column:
 
 
 def _wall_clock(name: str) -> Column:
-    """Text to a timestamp without zone; bad text becomes NULL."""
-    return F.col(f"`{name}`").try_cast("timestamp_ntz")
+    """Text to a timestamp without zone, year first or day first; bad text becomes NULL."""
+    year_first = F.regexp_replace(F.col(f"`{name}`"), r"^\s*(\d{2})[-/.](\d{2})[-/.](\d{4})", "$3-$2-$1")
+    return year_first.try_cast("timestamp_ntz")
 
 
-def _renamed(df: DataFrame, headers: dict[str, str], extra: Sequence[Column] = ()) -> DataFrame:
-    """Known columns that exist, renamed and typed.
+def _no_such_path(error: AnalysisException) -> bool:
+    return error.getCondition() == "PATH_NOT_FOUND"
+
 
-    Files are read as text by header, so a file's column order does not matter.
+def _by_header(
+    spark: SparkSession, path: str, pick: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """``pick`` of the CSV files at ``path``, each bound by its own header.
+
+    Spark takes the header of one file for all. So the first line of every file is
+    looked up in one job; the files of each distinct header are read together, and
+    the parts are joined by column name. A column that a file lacks is NULL there.
     """
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+    )
+    # The lines of a file's first block come in order, so its first line is the header.
+    heads = lines.where("start = 0").groupBy("file").agg(F.first("value").alias("header"))
+    files: dict[str, list[str]] = {}
+    for row in heads.collect():  # one row per file
+        plain = unquote(row["file"])
+        files.setdefault(row["header"], []).append(re.sub(r"([\\*?\[\]{}])", r"\\\1", plain))
+    parts = [pick(spark.read.csv(names, header=True)) for _, names in sorted(files.items())]
+    if not parts:
+        return pick(spark.read.csv(path, header=True))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _renamed(df: DataFrame, headers: dict[str, str], extra: Sequence[Column] = ()) -> DataFrame:
+    """Known columns that exist, renamed and typed."""
     columns = [
         (_wall_clock(old) if new == "timestamp" else _number(old)).alias(new)
         for old, new in headers.items() if old in df.columns
@@ -76,16 +105,21 @@ def _renamed(df: DataFrame, headers: dict[str, str], extra: Sequence[Column] = (
 
 
 def read_station_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Station files ``<station_id>.csv``, or folders of that name holding parts."""
-    raw = spark.read.csv(path, header=True)
-    file = F.col("_metadata.file_path")
-    station = F.regexp_extract(file, r"([^/=]+)\.csv(?:/[^/]*)?$", 1).alias("station_id")
-    return select_available(_renamed(raw, STATION_HEADERS, [station]), STATION_COLUMNS)
+    """Station files ``<station_id>.csv``, or folders of that name holding parts.
+
+    Each file is bound by its own header; its column order does not matter.
+    """
+    file = F.regexp_extract(F.col("_metadata.file_path"), r"([^/=]+)\.csv(?:/[^/]*)?$", 1)
+    # Paths are URLs, in which a plus sign is itself.
+    station = F.url_decode(F.regexp_replace(file, r"\+", "%2B")).alias("station_id")
+    found = _by_header(spark, path, lambda raw: _renamed(raw, STATION_HEADERS, [station]))
+    return select_available(found, STATION_COLUMNS)
 
 
 def read_city_day_csv(spark: SparkSession, path: str, city: str) -> DataFrame:
-    """Daily rows of one city."""
-    return _renamed(filter_city(spark.read.csv(path, header=True), city), CITY_HEADERS)
+    """Daily rows of one city; each file is bound by its own header."""
+    found = _by_header(spark, path, lambda raw: _renamed(filter_city(raw, city), CITY_HEADERS))
+    return select_available(found, list(CITY_HEADERS.values()))
 
 
 def read_weather_json(
@@ -132,19 +166,26 @@ def read_nodes_json(spark: SparkSession, path: str, lines: bool = False) -> Data
     return raw.select(F.inline("nodes")).withColumnRenamed("id", "node_id")
 
 
-def read_node_csvs(spark: SparkSession, folder: str, ordered: bool = True) -> DataFrame:
+def read_node_csvs(spark: SparkSession, folder: str, ordered: bool = False) -> DataFrame:
     """All ``node_*.csv`` files, or ``node=*`` folders of parts, as one panel.
 
-    ``ordered`` sorts by (timestamp, node_id), for a final output only.
+    Each file is bound by its own header. ``ordered`` sorts by (timestamp,
+    node_id), for a final output only.
     """
+
+    def pick(raw: DataFrame) -> DataFrame:
+        return raw.select(
+            _wall_clock("timestamp").alias("timestamp"), "node_id",
+            *[_number(c).alias(c) for c in MEASURES if c in raw.columns],
+        )
+
     try:
-        raw = spark.read.csv(f"{folder}/{{node_*.csv,node=*}}", header=True)
+        out = _by_header(spark, f"{folder}/{{node_*.csv,node=*}}", pick)
     except AnalysisException as e:
+        if not _no_such_path(e):
+            raise
         raise FileNotFoundError(f"no node_*.csv in {folder}") from e
-    out = raw.select(
-        _wall_clock("timestamp").alias("timestamp"), "node_id",
-        *[_number(c).alias(c) for c in MEASURES if c in raw.columns],
-    )
+    out = select_available(out, ["timestamp", "node_id", *MEASURES])
     return sort_panel(out) if ordered else out
 
 
@@ -152,8 +193,10 @@ def cached_parquet(spark: SparkSession, path: str, compute: Callable[[], DataFra
     """The table at ``path``; computed and written there when it does not exist."""
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
-        compute().write.mode("overwrite").parquet(path)
+    except AnalysisException as e:
+        if not _no_such_path(e):
+            raise
+        compute().write.mode("error").parquet(path)
         return spark.read.parquet(path)
 
 
@@ -169,8 +212,14 @@ def write_processed(df: DataFrame, path: str, key: str = "node_id") -> None:
 
 
 def write_node_csv(df: DataFrame, path: str, key: str = "node_id") -> None:
-    """One CSV folder per node; the node stays a column of the files."""
-    df.withColumn("node", F.col(key)).write.mode("overwrite").partitionBy("node").csv(
+    """One CSV folder per node; the node stays a column of the files.
+
+    Rows are spread by (node, month) first, so a task opens few files and a node's
+    folder is written by many tasks.
+    """
+    hours = df.withColumn("_h", hour_index("timestamp"))
+    spread = hours.repartition(F.col(key), chunk_of("_h", CHUNK)).drop("_h")
+    spread.withColumn("node", F.col(key)).write.mode("overwrite").partitionBy("node").csv(
         path, header=True
     )
 

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from airpanel.functions import aqi as A
+from airpanel.functions import physics
 
 
 def one(spark, expr):
@@ -84,3 +85,16 @@ def test_scoring_stays_in_generated_code(spark):
     plan = df.select(A.aqi())._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "*(1) Project" in plan
     assert df.select(F.round(A.aqi(), 6)).first()[0] is not None
+
+
+def test_nan_is_missing(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(nan, 20.0), (nan, None), (30.0, nan)], "pm25 double, pm10 double")
+    rows = df.select(A.aqi(df.columns).alias("aqi"), A.dominant_pollutant(df.columns).alias("worst"),
+                     A.sub_index("pm25", "pm25").alias("sub")).collect()
+    assert [tuple(r) for r in rows] == [(20.0, "pm10", None), (None, None, None), (50.0, "pm25", 50.0)]
+    row = df.limit(1).select(
+        A.clamp_aqi("pm25"), A.category_index("pm25"), A.category("pm25"), A.category_banded("pm25"),
+        physics.null_negatives("pm25"), physics.clamp_nonneg("pm25"),
+    ).first()
+    assert tuple(row) == (None,) * 6

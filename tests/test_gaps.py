@@ -126,3 +126,12 @@ def test_clean_panel_drops_what_cannot_be_filled(frame):
                     .ffill(limit=3).interpolate(limit=9).dropna().reset_index())
     assert list(got["timestamp"]) == list(want["timestamp"])
     same(got, want, ["pm25", "pm10"])
+
+
+def test_nan_and_odd_names_in_the_grid(spark):
+    rows = [("A", "2024-01-01 00:00:00", 1.0), ("A", "2024-01-01 02:00:00", float("nan")), ("A", "2024-01-01 03:00:00", 4.0)]
+    df = spark.createDataFrame(rows, "node_id string, timestamp string, `PM2.5` double").selectExpr(
+        "node_id", "CAST(timestamp AS TIMESTAMP_NTZ) AS timestamp", "`PM2.5`")
+    got = [r["PM2.5"] for r in gaps.hourly_fill(df, hold=1, line=5).orderBy("timestamp").collect()]
+    assert got == [1.0, 1.0, 2.5, 4.0]
+    assert [r["PM2.5"] for r in gaps.hourly_grid(df).orderBy("timestamp").collect()] == [1.0, None, None, 4.0]

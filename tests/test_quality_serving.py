@@ -1,6 +1,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 from conftest import panel
 
 from airpanel.operators import forecast, quality, serving, summaries
@@ -87,6 +88,8 @@ def test_explode_forecast(spark):
         (2, "2024-01-02 00:00:00", 500.0, "Severe", "#8F3F97"),
     ]
     assert {r["current_aqi"] for r in rows} == {50.5}
+    long = df.withColumn("values", F.array_repeat(F.lit(7.0), 90))
+    assert serving.explode_forecast(df).count() == 4 and serving.explode_forecast(long).count() == 90
     for wrong in (0, 73):
         with pytest.raises(ValueError):
             serving.explode_forecast(df, wrong)
@@ -148,3 +151,22 @@ def test_pooled_matches_least_squares(frame):
     test = split[(split["split"] == "test") & split["y"].notna()]
     np.testing.assert_allclose(got["y_true"], test["y"])
     np.testing.assert_allclose(got["y_pred"], test[["aqi", "x"]].to_numpy() @ w[:2] + w[2], rtol=1e-4)
+
+
+def test_a_repeat_does_not_make_up_for_a_gap(spark):
+    hours = {"A": [0, 1, 2], "B": [0, 0, 2], "C": [0, 0, 1, 2], "D": [0, 0, 1, 2, 9], "E": [2, 1, 0]}
+    rows = [(n, f"2024-01-01 0{h}:00:00", 10.0) for n, hs in hours.items() for h in hs]
+    df = spark.createDataFrame(rows, "node_id string, timestamp string, aqi double").selectExpr(
+        "node_id", "CAST(timestamp AS TIMESTAMP_NTZ) AS timestamp", "aqi")
+    found = {r["node_id"]: r["found"] for r in quality.validate_panel(df).collect()}
+    assert found == {"B": 2, "C": 1, "D": 2}
+    nan = df.withColumn("aqi", F.lit(float("nan")))
+    assert {r["check"] for r in quality.validate_panel(nan.where("node_id = 'A'")).collect()} == {"null_values"}
+
+
+def test_constant_and_single_values_are_repeated(spark):
+    rows = [("A", f"2024-01-01 0{h}:00:00", 7.0) for h in range(5)] + [("B", "2024-01-01 00:00:00", 3.0)]
+    df = spark.createDataFrame(rows, "node_id string, timestamp string, aqi double").selectExpr(
+        "node_id", "CAST(timestamp AS TIMESTAMP_NTZ) AS timestamp", "aqi")
+    got = {(r["node_id"], r["h"]): r["y_pred"] for r in forecast.forecast_ar(df, horizon=2).collect()}
+    assert got == {("A", 1): 7.0, ("A", 2): 7.0, ("B", 1): 3.0, ("B", 2): 3.0}

@@ -65,3 +65,16 @@ def test_bounds_can_come_from_other_rows(frame):
     fit = frame(pd.DataFrame({"v": [5.0, 10.0]}))
     got = [r["v"] for r in Q.clip_outliers(df, ["v"], 1.0, fit_on=fit).collect()]
     assert got == [5.0, 10.0]
+
+
+def test_nan_infinity_and_odd_names(spark):
+    inf = float("inf")
+    rows = [(1.0, inf), (2.0, -inf), (float("nan"), 3.0), (3.0, 4.0), (None, float("nan"))]
+    df = spark.createDataFrame(rows, "`PM2.5` double, `a``b c` double")
+    got = Q.exact_quantiles(df, {"m": ("PM2.5", 0.5), "lo": ("a`b c", 0.0), "hi": ("a`b c", 1.0), "mid": ("a`b c", 0.5)}, small=1)
+    assert got == {"m": 2.0, "lo": -inf, "hi": inf, "mid": 3.5}
+    clip = [r["PM2.5"] for r in Q.clip_outliers(df, percentile=1.0).collect()]
+    assert clip[:2] == [1.0, 2.0] and np.isnan(clip[2]) and clip[3:] == [3.0, None]
+    assert [r["PM2.5"] for r in Q.median_fill(df, ["PM2.5"]).collect()] == [1.0, 2.0, 2.0, 3.0, 2.0]
+    assert [r["PM2.5"] for r in Q.null_extremes(df, ["PM2.5"], 0.9, 1.0).collect()] == [1.0, 2.0, None, None, None]
+    assert Q.cap_extremes(df, ["a`b c"], 2.0, 0.5).count() == 5

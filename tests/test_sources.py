@@ -84,13 +84,13 @@ def test_node_csvs(spark, frame, tmp_path):
     for n in ("N02", "N01"):
         (tmp_path / f"node_{n}_simulated.csv").write_text(
             text + "".join(f"2022-01-01 0{h}:00:00,{n},100,{h},1,1,1,1,\n" for h in range(2)))
-    got = files.read_node_csvs(spark, str(tmp_path)).collect()
+    got = files.read_node_csvs(spark, str(tmp_path), ordered=True).collect()
     assert [(str(r["timestamp"])[11:13], r["node_id"]) for r in got] == [("00", "N01"), ("00", "N02"), ("01", "N01"), ("01", "N02")]
     assert got[0]["o3"] is None
     with pytest.raises(FileNotFoundError):
         files.read_node_csvs(spark, str(tmp_path / "absent"))
     files.write_node_csv(files.read_node_csvs(spark, str(tmp_path)), str(tmp_path / "out"))
-    assert files.read_node_csvs(spark, str(tmp_path / "out")).collect() == got
+    assert files.read_node_csvs(spark, str(tmp_path / "out"), ordered=True).collect() == got
 
 
 def test_cached_parquet_computes_once(spark, tmp_path):
@@ -121,7 +121,6 @@ def test_rows(spark, frame):
     assert [tuple(r) for r in rows.usable_features(df, ["x", "e", "nope"]).collect()] == [("x", 1)]
     assert rows.drop_null_all(df, ["x", "e"]).count() == 1 and rows.drop_null_any(df).count() == 0
     assert rows.drop_null_critical(df).count() == 2
-    assert rows.first_locations(df, "i", 1).first()["i"] == 1
     both = rows.union_nodes([df.select("i"), df.select("s")])
     assert both.columns == ["i", "s"] and both.count() == 4
 
@@ -138,3 +137,36 @@ def test_lookup_missing_default_and_rank(spark):
     assert [r["node_id"] for r in rows.rank_stations(full, 2).collect()] == ["B", "C"]
 
 
+
+
+def test_every_file_is_bound_by_its_own_header(spark, tmp_path):
+    head = "From Date,PM2.5 (ug/m3),PM10 (ug/m3)"
+    (tmp_path / "A.csv").write_text(f"{head}\n2024-01-01 00:00:00,11,99\n")
+    (tmp_path / "My Place+1.csv").write_text("From Date,PM10 (ug/m3),PM2.5 (ug/m3),NO2 (ug/m3)\n13-01-2024 05:00,99,11,7\n")
+    (tmp_path / "C.csv").write_text("CO (mg/m3),From Date\n1.5,14/02/2024 06:30:00\n")
+    got = {r["station_id"]: r for r in files.read_station_csv(spark, str(tmp_path / "*.csv")).collect()}
+    assert set(got) == {"A", "My Place+1", "C"}
+    assert [(got[s]["pm25"], got[s]["pm10"], got[s]["no2"], got[s]["co"]) for s in ("A", "My Place+1", "C")] == [
+        (11, 99, None, None), (11, 99, 7, None), (None, None, None, 1.5)]
+    assert str(got["My Place+1"]["timestamp"]) == "2024-01-13 05:00:00" and str(got["C"]["timestamp"]) == "2024-02-14 06:30:00"
+
+
+def test_node_and_city_files_with_other_column_orders(spark, tmp_path):
+    (tmp_path / "node_A.csv").write_text("timestamp,node_id,aqi,pm25\n2024-01-01 00:00:00,A,100,5\n")
+    (tmp_path / "node_B.csv").write_text("pm25,aqi,o3,node_id,timestamp\n5,100,3,B,2024-01-01 00:00:00\n")
+    got = {r["node_id"]: (r["aqi"], r["pm25"], r["o3"]) for r in files.read_node_csvs(spark, str(tmp_path)).collect()}
+    assert got == {"A": (100, 5, None), "B": (100, 5, 3)}
+    city = tmp_path / "city"
+    city.mkdir()
+    (city / "1.csv").write_text("City,Date,PM2.5,AQI\nPune,2024-01-01,5,100\n")
+    (city / "2.csv").write_text("AQI,PM2.5,Date,City\n100,5,2024-01-02,pune\n7,7,2024-01-02,other\n")
+    rows = files.read_city_day_csv(spark, str(city), "Pune").collect()
+    assert sorted((str(r["timestamp"])[:10], r["pm25"], r["aqi"]) for r in rows) == [("2024-01-01", 5, 100), ("2024-01-02", 5, 100)]
+
+
+def test_only_a_missing_path_is_computed_anew(spark, tmp_path):
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "part-0.parquet").write_text("no parquet")
+    with pytest.raises(Exception) as caught:
+        files.cached_parquet(spark, str(tmp_path / "broken"), lambda: spark.range(3)).count()
+    assert "PATH_NOT_FOUND" not in str(caught.value) and (tmp_path / "broken" / "part-0.parquet").exists()

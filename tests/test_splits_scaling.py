@@ -88,3 +88,10 @@ def test_scaler_round_trip(values, spark, tmp_path):
     assert scaling.load_scaler(spark, str(tmp_path / "x")).first().asDict() == stats.first().asDict()
     with pytest.raises(ValueError, match="no scaler"):
         scaling.load_scaler(spark, str(tmp_path / "absent"))
+
+
+def test_parts_may_be_empty(frame):
+    pdf = panel(nodes=2, hours=20, keep=1.0, columns=("aqi",))
+    for ratios, want in (((0.8, 0.2), {"train", "val"}), ((1.0, 0.0), {"train"}), ((0.0, 0.0), {"test"})):
+        got = splits.chrono_split(frame(pdf), *ratios).collect()
+        assert {r["split"] for r in got} == want, ratios

@@ -129,14 +129,14 @@ def test_persistence_last_and_tail(frame):
     assert list(tail["pm25"]) == [float(v) for v in range(23, 30)] * 2
 
 
-@pytest.mark.parametrize("n, tail, context, cap", [(400, 30, 60, None), (400, 1000, 100, None), (300, 40, 50, 48), (100, 30, 60, None)])
+@pytest.mark.parametrize("n, tail, context, cap", [(400, 30, 60, None), (400, 1000, 100, None), (300, 40, 50, 48), (100, 30, 60, None), (400, None, None, None), (400, 5, 7, None)])
 def test_rolling_origin(frame, n, tail, context, cap):
     pdf = even(1, n)
     y = pdf["aqi"].to_numpy()
     train, test = y[: int(n * 0.7)], y[int(n * (0.7 + 0.15)):]
     want, made = {}, 0
     for i in range(0, len(test) - 12, 12):
-        seen = np.concatenate([train[-tail:], test[:i]])[-context:]
+        seen = np.concatenate([train[-(tail or n):], test[:i]])[-(context or n):]
         want[i // 12] = (len(seen), seen.mean(), seen[-1])
         made += 12
         if cap and made >= cap:
