@@ -60,12 +60,26 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def readings(spark: SparkSession, sf: str, nodes: int = 10) -> DataFrame:
+# Readings follow the event number: a node of its own gets about 60 % of all events,
+# every 2500 events bring one more node, and two events fall into one hour. So more
+# events mean a longer history, more nodes and one node that dominates. Gaps of 8 and
+# 25 hours recur; a sparse panel has some of 21 hours too.
+SQL_BIG_NODE = "(event_id * 7919) % 101 < 60"
+EVENTS_PER_NODE = 2500
+START = "2022-04-01 00:00:00"
+SQL_GAPS = "NOT (h % 97 BETWEEN 50 AND 57) AND NOT (h % 389 BETWEEN 100 AND 124)"
+SQL_SPARSE_GAPS = f"{SQL_GAPS} AND NOT (h % 53 BETWEEN 10 AND 30)"
+
+
+def readings(spark: SparkSession, sf: str, thin: bool = False) -> DataFrame:
     """Hourly readings per sensor node, aggregated from the events."""
-    e = table(spark, sf, "events")
-    node = F.concat(F.lit("N"), F.lpad((F.col("user_id") % nodes + 1).cast("string"), 2, "0"))
+    e = table(spark, sf, "events").selectExpr(
+        "*", f"CASE WHEN {SQL_BIG_NODE} THEN 1 ELSE 2 + event_id DIV {EVENTS_PER_NODE} END AS node",
+        f"CASE WHEN {SQL_BIG_NODE} THEN event_id DIV 2 ELSE (event_id % {EVENTS_PER_NODE}) DIV 2 END AS h",
+    ).where(SQL_SPARSE_GAPS if thin else SQL_GAPS)
     value = F.col("value")
-    return e.groupBy(node.alias("node_id"), hours("ts").alias("timestamp")).agg(
+    hour = F.expr(f"timestampadd(HOUR, h, TIMESTAMP_NTZ'{START}')")
+    return e.groupBy(F.format_string("N%02d", "node").alias("node_id"), hour.alias("timestamp")).agg(
         F.max(value).alias("pm25"),
         F.sum(value.cast("decimal(18,2)")).cast("double").alias("pm10"),
         F.min(value).alias("no2"),
@@ -85,7 +99,7 @@ def hours(ts: str) -> Column:
 
 
 def sparse(spark: SparkSession, sf: str) -> DataFrame:
-    return readings(spark, sf, 40)
+    return readings(spark, sf, thin=True)
 
 
 def signed(spark: SparkSession, sf: str) -> DataFrame:
@@ -93,20 +107,29 @@ def signed(spark: SparkSession, sf: str) -> DataFrame:
     return readings(spark, sf).withColumn("pm25", F.col("pm25") - 20)
 
 
-def scored(spark: SparkSession, sf: str, nodes: int = 10) -> DataFrame:
+def scored(spark: SparkSession, sf: str) -> DataFrame:
     """Clean panel, written once for the passes that follow, with its index."""
-    raw = materialize(readings(spark, sf, nodes), "readings")
+    raw = materialize(readings(spark, sf), "readings")
     return with_aqi(materialize(clean_panel(raw), "clean"))
 
 
+def _grid(offset: int) -> str:
+    """Every other bit of a supplier's number: with both offsets a place on a square grid.
+
+    Neighbouring numbers lie near each other, so the grid grows with the suppliers
+    and its density stays the same.
+    """
+    return " + ".join(f"((s_suppkey >> {2 * b + offset}) & 1) * {1 << b}" for b in range(16))
+
+
 def stations(spark: SparkSession, sf: str) -> DataFrame:
-    """Stations laid out around one city, one per supplier."""
+    """Stations on a grid of about 5 km, one per supplier."""
     s = table(spark, sf, "supplier")
     return s.select(
         F.format_string("N%02d", F.col("s_suppkey") + 1).alias("node_id"),
         F.col("s_name").alias("name"),
-        (F.lit(18.4) + (F.col("s_suppkey") % 97).cast("double") / F.lit(300.0)).alias("lat"),
-        (F.lit(73.6) + (F.col("s_suppkey") % 89).cast("double") / F.lit(300.0)).alias("lon"),
+        F.expr(f"18.4D + CAST({_grid(0)} AS DOUBLE) / 20.0D").alias("lat"),
+        F.expr(f"73.6D + CAST({_grid(1)} AS DOUBLE) / 20.0D").alias("lon"),
     )
 
 
@@ -133,10 +156,13 @@ def forecasts(spark: SparkSession, sf: str) -> DataFrame:
 
 # -- the same tables as SQL
 
-def sql_readings(nodes: int = 10, name: str = "readings") -> str:
-    return f"""{name} AS (
-      SELECT 'N' || lpad(CAST(user_id % {nodes} + 1 AS VARCHAR), 2, '0') AS node_id,
-             date_trunc('hour', ts) AS timestamp,
+def sql_readings(thin: bool = False, name: str = "readings") -> str:
+    return f"""{name}_events AS (
+      SELECT *, CASE WHEN {SQL_BIG_NODE} THEN 1 ELSE 2 + event_id // {EVENTS_PER_NODE} END AS node,
+             CASE WHEN {SQL_BIG_NODE} THEN event_id // 2 ELSE (event_id % {EVENTS_PER_NODE}) // 2 END AS h FROM events),
+    {name} AS (
+      SELECT printf('N%02d', node) AS node_id,
+             TIMESTAMP '{START}' + to_hours(CAST(h AS INTEGER)) AS timestamp,
              max(value) AS pm25,
              CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS pm10,
              min(value) AS no2,
@@ -147,16 +173,16 @@ def sql_readings(nodes: int = 10, name: str = "readings") -> str:
              CAST(max(event_id % 360) AS DOUBLE) AS wind_direction,
              CAST(15 + max(event_id % 20) AS DOUBLE) AS temperature,
              CAST(40 + max(event_id % 50) AS DOUBLE) AS humidity
-      FROM events GROUP BY 1, 2)"""
+      FROM {name}_events WHERE {SQL_SPARSE_GAPS if thin else SQL_GAPS} GROUP BY 1, 2)"""
 
 
 SQL_SIGNED = sql_readings(name="unsigned") + """,
     readings AS (SELECT * REPLACE (pm25 - 20 AS pm25) FROM unsigned)"""
 
-SQL_STATIONS = """stations AS (
+SQL_STATIONS = f"""stations AS (
       SELECT printf('N%02d', s_suppkey + 1) AS node_id, s_name AS name,
-             18.4::DOUBLE + CAST(s_suppkey % 97 AS DOUBLE) / 300.0::DOUBLE AS lat,
-             73.6::DOUBLE + CAST(s_suppkey % 89 AS DOUBLE) / 300.0::DOUBLE AS lon
+             18.4::DOUBLE + CAST({_grid(0)} AS DOUBLE) / 20.0::DOUBLE AS lat,
+             73.6::DOUBLE + CAST({_grid(1)} AS DOUBLE) / 20.0::DOUBLE AS lon
       FROM supplier)"""
 
 
@@ -245,9 +271,9 @@ SQL_CATEGORY_BANDED = (
 )
 
 
-def sql_scored(nodes: int = 10) -> str:
+def sql_scored() -> str:
     return ",\n    ".join([
-        sql_readings(nodes), sql_clean(),
+        sql_readings(), sql_clean(),
         f"""scored AS (SELECT * FROM (SELECT *, {sql_aqi()} AS aqi FROM clean) WHERE aqi IS NOT NULL)""",
     ])
 

@@ -18,12 +18,12 @@ from airpanel.plans import panel as plans
 from airpanel.session import materialize
 
 ID = ["node_id", "timestamp"]
-SPARSE = sql_readings(40)
+SPARSE = sql_readings(thin=True)
 W = "PARTITION BY node_id ORDER BY timestamp"
 
 
-def _raw(spark, sf, nodes=40):
-    return materialize(readings(spark, sf, nodes), "readings")
+def _raw(spark, sf, thin=True):
+    return materialize(readings(spark, sf, thin), "readings")
 
 
 @query("hourly_grid", with_sql(SPARSE, sql_grid(), select=f"SELECT node_id, timestamp, {', '.join(ALL)} FROM grid"))
@@ -75,13 +75,13 @@ def _sql_fill_both(source: str, columns, limit: int, name: str) -> str:
 
 MET = ["temperature", "humidity", "wind_speed"]
 STATIONS_RAW = SPARSE + """,
-    raw AS (SELECT * REPLACE (pm25 - 20 AS pm25, CASE WHEN node_id = 'N07' THEN NULL ELSE o3 END AS o3) FROM readings)"""
+    raw AS (SELECT * REPLACE (pm25 - 20 AS pm25, CASE WHEN node_id = 'N02' THEN NULL ELSE o3 END AS o3) FROM readings)"""
 
 
 def _station_rows(spark, sf):
     """Rows with negatives, and one station without a single o3 value."""
     r = sparse(spark, sf).withColumns({
-        "pm25": F.col("pm25") - 20, "o3": F.when(F.col("node_id") != "N07", F.col("o3")),
+        "pm25": F.col("pm25") - 20, "o3": F.when(F.col("node_id") != "N02", F.col("o3")),
     })
     return materialize(r, "stations")
 
@@ -343,7 +343,7 @@ PANEL_SQL = with_sql(
 
 @query("engineer_panel", PANEL_SQL)
 def engineer_panel(spark, sf):
-    out = plans.engineer_panel(_raw(spark, sf, 10))
+    out = plans.engineer_panel(_raw(spark, sf, thin=False))
     return out.select(
         *ID, *rds(ALL + ["aqi"] + LAGGED), *rds(ROLLED, 4), *rds(SQL_WIND, 5), *rds(SQL_CYCLES),
         *SQL_FLAGS,

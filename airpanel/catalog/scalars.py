@@ -97,21 +97,30 @@ def _(spark, sf):
     return rows.union_nodes([r.select(*ID, "pm25", "no2"), r.select(*ID, "wind_speed")])
 
 
-@query("sub_index", with_sql(SQL_SIGNED, select=f"""
+# About every tenth reading has NaN for fine dust, which SQL writes as a missing value.
+SQL_NAN = """
+    holed AS (SELECT * REPLACE (CASE WHEN pm10 % 10 >= 9 THEN NULL ELSE pm25 END AS pm25) FROM readings)"""
+
+
+def _holed(df):
+    return df.withColumn("pm25", F.when(F.col("pm10") % 10 >= 9, F.lit(float("nan"))).otherwise(F.col("pm25")))
+
+
+@query("sub_index", with_sql(SQL_SIGNED, SQL_NAN, select=f"""
     SELECT node_id, timestamp,
            {', '.join(f"{sq(sql_sub_index(p, p))} AS {p}" for p in MEASURES)},
-           {sq(sql_sub_index('(pm10 / 2)', 'so2'))} AS half, NULL::DOUBLE AS unknown FROM readings"""))
+           {sq(sql_sub_index('(pm10 / 2)', 'so2'))} AS half, NULL::DOUBLE AS unknown FROM holed"""))
 def _(spark, sf):
-    return signed(spark, sf).select(
+    return _holed(signed(spark, sf)).select(
         *ID, *[rd(A.sub_index(p, p)).alias(p) for p in MEASURES],
         rd(A.sub_index("pm10 / 2", "SO2")).alias("half"),
         A.sub_index("pm25", "dust").alias("unknown"),
     )
 
 
-@query("aqi", with_sql(R, select=f"SELECT node_id, timestamp, {sq(sql_aqi())} AS aqi FROM readings"))
+@query("aqi", with_sql(R, SQL_NAN, select=f"SELECT node_id, timestamp, {sq(sql_aqi())} AS aqi FROM holed"))
 def _(spark, sf):
-    return readings(spark, sf).select(*ID, rd(A.aqi()).alias("aqi"))
+    return _holed(readings(spark, sf)).select(*ID, rd(A.aqi()).alias("aqi"))
 
 
 @query("aqi_column", with_sql(R, select=f"""
@@ -125,12 +134,12 @@ def _sql_dominant() -> str:
     subs = ", ".join(f"{sql_sub_index(p, p)} AS s_{p}" for p in MEASURES)
     best = f"greatest({', '.join(f's_{p}' for p in MEASURES)})"
     cases = " ".join(f"WHEN s_{p} = {best} THEN '{p}'" for p in MEASURES)
-    return f"SELECT node_id, timestamp, CASE {cases} END AS pollutant FROM (SELECT *, {subs} FROM readings)"
+    return f"SELECT node_id, timestamp, CASE {cases} END AS pollutant FROM (SELECT *, {subs} FROM holed)"
 
 
-@query("dominant_pollutant", with_sql(R, select=_sql_dominant()))
+@query("dominant_pollutant", with_sql(R, SQL_NAN, select=_sql_dominant()))
 def _(spark, sf):
-    return readings(spark, sf).select(*ID, A.dominant_pollutant().alias("pollutant"))
+    return _holed(readings(spark, sf)).select(*ID, A.dominant_pollutant().alias("pollutant"))
 
 
 LEVEL = "(pm10 * CAST(1.5 AS DOUBLE))"  # reads the same in both engines
@@ -185,18 +194,18 @@ def _(spark, sf):
     return r.select(*ID, A.health_advisory().alias("advisory"))
 
 
-# -- time and weather. Events cover January only; shifted copies of the hour
-# reach every month and the festival days.
+# -- time and weather. Shifted copies of the hour reach every month and the
+# festival days, also where the readings cover a few weeks.
 
-SHIFTS = [0, 302, 668, 180]
+SHIFTS = [0, 90, 190, 300, 384, 739]
 SHIFTED = sql_readings() + f""",
     hours AS (SELECT node_id, timestamp + to_days(d) AS timestamp, pm25, pm10, wind_speed, wind_direction,
                      temperature, humidity
-              FROM readings, (SELECT unnest({[-s for s in SHIFTS] + [302]}::INT[]) AS d) x)"""
+              FROM readings, (SELECT unnest({SHIFTS}::INT[]) AS d) x)"""
 
 
 def _hours(spark, sf):
-    days = F.explode(F.array(*[F.lit(-s) for s in SHIFTS] + [F.lit(302)]))
+    days = F.explode(F.array(*[F.lit(s) for s in SHIFTS]))
     return readings(spark, sf).withColumn("d", days).withColumn(
         "timestamp", F.timestamp_add("DAY", F.col("d"), F.col("timestamp"))
     ).drop("d")
