@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airpanel.functions.aqi import BREAKPOINTS, POLLUTANTS
+from airpanel.catalog.expected import BAND_INDEX, BANDS, POLLUTANTS
 from airpanel.functions.clock import hour_index
 from airpanel.operators.chunks import windowed
 from airpanel.operators.gaps import clean_panel
@@ -240,13 +240,13 @@ def sql_clean(source: str = "readings", columns: Sequence[str] = tuple(ALL), nam
 
 def sql_sub_index(column: str, pollutant: str) -> str:
     cases = []
-    for low, high, c_low, c_high in BREAKPOINTS[pollutant]:
+    for (low, high), (c_low, c_high) in zip(BAND_INDEX, BANDS[pollutant], strict=True):
         slope = f"(({high}::DOUBLE - {low}::DOUBLE) / ({c_high}::DOUBLE - {c_low}::DOUBLE))"
         cases.append(
             f"WHEN {column} BETWEEN {c_low}::DOUBLE AND {c_high}::DOUBLE "
             f"THEN {slope} * ({column} - {c_low}::DOUBLE) + {low}::DOUBLE"
         )
-    top = BREAKPOINTS[pollutant][-1][3]
+    top = BANDS[pollutant][-1][1]
     return f"CASE {' '.join(cases)} WHEN {column} > {top} THEN 500::DOUBLE END"
 
 

@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from airpanel.catalog import expected as X
 from airpanel.catalog.common import (
     MODELS, SQL_CATEGORY_BANDED, SQL_CATEGORY_INDEX, SQL_FORECASTS, SQL_STATIONS, forecasts, query,
     rd, rds, scored, sq, sqs, stations, with_sql,
 )
-from airpanel.catalog.panel import SCORED
+from airpanel.catalog.graphs import DEGREE, NORMAL, _sql_edges
+from airpanel.catalog.panel import SCORED, SPLIT
 from airpanel.catalog.scalars import _sql_map
-from airpanel.functions import aqi as A
-from airpanel.functions import clock
 from airpanel.operators import features as ft
-from airpanel.operators import forecast, metrics, serving, splits
+from airpanel.operators import forecast, graph, metrics, serving, splits
 from airpanel.operators.chunks import windowed
 from airpanel.operators.rows import left_join_default
 from airpanel.session import materialize
@@ -76,29 +76,33 @@ def _sql_horizons() -> str:
            {sq(SQL_METRICS['category_accuracy'])} AS category_accuracy
     FROM steps WHERE i >= 24 AND n - i >= 24 GROUP BY 1, 2"""))
 def _(spark, sf):
+    ahead = {f"t{h}": (lambda w, h=h: F.lead("aqi", h).over(w)) for h in STEPS}
+    back = {f"s{h}": (lambda w, h=h: F.lag("aqi", 24 - h).over(w)) for h in STEPS}
     rows = windowed(
-        scored(spark, sf).select(*ID, "aqi"),
-        {
-            "y_true": lambda w: F.collect_list("aqi").over(w.rowsBetween(1, 24)),
-            "seen": lambda w: F.collect_list("aqi").over(w.rowsBetween(-23, 0)),
-        },
+        scored(spark, sf).select(*ID, "aqi"), {**ahead, **back, "first": lambda w: F.lag("aqi", 23).over(w)},
         lookback=23, lookahead=24,
-    ).where("size(y_true) = 24 AND size(seen) = 24")
+    ).where("t24 IS NOT NULL AND first IS NOT NULL")
+
+    def at(columns):  # an array of 24 steps of which only the wanted ones are filled
+        return F.array(*[columns.get(h, F.lit(None).cast("double")) for h in range(1, 25)])
+
     models = F.array(
-        F.struct(F.lit("seasonal").alias("model"), F.col("seen").alias("y_pred")),
-        F.struct(F.lit("last").alias("model"), F.array_repeat("aqi", 24).alias("y_pred")),
+        F.struct(F.lit("seasonal").alias("model"), at({h: F.col(f"s{h}") for h in STEPS}).alias("y_pred")),
+        F.struct(F.lit("last").alias("model"), at({h: F.col("aqi") for h in STEPS}).alias("y_pred")),
     )
-    out = metrics.horizon_metrics(rows.select("y_true", F.inline(models)), horizons=[*STEPS, 48])
+    rows = rows.select(at({h: F.col(f"t{h}") for h in STEPS}).alias("y_true"), F.inline(models))
+    out = metrics.horizon_metrics(rows, horizons=[*STEPS, 48])
     return out.select("model", "h", *rds(["mae", "rmse", "category_accuracy"]))
 
 
 @query("node_mae", with_sql(SQL_FORECASTS, f"""
-    firsts AS (SELECT node_id, y_true, y_pred, row_number() OVER ({W}) AS i FROM forecasts WHERE model = 'mean24'),
-    maes AS (SELECT node_id, avg(abs(y_true - y_pred)) AS mae FROM firsts WHERE i <= 24 GROUP BY 1 HAVING count(*) = 24)""",
-    select=f"SELECT node_id, {sq('mae')} AS mae FROM maes UNION ALL SELECT 'average', {sq('avg(mae)')} FROM maes"))
+    firsts AS (SELECT model, node_id, y_true, y_pred, row_number() OVER (PARTITION BY model, node_id ORDER BY timestamp) AS i FROM forecasts),
+    maes AS (SELECT model, node_id, avg(abs(y_true - y_pred)) AS mae FROM firsts WHERE i <= 24 GROUP BY 1, 2 HAVING count(*) = 24)""",
+    select=f"""SELECT model, node_id, {sq('mae')} AS mae FROM maes
+               UNION ALL SELECT model, 'average', {sq('avg(mae)')} FROM maes GROUP BY 1"""))
 def _(spark, sf):
-    rows = materialize(forecasts(spark, sf).where("model = 'mean24'").select(*ID, "y_true", "y_pred"), "mean24")
-    return metrics.node_mae(rows).withColumn("mae", rd("mae"))
+    rows = materialize(forecasts(spark, sf).select("model", *ID, "y_true", "y_pred"), "models")
+    return metrics.node_mae(rows, by=["model"]).select("model", "node_id", rd("mae").alias("mae"))
 
 
 @query("combined_loss", with_sql(SQL_FORECASTS, select="SELECT model, " + ", ".join(
@@ -173,17 +177,88 @@ def _(spark, sf):
     return forecast.forecast_seasonal(scored(spark, sf), horizon=48).withColumn("y_pred", rd("y_pred"))
 
 
-@query("forecast_pooled")
+POOLED = ["aqi", "aqi_neighbours"]
+
+
+def _sql_pooled() -> str:
+    """Two features: the weights are the solution of two equations in variances and covariances."""
+    fits, made = [], []
+    for h in STEPS:
+        y = f"y{h}"
+        fits.append(f"""SELECT {h} AS h, avg(aqi) AS m1, avg(nb) AS m2, avg({y}) AS my, var_pop(aqi) AS s11, var_pop(nb) AS s22,
+            covar_pop(aqi, nb) AS s12, covar_pop(aqi, {y}) AS c1, covar_pop(nb, {y}) AS c2
+            FROM looked WHERE s{h} = 'train' AND {y} IS NOT NULL""")
+        made.append(f"SELECT node_id, timestamp, {h} AS h, aqi, nb, {y} AS y_true FROM looked WHERE split = 'test' AND {y} IS NOT NULL")
+    ahead = ", ".join(f"lead(aqi, {h}) OVER ({W}) AS y{h}, lead(split, {h}) OVER ({W}) AS s{h}" for h in STEPS)
+    return with_sql(
+        SPLIT, SQL_STATIONS, _sql_edges(10), DEGREE, NORMAL, """
+    sums AS (SELECT n.src AS node_id, timestamp, sum(weight * aqi) AS nb FROM normal n JOIN scored s ON s.node_id = n.dst GROUP BY 1, 2),
+    wide AS (SELECT node_id, timestamp, split, aqi, nb FROM parts JOIN sums USING (node_id, timestamp))""",
+        f"looked AS (SELECT *, {ahead} FROM wide)", f"stats AS ({' UNION ALL '.join(fits)})", """
+    fitted AS (SELECT *, (c1 * s22 - c2 * s12) / (s11 * s22 - s12 * s12) AS w1, (c2 * s11 - c1 * s12) / (s11 * s22 - s12 * s12) AS w2 FROM stats)""",
+        f"made AS ({' UNION ALL '.join(made)})",
+        select=f"""SELECT node_id, timestamp, h, {sq('y_true')} AS y_true, {sq('my + w1 * (aqi - m1) + w2 * (nb - m2)', 5)} AS y_pred
+                   FROM made JOIN fitted USING (h)""")
+
+
+@query("forecast_pooled", _sql_pooled())
 def _(spark, sf):
-    """No SQL: a least-squares fit over many features. Tested against numpy."""
-    rows = windowed(
-        scored(spark, sf).select(*ID, "pm25", "pm10", "aqi"),
-        {**ft.lag_columns("aqi"), **ft.rolling_columns(["aqi"], [24])}, lookback=24,
-    )
-    cycles = clock.cyclical_time()
-    rows = materialize(rows.withColumns({c: cycles[c] for c in ("hour_sin", "hour_cos")}).dropna(), "features")
-    features = [c for c in rows.columns if c not in ID]
-    return forecast.forecast_pooled(splits.chrono_split(rows), features)
+    rows = materialize(scored(spark, sf).select(*ID, "aqi"), "scored")
+    edges = graph.normalize_edges(graph.adjacency_edges(stations(spark, sf)))
+    wide = splits.chrono_split(rows).join(graph.graph_aggregate(rows, edges), ID)
+    out = forecast.forecast_pooled(wide, POOLED)
+    return out.select(*ID, "h", rd("y_true").alias("y_true"), rd("y_pred", 5).alias("y_pred"))
+
+
+SQL_HOLDOUT = f"""
+    pairs AS (SELECT node_id, timestamp, aqi, lag(aqi) OVER ({W}) AS before FROM parts WHERE split = 'train'),
+    fitted AS (SELECT node_id, regr_slope(aqi, before) AS phi, regr_intercept(aqi, before) AS c, arg_max(aqi, timestamp) AS y FROM pairs GROUP BY 1),
+    tests AS (SELECT node_id, timestamp, aqi AS y_true, row_number() OVER ({W}) AS h FROM parts WHERE split = 'test'),
+    heldout AS (SELECT node_id, timestamp, h, y_true,
+                    coalesce(CASE WHEN phi = 1 THEN y + c * h ELSE c * (1 - phi ** h) / (1 - phi) + phi ** h * y END, y) AS y_pred
+             FROM tests JOIN fitted USING (node_id) WHERE h <= 24)"""
+
+
+@query("forecast_ar_mae", with_sql(SPLIT, SQL_HOLDOUT, """
+    maes AS (SELECT node_id, avg(abs(y_true - y_pred)) AS mae FROM heldout GROUP BY 1 HAVING count(*) = 24)""", select=f"""
+    SELECT node_id, {sq('mae')} AS mae FROM maes UNION ALL SELECT 'average', {sq('avg(mae)')} FROM maes"""))
+def _(spark, sf):
+    parts = splits.chrono_split(materialize(scored(spark, sf).select(*ID, "aqi"), "scored"))
+    rows = materialize(forecast.holdout_forecast(parts), "held")
+    return metrics.node_mae(rows).select("node_id", rd("mae").alias("mae"))
+
+
+SQL_BACKTEST = f"""
+    numbered AS (SELECT node_id, timestamp, aqi, row_number() OVER ({W}) - 1 AS p, lag(aqi) OVER ({W}) AS before,
+                        count(*) OVER (PARTITION BY node_id) AS n FROM scored),
+    placed AS (SELECT *, CAST(floor(n * 0.7::DOUBLE) AS BIGINT) AS te, CAST(floor(n * (0.7::DOUBLE + 0.15::DOUBLE)) AS BIGINT) AS ve FROM numbered),
+    origins AS (SELECT node_id, te, ve, unnest(range(0, n - ve - 24, 24)) AS o FROM (SELECT DISTINCT node_id, te, ve, n FROM placed)),
+    fitted AS (
+      SELECT o.node_id, o.o // 24 AS origin, regr_slope(r.aqi, CASE WHEN r.p <> o.ve THEN r.before END) AS phi,
+             regr_intercept(r.aqi, CASE WHEN r.p <> o.ve THEN r.before END) AS c, arg_max(r.aqi, r.p) AS y
+      FROM origins o JOIN placed r ON r.node_id = o.node_id AND (r.p < o.te OR (r.p >= o.ve AND r.p < o.ve + o.o)) GROUP BY 1, 2),
+    backtest AS (
+      SELECT node_id, timestamp, origin, CAST((p - ve) % 24 + 1 AS INT) AS h, aqi AS y_true,
+             coalesce(CASE WHEN phi = 1 THEN y + c * ((p - ve) % 24 + 1)
+                      ELSE c * (1 - phi ** ((p - ve) % 24 + 1)) / (1 - phi) + phi ** ((p - ve) % 24 + 1) * y END, y) AS y_pred
+      FROM placed JOIN fitted USING (node_id) WHERE p >= ve AND (p - ve) // 24 = origin)"""
+
+
+def _backtest(spark, sf):
+    return forecast.rolling_origin_forecast(scored(spark, sf).select(*ID, "aqi"))
+
+
+@query("rolling_origin_forecast", with_sql(SCORED, SQL_BACKTEST, select=f"""
+    SELECT node_id, timestamp, origin, h, {sq('y_true')} AS y_true, {sq('y_pred', 4)} AS y_pred FROM backtest"""))
+def _(spark, sf):
+    return _backtest(spark, sf).withColumns({"y_true": rd("y_true"), "y_pred": rd("y_pred", 4)})
+
+
+@query("rolling_origin_metrics", with_sql(SCORED, SQL_BACKTEST, select="SELECT node_id, " + ", ".join(
+    f"{sq(SQL_METRICS[n], 4)} AS {n}" for n in ("mae", "rmse", "mape", "category_accuracy")) + " FROM backtest GROUP BY 1"))
+def _(spark, sf):
+    names = ["mae", "rmse", "mape", "category_accuracy"]
+    return metrics.all_metrics(_backtest(spark, sf), by=["node_id"]).select("node_id", *rds(names, 4))
 
 
 @query("tail_context", with_sql(SCORED, select=f"""
@@ -198,7 +273,7 @@ def _(spark, sf):
 @query("explode_forecast", with_sql(SCORED, _sql_ar(72), "clamped AS (SELECT *, least(greatest(y_pred, 0), 500) AS v FROM ar)", select=f"""
     SELECT node_id AS station_id, 'ar' AS model, h - 1 AS hour, t + to_hours(h - 1) AS timestamp, {sq('v', 1)} AS aqi,
            {SQL_CATEGORY_BANDED.format('v')} AS category,
-           {_sql_map(SQL_CATEGORY_BANDED.format('v'), A.SERVICE_COLORS)} AS color,
+           {_sql_map(SQL_CATEGORY_BANDED.format('v'), X.SERVICE_COLORS)} AS color,
            first_value({sq('v', 1)}) OVER (PARTITION BY node_id ORDER BY h) AS current_aqi
     FROM clamped"""))
 def _(spark, sf):
@@ -233,8 +308,8 @@ LABEL = "CASE WHEN aqi <= 50 THEN 'Good' WHEN aqi <= 100 THEN 'Satisfactory' WHE
 
 
 @query("heatmap_points", with_sql(SCORED, SQL_STATIONS, LATEST, MARKED, select=f"""
-    SELECT node_id, {sqs(['lat', 'lon', 'aqi'])}, {LABEL} AS category, {_sql_map(LABEL, A.MAP_COLORS)} AS color,
-           {_sql_map(LABEL, A.ADVISORIES)} AS advisory, {sq('least(25, greatest(8, 8 + aqi / 500 * 17))')} AS radius,
+    SELECT node_id, {sqs(['lat', 'lon', 'aqi'])}, {LABEL} AS category, {_sql_map(LABEL, X.MAP_COLORS)} AS color,
+           {_sql_map(LABEL, X.ADVISORIES)} AS advisory, {sq('least(25, greatest(8, 8 + aqi / 500 * 17))')} AS radius,
            {sq('aqi / 500')} AS intensity FROM marked"""))
 def _(spark, sf):
     out = serving.heatmap_points(stations(spark, sf), _latest(spark, sf))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from airpanel.catalog import expected as X
 from airpanel.catalog.common import (
     ALL, MEASURES, query, rd, rds, readings, scored, sparse, sq, sql_aqi, sql_clean,
     sql_ffill, sql_grid, sql_interpolate, sql_readings, sql_scored, sqs, with_sql,
@@ -151,7 +152,7 @@ def _(spark, sf):
 def _sql_filled_lags() -> str:
     return ", ".join(
         f"{sq(f'coalesce(lag({c}, {k}) OVER ({W}), {c}_mid)')} AS {c}_lag_{k}h"
-        for k in ft.LONG_LAGS for c in ("aqi", "pm25")
+        for k in X.LONG_LAGS for c in ("aqi", "pm25")
     )
 
 
@@ -321,9 +322,9 @@ def _sql_features(source: str, clip, rolling) -> str:
     )
     # greatest and least skip NULL, so a missing value must stay missing.
     cut = ", ".join(f"CASE WHEN {c} IS NOT NULL THEN least(greatest({c}, {c}_lo), {c}_hi) END AS {c}" for c in clip)
-    lags = ", ".join(f"lag(aqi, {k}) OVER ({W}) AS aqi_lag_{k}h" for k in ft.LAGS)
-    means = ", ".join(f"{_sql_over('avg', c, n)} AS {c}_{n}h_mean" for c in rolling for n in ft.WINDOWS)
-    stds = ", ".join(f"{_sql_over('stddev_samp', c, n)} AS {c}_{n}h_std" for c in rolling for n in ft.WINDOWS)
+    lags = ", ".join(f"lag(aqi, {k}) OVER ({W}) AS aqi_lag_{k}h" for k in X.LAGS)
+    means = ", ".join(f"{_sql_over('avg', c, n)} AS {c}_{n}h_mean" for c in rolling for n in X.WINDOWS)
+    stds = ", ".join(f"{_sql_over('stddev_samp', c, n)} AS {c}_{n}h_std" for c in rolling for n in X.WINDOWS)
     return ", ".join([
         f"bounds AS (SELECT {bounds} FROM {source})",
         f"cut AS (SELECT node_id, timestamp, {', '.join(c for c in ALL if c not in clip) + ', ' if set(ALL) - set(clip) else ''}{cut} FROM {source}, bounds)",
@@ -333,7 +334,7 @@ def _sql_features(source: str, clip, rolling) -> str:
     ])
 
 
-ROLLED = [f"{c}_{n}h_{s}" for c in ("pm25", "aqi") for n in ft.WINDOWS for s in ("mean", "std")]
+ROLLED = [f"{c}_{n}h_{s}" for c in ("pm25", "aqi") for n in X.WINDOWS for s in ("mean", "std")]
 PANEL_SQL = with_sql(
     sql_readings(), sql_clean(), _sql_features("clean", ALL, ["pm25", "aqi"]),
     select=f"""SELECT node_id, timestamp, {sqs(ALL + ['aqi'] + LAGGED)}, {sqs(ROLLED, 4)}, {_named(SQL_WIND, 5)},
@@ -350,6 +351,52 @@ def engineer_panel(spark, sf):
     )
 
 
+PREPARED = ", ".join([
+    sql_readings(), sql_clean(), _sql_features("clean", MEASURES, ["pm25"]),
+    "counted AS (SELECT *, row_number() OVER (ORDER BY timestamp, node_id) - 1 AS i, count(*) OVER () AS n FROM full_)",
+    """parts AS (SELECT *, CASE WHEN i < floor(n * 0.7::DOUBLE) THEN 'train'
+                              WHEN i < floor(n * (0.7::DOUBLE + 0.15::DOUBLE)) THEN 'val' ELSE 'test' END AS split FROM counted)""",
+])
+SCALED = ["pm25", "aqi", "temperature", "aqi_lag_24h", "pm25_24h_mean", "pm25_72h_std"]
+
+
+@query("prepare", with_sql(
+    PREPARED, "fitted AS (SELECT " + ", ".join(f"min({c}) AS {c}_min, max({c}) AS {c}_max" for c in SCALED) + " FROM parts WHERE split = 'train')",
+    select="SELECT node_id, timestamp, split, " + ", ".join(
+        f"{sq(f'({c} - {c}_min) / CASE WHEN {c}_max = {c}_min THEN 1 ELSE {c}_max - {c}_min END', 5)} AS {c}" for c in SCALED) + " FROM parts, fitted"))
+def _(spark, sf):
+    out = plans.prepare(_raw(spark, sf, thin=False)).scaled
+    return out.select(*ID, "split", *rds(SCALED, 5))
+
+
+@query("run_summary", with_sql(PREPARED, select=f"""
+    SELECT count(*) AS total_rows, count(*) FILTER (split = 'train') AS train_rows, count(*) FILTER (split = 'val') AS val_rows,
+           count(*) FILTER (split = 'test') AS test_rows, 31 AS n_features,
+           {sq("avg(aqi) FILTER (split = 'train')")} AS train_mean, {sq("stddev_samp(aqi) FILTER (split = 'train')")} AS train_std,
+           {sq("avg(aqi) FILTER (split = 'val')")} AS val_mean, {sq("avg(aqi) FILTER (split = 'test')")} AS test_mean FROM parts"""))
+def _(spark, sf):
+    out = splits.run_summary(plans.prepare(_raw(spark, sf, thin=False)).full)
+    means = ["train_mean", "train_std", "val_mean", "test_mean"]
+    return out.select(*[c for c in out.columns if c not in means], *rds(means))
+
+
+@query("node_windows", with_sql(SCORED, """
+    steps AS (SELECT timestamp, count(*) AS nodes, sum(aqi) AS total, min(node_id) AS first_node FROM scored GROUP BY 1)""", select=f"""
+    SELECT * EXCLUDE (n) FROM (SELECT timestamp, 12 AS n_x, 6 AS n_y, nodes AS nodes_first,
+      lead(nodes, 11) OVER t AS nodes_last, first_node, {sq('sum(total) OVER (t ROWS BETWEEN CURRENT ROW AND 11 FOLLOWING)', 4)} AS x_sum,
+      {sq('sum(total) OVER (t ROWS BETWEEN 12 FOLLOWING AND 17 FOLLOWING)', 4)} AS y_sum,
+      count(*) OVER (t ROWS BETWEEN 12 FOLLOWING AND 17 FOLLOWING) AS n FROM steps WINDOW t AS (ORDER BY timestamp)) WHERE n = 6"""))
+def _(spark, sf):
+    out = ft.node_windows(scored(spark, sf).select(*ID, "aqi"), window=12, horizon=6)
+    total = lambda steps: F.aggregate(
+        F.flatten(steps), F.lit(0.0), lambda s, cell: s + cell["value"])
+    return out.select(
+        "timestamp", F.size("x").alias("n_x"), F.size("y").alias("n_y"), F.size(F.col("x")[0]).cast("bigint").alias("nodes_first"),
+        F.size(F.element_at("x", -1)).cast("bigint").alias("nodes_last"), F.col("x")[0][0]["node"].alias("first_node"),
+        rd(total(F.col("x")), 4).alias("x_sum"), rd(total(F.col("y")), 4).alias("y_sum"),
+    )
+
+
 def _sql_advanced() -> str:
     base = ["pm25", "pm10", "aqi"]
     out = [f"{sqs(CAPPED + ['aqi'])}"]

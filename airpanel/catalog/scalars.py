@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from airpanel.catalog import expected as X
 from airpanel.catalog.common import (
     MEASURES, SQL_CATEGORY, SQL_CATEGORY_BANDED, SQL_CATEGORY_INDEX, SQL_SIGNED, query, rd,
     readings, signed, sq, sql_aqi, sql_readings, sql_sub_index, table, with_sql,
@@ -174,8 +175,8 @@ def _sql_map(column: str, values: dict[str, str], default: str = "NULL") -> str:
 
 
 @query("aqi_color", with_sql(R, select=f"""
-    SELECT node_id, timestamp, {_sql_map(SQL_CATEGORY.format(LEVEL), A.MAP_COLORS)} AS map_color,
-           {_sql_map(SQL_CATEGORY_BANDED.format(LEVEL), A.SERVICE_COLORS)} AS service_color FROM readings"""))
+    SELECT node_id, timestamp, {_sql_map(SQL_CATEGORY.format(LEVEL), X.MAP_COLORS)} AS map_color,
+           {_sql_map(SQL_CATEGORY_BANDED.format(LEVEL), X.SERVICE_COLORS)} AS service_color FROM readings"""))
 def _(spark, sf):
     r = readings(spark, sf).select(
         *ID, A.category(LEVEL).alias("on_map"), A.category_banded(LEVEL).alias("in_service")
@@ -187,7 +188,7 @@ def _(spark, sf):
 
 
 @query("health_advisory", with_sql(R, select=f"""
-    SELECT node_id, timestamp, {_sql_map(SQL_CATEGORY.format('o3'), A.ADVISORIES, repr(A.DEFAULT_ADVISORY))} AS advisory
+    SELECT node_id, timestamp, {_sql_map(SQL_CATEGORY.format('o3'), X.ADVISORIES, repr(X.DEFAULT_ADVISORY))} AS advisory
     FROM readings"""))
 def _(spark, sf):
     r = readings(spark, sf).select(*ID, A.category("o3").alias("category"))
@@ -219,7 +220,7 @@ SQL_CYCLES = {
 }
 SQL_FESTIVAL = "CASE WHEN " + " OR ".join(
     f"timestamp BETWEEN TIMESTAMP '{d}' - INTERVAL 2 DAY AND TIMESTAMP '{d}' + INTERVAL 2 DAY"
-    for d in clock.FESTIVAL_DATES
+    for d in X.FESTIVAL_DATES
 ) + " THEN 1 ELSE 0 END"
 SQL_FLAGS = {
     "is_weekend": f"CASE WHEN {DOW} IN (5, 6) THEN 1 ELSE 0 END",

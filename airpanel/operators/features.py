@@ -141,6 +141,21 @@ def matrix_windows(
     return out.withColumn("x", F.transform("x", lambda s: F.array(*[s[e] for e in entities])))
 
 
+def node_windows(
+    df: DataFrame, column: str = "aqi", window: int = 72, horizon: int = 24, key: str = NODE, time: str = TIME, **kw,
+) -> DataFrame:
+    """Training samples whose steps hold all nodes: ``x`` and ``y`` are lists of steps, a step a list of (node, value).
+
+    Nodes are in order within a step. They are data, not columns, so no list of
+    nodes is needed, and a step lists the nodes measured then.
+    """
+    cells = F.sort_array(F.collect_list(F.struct(F.col(key).alias("node"), F.col(column).alias("value"))))
+    steps = df.groupBy(time).agg(cells.alias("_step"))
+    return sliding_windows(steps, ["_step"], "_step", window, horizon, keys=(), order=(time,), **kw).withColumn(
+        "x", F.transform("x", lambda s: s["_step"])
+    )
+
+
 def pivot_nodes(df: DataFrame, nodes: Sequence[str], column: str = "aqi") -> DataFrame:
     """One row per timestamp with a column per node, the entities of a graph window."""
     return df.groupBy(TIME).pivot(NODE, list(nodes)).agg(F.first(column))

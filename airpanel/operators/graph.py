@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
+from itertools import combinations, product
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -15,33 +15,44 @@ from airpanel.operators.chunks import global_index
 EPSILON = 1e-8
 THRESHOLD_KM = 10.0
 SIGMA_KM = 5.0
-SALTS = 8
+#: Stations of a grid cell that one task compares.
+CROWD = 1000
 
 
 def near_pairs(
-    stations: DataFrame, within_km: float = THRESHOLD_KM, key: str = "node_id", salts: int = SALTS,
+    stations: DataFrame, within_km: float = THRESHOLD_KM, key: str = "node_id", crowd: int = CROWD,
 ) -> DataFrame:
     """Ordered pairs of different stations within a distance, as (src, dst, distance_km).
 
     Stations meet by equality on the cell of a grid through the globe: one side
-    stays in its cell, the other is sent to the neighbouring cells. Cells are
-    spread over ``salts`` so a crowded one is split over tasks.
+    stays in its cell, the other is sent to its own cell and half of the cells
+    around it, so every pair meets once and is mirrored afterwards. A cell with
+    more than ``crowd`` stations is split over as many tasks as it asks for.
     """
     cells = ["_cx", "_cy", "_cz"]
     at = [e.alias(c) for c, e in zip(cells, sphere_cells("lat", "lon", within_km))]
-    left = stations.select(F.expr(f"{key} AS src"), F.expr("lat AS _lat1"), F.expr("lon AS _lon1"), *at)
-    left = left.withColumn("_salt", F.expr(f"CAST(pmod(xxhash64(src), {salts}) AS INT)"))
-    right = stations.select(F.expr(f"{key} AS dst"), F.expr("lat AS _lat2"), F.expr("lon AS _lon2"), *at)
-    for c in cells:
-        right = right.withColumn(c, F.expr(f"explode(array({c} - 1, {c}, {c} + 1))"))
-    right = right.withColumn("_salt", F.expr(f"explode(sequence(0, {salts - 1}))"))
+    own = stations.select(F.expr(f"{key} AS _id"), "lat", "lon", *at)
+    parts = own.groupBy(*cells).agg(F.ceil(F.count(F.lit(1)) / crowd).cast("int").alias("_parts"))
+    left = own.join(parts, cells).select(
+        *cells, F.expr("_id AS src"), F.expr("lat AS _lat1"), F.expr("lon AS _lon1"),
+        F.expr("CAST(pmod(xxhash64(_id), _parts) AS INT) AS _part"),
+    )
+    half = [d for d in product((-1, 0, 1), repeat=3) if d >= (0, 0, 0)]
+    to = ", ".join(
+        "struct(" + ", ".join(f"{c} - {x} AS {c}" for c, x in zip(cells, d)) + f", {str(d == (0, 0, 0)).lower()} AS _same)"
+        for d in half
+    )
+    right = own.selectExpr("_id AS dst", "lat AS _lat2", "lon AS _lon2", f"inline(array({to}))")
+    right = right.join(parts, cells).withColumn("_part", F.expr("explode(sequence(0, _parts - 1))"))
     distance = haversine_km("_lat1", "_lon1", "_lat2", "_lon2")
-    return (
-        left.join(right, [*cells, "_salt"])
-        .where("src <> dst")
+    once = (
+        left.join(right, [*cells, "_part"])
+        .where("NOT _same OR src < dst")
         .select("src", "dst", distance.alias("distance_km"))
         .where(F.col("distance_km") <= within_km)
     )
+    ends = "inline(array(struct(src, dst, distance_km), struct(dst AS src, src AS dst, distance_km)))"
+    return once.selectExpr(ends)
 
 
 def distance_pairs(stations: DataFrame, within_km: float, key: str = "node_id") -> DataFrame:

@@ -103,17 +103,18 @@ def horizon_metrics(
     )
 
 
-def node_mae(df: DataFrame, horizon: int = 24, key: str = NODE, time: str = TIME, **kw) -> DataFrame:
-    """MAE per node over its first ``horizon`` rows, and their mean as ``average``.
+def node_mae(
+    df: DataFrame, horizon: int = 24, key: str = NODE, time: str = TIME, by: Sequence[str] = (), **kw,
+) -> DataFrame:
+    """MAE per node over its first ``horizon`` rows, and the mean of these as ``average``; per ``by``, such as the model.
 
-    Nodes with fewer rows are left out. All others have the same number of rows,
-    so the mean over rows is the mean over nodes and one rollup gives both.
+    Nodes with fewer rows are left out.
     """
-    rows = with_positions(df, [key], [time], total="_n", **kw)
+    rows = with_positions(df, [*by, key], [time], total="_n", **kw)
     rows = rows.where((F.col("position") < horizon) & (F.col("_n") >= horizon))
-    # A node without a name is not the average: the rollup tells them apart.
-    out = rows.rollup(key).agg(mae().alias("mae"), F.grouping(key).alias("_all"))
-    return out.withColumn(key, F.when(F.col("_all") == 1, F.lit("average")).otherwise(F.col(key))).drop("_all")
+    per_node = rows.groupBy(*by, key).agg(mae().alias("mae"))
+    average = per_node.groupBy(*by).agg(F.lit("average").alias(key), F.avg("mae").alias("mae"))
+    return per_node.unionByName(average)
 
 
 def ensemble_mean(df: DataFrame, by: Sequence[str]) -> DataFrame:

@@ -107,6 +107,18 @@ def split_summary(df: DataFrame, column: str = "aqi") -> DataFrame:
     )
 
 
+def run_summary(df: DataFrame, column: str = "aqi") -> DataFrame:
+    """One row about a prepared table: rows in all and per part, columns, and the index in each part."""
+    part = lambda name, value: F.when(F.col("split") == name, value)
+    return df.agg(
+        F.count(F.lit(1)).alias("total_rows"),
+        *[F.count(part(p, F.lit(1))).alias(f"{p}_rows") for p in ("train", "val", "test")],
+        F.lit(len(df.columns) - 1).alias("n_features"),
+        F.avg(part("train", F.col(column))).alias("train_mean"), F.stddev_samp(part("train", F.col(column))).alias("train_std"),
+        F.avg(part("val", F.col(column))).alias("val_mean"), F.avg(part("test", F.col(column))).alias("test_mean"),
+    )
+
+
 def split_no_leak(df: DataFrame, time: str = TIME) -> DataFrame:
     """Last train time, first test time and whether they are in order."""
     last = F.max(F.when(F.col("split") == "train", F.col(time)))

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DIRS: dict[str, str] = {}
+_SCOPES: list[list[str]] = []
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -33,23 +39,54 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a folder of its own; on a cluster a
-    machine-local folder would be lost with its executor, so that is an error.
+    Only a session whose executors are threads of the driver may go without the
+    setting, as in tests: it gets a folder of its own. Elsewhere a machine-local
+    folder would be lost with its executor, so a missing setting is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_DIRS:
         _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="airpanel-")
+        atexit.register(shutil.rmtree, _LOCAL_DIRS[app], ignore_errors=True)
     return _LOCAL_DIRS[app]
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """(file system, path) as the JVM knows them."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark._jsc.hadoopConfiguration()), there
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared folder that nothing else uses."""
-    return f"{shared_dir(spark).rstrip('/')}/airpanel/{name}-{uuid.uuid4().hex}"
+    """A path under the shared folder that nothing else uses.
+
+    What is written there is deleted when the driver ends, or with the
+    :func:`temporary_tables` that surround the call.
+    """
+    path = f"{shared_dir(spark).rstrip('/')}/airpanel/{name}-{uuid.uuid4().hex}"
+    system, there = _hadoop(spark, path)
+    system.deleteOnExit(there)
+    for scope in _SCOPES:
+        scope.append(path)
+    return path
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables written inside are deleted at the end: read the result before that."""
+    scope: list[str] = []
+    _SCOPES.append(scope)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(scope)
+        for path in scope:
+            system, there = _hadoop(spark, path)
+            system.delete(there, True)
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
