@@ -2,9 +2,9 @@
 
 Documents are tokenised and cut into pieces; only the histogram of piece lengths, at most ``capacity`` rows,
 reaches the driver. There the configuration linear program (how often to use each combination of lengths) is
-solved by multiplicative weights: the price of a length grows while it lags behind, and a knapsack dynamic
-program finds the combinations of best price. One program prices, for every length, the best combination that
-holds it; those near the optimum are used in that round. The fractional solution is rounded up
+solved by multiplicative weights: the price of a length falls while the combinations chosen for others carry it
+too far, and a knapsack dynamic program finds the combinations of best price. One program prices, for every
+length, the best combination that holds it. The fractional solution is rounded up
 combination by combination, never beyond the pieces there are, and what is left goes into the tightest space
 that fits, longest first, in bulk per length. The plan names, for each length, ranges of ranks and the
 sequences and offsets they fill. Its size follows the number of lengths and rounds, not of documents.
@@ -173,37 +173,42 @@ class Knapsack:
         return found
 
 
-def fractional(sizes: np.ndarray, counts: np.ndarray, capacity: int, rounds: int = 16, slack: float = 0.02) -> tuple[dict, float]:
+def fractional(
+    sizes: np.ndarray, counts: np.ndarray, capacity: int, rounds: int = 16, warm: int = 8, rate: float = 0.1,
+) -> tuple[dict, float]:
     """(combination -> how often, lower bound on the sequences) by multiplicative weights.
 
-    A combination is a tuple of (index of a length, how many). Each round deals out an equal share of what
-    every length has left; lengths that end a round with more left than planned become dearer.
+    A combination is a tuple of (index of a length, how many). Each round brings every length to its share of
+    the way, the longest first: a length that lags gets the best combination, at the round's prices, that
+    holds it. Lengths that others have carried too far become cheaper, those that had to be served dearer.
+    The first ``warm`` rounds only find prices.
     """
-    left = counts.astype(float)
-    prices = sizes / capacity
+    volume = float(counts @ sizes) / capacity
+    prices, bound = sizes / capacity, volume
     used: dict[tuple, float] = defaultdict(float)
-    bound = float(counts @ sizes) / capacity
-    for round_ in range(rounds):
+    covered = np.zeros(len(sizes))
+    longest_first = np.argsort(-sizes, kind="stable")
+    for round_ in range(-warm, rounds):
+        if round_ == 0:
+            used.clear()
+            covered[:] = 0
+        target = (round_ + 1 + (warm if round_ < 0 else 0)) / rounds
         program = Knapsack(sizes, prices, capacity)
-        top = program.best[capacity]
-        bound = max(bound, float(counts @ prices) / top)  # prices over the best value are feasible for the dual
-        quota = left / (rounds - round_)
-        values = prices + program.best[capacity - sizes]
-        for i in np.argsort(-sizes, kind="stable"):
-            if quota[i] <= 1e-9 or values[i] < (1 - slack) * top:
+        # Prices over the best value of a sequence are feasible for the dual program.
+        bound = max(bound, float(counts @ prices) / program.best[capacity])
+        for i in longest_first:
+            lack = target - covered[i]
+            if lack <= 1e-9:
                 continue
             tally: dict[int, int] = defaultdict(int)
             for k in [int(i), *program.items(capacity - int(sizes[i]))]:
                 tally[k] += 1
-            often = min(quota[k] / n for k, n in tally.items())
-            if often <= 1e-9:
-                continue
-            used[tuple(sorted(tally.items()))] += often
+            often = lack * counts[i] / tally[int(i)]
             for k, n in tally.items():
-                quota[k] -= n * often
-                left[k] -= n * often
-        planned = counts * (1 - (round_ + 1) / rounds)
-        prices = prices * np.exp(0.5 * np.clip((left - planned) / counts, -0.5, 0.5))
+                covered[k] += n * often / counts[k]
+            used[tuple(sorted(tally.items()))] += often
+        prices = prices * np.exp(rate * np.clip((target - covered) * rounds, -4, 4))
+        prices *= volume / float(counts @ prices)
     return used, bound
 
 
