@@ -34,23 +34,20 @@ _STEP, _MIX = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15)
 def features(text: str, bits: int = 20, orders: tuple[int, ...] = ORDERS) -> np.ndarray:
     """The hashed character n-grams of a text, each once, in ascending order."""
     codes = np.frombuffer(text.lower().encode("utf-32-le"), np.uint32).astype(np.uint64)
-    seen = np.zeros(0, np.int32)
-    parts = []
-    for n in orders:
+    hashed, parts = np.zeros(len(codes), np.uint64), []
+    for n in range(1, min(max(orders), len(codes)) + 1):
         size = len(codes) - n + 1
-        if size > 0:
-            hashed = np.full(size, n, np.uint64)
-            for j in range(n):
-                hashed = hashed * _STEP + codes[j:size + j]
-            parts.append(((hashed * _MIX) >> np.uint64(64 - bits)).astype(np.int32))
-    if parts:
-        seen = np.concatenate(parts)
-        if len(seen) * 4 > 1 << bits:
-            marks = np.zeros(1 << bits, bool)
-            marks[seen] = True
-            return np.flatnonzero(marks).astype(np.int32)
-        seen = np.unique(seen)
-    return seen
+        hashed = hashed[:size] * _STEP + codes[n - 1:]
+        if n in orders:
+            parts.append((((hashed + np.uint64(n)) * _MIX) >> np.uint64(64 - bits)).astype(np.int32))
+    if not parts:
+        return np.zeros(0, np.int32)
+    seen = np.concatenate(parts)
+    if len(seen) * 4 > 1 << bits:
+        marks = np.zeros(1 << bits, bool)
+        marks[seen] = True
+        return np.flatnonzero(marks).astype(np.int32)
+    return np.unique(seen)
 
 
 @dataclass
