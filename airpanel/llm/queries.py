@@ -119,10 +119,10 @@ _NO_SPACE = f"regexp_replace({{}}, '{_SPACE}', '', 'g')"
 
 
 def _line_passes_sql(line: str) -> str:
-    last = f"right(regexp_replace({line}, '{_SPACE}+$', ''), 1)"
+    ends = "[" + END_MARKS.replace("'", "''") + "]"
     phrases = " OR ".join(f"contains(lower({line}), {lit(p)})" for p in BOILERPLATE)
     return (
-        f"contains({lit(END_MARKS)}, {last})"
+        f"regexp_matches({line}, '{ends}{_SPACE}*\\z')"
         f" AND 3 * length(regexp_replace({line}, '[^{SEPARATORS}]', '', 'g')) < len(regexp_extract_all({line}, '{_WORD}+'))"
         f" AND length(regexp_replace({line}, '[^#*$%&|<>]', '', 'g')) <= 0.1 * length({line}) AND NOT ({phrases})"
     )
