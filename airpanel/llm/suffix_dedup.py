@@ -43,6 +43,8 @@ ANCHOR = 20
 WIDTHS = (None, 9, 1)
 #: Bytes indexed at a time, and anchored at a time (places fit 20 bits).
 CHUNK, BLOCK = 64_000, 1 << 19
+#: Segments that a task remembers having sent.
+KEPT = 150_000
 _B = np.uint64(0x9E3779B97F4A7C15)
 NO_ID = -(1 << 63)
 
@@ -210,16 +212,23 @@ class _Out:
 
 
 def _cut_segments(length: int):
-    """From documents with their repeated anchors (``marks``) to segments, equal ones of a slice collapsed."""
+    """From documents with their repeated anchors (``marks``) to segments; equal ones of a task collapse.
+
+    A segment equal to an earlier one that the task has sent is marked at once. The memory of sent segments
+    starts anew at ``KEPT``, which costs rows but changes no result.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
+        first: dict[tuple[int, bytes], tuple[int, int, int]] = {}
         for batch in slices(batches, 1000):
-            out, first = _Out(), {}
+            out = _Out()
+            if len(first) > KEPT:
+                first = {}
             lists = batch["marks"]
             bounds, ats, vs = lists.offsets.to_pylist(), lists.values.field("at").to_numpy(), lists.values.field("v").to_numpy()
             rows = zip(*(batch[c].to_pylist() for c in ("id", "doc", "z")), bounds, bounds[1:], strict=False)
-            # In the order of documents, so that the first of equal segments is the one that stays.
+            # In the order of documents, so that most often the first of equal segments is sent first.
             for doc_id, doc, packed, a, b in sorted(rows, key=lambda r: (NO_ID if r[0] is None else r[0], r[1])):
                 doc_id = NO_ID if doc_id is None else doc_id
                 text = unpack(packed)
@@ -229,12 +238,13 @@ def _cut_segments(length: int):
                     start, end = place - (at >> 7 & 127), place - (at & 127) + length
                     if start < 0 or end > len(text):
                         continue  # the anchor of another document with the same hash
-                    key = (v, text[start:end])
-                    if key in first and first[key] != (doc_id, doc, start):
-                        out.mark(doc_id, doc, start, end)
-                    elif key not in first:
-                        first[key] = (doc_id, doc, start)
+                    key, here = (v, text[start:end]), (doc_id, doc, start)
+                    sent = first.get(key)
+                    if sent is None or here < sent:
+                        first[key] = here
                         out.rows.append((v, key[1], doc_id, doc, start, end, place - start))
+                    elif here != sent:
+                        out.mark(doc_id, doc, start, end)
             yield from out.flush()
 
     return run

@@ -13,7 +13,7 @@ def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
     for j in range(length):  # 7 symbols of 9 bits
         key = (key << np.uint64(9)) | padded[j:n + j]
     while True:
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         ordered = key[order]
         rank = np.empty(n, np.uint64)
         rank[order] = np.cumsum(np.concatenate([[0], ordered[1:] != ordered[:-1]])).astype(np.uint64)
@@ -30,31 +30,27 @@ def prefix_groups(symbols: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarr
     """(order, group): suffixes in sorted order, and a number per place that changes where the common prefix
     with the suffix before is shorter than ``least``.
 
-    ``symbols`` are small integers in which 0 ends each string. The intervals of all strings of one length are
-    extended to the left by every symbol at once. Extending an interval bound gives a place in the order where
-    the common prefix is one longer, unless a shorter one has been found there; so common prefixes come out by
-    increasing value, and the search stops at ``least``. Places it has not reached hold prefixes that long.
+    ``symbols`` are small integers in which 0 ends each string. The transform maps the place of a suffix to that
+    of the suffix one symbol shorter. Extending the intervals of all strings of one length to the left by every
+    symbol puts a bound between two suffixes that begin alike just where a bound of that length lies between the
+    two shorter ones. So common prefixes come out breadth-first, by increasing value, and the search stops at
+    ``least``. Places it has not reached hold prefixes that long.
     """
     n = len(symbols)
     order = suffix_order(symbols, least + 1)
-    before = symbols[order - 1]  # the transform; the first suffix is preceded by the last symbol
-    alphabet = np.unique(symbols)
-    first = np.searchsorted(symbols[order], alphabet)  # where the suffixes of each symbol begin
-    # occurs[c, i]: how many of the first i entries of the transform are the symbol c.
-    occurs = np.zeros((len(alphabet), n + 1), np.int32)
-    for row, symbol in enumerate(alphabet):
-        np.cumsum(before == symbol, out=occurs[row, 1:])
-    ends = np.append(first[1:], n)
-    bound = np.zeros(n + 1, bool)
-    bound[first] = True
-    bound[n] = True
-    frontier = first
+    transform = symbols[order - 1]  # the first suffix is preceded by the last symbol
+    shorter = np.argsort(transform, kind="stable").astype(np.int32)
+    start = transform[shorter]
+    bound = np.ones(n, bool)
+    bound[1:] = start[1:] != start[:-1]  # prefixes of no common symbol
+    place = np.flatnonzero(~bound)
+    before, after = shorter[place - 1], shorter[place]
     for _ in range(1, least):
-        if not len(frontier):
+        bounds = np.cumsum(bound, dtype=np.int32)
+        apart = bounds[after] != bounds[before]
+        if not apart.any():
             break
-        places = first[:, None] + occurs[:, frontier]
-        places = places[places < ends[:, None]]
-        fresh = np.unique(places[~bound[places]])
-        bound[fresh] = True
-        frontier = fresh
-    return order, np.cumsum(bound[:n])
+        bound[place[apart]] = True
+        together = ~apart
+        place, before, after = place[together], before[together], after[together]
+    return order, np.cumsum(bound)
