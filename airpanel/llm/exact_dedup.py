@@ -114,17 +114,17 @@ def exact_duplicates(
         index.groupBy("bucket", "key").agg(F.count("*").alias("n"), F.array_sort(F.collect_list("sha")).alias("shas"))
         .filter("n > 1").select("bucket", "key", F.posexplode("shas").alias("chain", "sha"))
     )
-    index = index.join(chains, ["bucket", "key", "sha"], "left").withColumn("chain", F.coalesce("chain", F.lit(0)))
     repeats = (
         rows.groupBy("id", "key", "sha").agg(F.min("row").alias("first"), F.count("*").alias("copies")).filter("copies > 1")
         .select(F.col("id").alias("r_id"), F.col("key").alias("r_key"), F.col("sha").alias("r_sha"), "first", "copies")
     )
-    found = placed(rows).join(index, ["bucket", "key", "sha"])
+    # The rows meet the index alone first: one index row each, so Spark can split a key with many rows.
+    found = placed(rows).join(index, ["bucket", "key", "sha"]).join(chains, ["bucket", "key", "sha"], "left")
     same = F.col("id").eqNullSafe(F.col("r_id")) & (F.col("key") == F.col("r_key")) & (F.col("sha") == F.col("r_sha"))
     return found.join(repeats, same, "left").select(
         F.col("id").alias(id_col), "keep_id", "group_size",
         (F.col("id").eqNullSafe(F.col("keep_id")) & (F.coalesce("first", "row") == F.col("row"))).alias("kept"),
-        F.lower(F.hex("sha")).alias("text_sha256"), "chain", F.coalesce("copies", F.lit(1)).alias("copies"),
+        F.lower(F.hex("sha")).alias("text_sha256"), F.coalesce("chain", F.lit(0)).alias("chain"), F.coalesce("copies", F.lit(1)).alias("copies"),
     )
 
 
