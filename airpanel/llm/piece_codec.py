@@ -6,8 +6,8 @@ the prefix before it is the entry. Two tokens are compatible if merging their jo
 two. The ids are read off the table from the end of the text backwards.
 
 Characters outside the vocabulary become byte tokens. Texts are cut where no token can span (before a run of
-space marks, around newlines), and each worker keeps a bounded cache of encoded cuts; a model whose tokens
-span such places is used without cuts.
+space marks, around newlines), and a cut at every pair of neighbours that lies inside no token; each worker
+keeps a bounded cache of short cuts and parts. A model whose tokens span spaces is used without the first.
 
 Defined cases: a null text is the empty text, with no ids. Repeated rows and null ids keep their row each. An
 empty table gives an empty result; further columns are not read.
@@ -31,6 +31,8 @@ from airpanel.llm.common import Cache, slices
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
+#: Only texts of fewer characters are kept in the cache.
+SHORT = 200
 
 
 class PieceCodec:
@@ -67,7 +69,6 @@ class PieceCodec:
             else:
                 self.surface.append(model.trainer_spec.unk_surface.encode() if p.type == UNKNOWN else b"")
         self.words.make_automaton()
-        self.unknown = re.compile("[^" + "".join(map(re.escape, sorted(self.alphabet))) + "]")
         self.piece_of = {i: p for p, i in self.ids.items()}
         #: Neighbours inside some piece; a text may be cut between any others.
         self.inside = {p[i:i + 2] for p in self.ids for i in range(len(p) - 1)}
@@ -154,24 +155,26 @@ class PieceCodec:
             known = self.compatible.put(token, self.merged(piece) == [piece])
         return known
 
+    def _part(self, part: str) -> tuple[int, ...]:
+        """Ids of characters that lie inside pieces two by two, or of a single one; outside the alphabet it is bytes."""
+        if len(part) == 1 and part not in self.alphabet:
+            return tuple(self.byte_ids[b] for b in part.encode())
+        return tuple(self._table(part))
+
     def _cut(self, cut: str) -> tuple[int, ...]:
-        """Ids of a cut; characters outside the alphabet are bytes and part the rest."""
-        if cut[-2:] not in self.inside and len(cut) > 1:
-            head = self.encoded.get(cut[:-1])
-            if head is None:
-                head = self.encoded.recall(cut[:-1])
-            if head is None:
-                head = self.encoded.put(cut[:-1], self._cut(cut[:-1]))
-            return head + self._cut(cut[-1])
-        ids: list[int] = []
-        start = 0
-        for found in self.unknown.finditer(cut):
-            if start < found.start():
-                ids += self._table(cut[start:found.start()])
-            ids += [self.byte_ids[b] for b in found[0].encode()]
-            start = found.end()
-        if start < len(cut):
-            ids += self._table(cut[start:])
+        """Ids of a cut, part by part: no token spans neighbours that lie inside no piece."""
+        known, inside, ids, start = self.encoded, self.inside, [], 0
+        for end in range(1, len(cut) + 1):
+            if end < len(cut) and cut[end - 1:end + 1] in inside:
+                continue
+            part = cut[start:end]
+            found = known.get(part)
+            if found is None:
+                found = known.recall(part)
+            if found is None:
+                found = known.put(part, self._part(part)) if len(part) < SHORT else self._part(part)
+            ids += found
+            start = end
         return tuple(ids)
 
     def encode(self, text: str) -> list[int]:
@@ -186,7 +189,7 @@ class PieceCodec:
             if ids is None:
                 ids = known.recall(cut)
             if ids is None:
-                ids = known.put(cut, self._cut(cut)) if len(cut) < 200 else self._cut(cut)
+                ids = known.put(cut, self._cut(cut)) if len(cut) < SHORT else self._cut(cut)
             parts.append(ids)
         return list(chain.from_iterable(parts))
 

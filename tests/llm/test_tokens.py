@@ -56,6 +56,25 @@ def test_ids_of_pieces_and_their_decoding(prose, library):
         assert mine.decode(ids) == model.decode(ids), ids
 
 
+@pytest.mark.parametrize("run", [
+    "0123456789", "\n", "春眠暁を覚えず処処啼鳥を聞く夜来風雨の声", "天地玄黄宇宙洪荒日月盈昃", "สวัสดีชาวโลก", "😀🎉", "7", "ab7", "\x00",
+])
+def test_long_runs_without_a_space(library, run):
+    mine, model = PieceCodec(P.path("piece_bpe_32k.model"), cache=50_000), library["pieces"]
+    for t in (run * (5000 // len(run)), "see " + run * (1500 // len(run)) + " x\n"):
+        ids = model.encode(t)
+        assert mine.encode(t) == ids and mine.decode(ids) == model.decode(ids) == t
+        assert max(map(len, [k for k in mine.encoded if isinstance(k, str)])) < 200
+    # The parts of a run are kept, not its prefixes.
+    assert len(mine.encoded) < 100
+
+
+def test_long_runs_in_a_table(documents, library):
+    rows = [(1, "1" * 5000), (2, "\n" * 5000), (3, "春眠暁を覚えず" * 700), (4, "😀" * 5000)]
+    got = {r.doc_id: (r.n_tokens, r.decoded_sha256) for r in round_trip(documents(rows), P.path("piece_bpe_32k.model")).collect()}
+    assert got == {i: (len(library["pieces"].encode(t)), hashlib.sha256(t.encode()).hexdigest()) for i, t in rows}
+
+
 def test_joined_pieces_merge_like_the_library(library):
     rnd, model = random.Random(3), library["pieces"]
     mine = PieceCodec(P.path("piece_bpe_32k.model"))
