@@ -6,7 +6,8 @@ brought to unit length, and a logistic model is fitted on them. Scoring is one p
 model broadcast: one number per hash value, whose size ``bits`` fixes.
 
 The sample is at most ``sample_rows`` labelled ids, picked by a hash of the id, and at most ``sample_chars``
-characters of their texts. One task fits it, in an order that does not depend on how rows are dealt.
+characters of their texts: rows come in the order of that hash until the next one does not fit; a text longer
+than ``sample_chars`` is not learned from. One task picks and fits, in orders that do not depend on how rows are dealt.
 
 Defined cases: a null text is the empty text; a text without n-grams gets the score of the intercept. Labels
 that are null, or have no document, are not used; of several labels for one id the larger counts. Without both
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from airpanel.llm.common import slices, text_of
 
-ORDERS = (3, 4, 5)
+ORDERS = (3, 4, 5, 7)
 _STEP, _MIX = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -119,17 +120,23 @@ def train(
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, room = [], sample_chars
         for batch in slices(batches, 100):
+            if room < 0:
+                continue  # full; what is left is read without being kept
             for row in zip(*(batch[c].to_pylist() for c in ("id", "label", "text")), strict=True):
-                if len(row[2]) <= room:
-                    rows.append(row)
-                    room -= len(row[2])
+                if len(row[2]) > sample_chars:
+                    continue
+                room -= len(row[2])
+                if room < 0:
+                    break
+                rows.append(row)
         rows.sort(key=lambda r: (str(r[0]), r[2]))
         model = fitted([r[2] for r in rows], [r[1] for r in rows], bits)
         yield pa.RecordBatch.from_pydict({
             "bias": [model.bias], "scale": [model.scale.tobytes()], "weights": [model.weights.tobytes()],
         })
 
-    row = sample.repartition(1).mapInArrow(fit, "bias double, scale binary, weights binary").first()
+    ordered = sample.repartition(1).sortWithinPartitions(F.xxhash64("id"), "id", F.xxhash64("text"), "text")
+    row = ordered.mapInArrow(fit, "bias double, scale binary, weights binary").first()
     if row is None:
         return fitted([], [], bits)
     return Model(bits, row["bias"], np.frombuffer(row["scale"], np.float32), np.frombuffer(row["weights"], np.float32))

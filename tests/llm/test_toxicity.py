@@ -44,6 +44,12 @@ def test_held_out_accuracy(scored):
     assert sum(r.predicted for r in english) >= 0.97 * len(english) > 20
 
 
+def test_wider_orders_find_other_languages(scored):
+    held = [r for r in scored if r.held_out]
+    assert sum(r.predicted and r.toxic for r in held) >= 0.68 * sum(r.toxic for r in held)
+    assert sum(r.predicted and r.toxic for r in held) >= 0.93 * sum(r.predicted for r in held)
+
+
 def test_labels_of_held_out_rows_are_not_used(documents, spark):
     words = [(i, f"vile scum number {i}" if i % 3 == 0 else f"pleasant weather number {i}") for i in range(60)]
     df = documents(words + [(None, None), (3, "vile scum number 3")])
@@ -64,3 +70,13 @@ def test_sample_is_bounded(documents, spark):
     labels = spark.createDataFrame([(i, i % 2) for i in range(50)], "doc_id long, toxic int")
     assert train(df, labels, sample_chars=150).bias in (30.0, -np.inf)  # room for one text only
     assert df.filter(held_out("doc_id")).count() == sum(zlib.crc32(str(i).encode()) % 4 == 2 for i in range(50))
+
+
+def test_sample_does_not_follow_the_order_of_rows(documents, spark):
+    rows = [(i, f"word {i} " * (1 + i % 7)) for i in range(200)] + [(200, "long " * 1000)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(201)], "doc_id long, toxic int")
+    dealt = [rows, rows[::-1], sorted(rows, key=lambda r: len(r[1]))]
+    models = [train(documents(r).coalesce(1), labels, sample_chars=2000) for r in dealt]
+    assert np.isfinite(models[0].bias) and models[0].weights.any()
+    for other in models[1:]:
+        assert other.bias == models[0].bias and (other.weights == models[0].weights).all()
