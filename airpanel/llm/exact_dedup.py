@@ -2,10 +2,11 @@
 
 The key of a text is the 64-bit hash of its normalised form (A-Z lower-cased). A directory over the leading
 key bits names the bucket of every key: buckets that hold more keys than ``capacity`` are split, and the
-directory doubles when a split needs one more bit. Entries are (bucket, key, text) with the row that stays;
-equal texts collapse to one entry before they are shuffled, so that a text with a third of all rows costs no
-more than any other. The task that owns an entry compares whole texts byte by byte (texts are grouping
-keys); different texts with one key form a chain. The index is written sorted by key, each file a range of
+directory doubles when a split needs one more bit. Equal texts are found before that, by grouping rows by key
+and whole text: they collapse before they are shuffled, so that a text with a third of all rows costs no more
+than any other. The index orders and labels the finished entries (bucket, key, SHA-256 of the text, the row that
+stays, the size of the group; no text); different texts with one key are numbered along a chain by their
+SHA-256. The index is written sorted by key, each file a range of
 buckets. Rows then look up their entry by bucket, key and digest.
 
 Only DataFrame operations run; the directory, at most ``2 ** max_depth`` slots, is all that reaches the driver.
