@@ -12,8 +12,8 @@ or before it in the same document. Strings are judged on the input.
   common prefixes by increasing value and stops at ``length`` (``suffix_index``). Suffixes it leaves together
   share a window, of which all but the first are repeats.
 * An anchor with more than ``most`` different segments, such as a line in a third of all documents, is dealt
-  anew: its windows are cut into smaller sets that share more bytes, at last into single windows. So no group
-  grows with the corpus, and nothing is dropped.
+  anew: its windows are cut into smaller sets that share more bytes, at last into single windows. Those are
+  marked by equality alone; the index does not see them. Nothing is dropped.
 
 A document is known by a hash of id and text until its text is at hand. If two documents share that hash, the
 segments cut for the wrong one are still true strings of it, and marks carry the id.
