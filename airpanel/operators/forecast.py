@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-from airpanel.operators.chunks import NODE, TIME, windowed, with_positions
+from airpanel.operators.chunks import CHUNK, NODE, TIME, chunk_of, windowed, with_positions
 from airpanel.operators.rows import quoted
 from airpanel.session import materialize
 
@@ -126,7 +126,8 @@ def rolling_origin_forecast(
 
     Origins lie ``horizon`` test rows apart; each sees the train rows and all test
     rows before it. The sums behind a fit are taken once per block of ``horizon``
-    rows, and a running sum over these few rows gives every fit. A test row looks
+    rows, and a running sum over the blocks gives every fit: it runs inside chunks
+    of blocks, and one row per chunk carries the sums before it. A test row looks
     up the fit of its origin and gets its step in closed form.
     """
     rows = windowed(
@@ -142,11 +143,17 @@ def rolling_origin_forecast(
     rows = rows.withColumn("origin", F.floor(F.col("_place") / F.lit(horizon)))
     y, x = F.when(F.col("_x").isNotNull(), F.col(column)), F.when(F.col(column).isNotNull(), F.col("_x"))
     sums = {"n": F.count(y * x), "x": F.sum(x), "y": F.sum(y), "xx": F.sum(x * x), "xy": F.sum(x * y)}
-    blocks = rows.groupBy(key, "origin").agg(
+    blocks = materialize(rows.groupBy(key, "origin").agg(
         *[s.alias(f"_{name}") for name, s in sums.items()], F.max_by(column, time).alias("_last"),
+    ), "blocks").withColumn("_chunk", chunk_of("origin", max(1, kw.get("size", CHUNK) // horizon)))
+    earlier = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carried = blocks.groupBy(key, "_chunk").agg(*[F.sum(f"_{name}").alias(f"_{name}") for name in sums]).select(
+        key, "_chunk", *[F.coalesce(F.sum(f"_{name}").over(earlier), F.lit(0)).alias(f"_{name}_before") for name in sums],
+    )
+    seen = Window.partitionBy(key, "_chunk").orderBy("origin").rowsBetween(Window.unboundedPreceding, 0)
+    fits = blocks.join(carried, [key, "_chunk"]).withColumns(
+        {f"_{name}": F.coalesce(F.sum(f"_{name}").over(seen), F.lit(0)) + F.col(f"_{name}_before") for name in sums}
     )
-    seen = Window.partitionBy(key).orderBy("origin").rowsBetween(Window.unboundedPreceding, 0)
-    fits = blocks.withColumns({f"_{name}": F.sum(f"_{name}").over(seen) for name in sums})
     n, sx, sy, sxx, sxy = (F.col(f"_{name}") for name in sums)
     spread = n * sxx - sx * sx
     fits = fits.withColumn("phi", F.when(spread > 0, (n * sxy - sx * sy) / spread))

@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -43,6 +45,16 @@ def test_backtest_refits_at_every_origin(frame, size):
             np.testing.assert_allclose(part["y_pred"], steps(pairs, last, 6), rtol=1e-7)
 
 
+def test_running_sums_of_a_backtest_go_along_chunks(frame):
+    plans = [forecast.rolling_origin_forecast(frame(walk(200)), horizon=6, size=s) for s in (4, 4096)]
+    specs = re.findall(r"windowspecdefinition\((.*?) ASC", plans[0]._jdf.queryExecution().optimizedPlan().toString())
+    by_origin = [s for s in specs if "origin#" in s]
+    assert by_origin and all("_chunk#" in s for s in by_origin)
+    small, plain = (p.orderBy("node_id", "timestamp").toPandas() for p in plans)
+    assert len(small) == 48
+    pd.testing.assert_frame_equal(small, plain, rtol=1e-9)
+
+
 def test_holdout_is_fitted_on_train_only(frame):
     pdf = walk(100)
     parts = splits.chrono_split(frame(pdf))
