@@ -5,9 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from airpanel.llm.common import LOWER, UPPER, read
+from airpanel.llm.debruijn_dedup import remove_repeated_passages
 from airpanel.llm.exact_dedup import exact_duplicates
+from airpanel.llm.hard_negatives import hard_negatives
+from airpanel.llm.lexical_search import rank_documents
 from airpanel.llm.packing import pack_documents
 from airpanel.llm.piece_codec import round_trip
 from airpanel.llm.quality_rules import BOILERPLATE, END_MARKS, SEPARATORS, judge_quality
@@ -149,3 +153,50 @@ def _line_passes_sql(line: str) -> str:
     FROM c""")
 def op10_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return judge_quality(read(spark, sf, "documents"))
+
+
+@query("op11_substring_dedup")
+def op11_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return remove_repeated_passages(read(spark, sf, "documents"))
+
+
+@query("op12_hard_negatives", """
+    WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                      list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS vec FROM embeddings
+               WHERE label IS NOT NULL AND embedding IS NOT NULL
+                 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+         s AS (SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+                      CAST(list_inner_product(a.vec, r.vec) AS BIGINT) AS score
+               FROM v a JOIN v r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0),
+         p AS (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place
+               FROM s WHERE same QUALIFY place <= 5),
+         n AS (SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+                      row_number() OVER (PARTITION BY p.anchor_id, p.place ORDER BY s.score DESC, s.vec_id) AS rank
+               FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same
+                            AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score)
+    SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+    FROM n WHERE rank <= 5""")
+def op12_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(read(spark, sf, "embeddings"), F.col("id") % 100 == 0, label_col=label)
+
+
+_SQL_TERMS = f"unnest(regexp_extract_all({lower_sql("coalesce(text, '')")}, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')) AS term"
+
+
+@query("op13_lexical_search", f"""
+    WITH t AS (SELECT r, doc_id, {_SQL_TERMS} FROM (SELECT *, row_number() OVER () AS r FROM documents)),
+         d AS (SELECT r, any_value(doc_id) AS doc_id, count(*) AS n FROM t GROUP BY r),
+         s AS (SELECT count(*) AS nd, CAST(sum(n) AS BIGINT) AS l FROM d),
+         f AS (SELECT r, term, count(*) AS tf FROM t GROUP BY r, term),
+         w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(nd) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+               FROM f, s GROUP BY term),
+         q AS (SELECT i, item_id, term, count(*) AS times FROM
+               (SELECT i, item_id, {_SQL_TERMS} FROM (SELECT *, row_number() OVER () AS i FROM benchmark)) GROUP BY i, item_id, term),
+         x AS (SELECT i, item_id, r, doc_id,
+                      CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * nd) // l)))) AS BIGINT) AS score
+               FROM q JOIN w USING (term) JOIN f USING (term) JOIN d USING (r), s GROUP BY i, item_id, r, doc_id)
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+    FROM x WHERE score > 0 QUALIFY rank <= 20""")
+def op13_lexical_search(spark: SparkSession, sf: str) -> DataFrame:
+    return rank_documents(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
