@@ -32,6 +32,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
@@ -172,15 +173,19 @@ def _bounds(text: bytes) -> tuple[np.ndarray, np.ndarray]:
 class _Sent:
     """Rows of one task: pieces by their digest, and claims for pieces that the task has seen before.
 
-    A claim has no digest of a piece; it is dealt by its coordinates.
+    A row is (d1, d2, ids, at): ``ids`` holds the document's id and that of the source, ``at`` the document's hash,
+    start, end, minimizer, and the start in the source, which is -1 for a piece. All readers of the rows need all
+    four columns, so that they share one shuffle.
     """
 
-    names = ("d1", "d2", "id", "doc", "start", "end", "v", "from_id", "from_start")
-
-    def __init__(self, id_type: pa.DataType):
+    def __init__(self, id_type: pa.DataType, sources: bool):
         self.first: dict[bytes, tuple] = {}
-        self.rows: list[tuple] = []
-        self.kinds = (pa.int64(), pa.int64(), id_type, *[pa.int64()] * 4, id_type, pa.int64())
+        self.id_type, self.sources = id_type, sources
+        self.digests: list[bytes] = []
+        self.pieces: list[tuple] = []
+        self.piece_ids: list = []
+        self.claims: list[tuple] = []
+        self.claim_ids: list = []
 
     def add(self, piece: bytes, doc_id, doc: int, start: int, end: int, v: int) -> None:
         digest = hashlib.blake2b(piece, digest_size=16).digest()
@@ -188,55 +193,74 @@ class _Sent:
         sent = self.first.get(digest)
         if sent is None or here < sent:
             self.first[digest] = here
-            self.rows.append((
-                int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True),
-                doc_id, doc, start, end, v, None, None,
-            ))
+            self.digests.append(digest)
+            self.pieces.append((doc, start, end, v, -1))
+            self.piece_ids += (doc_id, None)
         elif here != sent:
             self.claim(doc_id, doc, start, end, sent)
 
     def claim(self, doc_id, doc: int, start: int, end: int, sent: tuple) -> None:
-        if self.rows:
-            last = self.rows[-1]
-            same = last[6] is None and last[2] == doc_id and last[3] == doc and last[7] == sent[1]
-            if same and last[4] <= start <= last[5] and last[8] - last[4] == sent[3] - start:
-                self.rows[-1] = (*last[:5], max(end, last[5]), *last[6:])
+        if self.claims:
+            last = self.claims[-1]
+            goes_on = not self.sources or last[4] - last[1] == sent[3] - start and self.claim_ids[-1] == sent[1]
+            if last[0] == doc and last[1] <= start <= last[2] and self.claim_ids[-2] == doc_id and goes_on:
+                self.claims[-1] = (doc, last[1], max(end, last[2]), 0, last[4])
                 return
-        self.rows.append((doc, start, doc_id, doc, start, end, None, sent[1], sent[3]))
+        self.claims.append((doc, start, end, 0, sent[3]))
+        self.claim_ids += (doc_id, sent[1])
 
     def flush(self) -> Iterator[pa.RecordBatch]:
         if len(self.first) > KEPT:
             self.first = {}
-        if self.rows:
-            columns = zip(*self.rows, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, self.kinds, strict=True)], names=self.names)
-            self.rows = []
-
-
-def _documents(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[tuple]:
-    """(id, doc, text, marks) of documents in the order of their ids, so that most often the first of equals is sent first."""
+        n = len(self.pieces) + len(self.claims)
+        if n:
+            claims = np.array(self.claims, np.int64).reshape(-1, 5)
+            at = np.concatenate([np.array(self.pieces, np.int64).reshape(-1, 5), claims])
+            digests = np.frombuffer(b"".join(self.digests), np.int64).reshape(-1, 2)
+            keys = np.concatenate([digests, claims[:, :2]])  # a claim is dealt by its place
+            ids = pa.array(self.piece_ids + self.claim_ids, self.id_type)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.ListArray.from_arrays(pa.array(np.arange(0, 2 * n + 1, 2, np.int32)), ids),
+                pa.ListArray.from_arrays(pa.array(np.arange(0, 5 * n + 1, 5, np.int32)), pa.array(at.ravel())),
+            ], names=["d1", "d2", "ids", "at"])
+            self.digests, self.pieces, self.piece_ids, self.claims, self.claim_ids = [], [], [], [], []
+
+
+def _lists(column: pa.Array) -> Iterator[list[tuple]]:
+    """The structs of each list; none for a null."""
+    values = column.flatten()
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)).tolist()
+    rows = list(zip(*(values.field(i).to_pylist() for i in range(values.type.num_fields)), strict=True))
+    start = 0
+    for end in ends:
+        yield rows[start:end]
+        start = end
+
+
+def _documents(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[tuple | None]:
+    """(id, doc, text, marks) of documents in the order of their ids, so that most often the first of equals is sent first.
+
+    None ends a slice.
+    """
     unpack = zstandard.ZstdDecompressor().decompress
     for batch in slices(batches, rows):
-        lists = batch["marks"]
-        fields = [lists.values.field(i).to_pylist() for i in range(lists.values.type.num_fields)]
-        bounds = lists.offsets.to_pylist()
-        found = zip(*(batch[c].to_pylist() for c in ("id", "doc", "z")), bounds, bounds[1:], strict=False)
-        for doc_id, doc, packed, a, b in sorted(found, key=lambda r: (r[0] is not None, r[0], r[1])):
-            yield doc_id, doc, unpack(packed), sorted(set(zip(*(f[a:b] for f in fields), strict=True)))
+        found = zip(*(batch[c].to_pylist() for c in ("id", "doc", "z")), _lists(batch["marks"]), strict=True)
+        for doc_id, doc, packed, marks in sorted(found, key=lambda r: (r[0] is not None, r[0], r[1])):
+            yield doc_id, doc, unpack(packed), sorted(set(marks))
         yield None
 
 
-def _cut_runs(window: int, id_type: pa.DataType):
+def _cut_runs(window: int, id_type: pa.DataType, sources: bool):
     """From documents with their repeated minimizers to runs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sent = _Sent(id_type)
+        sent = _Sent(id_type, sources)
         for found in _documents(batches):
             if found is None:
                 yield from sent.flush()
                 continue
             doc_id, doc, text, marks = found
-            starts, ends = _bounds(text)
+            starts, ends = (x.tolist() for x in _bounds(text))
             for at, v in marks:
                 at >>= 2
                 place = at >> 14
@@ -248,11 +272,11 @@ def _cut_runs(window: int, id_type: pa.DataType):
     return run
 
 
-def _dissolve(window: int, id_type: pa.DataType):
+def _dissolve(window: int, id_type: pa.DataType, sources: bool):
     """From documents with their branching paths (start, end) to edges."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sent = _Sent(id_type)
+        sent = _Sent(id_type, sources)
         for found in _documents(batches):
             if found is None:
                 yield from sent.flush()
@@ -267,19 +291,22 @@ def _dissolve(window: int, id_type: pa.DataType):
     return run
 
 
-def _met(pieces: DataFrame) -> DataFrame:
-    """Pieces beside the first occurrence of their digest; a task sends a piece once, or a few times."""
-    here = F.struct("id", "doc", "start")
-    least = F.min(F.when(F.col("v").isNotNull(), here)).over(Window.partitionBy("d1", "d2", F.col("v").isNull()))
-    return pieces.withColumn("first", least).withColumn("stays", F.col("v").isNotNull() & here.eqNullSafe(F.col("first")))
+def _met(rows: DataFrame) -> DataFrame:
+    """Rows beside the first occurrence of their digest; a task sends a piece once, or a few times."""
+    ids, at = F.col("ids"), F.col("at")
+    piece, here = at[4] < 0, F.struct(ids[0].alias("id"), at[0].alias("doc"), at[1].alias("start"))
+    least = F.min(F.when(piece, here)).over(Window.partitionBy("d1", "d2", at[4] >= 0))
+    met = rows.withColumn("first", least)
+    return met.select(
+        ids[0].alias("id"), at[0].alias("doc"), at[1].alias("start"), at[2].alias("end"), at[3].alias("v"),
+        F.when(piece, F.col("first.id")).otherwise(ids[1]).alias("from_id"), F.when(piece, F.col("first.start")).otherwise(at[4]).alias("from_start"),
+        (piece & here.eqNullSafe(F.col("first"))).alias("stays"),
+    )
 
 
 def _claims(met: DataFrame) -> DataFrame:
     """(id, doc, start, end, from_id, from_start) of what repeats."""
-    return met.filter(~F.col("stays")).select(
-        "id", "doc", "start", "end", F.when(F.col("v").isNull(), F.col("from_id")).otherwise(F.col("first.id")).alias("from_id"),
-        F.coalesce("from_start", "first.start").alias("from_start"),
-    )
+    return met.filter(~F.col("stays")).drop("stays", "v")
 
 
 class _Corpus:
@@ -297,7 +324,8 @@ class _Corpus:
                 packed = pa.array([squeeze(b" ".join(t.split())) for t in batch["text"].to_pylist()], pa.binary())
                 yield pa.RecordBatch.from_arrays([batch["id"], batch["doc"], packed], names=["id", "doc", "z"])
 
-        self.packed = self.docs.mapInArrow(pack, f"id {self.id_name}, doc long, z binary")
+        # The condition is that of an inner join, so that all joins share one shuffle of the texts.
+        self.packed = self.docs.mapInArrow(pack, f"id {self.id_name}, doc long, z binary").filter("doc IS NOT NULL")
 
     def with_marks(self, marks: DataFrame, mark: Column, how: str = "inner") -> DataFrame:
         """Texts joined with the list of their marks."""
@@ -305,22 +333,22 @@ class _Corpus:
         return self.packed.join(lists, "doc", how).select("id", "doc", "z", "marks")
 
 
-def _found(corpus: _Corpus, window: int, minimizer: int) -> DataFrame:
-    """Claims of all repeated runs and edges."""
+def _found(corpus: _Corpus, window: int, minimizer: int, sources: bool) -> DataFrame:
+    """Claims of all repeated runs and edges; without ``sources`` those that a task knows merge whatever their source."""
     spark = corpus.docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     id_type = _arrow(corpus.id_type)
-    schema = f"d1 long, d2 long, id {corpus.id_name}, doc long, start long, end long, v long, from_id {corpus.id_name}, from_start long"
+    schema = f"d1 long, d2 long, ids array<{corpus.id_name}>, at array<long>"
     rows = corpus.docs.select("doc", "text").filter(F.octet_length("text") >= 2 * window - 1)
     rows = rows.mapInArrow(_minimizer_rows(window, minimizer), "v long, doc long, at long")
     route = F.when(F.col("at").bitwiseAND(3) == 2, F.xxhash64("doc", "at")).otherwise(F.col("v"))
     repeated = rows.repartition(parts, route).sortWithinPartitions("v").mapInArrow(_repeated, "v long, doc long, at long")
-    runs = corpus.with_marks(repeated, F.struct("at", "v")).mapInArrow(_cut_runs(window, id_type), schema)
+    runs = corpus.with_marks(repeated, F.struct("at", "v")).mapInArrow(_cut_runs(window, id_type, sources), schema)
     paths = _met(runs)
     distinct = paths.filter("stays").select("v", "doc", "start", "end")
     several = distinct.groupBy("v").agg(F.count("*").alias("paths")).filter("paths > 1").select("v")
     branching = distinct.join(several, "v")
-    edges = corpus.with_marks(branching, F.struct("start", "end")).mapInArrow(_dissolve(window, id_type), schema)
+    edges = corpus.with_marks(branching, F.struct("start", "end")).mapInArrow(_dissolve(window, id_type, sources), schema)
     return _claims(paths).unionAll(_claims(_met(edges)))
 
 
@@ -344,11 +372,10 @@ def _each(joined: DataFrame, schema: str, row: Callable, names: list[str], kinds
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
-        for batch in slices(batches, 200):
+        for batch in slices(batches, 500):
             out = []
-            for doc_id, packed, marks in zip(*(batch[c].to_pylist() for c in ("id", "z", "marks")), strict=True):
-                claims = [(m["start"], m["end"], m["from_id"], m["from_start"]) for m in marks or () if m["id"] == doc_id]
-                out += row(doc_id, unpack(packed), claims)
+            for doc_id, packed, marks in zip(batch["id"].to_pylist(), batch["z"].to_pylist(), _lists(batch["marks"]), strict=True):
+                out += row(doc_id, unpack(packed), [m[1:] for m in marks if m[0] == doc_id])
             columns = zip(*out, strict=True) if out else [()] * len(kinds)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
@@ -372,7 +399,7 @@ def repeated_spans(
     """
     _check(window, minimizer)
     corpus = _Corpus(df, id_col, text_col)
-    joined = corpus.with_marks(_found(corpus, window, minimizer), F.struct(*_CLAIM))
+    joined = corpus.with_marks(_found(corpus, window, minimizer, True), F.struct(*_CLAIM))
     kinds = [_arrow(corpus.id_type), pa.int64(), pa.int64(), _arrow(corpus.id_type), pa.int64()]
     schema = f"id {corpus.id_name}, start long, end long, source_id {corpus.id_name}, source_start long"
     names = ["id", "start", "end", "source_id", "source_start"]
@@ -385,7 +412,7 @@ def remove_repeated_passages(
     """One row per row of ``df``: id, ``n_words``, ``n_removed``, ``kept_sha256``; with the ``kept`` words if asked."""
     _check(window, minimizer)
     corpus = _Corpus(df, id_col, text_col)
-    joined = corpus.with_marks(_found(corpus, window, minimizer), F.struct(*_CLAIM), "left")
+    joined = corpus.with_marks(_found(corpus, window, minimizer, False), F.struct("id", "start", "end"), "left")
 
     def row(doc_id, text: bytes, claims: list[tuple]) -> list[tuple]:
         if not text:
@@ -395,7 +422,7 @@ def remove_repeated_passages(
         else:
             starts, ends = _bounds(text)
             n, at, gone, parts = len(starts), 0, 0, []
-            for start, end in [*union_of([c[:2] for c in claims]), (n, n)]:
+            for start, end in [*union_of(claims), (n, n)]:
                 if start > at:
                     parts.append(text[starts[at]:ends[start - 1]])
                 gone += end - start
