@@ -28,24 +28,20 @@ hashed. An empty table gives an empty result; further columns are not read.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
-import zstandard
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
 
-from airpanel.llm.common import slices, text_of
-from airpanel.llm.suffix_dedup import _hashes, _least, _repeated, union_of
+from airpanel.llm.common import slices
+from airpanel.llm.passages import Corpus, Sent, claims, each, flagged, marked, only_repeated, union_of
+from airpanel.llm.suffix_dedup import _hashes, _least
 
 #: Bytes of words hashed at a time; places within them fit 20 bits.
 BLOCK = 1 << 19
-#: Runs or edges that a task remembers having sent.
-KEPT = 200_000
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -137,125 +133,39 @@ def runs_of(lines: np.ndarray, words: np.ndarray, window: int, minimizer: int) -
 
 
 def _minimizer_rows(window: int, minimizer: int):
-    """Runs as (v, doc, at): ``at`` packs the minimizer's place, its distances to the first and last window, a flag.
-
-    Of minimizers met several times in a batch, one row (flag 1) tells the others; the rest (flag 2) are known to
-    repeat and need not meet anybody.
-    """
+    """Runs as (v, doc, at): ``at`` packs the minimizer's place, its distances to the first and last window, a flag."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _WordHashes()
         for batch in slices(batches, 1000):
             docs, found = batch["doc"].to_numpy(), []
-            for rows, data in _blocks([b" ".join(t.split()) for t in batch["text"].to_pylist()]):
+            for rows, data in _blocks([normalised(t) for t in batch["text"].to_pylist()]):
                 line, *rest = runs_of(*_words(data, hashes), window, minimizer)
                 found.append((docs[rows[line]], *rest))
             doc, v, place, first, last = (np.concatenate(c) for c in zip(*found, strict=True))
-            if not len(doc):
-                continue
-            at = place << 14 | (place - first) << 7 | (place - last)
-            order = np.argsort(v, kind="stable")
-            v = v[order]
-            head = np.ones(len(v), bool)
-            head[1:] = v[1:] != v[:-1]
-            flag = np.where(head & np.append(head[1:], True), 0, np.where(head, 1, 2))
-            yield pa.RecordBatch.from_arrays([pa.array(v), pa.array(doc[order]), pa.array(at[order] << 2 | flag)], names=["v", "doc", "at"])
+            if len(doc):
+                yield flagged(v, doc, place << 14 | (place - first) << 7 | (place - last))
 
     return run
 
 
+def normalised(text: bytes) -> bytes:
+    """The words of a text, one space between them."""
+    return b" ".join(text.split())
+
+
 def _bounds(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Where the words of a text begin and end, in bytes."""
     gaps = np.flatnonzero(np.frombuffer(text, np.uint8) == 32)
     return np.append(0, gaps + 1), np.append(gaps, len(text))
 
 
-class _Sent:
-    """Rows of one task: pieces by their digest, and claims for pieces that the task has seen before.
-
-    A row is (d1, d2, ids, at): ``ids`` holds the document's id and that of the source, ``at`` the document's hash,
-    start, end, minimizer, and the start in the source, which is -1 for a piece. All readers of the rows need all
-    four columns, so that they share one shuffle.
-    """
-
-    def __init__(self, id_type: pa.DataType, sources: bool):
-        self.first: dict[bytes, tuple] = {}
-        self.id_type, self.sources = id_type, sources
-        self.digests: list[bytes] = []
-        self.pieces: list[tuple] = []
-        self.piece_ids: list = []
-        self.claims: list[tuple] = []
-        self.claim_ids: list = []
-
-    def add(self, piece: bytes, doc_id, doc: int, start: int, end: int, v: int) -> None:
-        digest = hashlib.blake2b(piece, digest_size=16).digest()
-        here = (doc_id is not None, doc_id, doc, start)
-        sent = self.first.get(digest)
-        if sent is None or here < sent:
-            self.first[digest] = here
-            self.digests.append(digest)
-            self.pieces.append((doc, start, end, v, -1))
-            self.piece_ids += (doc_id, None)
-        elif here != sent:
-            self.claim(doc_id, doc, start, end, sent)
-
-    def claim(self, doc_id, doc: int, start: int, end: int, sent: tuple) -> None:
-        if self.claims:
-            last = self.claims[-1]
-            goes_on = not self.sources or last[4] - last[1] == sent[3] - start and self.claim_ids[-1] == sent[1]
-            if last[0] == doc and last[1] <= start <= last[2] and self.claim_ids[-2] == doc_id and goes_on:
-                self.claims[-1] = (doc, last[1], max(end, last[2]), 0, last[4])
-                return
-        self.claims.append((doc, start, end, 0, sent[3]))
-        self.claim_ids += (doc_id, sent[1])
-
-    def flush(self) -> Iterator[pa.RecordBatch]:
-        if len(self.first) > KEPT:
-            self.first = {}
-        n = len(self.pieces) + len(self.claims)
-        if n:
-            claims = np.array(self.claims, np.int64).reshape(-1, 5)
-            at = np.concatenate([np.array(self.pieces, np.int64).reshape(-1, 5), claims])
-            digests = np.frombuffer(b"".join(self.digests), np.int64).reshape(-1, 2)
-            keys = np.concatenate([digests, claims[:, :2]])  # a claim is dealt by its place
-            ids = pa.array(self.piece_ids + self.claim_ids, self.id_type)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.ListArray.from_arrays(pa.array(np.arange(0, 2 * n + 1, 2, np.int32)), ids),
-                pa.ListArray.from_arrays(pa.array(np.arange(0, 5 * n + 1, 5, np.int32)), pa.array(at.ravel())),
-            ], names=["d1", "d2", "ids", "at"])
-            self.digests, self.pieces, self.piece_ids, self.claims, self.claim_ids = [], [], [], [], []
-
-
-def _lists(column: pa.Array) -> Iterator[list[tuple]]:
-    """The structs of each list; none for a null."""
-    values = column.flatten()
-    ends = np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)).tolist()
-    rows = list(zip(*(values.field(i).to_pylist() for i in range(values.type.num_fields)), strict=True))
-    start = 0
-    for end in ends:
-        yield rows[start:end]
-        start = end
-
-
-def _documents(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[tuple | None]:
-    """(id, doc, text, marks) of documents in the order of their ids, so that most often the first of equals is sent first.
-
-    None ends a slice.
-    """
-    unpack = zstandard.ZstdDecompressor().decompress
-    for batch in slices(batches, rows):
-        found = zip(*(batch[c].to_pylist() for c in ("id", "doc", "z")), _lists(batch["marks"]), strict=True)
-        for doc_id, doc, packed, marks in sorted(found, key=lambda r: (r[0] is not None, r[0], r[1])):
-            yield doc_id, doc, unpack(packed), sorted(set(marks))
-        yield None
-
-
 def _cut_runs(window: int, id_type: pa.DataType, sources: bool):
     """From documents with their repeated minimizers to runs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sent = _Sent(id_type, sources)
-        for found in _documents(batches):
+        sent = Sent(id_type, sources)
+        for found in marked(batches):
             if found is None:
                 yield from sent.flush()
                 continue
@@ -276,8 +186,8 @@ def _dissolve(window: int, id_type: pa.DataType, sources: bool):
     """From documents with their branching paths (start, end) to edges."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sent = _Sent(id_type, sources)
-        for found in _documents(batches):
+        sent = Sent(id_type, sources)
+        for found in marked(batches):
             if found is None:
                 yield from sent.flush()
                 continue
@@ -291,97 +201,28 @@ def _dissolve(window: int, id_type: pa.DataType, sources: bool):
     return run
 
 
-def _met(rows: DataFrame) -> DataFrame:
-    """Rows beside the first occurrence of their digest; a task sends a piece once, or a few times."""
-    ids, at = F.col("ids"), F.col("at")
-    piece, here = at[4] < 0, F.struct(ids[0].alias("id"), at[0].alias("doc"), at[1].alias("start"))
-    least = F.min(F.when(piece, here)).over(Window.partitionBy("d1", "d2", at[4] >= 0))
-    met = rows.withColumn("first", least)
-    return met.select(
-        ids[0].alias("id"), at[0].alias("doc"), at[1].alias("start"), at[2].alias("end"), at[3].alias("v"),
-        F.when(piece, F.col("first.id")).otherwise(ids[1]).alias("from_id"), F.when(piece, F.col("first.start")).otherwise(at[4]).alias("from_start"),
-        (piece & here.eqNullSafe(F.col("first"))).alias("stays"),
-    )
-
-
-def _claims(met: DataFrame) -> DataFrame:
-    """(id, doc, start, end, from_id, from_start) of what repeats."""
-    return met.filter(~F.col("stays")).drop("stays", "v")
-
-
-class _Corpus:
-    """Documents by a hash of id and text, with their normalised texts packed."""
-
-    def __init__(self, df: DataFrame, id_col: str, text_col: str):
-        text = text_of(text_col)
-        self.docs = df.select(F.col(id_col).alias("id"), F.xxhash64(F.col(id_col), text).alias("doc"), text.cast("binary").alias("text"))
-        self.id_type: DataType = self.docs.schema["id"].dataType
-        self.id_name = self.id_type.simpleString()
-
-        def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            squeeze = zstandard.ZstdCompressor(level=1).compress
-            for batch in slices(batches):
-                packed = pa.array([squeeze(b" ".join(t.split())) for t in batch["text"].to_pylist()], pa.binary())
-                yield pa.RecordBatch.from_arrays([batch["id"], batch["doc"], packed], names=["id", "doc", "z"])
-
-        # The condition is that of an inner join, so that all joins share one shuffle of the texts.
-        self.packed = self.docs.mapInArrow(pack, f"id {self.id_name}, doc long, z binary").filter("doc IS NOT NULL")
-
-    def with_marks(self, marks: DataFrame, mark: Column, how: str = "inner") -> DataFrame:
-        """Texts joined with the list of their marks."""
-        lists = marks.groupBy("doc").agg(F.collect_list(mark).alias("marks"))
-        return self.packed.join(lists, "doc", how).select("id", "doc", "z", "marks")
-
-
-def _found(corpus: _Corpus, window: int, minimizer: int, sources: bool) -> DataFrame:
+def _found(corpus: Corpus, window: int, minimizer: int, sources: bool) -> DataFrame:
     """Claims of all repeated runs and edges; without ``sources`` those that a task knows merge whatever their source."""
-    spark = corpus.docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    id_type = _arrow(corpus.id_type)
-    schema = f"d1 long, d2 long, ids array<{corpus.id_name}>, at array<long>"
     rows = corpus.docs.select("doc", "text").filter(F.octet_length("text") >= 2 * window - 1)
     rows = rows.mapInArrow(_minimizer_rows(window, minimizer), "v long, doc long, at long")
-    route = F.when(F.col("at").bitwiseAND(3) == 2, F.xxhash64("doc", "at")).otherwise(F.col("v"))
-    repeated = rows.repartition(parts, route).sortWithinPartitions("v").mapInArrow(_repeated, "v long, doc long, at long")
-    runs = corpus.with_marks(repeated, F.struct("at", "v")).mapInArrow(_cut_runs(window, id_type, sources), schema)
-    paths = _met(runs)
+    held = corpus.with_marks(only_repeated(rows), F.struct("at", "v"))
+    paths = corpus.pieces(held, _cut_runs(window, corpus.id_type, sources))
     distinct = paths.filter("stays").select("v", "doc", "start", "end")
     several = distinct.groupBy("v").agg(F.count("*").alias("paths")).filter("paths > 1").select("v")
-    branching = distinct.join(several, "v")
-    edges = corpus.with_marks(branching, F.struct("start", "end")).mapInArrow(_dissolve(window, id_type, sources), schema)
-    return _claims(paths).unionAll(_claims(_met(edges)))
-
+    branching = corpus.with_marks(distinct.join(several, "v"), F.struct("start", "end"))
+    edges = corpus.pieces(branching, _dissolve(window, corpus.id_type, sources))
+    return claims(paths).unionAll(claims(edges))
 
-def _arrow(kind: DataType) -> pa.DataType:
-    from pyspark.sql.pandas.types import to_arrow_type
 
-    return to_arrow_type(kind)
-
-
-def _glued(claims: list[tuple]) -> list[tuple]:
+def _glued(found: list[tuple]) -> list[tuple]:
     """Claims (start, end, from_id, from_start) as maximal spans that go on in one source."""
     along: dict[tuple, list[tuple[int, int]]] = {}
-    for start, end, from_id, from_start in claims:
+    for start, end, from_id, from_start in found:
         along.setdefault((from_id, from_start - start), []).append((start, end))
     spans = [(a, b, source, a + shift) for (source, shift), ranges in along.items() for a, b in union_of(ranges)]
     return sorted(spans, key=lambda s: s[:2])
 
 
-def _each(joined: DataFrame, schema: str, row: Callable, names: list[str], kinds: list[pa.DataType]) -> DataFrame:
-    """``row(id, text, claims)`` gives the rows of a document."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor().decompress
-        for batch in slices(batches, 500):
-            out = []
-            for doc_id, packed, marks in zip(batch["id"].to_pylist(), batch["z"].to_pylist(), _lists(batch["marks"]), strict=True):
-                out += row(doc_id, unpack(packed), [m[1:] for m in marks if m[0] == doc_id])
-            columns = zip(*out, strict=True) if out else [()] * len(kinds)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
-
-    return joined.mapInArrow(run, schema)
-
-
 _CLAIM = ("id", "start", "end", "from_id", "from_start")
 
 
@@ -398,12 +239,12 @@ def repeated_spans(
     Every span equals the words at its source; spans may overlap where the source changes.
     """
     _check(window, minimizer)
-    corpus = _Corpus(df, id_col, text_col)
+    corpus = Corpus(df, id_col, text_col, normalised)
     joined = corpus.with_marks(_found(corpus, window, minimizer, True), F.struct(*_CLAIM))
-    kinds = [_arrow(corpus.id_type), pa.int64(), pa.int64(), _arrow(corpus.id_type), pa.int64()]
+    kinds = [corpus.id_type, pa.int64(), pa.int64(), corpus.id_type, pa.int64()]
     schema = f"id {corpus.id_name}, start long, end long, source_id {corpus.id_name}, source_start long"
     names = ["id", "start", "end", "source_id", "source_start"]
-    return _each(joined, schema, lambda i, _, claims: [(i, *s) for s in _glued(claims)], names, kinds).withColumnRenamed("id", id_col)
+    return each(joined, schema, lambda i, _, found: [(i, *s) for s in _glued(found)], names, kinds).withColumnRenamed("id", id_col)
 
 
 def remove_repeated_passages(
@@ -411,18 +252,18 @@ def remove_repeated_passages(
 ) -> DataFrame:
     """One row per row of ``df``: id, ``n_words``, ``n_removed``, ``kept_sha256``; with the ``kept`` words if asked."""
     _check(window, minimizer)
-    corpus = _Corpus(df, id_col, text_col)
+    corpus = Corpus(df, id_col, text_col, normalised)
     joined = corpus.with_marks(_found(corpus, window, minimizer, False), F.struct("id", "start", "end"), "left")
 
-    def row(doc_id, text: bytes, claims: list[tuple]) -> list[tuple]:
+    def row(doc_id, text: bytes, ranges: list[tuple]) -> list[tuple]:
         if not text:
             kept, n, gone = text, 0, 0
-        elif not claims:
+        elif not ranges:
             kept, n, gone = text, text.count(b" ") + 1, 0
         else:
             starts, ends = _bounds(text)
             n, at, gone, parts = len(starts), 0, 0, []
-            for start, end in [*union_of(claims), (n, n)]:
+            for start, end in [*union_of(ranges), (n, n)]:
                 if start > at:
                     parts.append(text[starts[at]:ends[start - 1]])
                 gone += end - start
@@ -431,6 +272,6 @@ def remove_repeated_passages(
         return [(doc_id, n, gone, hashlib.sha256(kept).hexdigest(), *([kept.decode()] if with_text else []))]
 
     names = ["id", "n_words", "n_removed", "kept_sha256"] + ["kept"] * with_text
-    kinds = [_arrow(corpus.id_type), pa.int64(), pa.int64(), pa.string()] + [pa.string()] * with_text
+    kinds = [corpus.id_type, pa.int64(), pa.int64(), pa.string()] + [pa.string()] * with_text
     schema = f"id {corpus.id_name}, n_words long, n_removed long, kept_sha256 string" + ", kept string" * with_text
-    return _each(joined, schema, row, names, kinds).withColumnRenamed("id", id_col)
+    return each(joined, schema, row, names, kinds).withColumnRenamed("id", id_col)

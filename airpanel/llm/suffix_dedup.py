@@ -6,21 +6,22 @@ or before it in the same document. Strings are judged on the input.
 * Anchors deal the work out. The anchor of a window of ``length`` bytes is its 20-byte string of least hash,
   so equal windows have equal anchors at the same place. Neighbouring windows with one anchor form a segment.
   An anchor that occurs once in the corpus has no repeated window.
-* Segments whose anchor repeats meet in one task. Equal segments collapse, in the task that cuts them and
-  again in the one where they meet; all but the first are repeats throughout. Segments that differ are
-  indexed together: suffix order, Burrows-Wheeler transform, and breadth-first backward extension that finds
-  common prefixes by increasing value and stops at ``length`` (``suffix_index``). Suffixes it leaves together
-  share a window, of which all but the first are repeats.
-* An anchor with more than ``most`` different segments, such as a line in a third of all documents, is dealt
-  anew: its windows are cut into smaller sets that share more bytes, at last into single windows. Those are
-  marked by equality alone; the index does not see them. Nothing is dropped.
-
-A document is known by a hash of id and text until its text is at hand. If two documents share that hash, the
-segments cut for the wrong one are still true strings of it, and marks carry the id.
-
-Defined cases: a null text is the empty text. A null id is smaller than any other. Rows that repeat both id
-and text are one document, and each gets its result; of rows that share the id only, the smaller hash comes
-first. An empty table gives an empty result; further columns are not read.
+* Segments whose anchor repeats collapse by a digest of their bytes, in the task that cuts them and again where they
+  meet; all but the first occurrence of a segment repeat throughout. An anchor that is left with one segment is done.
+* Segments that differ but share an anchor are indexed together: suffix order, Burrows-Wheeler transform, and
+  breadth-first backward extension that finds common prefixes by increasing value and stops at ``length``
+  (``suffix_index``). Suffixes it leaves together share a window, of which all but the first are repeats.
+* An anchor with more than ``most`` different segments, such as a line in a third of all documents, is known by its
+  count before its segments are sent. They are cut into sets of ``WIDTH`` windows, each sent by the bytes that its
+  windows share, so that many tasks index them. Only a set that is crowded even so is cut into single windows, which
+  are marked by equality. Nothing is dropped.
+
+The packed texts cross one shuffle, which all three joins read.
+
+Defined cases: a null text is the empty text. Ids may be of any type with an order; a null id is smaller than any
+other. Rows that repeat both id and text are one document, and each gets its result; of rows that share the id
+only, the smaller hash of id and text comes first. Texts of any length are taken whole, in overlapping parts while they
+are anchored. An empty table gives an empty result; further columns are not read.
 """
 
 from __future__ import annotations
@@ -31,22 +32,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airpanel.llm.common import slices, text_of, written
+from airpanel.llm.common import slices
+from airpanel.llm.passages import Corpus, Sent, claims, each, flagged, marked, only_repeated, union_of
 from airpanel.llm.suffix_index import prefix_groups
 
 ANCHOR = 20
-#: Windows of one key share all but this many bytes, round by round, for windows of 100 bytes.
-WIDTHS = (None, 9, 1)
+#: Windows of a crowded anchor that are sent together; they share all but so many bytes.
+WIDTH = 9
 #: Bytes indexed at a time, and anchored at a time (places fit 20 bits).
 CHUNK, BLOCK = 64_000, 1 << 19
-#: Segments that a task remembers having sent.
-KEPT = 150_000
 _B = np.uint64(0x9E3779B97F4A7C15)
-NO_ID = -(1 << 63)
 
 
 def _hashes(data: np.ndarray, k: int) -> np.ndarray:
@@ -131,69 +129,62 @@ def _segments(batch: pa.RecordBatch, length: int) -> Iterator[tuple[np.ndarray,
 
 
 def _anchor_rows(length: int):
-    """Anchors as (v, doc, at, flag): ``at`` packs the place and its distances to the first and last window.
-
-    Of anchors met several times in a batch, one row (flag 1) tells the others; the rest (flag 2) are known to
-    repeat and need not meet anybody.
-    """
+    """Anchors as (v, doc, at): ``at`` packs the place, its distances to the first and last window, and a flag."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 2000):
             found = [x for x in _segments(batch, length) if len(x[0])]
-            if not found:
+            if found:
+                row, v, place, first, last = (np.concatenate(c) for c in zip(*found, strict=True))
+                yield flagged(v, batch["doc"].to_numpy()[row], place << 14 | (place - first) << 7 | (place - last))
+
+    return run
+
+
+def _cut_segments(length: int, id_type: pa.DataType):
+    """From documents with their repeated anchors to segments, by digest."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent = Sent(id_type, False)
+        for found in marked(batches):
+            if found is None:
+                yield from sent.flush()
                 continue
-            row, v, place, first, last = (np.concatenate(c) for c in zip(*found, strict=True))
-            at = place << 14 | (place - first) << 7 | (place - last)
-            order = np.argsort(v, kind="stable")
-            sorted_v = v[order]
-            head = np.ones(len(v), bool)
-            head[1:] = sorted_v[1:] != sorted_v[:-1]
-            alone = head & np.append(head[1:], True)
-            flag = np.where(alone, 0, np.where(head, 1, 2)).astype(np.int8)
-            doc = batch["doc"].to_numpy()[row[order]]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(sorted_v), pa.array(doc), pa.array(at[order] << 2 | flag)], names=["v", "doc", "at"],
-            )
+            doc_id, doc, text, marks = found
+            for at, v in marks:
+                at >>= 2
+                place = at >> 14
+                start, end = place - (at >> 7 & 127), place - (at & 127) + length
+                if start >= 0 and end <= len(text):  # else the anchor of another document with the same hash
+                    sent.add(text[start:end], doc_id, doc, start, end, v, place - start)
 
     return run
 
 
-def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows, sorted by ``v``, whose ``v`` is that of a neighbour or is known to repeat."""
-    held = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        columns = [batch[c].to_numpy() for c in ("v", "doc", "at")]
-        joined = False
-        if held is not None:
-            joined = bool(held[1])
-            columns = [np.concatenate([[h], c]) for h, c in zip(held[0], columns, strict=True)]
-        v = columns[0]
-        same = v[1:] == v[:-1]
-        keep = (columns[2] & 3) > 0
-        keep[1:] |= same
-        keep[:-1] |= same
-        keep[0] |= joined
-        last_joined = bool(keep[-1])
-        held = ([c[-1] for c in columns], last_joined)
-        keep[-1] = False
-        yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in columns], names=["v", "doc", "at"])
-    if held is not None and held[1]:
-        yield pa.RecordBatch.from_arrays([pa.array([x]) for x in held[0]], names=["v", "doc", "at"])
-
-
-SEGMENTS = "v long, seg binary, id long, doc long, start long, end long, anchor int"
+SEGMENTS = "v long, seg binary, id {0}, doc long, start long, end long, anchor int"
 
 
 class _Out:
     """Rows of SEGMENTS: segments, and marks (``seg`` null) of byte ranges that go."""
 
     names = ("v", "seg", "id", "doc", "start", "end", "anchor")
-    kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32())
 
-    def __init__(self):
+    def __init__(self, id_type: pa.DataType):
         self.rows: list[tuple] = []
+        self.kinds = (pa.int64(), pa.binary(), id_type, pa.int64(), pa.int64(), pa.int64(), pa.int32())
+
+    def segment(self, key: int, seg: bytes, doc_id, doc: int, start: int, anchor: int) -> None:
+        self.rows.append((key, seg, doc_id, doc, start, start + len(seg), anchor))
+
+    def narrowed(self, seg: bytes, doc_id, doc: int, start: int, anchor: int, length: int, width: int) -> None:
+        """A segment cut into sets of ``width`` windows, keyed by the bytes that these share."""
+        last = len(seg) - length  # the last window, counted from the segment's start
+        for lo in range(0, length, width):
+            # Windows that begin ``lo`` to ``lo + width - 1`` bytes before the anchor.
+            a, b = max(0, anchor - lo - width + 1), min(last, anchor - lo)
+            if a <= b:
+                core = seg[anchor - lo:anchor - lo - width + 1 + length]
+                self.segment(xxhash.xxh64_intdigest(core, lo) - (1 << 63), seg[a:b + length], doc_id, doc, start + a, anchor - a)
 
     def mark(self, doc_id: int, doc: int, start: int, end: int) -> None:
         if self.rows:
@@ -203,69 +194,46 @@ class _Out:
                 return
         self.rows.append((0, None, doc_id, doc, start, end, 0))
 
-    def flush(self, least: int = 0) -> Iterator[pa.RecordBatch]:
-        if len(self.rows) > least:
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        if self.rows:
             columns = zip(*self.rows, strict=True)
             arrays = [pa.array(c, k) for c, k in zip(columns, self.kinds, strict=True)]
             self.rows = []
             yield pa.RecordBatch.from_arrays(arrays, names=self.names)
 
 
-def _cut_segments(length: int):
-    """From documents with their repeated anchors (``marks``) to segments; equal ones of a task collapse.
-
-    A segment equal to an earlier one that the task has sent is marked at once. The memory of sent segments
-    starts anew at ``KEPT``, which costs rows but changes no result.
-    """
+def _sent_segments(length: int, most: int, id_type: pa.DataType):
+    """From documents with the segments (start, end, anchor, v, n) that are first of their kind to their bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor().decompress
-        first: dict[tuple[int, bytes], tuple[int, int, int]] = {}
-        for batch in slices(batches, 1000):
-            out = _Out()
-            if len(first) > KEPT:
-                first = {}
-            lists = batch["marks"]
-            bounds, ats, vs = lists.offsets.to_pylist(), lists.values.field("at").to_numpy(), lists.values.field("v").to_numpy()
-            rows = zip(*(batch[c].to_pylist() for c in ("id", "doc", "z")), bounds, bounds[1:], strict=False)
-            # In the order of documents, so that most often the first of equal segments is sent first.
-            for doc_id, doc, packed, a, b in sorted(rows, key=lambda r: (NO_ID if r[0] is None else r[0], r[1])):
-                doc_id = NO_ID if doc_id is None else doc_id
-                text = unpack(packed)
-                for at, v in sorted(set(zip(ats[a:b].tolist(), vs[a:b].tolist(), strict=True))):
-                    at >>= 2
-                    place = at >> 14
-                    start, end = place - (at >> 7 & 127), place - (at & 127) + length
-                    if start < 0 or end > len(text):
-                        continue  # the anchor of another document with the same hash
-                    key, here = (v, text[start:end]), (doc_id, doc, start)
-                    sent = first.get(key)
-                    if sent is None or here < sent:
-                        first[key] = here
-                        out.rows.append((v, key[1], doc_id, doc, start, end, place - start))
-                    elif here != sent:
-                        out.mark(doc_id, doc, start, end)
-            yield from out.flush()
+        out = _Out(id_type)
+        for found in marked(batches):
+            if found is None:
+                yield from out.flush()
+                continue
+            doc_id, doc, text, marks = found
+            for start, end, anchor, v, n in marks:
+                if end > len(text):
+                    continue  # a segment of another document with the same hash
+                if n > most:
+                    out.narrowed(text[start:end], doc_id, doc, start, anchor, length, WIDTH)
+                else:
+                    out.segment(v, text[start:end], doc_id, doc, start, anchor)
 
     return run
 
 
-def _narrowed(length: int, width: int):
-    """Segments cut into sets of ``width`` windows, keyed by the bytes that these share; marks pass."""
+def _single(length: int, id_type: pa.DataType):
+    """Segments cut into single windows; marks pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 5000):
-            out = _Out()
+            out = _Out(id_type)
             for row in zip(*(batch[c].to_pylist() for c in _Out.names), strict=True):
-                _, seg, doc_id, doc, start, end, anchor = row
-                last = len(seg) - length  # the last window, counted from the segment's start
-                for lo in range(0, length, width):
-                    # Windows that begin ``lo`` to ``lo + width - 1`` bytes before the anchor.
-                    a, b = max(0, anchor - lo - width + 1), min(last, anchor - lo)
-                    if a <= b:
-                        core = seg[anchor - lo:anchor - lo - width + 1 + length]
-                        key = xxhash.xxh64_intdigest(core, lo) - (1 << 63)
-                        out.rows.append((key, seg[a:b + length], doc_id, doc, start + a, start + b + length, anchor - a))
+                if row[1] is None:
+                    out.rows.append(row)
+                else:
+                    out.narrowed(row[1], row[2], row[3], row[4], row[6], length, 1)
             yield from out.flush()
 
     return run
@@ -286,12 +254,14 @@ def _index(groups: list[list[tuple]], length: int, out: _Out) -> None:
     order, group = prefix_groups(symbols, length)
     window = offset[order] + length < sizes[segment[order]]
     order, group = order[window], group[window]
-    ids = np.array([r[2] for r in rows], np.int64)
-    docs = np.array([r[3] for r in rows], np.int64)
+    # Documents by their rank: smaller ids first, null before all.
+    documents = sorted({(r[2] is not None, r[2], r[3]) for r in rows})
+    rank = {d: i for i, d in enumerate(documents)}
+    docs = np.array([rank[r[2] is not None, r[2], r[3]] for r in rows], np.int64)
     absolute = np.array([r[4] for r in rows], np.int64)
     seg = segment[order]
     place = absolute[seg] + offset[order]
-    by = np.lexsort((place, docs[seg], ids[seg], group))
+    by = np.lexsort((place, docs[seg], group))
     first = np.ones(len(by), bool)
     first[1:] = group[by][1:] != group[by][:-1]
     gone = by[~first]
@@ -305,11 +275,11 @@ def _index(groups: list[list[tuple]], length: int, out: _Out) -> None:
         out.mark(r[2], r[3], int(p[a]), int(p[b - 1]) + length)
 
 
-def _meet(length: int, most: int | float):
+def _meet(length: int, most: int | float, id_type: pa.DataType):
     """Rows sorted by key and segment: marks pass, keys with few segments are indexed, others pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out, groups, size = _Out(), [], 0
+        out, groups, size = _Out(id_type), [], 0
         key, group, many, previous = None, [], False, None
 
         def settled() -> None:
@@ -357,60 +327,23 @@ def _dealt(rows: DataFrame) -> DataFrame:
     return rows.repartition(parts, route).sortWithinPartitions("v", "seg", "id", "doc", "start")
 
 
-def repeated_ranges(docs: DataFrame, packed: DataFrame, length: int = 100, most: int = 300) -> DataFrame:
-    """(id, doc, start, end) of byte ranges that go; a null id is ``NO_ID``. Ranges may touch or overlap."""
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = docs.select("doc", "text").filter(F.octet_length("text") >= length).mapInArrow(_anchor_rows(length), "v long, doc long, at long")
-    route = F.when(F.col("at").bitwiseAND(3) == 2, F.xxhash64("doc", "at")).otherwise(F.col("v"))
-    repeated = found.repartition(parts, route).sortWithinPartitions("v").mapInArrow(_repeated, "v long, doc long, at long")
-    marks = repeated.groupBy("doc").agg(F.collect_list(F.struct("at", "v")).alias("marks"))
-    rows = packed.join(marks, "doc").select("id", "doc", "z", "marks").mapInArrow(_cut_segments(length), SEGMENTS)
-    ranges = None
-    for width in WIDTHS:
-        if width:
-            rows = rows.mapInArrow(_narrowed(length, width), SEGMENTS)
-        done = written(_dealt(rows).mapInArrow(_meet(length, np.inf if width == 1 else most), SEGMENTS), "suffix-ranges")
-        gone = done.filter("seg IS NULL").select("id", "doc", "start", "end")
-        ranges = gone if ranges is None else ranges.unionAll(gone)
-        rows = done.filter("seg IS NOT NULL")
-        if rows.isEmpty():
-            break
-    return ranges
-
-
-def union_of(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Maximal runs of sorted or unsorted half-open ranges."""
-    runs: list[tuple[int, int]] = []
-    for start, end in sorted(ranges):
-        if runs and start <= runs[-1][1]:
-            runs[-1] = (runs[-1][0], max(end, runs[-1][1]))
-        else:
-            runs.append((start, end))
-    return runs
-
-
-def _kept(with_text: bool):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor().decompress
-        for batch in slices(batches, 200):
-            out = []
-            for doc_id, packed, marks in zip(*(batch[c].to_pylist() for c in ("id", "z", "marks")), strict=True):
-                text, at, parts = unpack(packed), 0, []
-                me = NO_ID if doc_id is None else doc_id
-                runs = union_of([(m["start"], m["end"]) for m in marks or () if m["id"] == me])
-                for start, end in runs:
-                    parts.append(text[at:start])
-                    at = end
-                kept = b"".join([*parts, text[at:]])
-                out.append((len(text), len(text) - len(kept), len(runs), hashlib.sha256(kept).hexdigest(), kept))
-            n_bytes, n_removed, n_spans, sha, kept = zip(*out, strict=True) if out else ((),) * 5
-            columns = [batch["id"], *(pa.array(c, pa.int64()) for c in (n_bytes, n_removed, n_spans)), pa.array(sha, pa.string())]
-            names = ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
-            if with_text:
-                columns, names = [*columns, pa.array(kept, pa.binary())], [*names, "kept"]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
-
-    return run
+def repeated_ranges(corpus: Corpus, length: int = 100, most: int = 300) -> DataFrame:
+    """(id, doc, start, end) of byte ranges that go. Ranges may touch or overlap."""
+    kind = corpus.id_type
+    found = corpus.docs.select("doc", "text").filter(F.octet_length("text") >= length).mapInArrow(_anchor_rows(length), "v long, doc long, at long")
+    anchored = corpus.with_marks(only_repeated(found), F.struct("at", "v"))
+    segments = corpus.pieces(anchored, _cut_segments(length, kind))
+    first = segments.filter("stays").select("v", "doc", "start", "end", F.col("own").alias("anchor"))
+    several = first.groupBy("v").agg(F.count("*").alias("n")).filter("n > 1")
+    shared = corpus.with_marks(first.join(several, "v"), F.struct("start", "end", "anchor", "v", "n"))
+    schema = SEGMENTS.format(corpus.id_name)
+    sent = shared.mapInArrow(_sent_segments(length, most, kind), schema)
+    marks = claims(segments).select(
+        F.lit(0).cast("long").alias("v"), F.lit(None).cast("binary").alias("seg"), "id", "doc", "start", "end", F.lit(0).alias("anchor"),
+    )
+    met = _dealt(sent.unionAll(marks)).mapInArrow(_meet(length, most, kind), schema)
+    left = _dealt(met.mapInArrow(_single(length, kind), schema)).mapInArrow(_meet(length, np.inf, kind), schema)
+    return left.filter("seg IS NULL").select("id", "doc", "start", "end")
 
 
 def remove_repeats(
@@ -419,19 +352,18 @@ def remove_repeats(
     """One row per row of ``df``: id, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256``; with ``kept`` bytes if asked."""
     if not ANCHOR < length <= 128:
         raise ValueError("length must be above the anchor's and at most 128")
-    text = text_of(text_col)
-    docs = df.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(id_col), text).alias("doc"), text.cast("binary").alias("text"))
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze = zstandard.ZstdCompressor(level=1).compress
-        for batch in slices(batches):
-            packed = pa.array([squeeze(t) for t in batch["text"].to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch["id"], batch["doc"], packed], names=["id", "doc", "z"])
-
-    packed = docs.mapInArrow(pack, "id long, doc long, z binary")
-    ranges = repeated_ranges(docs, packed, length, most)
-    marks = ranges.groupBy("doc").agg(F.collect_list(F.struct("id", "start", "end")).alias("marks"))
-    joined = packed.join(marks, "doc", "left").select("id", "z", "marks")
-    more = ", kept binary" if with_text else ""
-    result = joined.mapInArrow(_kept(with_text), f"id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string{more}")
-    return result.withColumnRenamed("id", id_col)
+    corpus = Corpus(df, id_col, text_col, bytes)
+    joined = corpus.with_marks(repeated_ranges(corpus, length, most), F.struct("id", "start", "end"), "left")
+
+    def row(doc_id, text: bytes, ranges: list[tuple]) -> list[tuple]:
+        at, parts, runs = 0, [], union_of(ranges)
+        for start, end in runs:
+            parts.append(text[at:start])
+            at = end
+        kept = b"".join([*parts, text[at:]]) if runs else text
+        return [(doc_id, len(text), len(text) - len(kept), len(runs), hashlib.sha256(kept).hexdigest(), *([kept] if with_text else []))]
+
+    names = ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * with_text
+    kinds = [corpus.id_type, pa.int64(), pa.int64(), pa.int64(), pa.string()] + [pa.binary()] * with_text
+    schema = f"id {corpus.id_name}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
+    return each(joined, schema, row, names, kinds).withColumnRenamed("id", id_col)
