@@ -1,4 +1,4 @@
-"""What several text operators need: row keys, the A-Z lower case, shared tables, chunk caches."""
+"""What several text operators need: whole rows, the A-Z lower case, shared tables, chunk caches."""
 
 from __future__ import annotations
 
@@ -41,6 +41,16 @@ def lower_az(text: Column) -> Column:
     return F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+def quoted(name: str) -> str:
+    """A column name that is read as one, whatever it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def whole_rows(df: DataFrame, **more: Column) -> DataFrame:
+    """``df`` as one column ``row`` beside ``more``, so that no name of its columns meets another."""
+    return df.select(F.struct(*[F.col(quoted(c)) for c in df.columns]).alias("row"), *[c.alias(name) for name, c in more.items()])
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.RecordBatch]:
     """The batches in pieces of few rows, so that Python objects of few texts exist at a time."""
     for batch in batches:

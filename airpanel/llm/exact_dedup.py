@@ -2,12 +2,14 @@
 
 The key of a text is the 64-bit hash of its normalised form (A-Z lower-cased). A directory over the leading
 key bits names the bucket of every key: buckets that hold more keys than ``capacity`` are split, and the
-directory doubles when a split needs one more bit. Equal texts are found before that, by grouping rows by key
-and whole text: they collapse before they are shuffled, so that a text with a third of all rows costs no more
-than any other. The index orders and labels the finished entries (bucket, key, SHA-256 of the text, the row that
-stays, the size of the group; no text); different texts with one key are numbered along a chain by their
-SHA-256. The index is written sorted by key, each file a range of
-buckets. Rows then look up their entry by bucket, key and digest.
+directory doubles when a split needs one more bit. A bucket is a range of keys with one owner. Texts go to the
+owners of their keys, where they stand sorted by key and text; the owner compares the bytes of neighbours with one
+key, and where they differ a new entry begins, linked along the key's chain. An entry (bucket, key, chain, SHA-256
+of the text, the row that stays, the size of the group) holds no text; the index is written sorted by key, and
+rows look up their entry by bucket, key and digest.
+
+Before they are sent, copies collapse inside their task and then among every ``SALTS``-th task, so that a text with a
+third of all rows reaches its owner ``SALTS`` times at most.
 
 Only DataFrame operations run; the directory, at most ``2 ** max_depth`` slots, is all that reaches the driver.
 
@@ -19,10 +21,14 @@ text, one stays. An empty table gives an empty result; further columns are neith
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from airpanel.llm.common import lower_az, text_of, written
+from airpanel.llm.common import lower_az, text_of, whole_rows, written
+
+
+#: Copies of a text that its owner may meet.
+SALTS = 16
 
 
 class Directory:
@@ -82,7 +88,7 @@ def _directory(keys: DataFrame, capacity: int, max_depth: int) -> Directory:
 
 
 def exact_duplicates(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = 20_000, max_depth: int = 18,
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = 1000, max_depth: int = 18,
 ) -> DataFrame:
     """One row per row of ``df``: id, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``, ``chain``.
 
@@ -105,36 +111,38 @@ def exact_duplicates(
         # At most 2 ** max_depth slots of 16 bytes: the bound that allows a broadcast.
         return frame.withColumn("slot", _slot(directory.depth)).join(F.broadcast(slots), "slot").drop("slot")
 
-    entries = (
-        placed(keyed.groupBy("key", "norm").agg(F.max("id").alias("keep_id"), F.count("*").alias("group_size")))
-        .select("bucket", "key", F.unhex(F.sha2("norm", 256)).alias("sha"), "keep_id", "group_size")
-    )
-    index = written(entries.repartitionByRange("bucket", "key").sortWithinPartitions("bucket", "key", "sha"), "dedup-index")
-    # Keys met by several texts: their entries are numbered along the chain.
-    chains = (
-        index.groupBy("bucket", "key").agg(F.count("*").alias("n"), F.array_sort(F.collect_list("sha")).alias("shas"))
-        .filter("n > 1").select("bucket", "key", F.posexplode("shas").alias("chain", "sha"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    salted = keyed.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+    held = salted.groupBy("key", "norm", "salt").agg(F.max("id").alias("most"), F.count("*").alias("n"))
+    # To the owners, who compare neighbours along each key's chain.
+    owned = placed(held.withColumn("sha", F.unhex(F.sha2("norm", 256)))).repartition(parts, "bucket")
+    chain = Window.partitionBy("bucket", "key").orderBy("norm")
+    before = F.lag("norm").over(chain)
+    owned = owned.withColumn("new", F.when(before.isNull() | (before != F.col("norm")), 1).otherwise(0))
+    owned = owned.withColumn("chain", F.sum("new").over(chain.rowsBetween(Window.unboundedPreceding, 0)) - 1)
+    entries = owned.groupBy("bucket", "key", "chain").agg(
+        F.first("sha").alias("sha"), F.max("most").alias("keep_id"), F.sum("n").alias("group_size"),
     )
+    index = written(entries.sortWithinPartitions("bucket", "key", "chain"), "dedup-index")
     repeats = (
         rows.groupBy("id", "key", "sha").agg(F.min("row").alias("first"), F.count("*").alias("copies")).filter("copies > 1")
         .select(F.col("id").alias("r_id"), F.col("key").alias("r_key"), F.col("sha").alias("r_sha"), "first", "copies")
     )
     # The rows meet the index alone first: one index row each, so Spark can split a key with many rows.
-    found = placed(rows).join(index, ["bucket", "key", "sha"]).join(chains, ["bucket", "key", "sha"], "left")
+    found = placed(rows).join(index, ["bucket", "key", "sha"])
     same = F.col("id").eqNullSafe(F.col("r_id")) & (F.col("key") == F.col("r_key")) & (F.col("sha") == F.col("r_sha"))
     return found.join(repeats, same, "left").select(
         F.col("id").alias(id_col), "keep_id", "group_size",
         (F.col("id").eqNullSafe(F.col("keep_id")) & (F.coalesce("first", "row") == F.col("row"))).alias("kept"),
-        F.lower(F.hex("sha")).alias("text_sha256"), F.coalesce("chain", F.lit(0)).alias("chain"), F.coalesce("copies", F.lit(1)).alias("copies"),
+        F.lower(F.hex("sha")).alias("text_sha256"), F.col("chain").cast("int").alias("chain"), F.coalesce("copies", F.lit(1)).alias("copies"),
     )
 
 
 def without_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``df`` that stay, with all their columns."""
     stay = exact_duplicates(df, id_col, text_col, **options).filter("kept")
-    stay = stay.select(F.col(id_col).alias("__id"), F.unhex("text_sha256").alias("__sha"), F.col("copies").alias("__copies"))
-    keyed = df.withColumn("__key", F.unhex(F.sha2(lower_az(text_of(text_col)), 256)))
-    met = keyed.join(stay, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__sha")))
-    once = met.filter("__copies = 1")
-    several = met.filter("__copies > 1").dropDuplicates(["__id", "__sha"])
-    return once.unionAll(several).select(df.columns)
+    stay = stay.select(F.col(id_col).alias("stays"), F.unhex("text_sha256").alias("digest"), "copies")
+    rows = whole_rows(df, id=F.col(id_col), sha=F.unhex(F.sha2(lower_az(text_of(text_col)), 256)))
+    met = rows.join(stay, F.col("id").eqNullSafe(F.col("stays")) & (F.col("sha") == F.col("digest")))
+    several = met.filter("copies > 1").dropDuplicates(["id", "sha"])
+    return met.filter("copies = 1").unionAll(several).select("row.*")
