@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airpanel.llm.common import slices, written
+from airpanel.llm.common import slices, text_of, whole_rows, written
 from airpanel.llm.components import components
 
 BITS = 64
@@ -60,7 +60,7 @@ def fingerprint(text: str, words: int = 4, seed: int = 42) -> int:
 
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, seed: int = 42) -> DataFrame:
     """(id, key, fp): ``fp`` is the fingerprint as a signed long, ``key`` a hash of id and text."""
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    text = text_of(text_col)
     rows = df.select(F.col(id_col).alias("id"), F.xxhash64(F.col(id_col), text).alias("key"), text.alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,8 +227,7 @@ def near_duplicates(
 def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``df`` that represent their component, with all their columns."""
     found = near_duplicates(df, id_col, text_col, **options).filter("stays")
-    stay = found.groupBy("key").agg(F.count("*").alias("__copies")).withColumnRenamed("key", "__key")
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    met = df.withColumn("__row", F.xxhash64(F.col(id_col), text)).join(stay, F.col("__row") == F.col("__key"))
-    several = met.filter("__copies > 1").dropDuplicates(["__key"])
-    return met.filter("__copies = 1").unionAll(several).select(df.columns)
+    stay = found.groupBy("key").agg(F.count("*").alias("copies"))
+    met = whole_rows(df, key=F.xxhash64(F.col(id_col), text_of(text_col))).join(stay, "key")
+    several = met.filter("copies > 1").dropDuplicates(["key"])
+    return met.filter("copies = 1").unionAll(several).select("row.*")

@@ -23,10 +23,10 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from airpanel.llm.common import slices, text_of
+from airpanel.llm.common import slices, text_of, whole_rows
 
 ORDERS = (3, 4, 5, 7)
 _STEP, _MIX = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15)
@@ -103,6 +103,21 @@ def held_out(id_col: str, buckets: int = 4, bucket: int = 2) -> Column:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % buckets == bucket
 
 
+def _within(sample: DataFrame, rows: int, chars: int) -> DataFrame:
+    """The first ``rows`` different rows (id, label, text) in the order of a hash of the id, up to ``chars`` characters.
+
+    Only hashes and lengths are put in order, and copies of a row count once, so what moves is bounded by both
+    limits whatever the table holds. Texts above ``chars`` are passed over.
+    """
+    hashed = sample.withColumn("digest", F.xxhash64("text"))
+    light = hashed.select("id", "digest", F.length("text").alias("n")).filter(F.col("n") <= chars)
+    first = light.groupBy("id", "digest").agg(F.max("n").alias("n")).orderBy(F.xxhash64("id"), "id", "digest").limit(rows)
+    upto = F.sum("n").over(Window.orderBy(F.xxhash64("id"), "id", "digest"))  # over at most ``rows`` rows
+    taken = first.withColumn("upto", upto).filter(F.col("upto") <= chars).select(F.col("id").alias("t_id"), F.col("digest").alias("t_digest"))
+    met = hashed.join(F.broadcast(taken), (F.col("id") == F.col("t_id")) & (F.col("digest") == F.col("t_digest")))
+    return met.groupBy("id", "digest").agg(F.max("label").alias("label"), F.max("text").alias("text")).select("id", "label", "text")
+
+
 def train(
     df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
     sample_rows: int = 4000, sample_chars: int = 40_000_000, bits: int = 20,
@@ -116,26 +131,17 @@ def train(
     texts = df.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
     # At most ``sample_rows`` ids: the bound that allows a broadcast.
     sample = texts.join(F.broadcast(picked), F.col("id") == F.col("l_id")).select("id", "label", "text")
+    sample = _within(sample, sample_rows, sample_chars)
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, room = [], sample_chars
-        for batch in slices(batches, 100):
-            if room < 0:
-                continue  # full; what is left is read without being kept
-            for row in zip(*(batch[c].to_pylist() for c in ("id", "label", "text")), strict=True):
-                if len(row[2]) > sample_chars:
-                    continue
-                room -= len(row[2])
-                if room < 0:
-                    break
-                rows.append(row)
+        rows = [row for batch in batches for row in zip(*(batch[c].to_pylist() for c in ("id", "label", "text")), strict=True)]
         rows.sort(key=lambda r: (str(r[0]), r[2]))
         model = fitted([r[2] for r in rows], [r[1] for r in rows], bits)
         yield pa.RecordBatch.from_pydict({
             "bias": [model.bias], "scale": [model.scale.tobytes()], "weights": [model.weights.tobytes()],
         })
 
-    ordered = sample.repartition(1).sortWithinPartitions(F.xxhash64("id"), "id", F.xxhash64("text"), "text")
+    ordered = sample.repartition(1)
     row = ordered.mapInArrow(fit, "bias double, scale binary, weights binary").first()
     if row is None:
         return fitted([], [], bits)
@@ -168,4 +174,4 @@ def without_toxic(
 ) -> DataFrame:
     """The rows of ``df`` below ``threshold``, with all their columns."""
     score = scorer(df.sparkSession, train(df, labels, id_col, text_col, **options))
-    return df.withColumn("__score", score(text_of(text_col))).filter(F.col("__score") < threshold).drop("__score")
+    return whole_rows(df, score=score(text_of(text_col))).filter(F.col("score") < threshold).select("row.*")
