@@ -65,6 +65,19 @@ def _hashes(data: np.ndarray, k: int) -> np.ndarray:
             n = len(data) - have - size + 1
             value = part if value is None else value[:n] * factors[size] + part
             have += size
+    return _mixed(value)
+
+
+def _hash_at(data: np.ndarray, places: np.ndarray, k: int) -> np.ndarray:
+    """The hashes of :func:`_hashes` at a few places."""
+    factors = np.full(k, _B, np.uint64)
+    factors[0] = 1
+    factors = np.multiply.accumulate(factors)[::-1]
+    found = (data[places[:, None] + np.arange(k)].astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
+    return _mixed((found * factors).sum(axis=1, dtype=np.uint64))
+
+
+def _mixed(value: np.ndarray) -> np.ndarray:
     value = value ^ (value >> np.uint64(29))
     value = value * np.uint64(0xBF58476D1CE4E5B9)
     return value ^ (value >> np.uint64(32))
@@ -151,12 +164,14 @@ def _cut_segments(length: int, id_type: pa.DataType):
                 yield from sent.flush()
                 continue
             doc_id, doc, text, marks = found
-            for at, v in marks:
-                at >>= 2
-                place = at >> 14
-                start, end = place - (at >> 7 & 127), place - (at & 127) + length
-                if start >= 0 and end <= len(text):  # else the anchor of another document with the same hash
-                    sent.add(text[start:end], doc_id, doc, start, end, v, place - start)
+            at = np.array([m[0] for m in marks], np.int64) >> 2
+            place = at >> 14
+            start, end = place - (at >> 7 & 127), place - (at & 127) + length
+            real = (start >= 0) & (end <= len(text))  # else the anchor of another document with the same hash
+            place, start, end = place[real], start[real], end[real]
+            v = _hash_at(np.frombuffer(text, np.uint8), place, ANCHOR).view(np.int64)
+            for p, a, b, key in zip(place.tolist(), start.tolist(), end.tolist(), v.tolist(), strict=True):
+                sent.add(text[a:b], doc_id, doc, a, b, key, p - a)
 
     return run
 
@@ -331,19 +346,17 @@ def repeated_ranges(corpus: Corpus, length: int = 100, most: int = 300) -> DataF
     """(id, doc, start, end) of byte ranges that go. Ranges may touch or overlap."""
     kind = corpus.id_type
     found = corpus.docs.select("doc", "text").filter(F.octet_length("text") >= length).mapInArrow(_anchor_rows(length), "v long, doc long, at long")
-    anchored = corpus.with_marks(only_repeated(found), F.struct("at", "v"))
+    # Without the anchors' hashes, which the texts give again.
+    anchored = corpus.with_marks(only_repeated(found).select("doc", "at"), F.struct("at"))
     segments = corpus.pieces(anchored, _cut_segments(length, kind))
     first = segments.filter("stays").select("v", "doc", "start", "end", F.col("own").alias("anchor"))
     several = first.groupBy("v").agg(F.count("*").alias("n")).filter("n > 1")
     shared = corpus.with_marks(first.join(several, "v"), F.struct("start", "end", "anchor", "v", "n"))
     schema = SEGMENTS.format(corpus.id_name)
     sent = shared.mapInArrow(_sent_segments(length, most, kind), schema)
-    marks = claims(segments).select(
-        F.lit(0).cast("long").alias("v"), F.lit(None).cast("binary").alias("seg"), "id", "doc", "start", "end", F.lit(0).alias("anchor"),
-    )
-    met = _dealt(sent.unionAll(marks)).mapInArrow(_meet(length, most, kind), schema)
+    met = _dealt(sent).mapInArrow(_meet(length, most, kind), schema)
     left = _dealt(met.mapInArrow(_single(length, kind), schema)).mapInArrow(_meet(length, np.inf, kind), schema)
-    return left.filter("seg IS NULL").select("id", "doc", "start", "end")
+    return left.filter("seg IS NULL").select("id", "doc", "start", "end").unionAll(claims(segments).select("id", "doc", "start", "end"))
 
 
 def remove_repeats(

@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from airpanel.llm import suffix_dedup
 from airpanel.llm.suffix_dedup import anchors, remove_repeats, union_of
@@ -92,6 +93,33 @@ def test_parts_of_a_long_document(monkeypatch):
     assert (np.sort(np.concatenate([np.arange(a, b + 1) for a, b in zip(parts[3], parts[4])])) == np.arange(4901)).all()
 
 
+def test_hashes_at_a_few_places():
+    data = np.random.default_rng(3).integers(0, 256, 500).astype(np.uint8)
+    places = np.array([0, 7, 7, 480])
+    assert (suffix_dedup._hash_at(data, places, 20) == suffix_dedup._hashes(data, 20)[places]).all()
+    assert len(suffix_dedup._hash_at(data, places[:0], 20)) == 0
+
+
+def test_ids_of_text_and_columns_with_clashing_names(documents):
+    rows = corpus(6, docs=20, copies=2)
+    df = documents(rows)
+    for name in ("id", "doc", "z", "marks", "v", "seg", "start", "n"):
+        df = df.withColumn(name, F.lit(1))
+    check(rows, found(df))
+    texts = df.withColumn("doc_id", F.format_string("n%05d", "doc_id"))
+    got = {(r.doc_id, r.n_removed, r.kept_sha256) for r in remove_repeats(texts).collect()}
+    assert got == {(f"n{i:05d}", v[1], v[3]) for i, v in found(df)}
+
+
+def test_a_crowded_anchor_is_dealt_anew(documents):
+    rnd = random.Random(3)
+    line = "one line that stands in very many of the documents here"
+    filler = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    shared = filler(60)
+    rows = [(i, filler(90) + (shared if i % 9 == 0 else filler(60)) + line + (shared if i % 4 == 0 else filler(60)) + filler(90)) for i in range(120)]
+    check(rows, found(documents(rows), most=5))
+
+
 def test_prefix_groups_by_comparison():
     rnd = random.Random(4)
     for _ in range(30):
