@@ -13,7 +13,7 @@ from airpanel.catalog.graphs import DEGREE, NORMAL, _sql_edges
 from airpanel.catalog.panel import SCORED, SPLIT
 from airpanel.catalog.scalars import _sql_map
 from airpanel.operators import features as ft
-from airpanel.operators import forecast, graph, metrics, serving, splits
+from airpanel.operators import autoregression, boosting, forecast, graph, metrics, serving, splits
 from airpanel.operators.chunks import windowed
 from airpanel.operators.rows import left_join_default
 from airpanel.session import materialize
@@ -169,6 +169,76 @@ def _(spark, sf):
     return forecast.forecast_ar(scored(spark, sf)).withColumn("y_pred", rd("y_pred"))
 
 
+def _sql_sar(source: str, where: str = "TRUE", season: int = 24, top: int = 5, horizon: int = 24) -> str:
+    """Yule-Walker fits by the recursion spelled out order by order, and forecasts step by step."""
+    lags = season + top
+    ctes = [f"""
+    kept AS (SELECT node_id, timestamp, aqi, row_number() OVER ({W}) AS i, count(*) OVER (PARTITION BY node_id) AS n,
+                    avg(aqi) OVER (PARTITION BY node_id) AS m FROM {source} WHERE {where}),
+    lags AS (SELECT unnest(range(0, {lags + 1})) AS k),
+    products AS (SELECT a.node_id, k, sum((a.aqi - a.m) * (b.aqi - b.m)) / any_value(a.n) AS g
+                 FROM kept a, lags JOIN kept b ON b.node_id = a.node_id AND b.i = a.i - k GROUP BY 1, 2),
+    nodes AS (SELECT node_id, any_value(n) AS n, any_value(m) AS m, max(timestamp) AS t FROM kept GROUP BY 1),
+    spans AS (SELECT node_id, any_value(n) AS n, any_value(m) AS m, any_value(t) AS t, list(coalesce(g, 0) ORDER BY k) AS g
+              FROM nodes CROSS JOIN lags LEFT JOIN products USING (node_id, k) GROUP BY 1),
+    tried AS (SELECT *, 0.0::DOUBLE AS s, 1 AS extra, g[1:{top + 1}] AS c FROM spans
+              UNION ALL SELECT *, g[{season + 1}] / g[1] AS s, 2 AS extra,
+                  [(1 + (g[{season + 1}] / g[1]) ** 2) * g[k + 1] - g[{season + 1}] / g[1] * (g[{season} + k + 1] + g[{season} - k + 1]) for k in range(0, {top + 1})] AS c
+              FROM spans WHERE n >= {2 * season} AND g[1] > 0 AND g[{season + 1}] <> 0),
+    level0 AS (SELECT *, []::DOUBLE[] AS a, c[1] AS e, 0 AS p FROM tried)"""]
+    for k in range(1, top + 1):
+        earlier = " + ".join(f"a[{j}] * c[{k - j + 1}]" for j in range(1, k)) or "0"
+        new = ", ".join([*(f"a[{j}] - r * a[{k - j}]" for j in range(1, k)), "r"])
+        ctes.append(f"""
+    level{k} AS (SELECT * EXCLUDE (r, a, e, p), [{new}] AS a, e * (1 - r * r) AS e, {k} AS p FROM
+      (SELECT *, CASE WHEN e > 1e-12 * g[1] THEN (c[{k + 1}] - ({earlier})) / e ELSE 0 END AS r FROM level{k - 1}))""")
+    every = " UNION ALL ".join(f"SELECT node_id, n, m, t, g, s, extra, a, e, p FROM level{k}" for k in range(top + 1))
+    ctes.append(f"""
+    models AS (SELECT *, n * ln(greatest(e, g[1] * 1e-12, 1e-300)) + 2 * (p + extra) AS criterion FROM ({every}) WHERE p < n),
+    chosen AS (SELECT *, [{", ".join(_cells(season, top))}] AS w FROM models
+               QUALIFY row_number() OVER (PARTITION BY node_id ORDER BY round(criterion, 6), p, abs(s)) = 1),
+    ends AS (SELECT node_id, list(aqi - m ORDER BY i) AS known FROM kept WHERE i > n - {lags} GROUP BY 1),
+    step0 AS (SELECT node_id, m, t, p, s, w, list_concat([0.0::DOUBLE for x in range(0, {lags} - len(known))], known) AS v FROM chosen JOIN ends USING (node_id))""")
+    for h in range(1, horizon + 1):
+        ctes.append(f"""
+    step{h} AS (SELECT * EXCLUDE (v), list_append(v, list_inner_product(list_reverse(w), v[{h}:{h + lags - 1}])) AS v FROM step{h - 1})""")
+    ctes.append(f"""
+    sar AS (SELECT node_id, CAST(h AS INT) AS h, t + to_hours(CAST(h AS INT)) AS timestamp, m + v[{lags} + h] AS y_pred
+            FROM step{horizon}, (SELECT unnest(range(1, {horizon + 1})) AS h) hs)""")
+    return ",".join(ctes)
+
+
+def _cells(season: int, top: int) -> list[str]:
+    """The weights of all lags, from those of the order (``a``) and the season (``s``)."""
+    return [
+        f"coalesce(a[{j}], 0)" if j <= top else "s" if j == season else f"-s * coalesce(a[{j - season}], 0)" if j > season else "0.0"
+        for j in range(1, season + top + 1)
+    ]
+
+
+@query("forecast_sar", with_sql(SCORED, _sql_sar("scored"), select=f"SELECT node_id, h, timestamp, {sq('y_pred', 5)} AS y_pred FROM sar"))
+def _(spark, sf):
+    made = autoregression.forecast_seasonal_ar(scored(spark, sf).select(*ID, "aqi"))
+    return made.withColumn("y_pred", rd("y_pred", 5))
+
+
+@query("sar_order", with_sql(SCORED, _sql_sar("scored", horizon=0), select=f"""
+    SELECT node_id, n, p AS "order", {sq('s')} AS seasonal, {sq('e', 4)} AS error, {sq('criterion', 3)} AS criterion FROM chosen"""))
+def _(spark, sf):
+    fitted = autoregression.fit_seasonal_ar(scored(spark, sf).select(*ID, "aqi"))
+    return fitted.select("node_id", "n", "order", rd("seasonal").alias("seasonal"), rd("error", 4).alias("error"), rd("criterion", 3).alias("criterion"))
+
+
+@query("forecast_sar_mae", with_sql(SPLIT, _sql_sar("parts", "split = 'train'"), f"""
+    tests AS (SELECT node_id, aqi AS y_true, row_number() OVER ({W}) AS h FROM parts WHERE split = 'test'),
+    maes AS (SELECT node_id, avg(abs(y_true - y_pred)) AS mae FROM tests JOIN sar USING (node_id, h) GROUP BY 1 HAVING count(*) = 24)""", select=f"""
+    SELECT node_id, {sq('mae', 5)} AS mae FROM maes UNION ALL SELECT 'average', {sq('avg(mae)', 5)} FROM maes"""))
+def _(spark, sf):
+    parts = splits.chrono_split(materialize(scored(spark, sf).select(*ID, "aqi"), "scored"))
+    rows = materialize(autoregression.holdout_seasonal_ar(parts), "held")
+    return metrics.node_mae(rows).select("node_id", rd("mae", 5).alias("mae"))
+
+
 @query("forecast_seasonal", with_sql(SCORED, f"""
     tail AS (SELECT node_id, aqi, 25 - row_number() OVER (PARTITION BY node_id ORDER BY timestamp DESC) AS step FROM scored)""",
     select=f"""SELECT node_id, CAST(step + 24 * k AS INT) AS h, {sq('aqi')} AS y_pred
@@ -210,6 +280,16 @@ def _(spark, sf):
     return out.select(*ID, "h", rd("y_true").alias("y_true"), rd("y_pred", 5).alias("y_pred"))
 
 
+@query("forecast_boosted")
+def _(spark, sf):
+    """Trees over lags, a rolling mean and the hour; growing them is no SQL, so the tests hold them against brute force."""
+    rows = scored(spark, sf).select(*ID, "aqi")
+    lags = {**ft.lag_columns("aqi", (1, 24)), "aqi_24h_mean": lambda w: F.avg("aqi").over(w.rowsBetween(-23, 0))}
+    wide = materialize(windowed(rows, lags, lookback=24).withColumn("hour", F.hour("timestamp").cast("double")), "features")
+    out = boosting.forecast_boosted(splits.chrono_split(wide), ["aqi", "aqi_lag_1h", "aqi_lag_24h", "aqi_24h_mean", "hour"], trees=6)
+    return out.select(*ID, "h", rd("y_true").alias("y_true"), rd("y_pred").alias("y_pred"))
+
+
 SQL_HOLDOUT = f"""
     pairs AS (SELECT node_id, timestamp, aqi, lag(aqi) OVER ({W}) AS before FROM parts WHERE split = 'train'),
     fitted AS (SELECT node_id, regr_slope(aqi, before) AS phi, regr_intercept(aqi, before) AS c, arg_max(aqi, timestamp) AS y FROM pairs GROUP BY 1),
