@@ -62,21 +62,28 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 # Readings follow the event number: a node of its own gets about 60 % of all events,
 # every 2500 events bring one more node, and two events fall into one hour. So more
-# events mean a longer history, more nodes and one node that dominates. Gaps of 8 and
-# 25 hours recur; a sparse panel has some of 21 hours too.
+# events mean a longer history, more nodes and one node that dominates. Hours move on
+# by 8 every 89 and by 25 every 364, which leaves gaps; those of a sparse panel also by
+# 21 every 32. Every event enters.
 SQL_BIG_NODE = "(event_id * 7919) % 101 < 60"
 EVENTS_PER_NODE = 2500
 START = "2022-04-01 00:00:00"
-SQL_GAPS = "NOT (h % 97 BETWEEN 50 AND 57) AND NOT (h % 389 BETWEEN 100 AND 124)"
-SQL_SPARSE_GAPS = f"{SQL_GAPS} AND NOT (h % 53 BETWEEN 10 AND 30)"
+GAPS = ((8, 89), (25, 364))
+SPARSE_GAPS = (*GAPS, (21, 32))
+
+
+def moved(h: str, gaps: Sequence[tuple[int, int]], div: str) -> str:
+    """An hour moved on by the gaps before it, as SQL; ``div`` divides whole numbers."""
+    return h + "".join(f" + {hours} * (({h}) {div} {every})" for hours, every in gaps)
+
 
 
 def readings(spark: SparkSession, sf: str, thin: bool = False) -> DataFrame:
     """Hourly readings per sensor node, aggregated from the events."""
     e = table(spark, sf, "events").selectExpr(
         "*", f"CASE WHEN {SQL_BIG_NODE} THEN 1 ELSE 2 + event_id DIV {EVENTS_PER_NODE} END AS node",
-        f"CASE WHEN {SQL_BIG_NODE} THEN event_id DIV 2 ELSE (event_id % {EVENTS_PER_NODE}) DIV 2 END AS h",
-    ).where(SQL_SPARSE_GAPS if thin else SQL_GAPS)
+        f"CASE WHEN {SQL_BIG_NODE} THEN event_id DIV 2 ELSE (event_id % {EVENTS_PER_NODE}) DIV 2 END AS seen",
+    ).selectExpr("*", f"{moved('seen', SPARSE_GAPS if thin else GAPS, 'DIV')} AS h")
     value = F.col("value")
     hour = F.expr(f"timestampadd(HOUR, h, TIMESTAMP_NTZ'{START}')")
     return e.groupBy(F.format_string("N%02d", "node").alias("node_id"), hour.alias("timestamp")).agg(
@@ -159,10 +166,10 @@ def forecasts(spark: SparkSession, sf: str) -> DataFrame:
 def sql_readings(thin: bool = False, name: str = "readings") -> str:
     return f"""{name}_events AS (
       SELECT *, CASE WHEN {SQL_BIG_NODE} THEN 1 ELSE 2 + event_id // {EVENTS_PER_NODE} END AS node,
-             CASE WHEN {SQL_BIG_NODE} THEN event_id // 2 ELSE (event_id % {EVENTS_PER_NODE}) // 2 END AS h FROM events),
+             CASE WHEN {SQL_BIG_NODE} THEN event_id // 2 ELSE (event_id % {EVENTS_PER_NODE}) // 2 END AS seen FROM events),
     {name} AS (
       SELECT printf('N%02d', node) AS node_id,
-             TIMESTAMP '{START}' + to_hours(CAST(h AS INTEGER)) AS timestamp,
+             TIMESTAMP '{START}' + to_hours(CAST({moved('seen', SPARSE_GAPS if thin else GAPS, '//')} AS INTEGER)) AS timestamp,
              max(value) AS pm25,
              CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS pm10,
              min(value) AS no2,
@@ -173,7 +180,7 @@ def sql_readings(thin: bool = False, name: str = "readings") -> str:
              CAST(max(event_id % 360) AS DOUBLE) AS wind_direction,
              CAST(15 + max(event_id % 20) AS DOUBLE) AS temperature,
              CAST(40 + max(event_id % 50) AS DOUBLE) AS humidity
-      FROM {name}_events WHERE {SQL_SPARSE_GAPS if thin else SQL_GAPS} GROUP BY 1, 2)"""
+      FROM {name}_events GROUP BY 1, 2)"""
 
 
 SQL_SIGNED = sql_readings(name="unsigned") + """,
