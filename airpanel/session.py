@@ -10,6 +10,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DIRS: dict[str, str] = {}
@@ -106,3 +107,33 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, there = _hadoop(spark, path)
+    return system.exists(there)
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    system, there = _hadoop(spark, path)
+    return system.getFileStatus(there).isDirectory()
+
+
+def publish(spark: SparkSession, written: str, path: str) -> None:
+    """Rename the finished table ``written`` to ``path`` in one step, unless a finished table is there.
+
+    Of several writers one succeeds; the tables of the others are deleted. Nothing that is at ``path`` is.
+    """
+    jvm, gateway = spark._jvm, spark.sparkContext._gateway
+    system, there = _hadoop(spark, path)
+    _, mine = _hadoop(spark, written)
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    never_over = gateway.new_array(rename, 1)
+    never_over[0] = rename.NONE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(system.getUri(), spark._jsc.hadoopConfiguration())
+    try:
+        context.rename(mine, there, never_over)
+    except Py4JJavaError:
+        if not exists(spark, f"{path}/_SUCCESS"):
+            raise
+        system.delete(mine, True)

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable, Sequence
 from functools import reduce
 from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +16,8 @@ from pyspark.sql import functions as F
 from airpanel.functions.clock import hour_index
 from airpanel.operators.chunks import CHUNK, chunk_of
 from airpanel.operators.rows import filter_city, select_available, sort_panel
+from airpanel.session import exists, is_folder, publish
+from airpanel.sources.headered import file_system, read_headered
 
 # Headers of the input files and the names used here.
 STATION_HEADERS = {
@@ -72,14 +76,26 @@ def _no_such_path(error: AnalysisException) -> bool:
 
 
 def _by_header(
-    spark: SparkSession, path: str, pick: Callable[[DataFrame], DataFrame],
+    spark: SparkSession, path: str, wanted: Sequence[str], pick: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
-    """``pick`` of the CSV files at ``path``, each bound by its own header.
+    """``pick`` of the wanted columns of the CSV files at ``path``, each file bound by its own header.
 
-    Spark takes the header of one file for all. So the first line of every file is
-    looked up in one job; the files of each distinct header are read together, and
-    the parts are joined by column name. A column that a file lacks is NULL there.
+    One pass over the bytes, whatever the number of files and headers (:mod:`airpanel.sources.headered`); a column
+    that a file lacks is NULL there, and one that all lack is absent. ``file`` is the path of a row's file. A store
+    that only Spark's readers reach is read by them, the files of each distinct header together.
     """
+    try:
+        file_system(path)
+    except (pa.ArrowException, OSError):
+        return _by_spark(spark, path, pick)
+    found = read_headered(spark, path, wanted)
+    if found is None:  # let Spark say what is missing
+        return pick(spark.read.csv(path, header=True).withColumn("file", F.col("_metadata.file_path")))
+    return pick(found)
+
+
+def _by_spark(spark: SparkSession, path: str, pick: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``pick`` of the CSV files at ``path``: the first line of every file is looked up, and each header is a read."""
     lines = spark.read.text(path).select(
         "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
     )
@@ -89,9 +105,9 @@ def _by_header(
     for row in heads.collect():  # one row per file
         plain = unquote(row["file"])
         files.setdefault(row["header"], []).append(re.sub(r"([\\*?\[\]{}])", r"\\\1", plain))
-    parts = [pick(spark.read.csv(names, header=True)) for _, names in sorted(files.items())]
-    if not parts:
-        return pick(spark.read.csv(path, header=True))
+    # Paths are URLs, in which a plus sign is itself.
+    file = F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B"))
+    parts = [pick(spark.read.csv(names, header=True).withColumn("file", file)) for _, names in sorted(files.items())]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
@@ -109,16 +125,14 @@ def read_station_csv(spark: SparkSession, path: str) -> DataFrame:
 
     Each file is bound by its own header; its column order does not matter.
     """
-    file = F.regexp_extract(F.col("_metadata.file_path"), r"([^/=]+)\.csv(?:/[^/]*)?$", 1)
-    # Paths are URLs, in which a plus sign is itself.
-    station = F.url_decode(F.regexp_replace(file, r"\+", "%2B")).alias("station_id")
-    found = _by_header(spark, path, lambda raw: _renamed(raw, STATION_HEADERS, [station]))
+    station = F.regexp_extract("file", r"([^/=]+)\.csv(?:/[^/]*)?$", 1).alias("station_id")
+    found = _by_header(spark, path, list(STATION_HEADERS), lambda raw: _renamed(raw, STATION_HEADERS, [station]))
     return select_available(found, STATION_COLUMNS)
 
 
 def read_city_day_csv(spark: SparkSession, path: str, city: str) -> DataFrame:
     """Daily rows of one city; each file is bound by its own header."""
-    found = _by_header(spark, path, lambda raw: _renamed(filter_city(raw, city), CITY_HEADERS))
+    found = _by_header(spark, path, ["City", *CITY_HEADERS], lambda raw: _renamed(filter_city(raw, city), CITY_HEADERS))
     return select_available(found, list(CITY_HEADERS.values()))
 
 
@@ -180,7 +194,7 @@ def read_node_csvs(spark: SparkSession, folder: str, ordered: bool = False) -> D
         )
 
     try:
-        out = _by_header(spark, f"{folder}/{{node_*.csv,node=*}}", pick)
+        out = _by_header(spark, f"{folder}/{{node_*.csv,node=*}}", ["timestamp", "node_id", *MEASURES], pick)
     except AnalysisException as e:
         if not _no_such_path(e):
             raise
@@ -190,14 +204,20 @@ def read_node_csvs(spark: SparkSession, folder: str, ordered: bool = False) -> D
 
 
 def cached_parquet(spark: SparkSession, path: str, compute: Callable[[], DataFrame]) -> DataFrame:
-    """The table at ``path``; computed and written there when it does not exist."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if not _no_such_path(e):
-            raise
-        compute().write.mode("error").parquet(path)
+    """The table at ``path``; computed and written there when nothing is there.
+
+    A table is written aside and renamed when it is finished, so that a reader never sees part of it, a writer
+    that dies leaves nothing at ``path``, and of two writers at a time the first to finish wins. A folder
+    without the success marker of a finished write is no table: it raises, and stays as it is.
+    """
+    if exists(spark, path):
+        if is_folder(spark, path) and not exists(spark, f"{path}/_SUCCESS"):
+            raise RuntimeError(f"{path} holds no finished table; remove it to compute it anew")
         return spark.read.parquet(path)
+    aside = f"{path.rstrip('/')}.part-{uuid.uuid4().hex}"
+    compute().write.mode("error").parquet(aside)
+    publish(spark, aside, path)
+    return spark.read.parquet(path)
 
 
 def write_processed(df: DataFrame, path: str, key: str = "node_id") -> None:

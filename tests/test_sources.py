@@ -1,10 +1,18 @@
+import csv
+import gzip
+import io
 import json
+import random
+import threading
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from conftest import panel
 
 from airpanel.operators import rows
+from airpanel.session import publish
 from airpanel.sources import files
+from airpanel.sources.headered import listed, read_headered
 
 HEADER = "From Date,To Date,PM2.5 (ug/m3),PM10 (ug/m3),WS (m/s),WD (degree)\n"
 
@@ -170,3 +178,84 @@ def test_only_a_missing_path_is_computed_anew(spark, tmp_path):
     with pytest.raises(Exception) as caught:
         files.cached_parquet(spark, str(tmp_path / "broken"), lambda: spark.range(3)).count()
     assert "PATH_NOT_FOUND" not in str(caught.value) and (tmp_path / "broken" / "part-0.parquet").exists()
+
+
+def test_cache_is_whole_or_not_there(spark, tmp_path):
+    path = str(tmp_path / "t")
+
+    def failing():
+        return spark.range(100).selectExpr("id", "CASE WHEN id = 99 THEN raise_error('lost') ELSE id END AS v")
+
+    with pytest.raises(Exception, match="lost"):
+        files.cached_parquet(spark, path, failing)
+    assert not (tmp_path / "t").exists()
+    assert files.cached_parquet(spark, path, lambda: spark.range(7)).count() == 7
+    # A second writer that was slower finds the finished table and leaves it.
+    late = str(tmp_path / "late")
+    spark.range(3).write.parquet(late)
+    publish(spark, late, path)
+    assert spark.read.parquet(path).count() == 7 and not (tmp_path / "late").exists()
+
+
+def test_two_writers_at_a_time(spark, tmp_path):
+    path, gate = str(tmp_path / "t"), threading.Barrier(2)
+
+    def compute(n):
+        gate.wait(60)
+        return spark.range(n)
+
+    with ThreadPoolExecutor(2) as pool:
+        sizes = list(pool.map(lambda n: files.cached_parquet(spark, path, lambda: compute(n)).count(), (5, 9)))
+    assert sizes[0] == sizes[1] and sizes[0] in (5, 9) and [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_ranges_of_files_with_many_headers(spark, tmp_path):
+    rng = random.Random(1)
+    names, want = ["a", "b", "c d", "é"], []
+    for i in range(12):
+        head = rng.sample(names, rng.randint(1, 4)) + ["other"] * (i % 2)
+        rows = [[rng.choice([*[""] * (len(head) > 1), "1", "x y", 'say "hi"', "1,5", "ü" * 9]) for _ in head] for _ in range(rng.randint(0, 40))]
+        lines = io.StringIO()
+        csv.writer(lines, lineterminator=rng.choice(["\n", "\r\n"])).writerows([head, *rows])
+        text = lines.getvalue()
+        if i == 5:
+            text = text.rstrip("\r\n")  # the last line has no end
+        (tmp_path / f"f{i}.csv").write_bytes((b"\xef\xbb\xbf" if i == 3 else b"") + text.encode())
+        want += [(f"f{i}", *[(dict(zip(head, r)).get(n) or None) for n in names]) for r in rows]
+    (tmp_path / "_hidden.csv").write_text("a\n1\n")
+    (tmp_path / "short.csv").write_text("a,b,é\n1\n2,3\n4,5,6,7\n\n8,9,10\n")
+    want += [("short", "1", None, None, None), ("short", "2", "3", None, None), ("short", "4", "5", None, "6"), ("short", "8", "9", None, "10")]
+    with gzip.open(tmp_path / "packed.csv.gz", "wt") as f:
+        f.write("b,a\n1,2\n")
+    want.append(("packed", "2", "1", None, None))
+    for size in (64 << 20, 50, 7):
+        df = read_headered(spark, str(tmp_path / "*.csv*"), names, size)
+        assert df.columns == ["file", *names]
+        got = [(r["file"].rsplit("/", 1)[1].split(".")[0], *[r[n] for n in names]) for r in df.collect()]
+        assert sorted(got, key=str) == sorted(want, key=str), size
+    assert read_headered(spark, str(tmp_path / "nothing*"), names) is None
+    assert read_headered(spark, str(tmp_path / "f*.csv"), ["absent"]).columns == ["file"]
+
+
+def test_plan_does_not_grow_with_files_and_headers(spark, tmp_path):
+    def plan(n):
+        folder = tmp_path / str(n)
+        folder.mkdir()
+        for i in range(n):
+            names = ["From Date", "PM10 (ug/m3)", *[f"x{j}" for j in range(i)]]
+            (folder / f"S{i}.csv").write_text(",".join(names) + "\n2024-01-01 00:00:00,5" + ",1" * i + "\n")
+        df = files.read_station_csv(spark, f"{folder}/*.csv")
+        assert df.count() == n
+        return len(df._jdf.queryExecution().optimizedPlan().toString().splitlines())
+
+    assert plan(2) == plan(25)
+
+
+def test_globs(tmp_path):
+    for name in ("a/node_1.csv", "a/node=2/part.csv", "a/node=2/_SUCCESS", "a/other.csv", "b/.x/y.csv"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text("h")
+    found = lambda p: [f.path.removeprefix(f"{tmp_path}/") for f in listed(p)]
+    assert found(f"{tmp_path}/a/{{node_*.csv,node=*}}") == ["a/node=2/part.csv", "a/node_1.csv"]
+    assert found(f"file://{tmp_path}/a") == ["a/node=2/part.csv", "a/node_1.csv", "a/other.csv"]
+    assert found(f"{tmp_path}/b") == [] and found(f"{tmp_path}/[ab]/oth??.csv") == ["a/other.csv"]
