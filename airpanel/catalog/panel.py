@@ -252,11 +252,11 @@ def _(spark, sf):
 @query("persistence_circular", with_sql(SCORED, f"""
     numbered AS (SELECT node_id, timestamp, aqi, row_number() OVER ({W}) - 1 AS position,
                         count(*) OVER (PARTITION BY node_id) AS n FROM scored)""", select=f"""
-    SELECT a.node_id, a.timestamp, a.position, {sq('a.aqi')} AS aqi, {sq('b.aqi')} AS y_pred
+    SELECT a.node_id, a.timestamp, {sq('a.aqi')} AS aqi, {sq('b.aqi')} AS y_pred
     FROM numbered a JOIN numbered b ON a.node_id = b.node_id AND b.position = (a.position - 24 + 24 * a.n) % a.n"""))
 def _(spark, sf):
     out = ft.persistence_circular(_score(spark, sf))
-    return out.select(*ID, "position", *rds(["aqi", "y_pred"]))
+    return out.select(*ID, *rds(["aqi", "y_pred"]))
 
 
 SPLIT = SCORED + """,

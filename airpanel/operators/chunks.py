@@ -49,8 +49,7 @@ def with_positions(
     Rows are numbered inside (node, time chunk); the count of earlier rows comes
     from one summary row per chunk. ``total`` adds the node's row count.
     """
-    df = df.withColumn("_h", hour_index(order[0])).withColumn("_tc", chunk_of("_h", size))
-    return placed(numbered(df, "_tc", keys, order), "_tc", keys, name, total).drop("_h")
+    return placed(numbered(_time_chunked(df, order[0], size), "_tc", keys, order), "_tc", keys, name, total)
 
 
 def numbered(
@@ -97,14 +96,43 @@ def windowed(
 ) -> DataFrame:
     """Add per-node row-frame columns; no frame may reach past the given looks.
 
+    The windows run inside (node, time chunk), which shuffles the rows once. Only
+    the rows whose frames reach out of their chunk are evaluated again: with the
+    rows that their frames need they are the edges of the chunks, of which
+    ``2 * (lookback + lookahead)`` rows per chunk are numbered and get a halo.
+
     ``position`` may be given when it is known without counting, such as the hour
-    on a gap-free hourly grid; it must rise by one from row to row.
+    on a gap-free hourly grid; it must rise by one from row to row. Rows then go to
+    their chunk and to those that look at them in one shuffle.
     """
     keys = list(keys)
-    if position is None:
-        df = with_positions(df, keys, order, size, name="_pos")
-    else:
-        df = df.withColumn("_pos", position)
+    if position is not None:
+        return _haloed(df.withColumn("_pos", position), columns, lookback, lookahead, keys, size)
+    df = _time_chunked(df, order[0], size)
+    chunk = Window.partitionBy(*keys, "_tc")
+    inside = chunk.orderBy(*order)
+    own = [c for c in df.columns if c != "_tc"]
+    rows = df.withColumns({
+        **{name: make(inside) for name, make in columns.items()},
+        "_rn": F.row_number().over(inside), "_rows": F.count(F.lit(1)).over(chunk),
+    })
+    reach = lookback + lookahead
+    beyond = F.expr(f"_rn <= {lookback} OR _rn > _rows - {lookahead}")
+    settled = rows.where(~beyond).drop("_tc", "_rn", "_rows")
+    edges = rows.where(F.expr(f"_rn <= {reach} OR _rn > _rows - {reach}")).select(*map(quoted, own), beyond.alias("_beyond"))
+    # A frame of a row at an edge ends inside it, so the gap between two edges of a chunk is never crossed.
+    edges = _haloed(with_positions(edges, keys, order, size, name="_pos"), columns, lookback, lookahead, keys, size)
+    return settled.unionByName(edges.where("_beyond").drop("_beyond"))
+
+
+def _time_chunked(df: DataFrame, time: str, size: int) -> DataFrame:
+    return df.withColumn("_h", hour_index(time)).withColumn("_tc", chunk_of("_h", size)).drop("_h")
+
+
+def _haloed(
+    df: DataFrame, columns: dict[str, Callable[[WindowSpec], Column]], lookback: int, lookahead: int, keys: Sequence[str], size: int,
+) -> DataFrame:
+    """Windows over chunks of positions ``_pos``; rows also go to the chunks that look at them."""
     first, last = chunk_of(f"_pos - {lookahead}", size), chunk_of(f"_pos + {lookback}", size)
     df = df.withColumn("_chunk", F.explode(F.sequence(first, last)))
     w = Window.partitionBy(*keys, "_chunk").orderBy("_pos")

@@ -168,14 +168,26 @@ def _ids(df: DataFrame) -> list[str]:
 def persistence_circular(
     df: DataFrame, column: str = "aqi", horizon: int = 24, key: str = NODE, time: str = TIME, **kw,
 ) -> DataFrame:
-    """Each node's series moved ``horizon`` rows on; the last rows wrap to the front."""
-    rows = with_positions(df.select(key, time, column), [key], [time], total="_n", **kw)
-    moved = rows.select(
-        key,
-        F.pmod(F.col("position") + F.lit(horizon), F.col("_n")).alias("position"),
-        F.col(column).alias("y_pred"),
+    """Each node's series moved ``horizon`` rows on; the last rows wrap to the front.
+
+    All rows but the first ``horizon`` of a node look back. The first ones, which have
+    no row so far back, get the last ones, which have none so far ahead: at most
+    ``horizon`` of either per node.
+    """
+    cell = F.struct(F.col(column).alias("v"))
+    rows = windowed(
+        df.select(key, time, column),
+        {"_before": lambda w: F.lag(cell, horizon).over(w), "_after": lambda w: F.lead(cell, horizon).over(w)},
+        lookback=horizon, lookahead=horizon, keys=[key], order=[time], **kw,
+    )
+    node = Window.partitionBy(key)
+    few = lambda name, c: rows.where(f"{c} IS NULL").select(
+        key, time, F.col(column).alias(name), (F.row_number().over(node.orderBy(time)) - 1).alias("_i"), F.count(F.lit(1)).over(node).alias("_n"),
     )
-    return rows.drop("_n").join(moved, [key, "position"])
+    last = few("y_pred", "_after").select(key, F.pmod(F.col("_i") + F.lit(horizon), F.col("_n")).alias("_i"), "y_pred")
+    first = few(column, "_before").drop("_n").join(last, [key, "_i"])
+    moved = rows.where("_before IS NOT NULL").select(key, time, column, F.col("_before.v").alias("y_pred"))
+    return moved.unionByName(first.select(key, time, column, "y_pred"))
 
 
 def persistence_last(

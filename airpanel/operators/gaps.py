@@ -56,6 +56,7 @@ def hourly_fill(
     size: int = CHUNK,
     keep_raw: bool = False,
     keep_chunk: bool = False,
+    most: int | None = None,
 ) -> DataFrame:
     """Rows at every hour of each node, with gaps filled, in one shuffle.
 
@@ -64,13 +65,20 @@ def hourly_fill(
     repeated timestamp of a node is an error. ``keep_raw`` adds the unfilled
     values as ``{c}_raw``, ``keep_chunk`` the ``_chunk`` the rows are partitioned
     by, which rises with time.
+
+    A chunk holds ``size`` hours, which is even work for a few readings an hour. For
+    denser ones ``most`` bounds the readings of a chunk: they are counted first, and
+    chunks with more are split into shorter stretches of hours.
     """
     columns = list(columns) if columns is not None else numeric_columns(df, exclude=[key, time])
     rows = known(df, columns).select(
         key, F.col(time).cast("timestamp_ntz").alias("_t"), hour_index(time).alias("_h"),
         *map(quoted, columns),
     ).withColumn("_on", F.col("_t") == hour_start("_h"))
-    rows = rows.withColumn("_chunk", chunk_of("_h", size)).selectExpr(
+    rows = rows.withColumn("_chunk", chunk_of("_h", size))
+    if most is not None:
+        rows = _split_dense(rows, key, size, most)
+    rows = rows.selectExpr(
         key, "_t", "_h", "_chunk", *[f"CASE WHEN _on THEN {quoted(c)} END AS {quoted(c)}" for c in columns]
     )
     looks = {"_ahead": "lead(_h)", "_same": "lag(_t)"}
@@ -97,6 +105,18 @@ def hourly_fill(
     )
 
 
+def _split_dense(rows: DataFrame, key: str, size: int, most: int) -> DataFrame:
+    """Number chunks by their first hour, those with more than ``most`` rows in shorter stretches.
+
+    The directory lists the dense chunks only, at most one per ``most`` rows of the table.
+    """
+    dense = rows.groupBy(key, "_chunk").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most)
+    dense = dense.select(key, "_chunk", F.expr(f"greatest(1, CAST({size} / ceil(_n / {most}) AS BIGINT))").alias("_hours"))
+    met = rows.join(dense, [key, "_chunk"], "left")
+    first = F.expr(f"_chunk * {size} + CASE WHEN _hours IS NULL THEN 0 ELSE ((_h - _chunk * {size}) DIV _hours) * _hours END")
+    return met.withColumn("_chunk", first).drop("_hours")
+
+
 def hourly_grid(df: DataFrame, columns: Sequence[str] | None = None, **kw) -> DataFrame:
     """Rows at every hour from the first to the last of each node; gaps are NULL."""
     return hourly_fill(df, columns, hold=0, line=0, **kw)

@@ -9,8 +9,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from airpanel.functions.clock import hour_index
 from airpanel.functions.geo import haversine_km, sphere_cells
-from airpanel.operators.chunks import global_index
+from airpanel.operators.chunks import CHUNK, chunk_of, global_index
 
 EPSILON = 1e-8
 THRESHOLD_KM = 10.0
@@ -106,17 +107,18 @@ def normalize_edges(edges: DataFrame, symmetric: bool = True) -> DataFrame:
 
 def graph_aggregate(
     readings: DataFrame, edges: DataFrame, column: str = "aqi",
-    key: str = "node_id", time: str = "timestamp",
+    key: str = "node_id", time: str = "timestamp", spread: int = 16, size: int = CHUNK,
 ) -> DataFrame:
     """Weighted sum over the neighbours of each node at each time.
 
-    Rows flow along edges and are summed per (receiver, time); an edge list too
-    large to broadcast joins by key, where adaptive execution splits hot nodes.
+    Rows flow along edges and are summed per (receiver, time). A node's history is dealt over
+    ``spread`` tasks by stretches of ``size`` hours and its edges are copied to them, so that
+    a node with most of all rows is no task of its own.
     """
-    sent = readings.select(F.col(key).alias("dst"), time, column).join(
-        edges.select("src", "dst", "weight"), "dst"
-    )
-    return sent.groupBy(F.col("src").alias(key), time).agg(
+    stretch = F.pmod(chunk_of("_h", size), F.lit(spread)).cast("int")
+    rows = readings.select(F.col(key).alias("dst"), time, column).withColumn("_h", hour_index(time)).withColumn("_stretch", stretch)
+    copies = edges.select("src", "dst", "weight", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("_stretch"))
+    return rows.join(copies, ["dst", "_stretch"]).groupBy(F.col("src").alias(key), time).agg(
         F.sum(F.col("weight") * F.col(column)).alias(f"{column}_neighbours")
     )
 

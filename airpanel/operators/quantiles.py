@@ -1,4 +1,9 @@
-"""Exact quantiles of large columns, and the outlier rules built on them."""
+"""Exact quantiles of large columns, and the outlier rules built on them.
+
+A mergeable sketch of every column brackets the values at the wanted ranks; one more pass counts what lies
+beside the brackets and gathers what lies inside. Both passes scan the caller's rows once, whatever the
+outliers; all that follows works on the gathered values.
+"""
 
 from __future__ import annotations
 
@@ -10,9 +15,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from airpanel.operators.rows import numeric_columns, quoted
+from airpanel.session import materialize
 
 BUCKETS = 1000
 SMALL = 1_000_000
+#: Ranks of the sketches are right to a part in so many.
+ACCURACY = 5000
 
 
 @dataclass(frozen=True)
@@ -26,117 +34,125 @@ class _Span:
     inside: int
 
 
-def _pairs(spans: Sequence[_Span]) -> Column:
-    """One ``(span, v)`` per span that holds the row's value."""
-    cells = [
-        f"CASE WHEN {quoted(s.column)} BETWEEN {s.low!r}D AND {s.high!r}D "
-        f"THEN struct({i} AS span, CAST({quoted(s.column)} AS DOUBLE) AS v) END"
-        for i, s in enumerate(spans)
-    ]
-    return F.expr(f"inline(array_compact(array({', '.join(cells)})))")
-
-
-def _narrow(df: DataFrame, spans: dict[tuple[str, int], _Span]) -> dict[tuple[str, int], _Span]:
-    """Cut every span to the bucket that holds its rank: one pass, small shuffle."""
-    distinct = sorted(set(spans.values()), key=lambda s: (s.column, s.low, s.high))
-    bucket = F.expr("CASE span " + " ".join(
-        f"WHEN {i} THEN width_bucket(v, {s.low!r}D, {s.high!r}D, {BUCKETS})"
-        for i, s in enumerate(distinct)
-    ) + " END")
-    rows = (
-        df.select(_pairs(distinct))
-        .groupBy("span", bucket.alias("bucket"))
-        .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+def _narrow(held: DataFrame, spans: dict[tuple[str, int], _Span], origin: dict[tuple[str, int], int]) -> dict[tuple[str, int], _Span]:
+    """Cut every span to the bucket that holds its rank: one pass over (span, v, n), small shuffle."""
+    todo = sorted({(origin[k], s) for k, s in spans.items()}, key=lambda t: (t[0], t[1].low, t[1].high))
+    cells = F.expr("inline(array_compact(array(" + ", ".join(
+        f"CASE WHEN span = {i} AND v BETWEEN {_literal(s.low)} AND {_literal(s.high)} "
+        f"THEN struct({k} AS part, width_bucket(v, {_literal(s.low)}, {_literal(s.high)}, {BUCKETS}) AS bucket, v, n) END"
+        for k, (i, s) in enumerate(todo)
+    ) + ")))")
+    rows = held.select(cells).groupBy("part", "bucket").agg(
+        F.sum("n").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"), F.count(F.lit(1)).alias("values"),
     )
-    running = Window.partitionBy("span").orderBy("bucket")
-    rows = rows.withColumn("upto", F.sum("n").over(running))
+    rows = rows.withColumn("upto", F.sum("n").over(Window.partitionBy("part").orderBy("bucket")))
+    places = [s for _, s in todo]
     wanted = " OR ".join(
-        f"(span = {distinct.index(s)} AND upto > {rank - s.before} AND upto - n <= {rank - s.before})"
-        for (_, rank), s in spans.items()
+        f"(part = {places.index(s)} AND upto > {rank - s.before} AND upto - n <= {rank - s.before})" for (_, rank), s in spans.items()
     )
     found = rows.where(wanted).collect()  # one row per wanted rank
     out = {}
     for (column, rank), s in spans.items():
         for r in found:
             start = s.before + r["upto"] - r["n"]
-            if r["span"] == distinct.index(s) and start <= rank < start + r["n"]:
-                out[column, rank] = replace(
-                    s, low=r["low"], high=r["high"], before=start, inside=r["n"]
-                )
+            if r["part"] == places.index(s) and start <= rank < start + r["n"]:
+                out[column, rank] = replace(s, low=r["low"], high=r["high"], before=start, inside=r["values"])
     return out
 
 
-def _pick(df: DataFrame, spans: dict[tuple[str, int], _Span]) -> dict[tuple[str, int], float]:
-    """Values at the wanted ranks of spans that hold few rows."""
-    distinct = sorted(set(spans.values()), key=lambda s: (s.column, s.low, s.high))
-    counts = df.select(_pairs(distinct)).groupBy("span", "v").agg(F.count(F.lit(1)).alias("n"))
-    upto = F.sum("n").over(Window.partitionBy("span").orderBy("v"))
+def _pick(held: DataFrame, spans: dict[tuple[str, int], _Span], origin: dict[tuple[str, int], int]) -> dict[tuple[str, int], float]:
+    """Values at the wanted ranks of spans that hold few values."""
+    todo = sorted({(origin[k], s) for k, s in spans.items()}, key=lambda t: (t[0], t[1].low, t[1].high))
+    places = [s for _, s in todo]
+    cells = F.expr("inline(array_compact(array(" + ", ".join(
+        f"CASE WHEN span = {i} AND v BETWEEN {_literal(s.low)} AND {_literal(s.high)} THEN struct({k} AS part, v, n) END"
+        for k, (i, s) in enumerate(todo)
+    ) + ")))")
+    upto = F.sum("n").over(Window.partitionBy("part").orderBy("v"))
     keys = list(spans)
     picks = [
-        F.expr(f"min(CASE WHEN span = {distinct.index(spans[k])} "
-               f"AND upto > {k[1] - spans[k].before} THEN v END) AS k{i}")
+        F.expr(f"min(CASE WHEN part = {places.index(spans[k])} AND upto > {k[1] - spans[k].before} THEN v END) AS k{i}")
         for i, k in enumerate(keys)
     ]
-    row = counts.withColumn("upto", upto).agg(*picks).first()
+    row = held.select(cells).withColumn("upto", upto).agg(*picks).first()
     return {k: row[f"k{i}"] for i, k in enumerate(keys)}
 
 
+def _gathered(df: DataFrame, spans: list[_Span], values: dict[str, str]) -> DataFrame:
+    """(span, v, n): how often each value inside a span occurs; ``v`` is null for all values on the span's shorter side.
+
+    A span over the upper ranks counts what lies above it, any other what lies below.
+    """
+    cells = []
+    for i, s in enumerate(spans):
+        v = values[s.column]
+        beside = f"{v} > {_literal(s.high)} AND {v} < {INFINITE}" if s.before < 0 else f"{v} < {_literal(s.low)} AND {v} > {LEAST}"
+        cells.append(
+            f"CASE WHEN {v} BETWEEN {_literal(s.low)} AND {_literal(s.high)} THEN struct({i} AS span, {v} AS v) "
+            f"WHEN {beside} AND NOT isnan({v}) THEN struct({i} AS span, CAST(NULL AS DOUBLE) AS v) END"
+        )
+    pairs = F.expr(f"inline(array_compact(array({', '.join(cells)})))")
+    return df.select(pairs).groupBy("span", "v").agg(F.count(F.lit(1)).alias("n"))
+
+
+LEAST, INFINITE = "CAST('-Infinity' AS DOUBLE)", "CAST('Infinity' AS DOUBLE)"
+
+
+def _sketched(df: DataFrame, values: dict[str, str], parts: dict[str, list[float]], accuracy: int):
+    """One row: counts and ends of every column, and sketched values around the wanted parts."""
+    aggs = []
+    for i, (c, v) in enumerate(values.items()):
+        finite = f"CASE WHEN {v} > {LEAST} AND {v} < {INFINITE} THEN {v} END"
+        ends = sorted({e for p in parts[c] for e in (max(0.0, p - 2 / accuracy), min(1.0, p + 2 / accuracy))})
+        listed = ", ".join(f"{e!r}D" for e in ends)
+        aggs += [F.expr(f"{e} AS {n}_{i}") for n, e in (
+            ("n", f"count_if({v} IS NOT NULL AND NOT isnan({v}))"), ("below", f"count_if({v} = {LEAST})"),
+            ("above", f"count_if({v} = {INFINITE})"), ("lo", f"min({finite})"), ("hi", f"max({finite})"),
+            ("near", f"map_from_arrays(array({listed}), percentile_approx({finite}, array({listed}), {accuracy}))"),
+        )]
+    return df.agg(*aggs).first()
+
+
 def exact_quantiles(
-    df: DataFrame, wanted: dict[str, tuple[str, float]], small: int = SMALL,
+    df: DataFrame, wanted: dict[str, tuple[str, float]], small: int = SMALL, accuracy: int = ACCURACY,
 ) -> dict[str, float | None]:
     """Linearly interpolated quantiles ``{name: (column, p)}`` of the known values.
 
     NULL and NaN are not known. Infinite values count at their end of the order; a
     quantile between a finite and an infinite value is infinite.
 
-    The range of each column is narrowed by bucket counts until the bucket of
-    the wanted rank holds at most ``small`` rows (or one value); only those rows
-    are ordered. Every pass is a scan with map-side aggregation, and no task
-    sees more than ``small`` rows in order. Only a few numbers per quantile come
-    to the driver.
+    Two scans of ``df``: the first sketches every column, the second counts the values beside
+    each bracket and gathers those inside, about ``4 / accuracy`` of all, by value. If a bracket
+    holds more than ``small`` different values, buckets narrow it on the gathered values
+    until few are left; only those are ordered. Should a sketch miss a rank, its bracket is
+    the whole column, gathered once more. A few numbers per quantile reach the driver.
     """
     columns = sorted({c for c, _ in wanted.values()})
     if not columns:
         return {}
     values = {c: f"CAST({quoted(c)} AS DOUBLE)" for c in columns}
-    least, most = "CAST('-Infinity' AS DOUBLE)", "CAST('Infinity' AS DOUBLE)"
-    ends = df.agg(*[
-        F.expr(f"{e} AS {n}_{i}")
-        for i, v in enumerate(values.values())
-        for n, e in (
-            ("n", f"count_if({v} IS NOT NULL AND NOT isnan({v}))"), ("below", f"count_if({v} = {least})"),
-            ("above", f"count_if({v} = {most})"),
-            ("lo", f"min(CASE WHEN {v} > {least} AND {v} < {most} THEN {v} END)"),
-            ("hi", f"max(CASE WHEN {v} > {least} AND {v} < {most} THEN {v} END)"),
-        )
-    ]).first()
-    size = {c: ends[f"n_{i}"] for i, c in enumerate(columns)}
-    below = {c: ends[f"below_{i}"] for i, c in enumerate(columns)}
-    above = {c: ends[f"above_{i}"] for i, c in enumerate(columns)}
-    whole = {
-        c: _Span(c, ends[f"lo_{i}"], ends[f"hi_{i}"], below[c], size[c] - below[c] - above[c])
-        for i, c in enumerate(columns) if size[c] > below[c] + above[c]
-    }
+    ends = _sketched(df, values, {c: [p for k, p in wanted.values() if k == c] for c in columns}, accuracy)
+    size, below, above = ({c: ends[f"{n}_{i}"] for i, c in enumerate(columns)} for n in ("n", "below", "above"))
+    number = {c: i for i, c in enumerate(columns)}
     at = {name: p * (size[c] - 1) for name, (c, p) in wanted.items()}
     value: dict[tuple[str, int], float] = {}
-    spans = {}
-    for name, (c, _) in wanted.items():
+    ranks: dict[tuple[str, int], _Span] = {}
+    for name, (c, p) in wanted.items():
+        near = ends[f"near_{number[c]}"] or {}
         for rank in (math.floor(at[name]), math.ceil(at[name])) if size[c] else ():
             if rank < below[c]:
                 value[c, rank] = -math.inf
             elif rank >= size[c] - above[c]:
                 value[c, rank] = math.inf
             else:
-                spans[c, rank] = whole[c]
-    while spans:
-        value |= {k: s.low for k, s in spans.items() if s.low == s.high}
-        spans = {k: s for k, s in spans.items() if k not in value}
-        few = {k: s for k, s in spans.items() if s.inside <= small}
-        if few:
-            value |= _pick(df, few)
-        spans = {k: s for k, s in spans.items() if k not in few}
-        if spans:
-            spans = _narrow(df, spans)
+                low, high = near[max(0.0, p - 2 / accuracy)], near[min(1.0, p + 2 / accuracy)]
+                low = ends[f"lo_{number[c]}"] if p <= 2 / accuracy else low
+                high = ends[f"hi_{number[c]}"] if p >= 1 - 2 / accuracy else high
+                # ``before`` tells the side to count until the count is known.
+                ranks[c, rank] = _Span(c, low, high, -1 if p > 0.5 else 0, 0)
+    value |= _ranked(df, values, ranks, size, below, above, small)
+    missed = {k: _Span(k[0], ends[f"lo_{number[k[0]]}"], ends[f"hi_{number[k[0]]}"], 0, 0) for k in ranks if k not in value}
+    value |= _ranked(df, values, missed, size, below, above, small)
     out: dict[str, float | None] = {}
     for name, (c, _) in wanted.items():
         if not size[c]:
@@ -148,6 +164,44 @@ def exact_quantiles(
     return out
 
 
+def _ranked(
+    df: DataFrame, values: dict[str, str], ranks: dict[tuple[str, int], _Span], size: dict[str, int], below: dict[str, int],
+    above: dict[str, int], small: int,
+) -> dict[tuple[str, int], float]:
+    """Values at the ranks that lie inside their spans: one scan of ``df``."""
+    if not ranks:
+        return {}
+    distinct = sorted(set(ranks.values()), key=lambda s: (s.column, s.low, s.high))
+    held = materialize(_gathered(df, distinct, values), "quantiles")
+    counts = {r["span"]: r for r in held.groupBy("span").agg(  # one row per span
+        F.sum(F.expr("CASE WHEN v IS NULL THEN n ELSE 0 END")).alias("beside"), F.sum(F.expr("CASE WHEN v IS NULL THEN 0 ELSE n END")).alias("rows"),
+        F.count("v").alias("values"),
+    ).collect()}
+    spans: dict[tuple[str, int], _Span] = {}
+    known: list[_Span] = []
+    for i, s in enumerate(distinct):
+        r = counts.get(i)
+        rows, beside = (r["rows"], r["beside"]) if r else (0, 0)
+        before = size[s.column] - above[s.column] - beside - rows if s.before < 0 else below[s.column] + beside
+        known.append(replace(s, before=before, inside=r["values"] if r else 0))
+        for key, wants in ranks.items():
+            if wants == s and before <= key[1] < before + rows:
+                spans[key] = known[i]
+    held = held.where("v IS NOT NULL")
+    origin = {key: known.index(s) for key, s in spans.items()}
+    value: dict[tuple[str, int], float] = {}
+    while spans:
+        value |= {k: s.low for k, s in spans.items() if s.low == s.high}
+        spans = {k: s for k, s in spans.items() if k not in value}
+        few = {k: s for k, s in spans.items() if s.inside <= small}
+        if few:
+            value |= _pick(held, few, origin)
+        spans = {k: s for k, s in spans.items() if k not in few}
+        if spans:
+            spans = _narrow(held, spans, origin)
+    return value
+
+
 def _literal(x: float) -> str:
     return f"{float(x)!r}D" if math.isfinite(x) else f"CAST('{float(x)!r}' AS DOUBLE)"
 

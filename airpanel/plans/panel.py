@@ -76,6 +76,7 @@ def clean_stations(df: DataFrame, key: str = "node_id") -> DataFrame:
     pollutants = _present(df, POLLUTANTS)
     columns = pollutants + _present(df, WEATHER)
     df = known(df.dropna(subset=["timestamp"]), columns).withColumns({c: null_negatives(c) for c in pollutants})
+    df = materialize(df, "typed")  # the quantiles and the cleaning read it, not the raw input
     df = interpolate_fill(null_extremes(df, pollutants), columns, limit=6, key=key)
     df = materialize(drop_null_all(df, _present(df, ["pm25", "pm10"])), "filled")
     return median_fill(df, pollutants)
@@ -84,7 +85,7 @@ def clean_stations(df: DataFrame, key: str = "node_id") -> DataFrame:
 def clean_capped(df: DataFrame, key: str = "node_id") -> DataFrame:
     """Cleaning that caps extremes instead of removing them."""
     columns = _present(df, POLLUTANTS + WEATHER)
-    df = known(df, columns).withColumns({c: null_negatives(c) for c in columns})
+    df = materialize(known(df, columns).withColumns({c: null_negatives(c) for c in columns}), "typed")
     df = interpolate_fill(cap_extremes(df, columns), columns, limit=12, key=key)
     return median_fill(materialize(df, "filled"), columns)
 
