@@ -15,7 +15,8 @@ Only DataFrame operations run; the directory, at most ``2 ** max_depth`` slots,
 
 Defined cases: a null text is the empty text, so null and empty texts are copies of each other. Of equal
 texts the row with the largest id stays; a null id is smaller than any other. Of rows that repeat both id and
-text, one stays. An empty table gives an empty result; further columns are neither read nor compared.
+text, one stays. Texts of any length are hashed and compared whole. An empty table gives an empty result; further
+columns are neither read nor compared, and pass as they are, whatever their names.
 """
 
 from __future__ import annotations

@@ -9,8 +9,9 @@ Characters outside the vocabulary become byte tokens. Texts are cut where no tok
 space marks, around newlines), and a cut at every pair of neighbours that lies inside no token; each worker
 keeps a bounded cache of short cuts and parts. A model whose tokens span spaces is used without the first.
 
-Defined cases: a null text is the empty text, with no ids. Repeated rows and null ids keep their row each. An
-empty table gives an empty result; further columns are not read.
+Defined cases: a null text is the empty text, with no ids. Repeated rows, repeated ids and null ids keep their row
+each. Texts of any length are encoded whole; unbroken runs are cut in a loop. An empty table gives an empty result;
+further columns are not read.
 """
 
 from __future__ import annotations

@@ -9,8 +9,9 @@ Everything is computed inside a row with array functions: no shuffle, and no Pyt
 sorted with their places, so that a document of n words costs n log n; equal hashes are held against the words,
 and texts in which they deceive are sorted by words instead.
 
-Defined cases: a null text has no words and fails the base rules, like an empty one. Repeated rows and null
-ids keep their row each. An empty table gives an empty result; further columns are not read.
+Defined cases: a null text has no words and fails the base rules, like an empty one. Repeated rows, repeated ids
+and null ids keep their row each. Texts of any length are judged whole. An empty table gives an empty result; further
+columns are not read.
 """
 
 from __future__ import annotations

@@ -14,7 +14,7 @@ from airpanel.llm.hard_negatives import hard_negatives
 from airpanel.llm.lexical_search import rank_documents
 from airpanel.llm.packing import pack_documents
 from airpanel.llm.piece_codec import round_trip
-from airpanel.llm.quality_rules import BOILERPLATE, END_MARKS, SEPARATORS, judge_quality
+from airpanel.llm.quality_rules import judge_quality
 from airpanel.llm.secrets import scan_secrets
 from airpanel.llm.simhash import near_duplicates
 from airpanel.llm.suffix_dedup import remove_repeats
@@ -117,17 +117,24 @@ def op9_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(read(spark, sf, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+# The rules' values once more, so that the SQL shares none with the operator.
+SQL_END_MARKS = r""".!?:;…\"'”’»)\]。！？"""
+SQL_SEPARATORS = "|›»•·"
+SQL_BOILERPLATE = (
+    "all rights reserved", "terms of use", "terms of service", "privacy policy", "cookie policy", "use cookies",
+    "sign up for", "subscribe to", "click here", "read more", "enable javascript", "powered by", "back to top",
+)
 _WORD = r"[^\x20\x09-\x0D]"
 _SPACE = r"[\x20\x09-\x0D]"
 _NO_SPACE = f"regexp_replace({{}}, '{_SPACE}', '', 'g')"
 
 
 def _line_passes_sql(line: str) -> str:
-    ends = "[" + END_MARKS.replace("'", "''") + "]"
-    phrases = " OR ".join(f"contains(lower({line}), {lit(p)})" for p in BOILERPLATE)
+    ends = "[" + SQL_END_MARKS.replace("'", "''") + "]"
+    phrases = " OR ".join(f"contains(lower({line}), {lit(p)})" for p in SQL_BOILERPLATE)
     return (
         f"regexp_matches({line}, '{ends}{_SPACE}*\\z')"
-        f" AND 3 * length(regexp_replace({line}, '[^{SEPARATORS}]', '', 'g')) < len(regexp_extract_all({line}, '{_WORD}+'))"
+        f" AND 3 * length(regexp_replace({line}, '[^{SQL_SEPARATORS}]', '', 'g')) < len(regexp_extract_all({line}, '{_WORD}+'))"
         f" AND length(regexp_replace({line}, '[^#*$%&|<>]', '', 'g')) <= 0.1 * length({line}) AND NOT ({phrases})"
     )
 

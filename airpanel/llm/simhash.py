@@ -11,9 +11,11 @@ all pairs. Buckets above ``block`` fingerprints are cut into chunks, and each pa
 Equal texts share a fingerprint and are collapsed before anything is filed.
 
 Defined cases: a null text is the empty text; a text without words has fingerprint zero and links like any
-other; a text of fewer words than a shingle is one shingle. Null ids get a component like other rows but
-never name one; a component of null ids only has a null id. Repeated rows are repeated in the result. An
-empty table gives an empty result; further columns are not read.
+other; a text of fewer words than a shingle is one shingle. Texts of any length are taken whole, their shingles
+counted in parts. Null ids get a component like other rows but never name one; a component of null ids only has a
+null id. Rows that repeat an id, or id and text, are repeated in the result; where one row stays for a component, it is
+that of the smallest id, of rows with that id the one of the smallest hash of id and text, and one of equal rows. An
+empty table gives an empty result; further columns are not read, and pass as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -33,6 +35,8 @@ from airpanel.llm.components import components
 BITS = 64
 #: Fingerprints that share a bucket by chance, about; more of them means more blocks.
 BUCKET = 256
+#: Tasks that a component is dealt over when its fingerprints get its name.
+SALTS = 16
 
 
 def fingerprint(text: str, words: int = 4, seed: int = 42) -> int:
@@ -215,9 +219,14 @@ def near_duplicates(
     first = F.struct(F.col("id").isNull().alias("none"), "id", "key")
     values = written(rows.groupBy("fp").agg(F.min("id").alias("id"), F.min(first).alias("first")), "simhash-values")
     roots = components(near_links(values.select("fp"), max_bits), "simhash-links")
-    placed = values.join(roots, F.col("fp") == F.col("node"), "left").withColumn("root", F.coalesce("root", "fp"))
-    named = placed.groupBy("root").agg(F.min("id").alias("component_id"), F.min("first").alias("first"))
-    named = placed.select("fp", "root").join(named, "root").select("fp", "component_id", "first")
+    placed = values.join(roots, F.col("fp") == F.col("node"), "left")
+    linked = placed.filter("root IS NOT NULL")
+    # A component of most fingerprints is named over several tasks.
+    salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
+    named = linked.groupBy("root").agg(F.min("id").alias("component_id"), F.min("first").alias("first")).withColumn("salt", salts)
+    linked = linked.select("fp", "root", F.pmod(F.xxhash64("fp"), F.lit(SALTS)).alias("salt")).join(named, ["root", "salt"])
+    alone = placed.filter("root IS NULL").select("fp", F.col("id").alias("component_id"), "first")
+    named = linked.select("fp", "component_id", "first").unionAll(alone)
     return rows.join(named, "fp").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id",
         (F.col("id").eqNullSafe(F.col("first.id")) & (F.col("key") == F.col("first.key"))).alias("stays"), "key",

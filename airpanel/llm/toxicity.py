@@ -7,12 +7,14 @@ model broadcast: one number per hash value, whose size ``bits`` fixes.
 
 The sample is at most ``sample_rows`` labelled ids, picked by a hash of the id, and at most ``sample_chars``
 characters of their texts: rows come in the order of that hash until the next one does not fit; a text longer
-than ``sample_chars`` is not learned from. One task picks and fits, in orders that do not depend on how rows are dealt.
+than ``sample_chars`` is not learned from. Hashes and lengths decide that before any text moves; one task then
+fits, in an order that does not depend on how rows are dealt.
 
 Defined cases: a null text is the empty text; a text without n-grams gets the score of the intercept. Labels
 that are null, or have no document, are not used; of several labels for one id the larger counts. Without both
 labels in the sample, every score is the share of toxic labels (0 without labels). Null ids hash like the
-empty id. Repeated rows get the same score. An empty table gives an empty result; further columns are not read.
+empty id. Repeated rows get the same score, and count once in the sample. Texts of any length are scored whole. An empty
+table gives an empty result; further columns are not read, and pass as they are, whatever their names.
 """
 
 from __future__ import annotations
