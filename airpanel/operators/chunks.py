@@ -98,8 +98,9 @@ def windowed(
 
     The windows run inside (node, time chunk), which shuffles the rows once. Only
     the rows whose frames reach out of their chunk are evaluated again: with the
-    rows that their frames need they are the edges of the chunks, of which
-    ``2 * (lookback + lookahead)`` rows per chunk are numbered and get a halo.
+    rows that their frames need they are the edges of the chunks, at most
+    ``2 * (lookback + lookahead)`` rows of each, which are numbered from one row
+    per chunk and get a halo. Rows without a node or time are left out.
 
     ``position`` may be given when it is known without counting, such as the hour
     on a gap-free hourly grid; it must rise by one from row to row. Rows then go to
@@ -108,10 +109,11 @@ def windowed(
     keys = list(keys)
     if position is not None:
         return _haloed(df.withColumn("_pos", position), columns, lookback, lookahead, keys, size)
-    df = _time_chunked(df, order[0], size)
+    own = [F.col(quoted(c)) for c in df.columns]
+    # As the joins below ask for it, so that all readers of the shuffle see one plan.
+    df = _time_chunked(df, order[0], size).where(" AND ".join(f"{quoted(k)} IS NOT NULL" for k in [*keys, "_tc"]))
     chunk = Window.partitionBy(*keys, "_tc")
     inside = chunk.orderBy(*order)
-    own = [c for c in df.columns if c != "_tc"]
     rows = df.withColumns({
         **{name: make(inside) for name, make in columns.items()},
         "_rn": F.row_number().over(inside), "_rows": F.count(F.lit(1)).over(chunk),
@@ -119,9 +121,18 @@ def windowed(
     reach = lookback + lookahead
     beyond = F.expr(f"_rn <= {lookback} OR _rn > _rows - {lookahead}")
     settled = rows.where(~beyond).drop("_tc", "_rn", "_rows")
-    edges = rows.where(F.expr(f"_rn <= {reach} OR _rn > _rows - {reach}")).select(*map(quoted, own), beyond.alias("_beyond"))
+    # One row per chunk. It asks for all columns, so that its rows come from the one shuffle of all columns.
+    first = rows.where("_rn = 1").where(F.length(F.to_json(F.struct(*own))) > 0)
+    earlier = Window.partitionBy(*keys).orderBy("_tc").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = first.select(*keys, "_tc", F.least("_rows", F.lit(2 * reach)).alias("_n")).select(
+        *keys, "_tc", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
+    )
+    edges = rows.where(F.expr(f"_rn <= {reach} OR _rn > _rows - {reach}")).select(
+        *own, "_tc", beyond.alias("_beyond"), F.expr(f"least(_rn, greatest({reach}, 2 * {reach} + _rn - _rows)) - 1").alias("_place"),
+    )
+    edges = edges.join(offsets, [*keys, "_tc"]).select(*own, "_beyond", F.expr("CAST(_before + _place AS BIGINT)").alias("_pos"))
     # A frame of a row at an edge ends inside it, so the gap between two edges of a chunk is never crossed.
-    edges = _haloed(with_positions(edges, keys, order, size, name="_pos"), columns, lookback, lookahead, keys, size)
+    edges = _haloed(edges, columns, lookback, lookahead, keys, size)
     return settled.unionByName(edges.where("_beyond").drop("_beyond"))
 
 

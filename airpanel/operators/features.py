@@ -104,14 +104,11 @@ def sliding_windows(
     ``x`` holds ``window`` rows of features, ``y`` the next ``horizon`` targets.
     Rows go through structs because lists skip bare NULLs.
     """
-    row = F.struct(*features)
     columns = {
-        "x": lambda w: F.collect_list(row).over(w.rowsBetween(0, window - 1)),
-        "y": lambda w: F.collect_list(F.struct(target)).over(
-            w.rowsBetween(window, window + horizon - 1)
-        ),
+        "x": lambda w: F.collect_list("_x").over(w.rowsBetween(0, window - 1)),
+        "y": lambda w: F.collect_list("_y").over(w.rowsBetween(window, window + horizon - 1)),
     }
-    out = windowed(df, columns, lookahead=window + horizon - 1, **kw)
+    out = windowed(_cells(df, features, target, **kw), columns, lookahead=window + horizon - 1, **kw)
     out = out.where(F.size("y") == horizon).select(*_ids(df), "x", "y")
     return out.withColumn("y", F.transform("y", lambda s: s[target]))
 
@@ -121,13 +118,12 @@ def single_target_windows(
     window: int = 72, horizon: int = 24, **kw,
 ) -> DataFrame:
     """Training samples whose ``y`` is only the target ``horizon`` rows after ``x``."""
-    row = F.struct(*features)
     reach = window + horizon - 1
     columns = {
-        "x": lambda w: F.collect_list(row).over(w.rowsBetween(0, window - 1)),
-        "y": lambda w: F.lead(F.struct(target), reach).over(w),
+        "x": lambda w: F.collect_list("_x").over(w.rowsBetween(0, window - 1)),
+        "y": lambda w: F.lead("_y", reach).over(w),
     }
-    out = windowed(df, columns, lookahead=reach, **kw)
+    out = windowed(_cells(df, features, target, **kw), columns, lookahead=reach, **kw)
     out = out.where(F.col("y").isNotNull()).select(*_ids(df), "x", "y")
     return out.withColumn("y", F.col("y")[target])
 
@@ -161,6 +157,14 @@ def pivot_nodes(df: DataFrame, nodes: Sequence[str], column: str = "aqi") -> Dat
     return df.groupBy(TIME).pivot(NODE, list(nodes)).agg(F.first(column))
 
 
+def _cells(
+    df: DataFrame, features: Sequence[str], target: str, keys: Sequence[str] = (NODE,), order: Sequence[str] = (TIME,), **_,
+) -> DataFrame:
+    """What a window needs: the features as ``_x``, the target as ``_y``, made before the shuffle."""
+    kept = [c for c in df.columns if c in {*_ids(df), *keys, *order}]
+    return df.select(*kept, F.struct(*features).alias("_x"), F.struct(target).alias("_y"))
+
+
 def _ids(df: DataFrame) -> list[str]:
     return [c for c in (NODE, TIME) if c in df.columns]
 
@@ -174,10 +178,10 @@ def persistence_circular(
     no row so far back, get the last ones, which have none so far ahead: at most
     ``horizon`` of either per node.
     """
-    cell = F.struct(F.col(column).alias("v"))
+    cell = F.struct(F.col(column).alias("v")).alias("_cell")
     rows = windowed(
-        df.select(key, time, column),
-        {"_before": lambda w: F.lag(cell, horizon).over(w), "_after": lambda w: F.lead(cell, horizon).over(w)},
+        df.select(key, time, column, cell),
+        {"_before": lambda w: F.lag("_cell", horizon).over(w), "_after": lambda w: F.lead("_cell", horizon).over(w)},
         lookback=horizon, lookahead=horizon, keys=[key], order=[time], **kw,
     )
     node = Window.partitionBy(key)

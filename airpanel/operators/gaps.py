@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from airpanel.functions.clock import hour_index, hour_start
@@ -106,15 +106,18 @@ def hourly_fill(
 
 
 def _split_dense(rows: DataFrame, key: str, size: int, most: int) -> DataFrame:
-    """Number chunks by their first hour, those with more than ``most`` rows in shorter stretches.
+    """Number chunks by their first hour, and split those with more than ``most`` rows at hours, by the rows before.
 
-    The directory lists the dense chunks only, at most one per ``most`` rows of the table.
+    The directory lists the hours of dense chunks only; an hour is never split.
     """
-    dense = rows.groupBy(key, "_chunk").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most)
-    dense = dense.select(key, "_chunk", F.expr(f"greatest(1, CAST({size} / ceil(_n / {most}) AS BIGINT))").alias("_hours"))
-    met = rows.join(dense, [key, "_chunk"], "left")
-    first = F.expr(f"_chunk * {size} + CASE WHEN _hours IS NULL THEN 0 ELSE ((_h - _chunk * {size}) DIV _hours) * _hours END")
-    return met.withColumn("_chunk", first).drop("_hours")
+    hours = rows.groupBy(key, "_chunk", "_h").agg(F.count(F.lit(1)).alias("_n"))
+    chunk = Window.partitionBy(key, "_chunk")
+    before = F.coalesce(F.sum("_n").over(chunk.orderBy("_h").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    hours = hours.withColumn("_part", F.floor(before / F.lit(most))).withColumn("_all", F.sum("_n").over(chunk)).where(F.col("_all") > most)
+    first = F.min("_h").over(Window.partitionBy(key, "_chunk", "_part"))
+    hours = hours.select(key, "_chunk", "_h", first.alias("_first"))
+    met = rows.join(hours, [key, "_chunk", "_h"], "left")
+    return met.withColumn("_chunk", F.coalesce("_first", F.expr(f"_chunk * {size}"))).drop("_first")
 
 
 def hourly_grid(df: DataFrame, columns: Sequence[str] | None = None, **kw) -> DataFrame:

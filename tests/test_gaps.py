@@ -3,6 +3,7 @@ import pandas as pd
 import pytest
 from conftest import collected, panel, same
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from airpanel.functions.clock import hour_index
 from airpanel.operators import gaps
@@ -135,3 +136,24 @@ def test_nan_and_odd_names_in_the_grid(spark):
     got = [r["PM2.5"] for r in gaps.hourly_fill(df, hold=1, line=5).orderBy("timestamp").collect()]
     assert got == [1.0, 1.0, 2.5, 4.0]
     assert [r["PM2.5"] for r in gaps.hourly_grid(df).orderBy("timestamp").collect()] == [1.0, None, None, 4.0]
+
+
+def test_dense_readings_are_split_by_their_number(frame):
+    """Readings every 10 seconds of one node, beside a node with one an hour."""
+    dense = pd.DataFrame({"timestamp": pd.date_range("2024-01-01", periods=6 * 60 * 30, freq="10s")}).assign(node_id="A")
+    dense["x"] = np.arange(len(dense), dtype=float)
+    dense = dense[(dense["timestamp"].dt.hour % 5 != 2)]  # some hours are missing
+    hourly = pd.DataFrame({"timestamp": pd.date_range("2024-01-01", periods=400, freq="h"), "node_id": "B", "x": 1.0})
+    df = frame(pd.concat([dense, hourly], ignore_index=True))
+    plain = collected(gaps.hourly_fill(df, ["x"], hold=1, line=2))
+    split = gaps.hourly_fill(df, ["x"], hold=1, line=2, most=1000, keep_chunk=True)
+    assert plain.equals(collected(split.drop("_chunk")))
+    chunks = split.groupBy("node_id").agg(F.count_distinct("_chunk").alias("n"), F.min("_chunk").alias("first"))
+    found = {r.node_id: r.n for r in chunks.collect()}
+    assert found["A"] >= 7 and found["B"] == 1
+
+
+def test_chunk_numbers_rise_with_time(frame, readings):
+    rows = gaps.hourly_fill(frame(readings), hold=1, most=20, keep_chunk=True).toPandas().sort_values(["node_id", "timestamp"])
+    for _, group in rows.groupby("node_id"):
+        assert group["_chunk"].is_monotonic_increasing

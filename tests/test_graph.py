@@ -115,3 +115,14 @@ def test_round_trip(nodes, spark, tmp_path):
     assert [tuple(r) for r in back["meta"].collect()] == [("meta_threshold_km", "10")]
     with pytest.raises(FileNotFoundError):
         G.load_graph(spark, str(tmp_path / "absent"))
+
+
+@pytest.mark.parametrize("spread", [1, 4, 16])
+def test_a_node_with_most_rows_is_dealt_over_tasks(frame, spark, spread):
+    hours = pd.date_range("2024-01-01", periods=900, freq="h")
+    rows = pd.concat([pd.DataFrame({"node_id": "A", "timestamp": hours, "aqi": np.arange(900.0)}), pd.DataFrame({"node_id": ["B"], "timestamp": hours[:1], "aqi": [5.0]})])
+    edges = spark.createDataFrame([("A", "A", 1.0), ("B", "A", 0.5), ("A", "B", 2.0)], "src string, dst string, weight double")
+    out = G.graph_aggregate(frame(rows), edges, spread=spread, size=24).toPandas()
+    got = {(r.node_id, r.timestamp): r.aqi_neighbours for r in out.itertuples()}
+    want = {("A", t): i + (10.0 if i == 0 else 0.0) for i, t in enumerate(hours)} | {("B", t): 0.5 * i for i, t in enumerate(hours)}
+    assert got == want

@@ -78,3 +78,37 @@ def test_nan_infinity_and_odd_names(spark):
     assert [r["PM2.5"] for r in Q.median_fill(df, ["PM2.5"]).collect()] == [1.0, 2.0, 2.0, 3.0, 2.0]
     assert [r["PM2.5"] for r in Q.null_extremes(df, ["PM2.5"], 0.9, 1.0).collect()] == [1.0, 2.0, None, None, None]
     assert Q.cap_extremes(df, ["a`b c"], 2.0, 0.5).count() == 5
+
+
+def test_two_scans_whatever_the_outliers(spark):
+    """The caller's rows are read twice, with values over forty orders of magnitude too."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    n = 4000
+    rows = spark.range(n).selectExpr("pow(10D, id % 41 - 20) * (id + 1) AS v", "CASE WHEN id = 7 THEN 1e300 ELSE id END AS w")
+    df = rows.mapInArrow(counted, "v double, w double")
+    got = Q.exact_quantiles(df, {"a": ("v", 0.5), "b": ("w", 0.999), "c": ("w", 0.001)}, small=50)
+    assert seen.value == 2 * n
+    pdf = rows.toPandas()
+    for name, (c, p) in {"a": ("v", 0.5), "b": ("w", 0.999), "c": ("w", 0.001)}.items():
+        assert got[name] == pytest.approx(pdf[c].quantile(p), rel=1e-12)
+
+
+def test_a_sketch_that_misses_is_made_good(frame, monkeypatch):
+    """Brackets that do not hold the rank cost one more scan and no exactness."""
+    pdf = pd.DataFrame({"v": np.random.default_rng(3).normal(size=3000)})
+    real = Q._sketched
+
+    def wrong(*args):
+        row = real(*args).asDict()
+        row["near_0"] = {k: 50.0 + k for k in row["near_0"]}
+        return row
+
+    monkeypatch.setattr(Q, "_sketched", wrong)
+    got = Q.exact_quantiles(frame(pdf), {"m": ("v", 0.5), "t": ("v", 0.99)})
+    assert got["m"] == pytest.approx(pdf["v"].median()) and got["t"] == pytest.approx(pdf["v"].quantile(0.99))

@@ -162,3 +162,32 @@ def test_no_window_runs_over_a_whole_node(frame, rows):
     for line in plan.splitlines():
         if "Window [lag" in line or "Window [row_number" in line:
             assert "_chunk" in line or "_tc" in line
+
+
+def scans(df) -> int:
+    """How often the plan that ran reads its source: once for every shuffle of the facts that is not shared."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("Range (0, ")
+
+
+@pytest.mark.parametrize("make", [
+    lambda df: ft.lag_features(df), lambda df: ft.rolling_features(df, ("aqi",)), lambda df: ft.sliding_windows(df, ["aqi"], window=5, horizon=2),
+], ids=["lag_features", "rolling_mean", "sliding_windows"])
+def test_frames_shuffle_the_facts_once(spark, make):
+    hours = 60_000  # 15 chunks
+    df = spark.range(hours).selectExpr("'N1' AS node_id", "timestampadd(HOUR, id, TIMESTAMP_NTZ'2000-01-01 00:00:00') AS timestamp", "CAST(id AS DOUBLE) AS aqi")
+    assert scans(make(df)) == 1
+
+
+@pytest.mark.parametrize("size", [3, 7, 30])
+def test_frames_of_chunks_shorter_than_their_looks(frame, size):
+    """Chunks with few rows or none, looks that span several of them."""
+    rng = np.random.default_rng(size)
+    pdf = panel(nodes=2, hours=240, keep=0.4, columns=("aqi",), seed=size).dropna()
+    pdf["aqi"] = rng.normal(size=len(pdf)).round(3)
+    out = chunks.windowed(
+        frame(pdf), {"back": lambda w: F.lag("aqi", 9).over(w), "mean": lambda w: F.avg("aqi").over(w.rowsBetween(-11, 5)),
+                     "ahead": lambda w: F.lead("aqi", 8).over(w)}, lookback=11, lookahead=8, size=size)
+    want = by_node(pdf, lambda d: d.assign(
+        back=d["aqi"].shift(9), ahead=d["aqi"].shift(-8), mean=[d["aqi"].iloc[max(0, i - 11):i + 6].mean() for i in range(len(d))]))
+    same(collected(out), want, ["aqi", "back", "ahead", "mean"])
