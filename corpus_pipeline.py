@@ -3,6 +3,11 @@
 Toxic documents go; of equal texts the row with the largest id stays; one document of each near-duplicate
 group stays (the one of smallest id); secrets that look live are replaced by a placeholder; what is left is
 packed into sequences. All stages but the last return the columns of ``documents``.
+
+Defined cases: a null text counts as the empty text in every decision and stays null where its row stays; a null id is an
+id like others, smaller than any. Rows that repeat id and text are copies, of which one stays. Texts of any length pass
+whole. Further columns pass as they are, whatever their names. Empty tables pass as empty tables; without labels no
+document is toxic.
 """
 
 from __future__ import annotations
