@@ -109,6 +109,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system, which is the default one if the path names none."""
+    system, there = _hadoop(spark, path)
+    return there.makeQualified(system.getUri(), system.getWorkingDirectory()).toString()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     system, there = _hadoop(spark, path)
     return system.exists(there)

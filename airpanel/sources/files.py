@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from airpanel.functions.clock import hour_index
 from airpanel.operators.chunks import CHUNK, chunk_of
 from airpanel.operators.rows import filter_city, select_available, sort_panel
-from airpanel.session import exists, is_folder, publish
+from airpanel.session import exists, is_folder, publish, qualified
 from airpanel.sources.headered import file_system, read_headered
 
 # Headers of the input files and the names used here.
@@ -84,11 +84,12 @@ def _by_header(
     that a file lacks is NULL there, and one that all lack is absent. ``file`` is the path of a row's file. A store
     that only Spark's readers reach is read by them, the files of each distinct header together.
     """
+    whole = qualified(spark, path)
     try:
-        file_system(path)
+        file_system(whole)
     except (pa.ArrowException, OSError):
         return _by_spark(spark, path, pick)
-    found = read_headered(spark, path, wanted)
+    found = read_headered(spark, whole, wanted)
     if found is None:  # let Spark say what is missing
         return pick(spark.read.csv(path, header=True).withColumn("file", F.col("_metadata.file_path")))
     return pick(found)
