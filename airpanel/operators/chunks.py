@@ -114,13 +114,11 @@ def windowed(
     df = _time_chunked(df, order[0], size).where(" AND ".join(f"{quoted(k)} IS NOT NULL" for k in [*keys, "_tc"]))
     chunk = Window.partitionBy(*keys, "_tc")
     inside = chunk.orderBy(*order)
-    rows = df.withColumns({
-        **{name: make(inside) for name, make in columns.items()},
-        "_rn": F.row_number().over(inside), "_rows": F.count(F.lit(1)).over(chunk),
-    })
+    rows = df.withColumns({"_rn": F.row_number().over(inside), "_rows": F.count(F.lit(1)).over(chunk)})
     reach = lookback + lookahead
     beyond = F.expr(f"_rn <= {lookback} OR _rn > _rows - {lookahead}")
-    settled = rows.where(~beyond).drop("_tc", "_rn", "_rows")
+    # The edges need the columns as they came, also those that a window replaces.
+    settled = rows.withColumns({name: make(inside) for name, make in columns.items()}).where(~beyond).drop("_tc", "_rn", "_rows")
     # One row per chunk. It asks for all columns, so that its rows come from the one shuffle of all columns.
     first = rows.where("_rn = 1").where(F.length(F.to_json(F.struct(*own))) > 0)
     earlier = Window.partitionBy(*keys).orderBy("_tc").rowsBetween(Window.unboundedPreceding, -1)
