@@ -93,6 +93,7 @@ def windowed(
     keys: Sequence[str] = (NODE,),
     order: Sequence[str] = (TIME,),
     size: int = CHUNK,
+    place: str | None = None,
 ) -> DataFrame:
     """Add per-node row-frame columns; no frame may reach past the given looks.
 
@@ -105,9 +106,14 @@ def windowed(
     ``position`` may be given when it is known without counting, such as the hour
     on a gap-free hourly grid; it must rise by one from row to row. Rows then go to
     their chunk and to those that look at them in one shuffle.
+
+    ``place`` adds each row's 0-based place within its node, as :func:`with_positions`
+    does, from the chunks' row counts; it needs no shuffle of the rows of its own.
     """
     keys = list(keys)
     if position is not None:
+        if place is not None:
+            raise ValueError("rows whose position is given are not counted")
         return _haloed(df.withColumn("_pos", position), columns, lookback, lookahead, keys, size)
     own = [F.col(quoted(c)) for c in df.columns]
     # As the joins below ask for it, so that all readers of the shuffle see one plan.
@@ -118,17 +124,22 @@ def windowed(
     reach = lookback + lookahead
     beyond = F.expr(f"_rn <= {lookback} OR _rn > _rows - {lookahead}")
     # The edges need the columns as they came, also those that a window replaces.
-    settled = rows.withColumns({name: make(inside) for name, make in columns.items()}).where(~beyond).drop("_tc", "_rn", "_rows")
+    settled = rows.withColumns({name: make(inside) for name, make in columns.items()}).where(~beyond)
     # One row per chunk. It asks for all columns, so that its rows come from the one shuffle of all columns.
     first = rows.where("_rn = 1").where(F.length(F.to_json(F.struct(*own))) > 0)
     earlier = Window.partitionBy(*keys).orderBy("_tc").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = first.select(*keys, "_tc", F.least("_rows", F.lit(2 * reach)).alias("_n")).select(
-        *keys, "_tc", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
+    sums = {"_n": "_before"} | ({"_rows": "_earlier"} if place else {})
+    offsets = first.select(*keys, "_tc", "_rows", F.least("_rows", F.lit(2 * reach)).alias("_n")).select(
+        *keys, "_tc", *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(name) for n, name in sums.items()],
     )
+    placed_at = [F.expr("CAST(_earlier + _rn - 1 AS BIGINT)").alias(place)] if place else []
+    if place:
+        settled = settled.join(offsets.select(*keys, "_tc", "_earlier"), [*keys, "_tc"]).select(*own, *[c for c in columns if c not in df.columns], *placed_at)
+    settled = settled.drop("_tc", "_rn", "_rows")
     edges = rows.where(F.expr(f"_rn <= {reach} OR _rn > _rows - {reach}")).select(
-        *own, "_tc", beyond.alias("_beyond"), F.expr(f"least(_rn, greatest({reach}, 2 * {reach} + _rn - _rows)) - 1").alias("_place"),
+        *own, "_tc", *(["_rn"] if place else []), beyond.alias("_beyond"), F.expr(f"least(_rn, greatest({reach}, 2 * {reach} + _rn - _rows)) - 1").alias("_place"),
     )
-    edges = edges.join(offsets, [*keys, "_tc"]).select(*own, "_beyond", F.expr("CAST(_before + _place AS BIGINT)").alias("_pos"))
+    edges = edges.join(offsets, [*keys, "_tc"]).select(*own, *placed_at, "_beyond", F.expr("CAST(_before + _place AS BIGINT)").alias("_pos"))
     # A frame of a row at an edge ends inside it, so the gap between two edges of a chunk is never crossed.
     edges = _haloed(edges, columns, lookback, lookahead, keys, size)
     return settled.unionByName(edges.where("_beyond").drop("_beyond"))

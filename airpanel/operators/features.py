@@ -172,7 +172,7 @@ def _ids(df: DataFrame) -> list[str]:
 def persistence_circular(
     df: DataFrame, column: str = "aqi", horizon: int = 24, key: str = NODE, time: str = TIME, **kw,
 ) -> DataFrame:
-    """Each node's series moved ``horizon`` rows on; the last rows wrap to the front.
+    """Each node's series moved ``horizon`` rows on, with the rows' places; the last rows wrap to the front.
 
     All rows but the first ``horizon`` of a node look back. The first ones, which have
     no row so far back, get the last ones, which have none so far ahead: at most
@@ -182,16 +182,17 @@ def persistence_circular(
     rows = windowed(
         df.select(key, time, column, cell),
         {"_before": lambda w: F.lag("_cell", horizon).over(w), "_after": lambda w: F.lead("_cell", horizon).over(w)},
-        lookback=horizon, lookahead=horizon, keys=[key], order=[time], **kw,
+        lookback=horizon, lookahead=horizon, keys=[key], order=[time], place="position", **kw,
     )
     node = Window.partitionBy(key)
-    few = lambda name, c: rows.where(f"{c} IS NULL").select(
-        key, time, F.col(column).alias(name), (F.row_number().over(node.orderBy(time)) - 1).alias("_i"), F.count(F.lit(1)).over(node).alias("_n"),
+    first = rows.where("_before IS NULL").select(key, "position", time, column, F.col("position").alias("_i"))
+    last = rows.where("_after IS NULL").select(
+        key, F.col(column).alias("y_pred"), (F.col("position") - F.min("position").over(node)).alias("_i"), F.count(F.lit(1)).over(node).alias("_n"),
     )
-    last = few("y_pred", "_after").select(key, F.pmod(F.col("_i") + F.lit(horizon), F.col("_n")).alias("_i"), "y_pred")
-    first = few(column, "_before").drop("_n").join(last, [key, "_i"])
-    moved = rows.where("_before IS NOT NULL").select(key, time, column, F.col("_before.v").alias("y_pred"))
-    return moved.unionByName(first.select(key, time, column, "y_pred"))
+    last = last.select(key, F.pmod(F.col("_i") + F.lit(horizon), F.col("_n")).alias("_i"), "y_pred")
+    first = first.join(last, [key, "_i"])
+    moved = rows.where("_before IS NOT NULL").select(key, "position", time, column, F.col("_before.v").alias("y_pred"))
+    return moved.unionByName(first.select(key, "position", time, column, "y_pred"))
 
 
 def persistence_last(

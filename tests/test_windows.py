@@ -4,6 +4,7 @@ import pytest
 from conftest import collected, panel, same
 from pyspark.sql import functions as F
 
+from airpanel.catalog import ORACLES, QUERIES
 from airpanel.operators import chunks
 from airpanel.operators import features as ft
 
@@ -122,6 +123,19 @@ def test_persistence_circular(frame, horizon, want):
     assert list(got["y_pred"]) == want
 
 
+@pytest.mark.parametrize("horizon, size", [(5, 8), (24, 4096), (40, 30)])
+def test_persistence_circular_places_every_row(frame, horizon, size):
+    pdf = panel(nodes=3, hours=200, keep=0.6, columns=("aqi",), seed=size)
+    out = ft.persistence_circular(frame(pdf), horizon=horizon, size=size)
+    want = by_node(pdf, lambda d: d.assign(position=range(len(d)), y_pred=np.roll(d["aqi"], horizon)))
+    same(collected(out), want, ["position", "aqi", "y_pred"])
+
+
+def test_persistence_circular_query_returns_places(spark):
+    assert "a.position" in ORACLES["persistence_circular"]
+    assert "position" in QUERIES["persistence_circular"](spark, "/root/testdata/sf0.001").columns
+
+
 def test_persistence_last_and_tail(frame):
     out = ft.persistence_last(frame(even(2, 30)), horizon=3).collect()
     assert sorted(tuple(r) for r in out) == [("N0", h, 29.0) for h in (1, 2, 3)] + [("N1", h, 1029.0) for h in (1, 2, 3)]
