@@ -31,7 +31,8 @@ def _(spark, sf):
     path = new_path(spark, "stations")
     header = {new: old for old, new in files.STATION_HEADERS.items()}
     r = readings(spark, sf).withColumnRenamed("wind_direction", "wind_dir")
-    r.select(
+    # Otherwise each task of the write would leave a file of a few rows for each station.
+    files.spread_by_month(r).select(
         F.concat("node_id", F.lit(".csv")).alias("file"), _text().alias(header["timestamp"]),
         *[F.col(c).alias(header[c]) for c in [*STATION_FIELDS, "wind_dir"]],
     ).write.partitionBy("file").csv(path, header=True)

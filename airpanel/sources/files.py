@@ -221,14 +221,21 @@ def cached_parquet(spark: SparkSession, path: str, compute: Callable[[], DataFra
     return spark.read.parquet(path)
 
 
+def spread_by_month(df: DataFrame, key: str = "node_id") -> DataFrame:
+    """Rows dealt by (node, month): a node's folder is then written by few or many tasks, as its history is long,
+    and a task writes few folders. Files follow nodes and their months, not nodes times tasks.
+    """
+    hours = df.withColumn("_h", hour_index("timestamp"))
+    return hours.repartition(F.col(key), chunk_of("_h", CHUNK)).drop("_h")
+
+
 def write_processed(df: DataFrame, path: str, key: str = "node_id") -> None:
     """Panel as Parquet, one folder per node for pruning.
 
     Rows are spread by (node, month) first: a node's folder is then written by
     many tasks, and each task holds few folders.
     """
-    hours = df.withColumn("_h", hour_index("timestamp"))
-    spread = hours.repartition(F.col(key), chunk_of("_h", CHUNK)).drop("_h")
+    spread = spread_by_month(df, key)
     spread.write.mode("overwrite").partitionBy(key).parquet(path)
 
 
@@ -238,8 +245,7 @@ def write_node_csv(df: DataFrame, path: str, key: str = "node_id") -> None:
     Rows are spread by (node, month) first, so a task opens few files and a node's
     folder is written by many tasks.
     """
-    hours = df.withColumn("_h", hour_index("timestamp"))
-    spread = hours.repartition(F.col(key), chunk_of("_h", CHUNK)).drop("_h")
+    spread = spread_by_month(df, key)
     spread.withColumn("node", F.col(key)).write.mode("overwrite").partitionBy("node").csv(
         path, header=True
     )

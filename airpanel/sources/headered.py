@@ -26,13 +26,15 @@ from pyspark.sql.types import StringType, StructField, StructType
 NAME = "headered_csv"
 #: Bytes of a range, and bytes parsed at a time.
 RANGE, BLOCK = 64 << 20, 4 << 20
+#: Bytes that take as long as opening a file does.
+OPENING = 1 << 17
 #: Files whose headers one task looks up.
 FILES = 200
 PACKED = (".gz", ".bz2", ".zst", ".lz4")
 
 
 @dataclass
-class Range(InputPartition):
+class Range:
     """The lines of a file that begin in ``[start, end)``; all of them for an end of -1."""
 
     path: str
@@ -40,6 +42,13 @@ class Range(InputPartition):
     end: int
 
 
+@dataclass
+class Ranges(InputPartition):
+    """What one task reads."""
+
+    parts: list[Range]
+
+
 @dataclass
 class Headers(InputPartition):
     """Files whose headers are wanted."""
@@ -123,6 +132,23 @@ def _blocks(file: io.BufferedReader, part: Range) -> Iterator[bytes]:
         yield data
 
 
+def dealt(files: Sequence[fs.FileInfo], size: int, tasks: int) -> list[Ranges]:
+    """Files cut into ranges, neighbouring ones in one task: up to ``size`` bytes, or less to keep ``tasks`` busy."""
+    most = min(size, max(BLOCK, sum(f.size + OPENING for f in files) // max(tasks, 1)))
+    out: list[Ranges] = []
+    held = most
+    for f in files:
+        step = max(f.size, 1) if f.path.endswith(PACKED) else most
+        for start in range(0, f.size, step):
+            end = min(start + step, f.size)
+            if held + end - start > most:
+                out.append(Ranges([]))
+                held = 0
+            out[-1].parts.append(Range(f.path, start, -1 if f.path.endswith(PACKED) else end))
+            held += end - start + OPENING
+    return out
+
+
 def _parsed(data: bytes, header: list[str], wanted: Sequence[str]) -> pa.Table:
     """The wanted columns of some lines as text."""
     names = [f"{i}" for i in range(len(header))]
@@ -152,7 +178,7 @@ def _parsed(data: bytes, header: list[str], wanted: Sequence[str]) -> pa.Table:
 
 
 class HeaderedCsv(DataSource):
-    """Options: ``path``, ``columns`` (a line each), ``headers`` to read the headers' names only."""
+    """Options: ``path``, ``columns`` (a line each), ``range`` (bytes), ``tasks`` to keep busy, ``headers`` to read the headers' names only."""
 
     @classmethod
     def name(cls) -> str:
@@ -166,24 +192,19 @@ class HeaderedCsv(DataSource):
         return StructType([StructField(n, StringType()) for n in names])
 
     def reader(self, schema: StructType) -> DataSourceReader:
-        return _Reader(self.options["path"], self._columns(), "headers" in self.options, int(self.options.get("range", RANGE)))
+        size, tasks = int(self.options.get("range", RANGE)), int(self.options.get("tasks", 1))
+        return _Reader(self.options["path"], self._columns(), "headers" in self.options, size, tasks)
 
 
 class _Reader(DataSourceReader):
-    def __init__(self, path: str, columns: list[str], headers: bool, size: int):
-        self.path, self.columns, self.headers, self.size = path, columns, headers, size
+    def __init__(self, path: str, columns: list[str], headers: bool, size: int, tasks: int):
+        self.path, self.columns, self.headers, self.size, self.tasks = path, columns, headers, size, tasks
 
     def partitions(self) -> Sequence[InputPartition]:
         found = listed(self.path)
         if self.headers:
             return [Headers([f.path for f in found[i:i + FILES]]) for i in range(0, len(found), FILES)] or [Headers([])]
-        parts = []
-        for f in found:
-            if f.path.endswith(PACKED):
-                parts.append(Range(f.path, 0, -1))
-            else:
-                parts += [Range(f.path, a, min(a + self.size, f.size)) for a in range(0, f.size, self.size)]
-        return parts or [Range("", 0, 0)]
+        return dealt(found, self.size, self.tasks) or [Ranges([])]
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
         system, _ = file_system(self.path)
@@ -191,14 +212,13 @@ class _Reader(DataSourceReader):
             names = {name for path in partition.paths for name in _header(_opened(system, path).readline())}
             yield pa.RecordBatch.from_arrays([pa.array(sorted(names), pa.string())], names=["header"])
             return
-        if not partition.path:
-            return
-        with _opened(system, partition.path) as file:
-            header = _header(file.readline())
-            for data in _blocks(file, partition):
-                table = _parsed(data, header, self.columns)
-                table = table.add_column(0, "file", pa.array([partition.path] * table.num_rows, pa.string()))
-                yield from table.to_batches()
+        for part in partition.parts:
+            with _opened(system, part.path) as file:
+                header = _header(file.readline())
+                for data in _blocks(file, part):
+                    table = _parsed(data, header, self.columns)
+                    table = table.add_column(0, "file", pa.array([part.path] * table.num_rows, pa.string()))
+                    yield from table.to_batches()
 
 
 def read_headered(spark: SparkSession, path: str, wanted: Sequence[str], size: int = RANGE) -> DataFrame | None:
@@ -209,4 +229,6 @@ def read_headered(spark: SparkSession, path: str, wanted: Sequence[str], size: i
     if not there and names.isEmpty():
         return None
     columns = "\n".join(c for c in wanted if c in there)
-    return spark.read.format(NAME).option("path", path).option("columns", columns).option("range", str(size)).load()
+    tasks = spark.sparkContext.defaultParallelism
+    found = spark.read.format(NAME).option("path", path).option("columns", columns)
+    return found.option("range", str(size)).option("tasks", str(tasks)).load()

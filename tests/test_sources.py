@@ -8,11 +8,12 @@ from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from conftest import panel
+from pyarrow import fs
 
 from airpanel.operators import rows
 from airpanel.session import publish
 from airpanel.sources import files
-from airpanel.sources.headered import listed, read_headered
+from airpanel.sources.headered import dealt, listed, read_headered
 
 HEADER = "From Date,To Date,PM2.5 (ug/m3),PM10 (ug/m3),WS (m/s),WD (degree)\n"
 
@@ -251,6 +252,30 @@ def test_plan_does_not_grow_with_files_and_headers(spark, tmp_path):
     assert plan(2) == plan(25)
 
 
+def test_small_files_share_tasks(spark, tmp_path):
+    for i in range(300):
+        (tmp_path / f"S{i}.csv").write_text(f"From Date,PM10 (ug/m3)\n2024-01-01 00:00:00,{i}\n")
+    df = files.read_station_csv(spark, f"{tmp_path}/*.csv")
+    assert df.rdd.getNumPartitions() <= 20
+    assert {(r["station_id"], r["pm10"]) for r in df.collect()} == {(f"S{i}", float(i)) for i in range(300)}
+
+
+def test_long_files_are_cut_and_short_ones_dealt():
+    infos = [fs.FileInfo(name, type=fs.FileType.File, size=n) for name, n in (("a", 100 << 20), ("b", 10), ("c", 20), ("d.gz", 90 << 20), ("e", 0))]
+    ranges = [p for r in dealt(infos, 64 << 20, 2) for p in r.parts]
+    assert [(p.path, p.start, p.end) for p in ranges] == [("a", 0, 64 << 20), ("a", 64 << 20, 100 << 20), ("b", 0, 10), ("c", 0, 20), ("d.gz", 0, -1)]
+    assert [[p.path for p in r.parts] for r in dealt(infos, 64 << 20, 2)] == [["a"], ["a", "b", "c"], ["d.gz"]]
+    assert len(dealt(infos[:1], 64 << 20, 8)) == 8 and len(dealt(infos[1:3], 64 << 20, 8)) == 1 and dealt([], 64 << 20, 8) == []
+
+
+def test_station_files_follow_stations_not_tasks(spark, tmp_path):
+    pdf = panel(nodes=6, hours=200, columns=("pm25",), seed=3)
+    df = files.spread_by_month(spark.createDataFrame(pdf).repartition(40))
+    df.write.partitionBy("node_id").csv(str(tmp_path / "out"), header=True)
+    assert len(list((tmp_path / "out").glob("*/*.csv"))) <= 2 * 6
+    assert df.count() == len(pdf)
+
+
 def test_globs(tmp_path):
     for name in ("a/node_1.csv", "a/node=2/part.csv", "a/node=2/_SUCCESS", "a/other.csv", "b/.x/y.csv"):
         (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
