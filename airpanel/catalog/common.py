@@ -114,9 +114,9 @@ def signed(spark: SparkSession, sf: str) -> DataFrame:
     return readings(spark, sf).withColumn("pm25", F.col("pm25") - 20)
 
 
-def scored(spark: SparkSession, sf: str) -> DataFrame:
-    """Clean panel, written once for the passes that follow, with its index."""
-    raw = materialize(readings(spark, sf), "readings")
+def scored(spark: SparkSession, sf: str, columns: Sequence[str] = ALL) -> DataFrame:
+    """Clean panel of these columns, written once for the passes that follow, with its index."""
+    raw = materialize(readings(spark, sf).select("node_id", "timestamp", *columns), "readings")
     return with_aqi(materialize(clean_panel(raw), "clean"))
 
 

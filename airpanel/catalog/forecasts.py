@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from airpanel.catalog import expected as X
 from airpanel.catalog.common import (
-    MODELS, SQL_CATEGORY_BANDED, SQL_CATEGORY_INDEX, SQL_FORECASTS, SQL_STATIONS, forecasts, query,
+    MEASURES, MODELS, SQL_CATEGORY_BANDED, SQL_CATEGORY_INDEX, SQL_FORECASTS, SQL_STATIONS, forecasts, query,
     rd, rds, scored, sq, sqs, stations, with_sql,
 )
 from airpanel.catalog.graphs import DEGREE, NORMAL, _sql_edges
@@ -283,7 +283,7 @@ def _(spark, sf):
 @query("forecast_boosted")
 def _(spark, sf):
     """Trees over lags, a rolling mean and the hour; growing them is no SQL, so the tests hold them against brute force."""
-    rows = scored(spark, sf).select(*ID, "aqi")
+    rows = scored(spark, sf, MEASURES).select(*ID, "aqi")  # what the index is made of
     lags = {**ft.lag_columns("aqi", (1, 24)), "aqi_24h_mean": lambda w: F.avg("aqi").over(w.rowsBetween(-23, 0))}
     wide = materialize(windowed(rows, lags, lookback=24).withColumn("hour", F.hour("timestamp").cast("double")), "features")
     out = boosting.forecast_boosted(splits.chrono_split(wide), ["aqi", "aqi_lag_1h", "aqi_lag_24h", "aqi_24h_mean", "hour"], trees=6)

@@ -2,8 +2,10 @@
 
 Features are cut into equal bins between two outer quantiles. A level of all trees of a round, one tree per step
 ahead, is one aggregation: count and residual sum per (step, tree node, feature, bin). Its size follows the
-parameters, not the rows, and the driver picks the split of every tree node from it. Residuals are whole numbers
-of ``UNIT``, so sums do not depend on the order of rows, and a fit is the same however rows are dealt.
+parameters, not the rows, and the driver picks the split of every tree node from it. Of two children only the one
+with fewer rows is summed; its sibling is what it leaves of their parent. Residuals are whole numbers of ``UNIT``,
+so sums do not depend on the order of rows, and a fit is the same however rows are dealt. They are summed as long
+integers where no sum can leave their range, else as decimals.
 """
 
 from __future__ import annotations
@@ -22,6 +24,12 @@ from airpanel.session import materialize
 UNIT = 1e-6
 #: Trees after which the residuals are written, so that expressions stay short.
 ROUNDS = 5
+#: Tree nodes summed by one aggregation, as columns of its rows; more take several.
+AT_ONCE = 8
+#: Features are summed in pairs while a pair has no more bins than this.
+PAIRED = 4096
+
+Cells = dict[tuple[int, int], tuple[int, int]]  # (count, sum) per (feature, bin)
 
 
 @dataclass
@@ -65,7 +73,7 @@ def _bin(feature: str, low: float, high: float, bins: int) -> Column:
     return F.expr(f"CAST(CASE WHEN {f} IS NULL OR isnan({f}) THEN 0 ELSE width_bucket({f}, {low!r}D, {high!r}D, {bins}) END AS INT)")
 
 
-def best_split(cells: dict[tuple[int, int], tuple[int, int]], features: int, least: int) -> tuple | None:
+def best_split(cells: Cells, features: int, least: int) -> tuple | None:
     """(feature, bin, (count, sum) up to it, (count, sum) beyond it) of the largest gain, or None.
 
     ``cells`` holds (count, sum) per (feature, bin). Of equal gains the first feature and the lowest bin.
@@ -98,9 +106,15 @@ def fit_boosted(
     unit = lambda c: F.round(F.col(quoted(c)) / F.lit(UNIT)).cast("long")
     known = lambda c: F.when(~F.isnan(quoted(c)), unit(c))
     held = materialize(rows.select(*model.binned(), *[known(c).alias(f"_r{h}") for h, c in labels.items()]), "boosting")
-    sums = held.agg(*[e for h in labels for e in (F.sum(F.col(f"_r{h}").cast("decimal(38,0)")).alias(f"s{h}"), F.count(f"_r{h}").alias(f"n{h}"))]).first()
+    ends = [e for h in labels for e in (
+        F.sum(F.col(f"_r{h}").cast("decimal(38,0)")).alias(f"s{h}"), F.count(f"_r{h}").alias(f"n{h}"),
+        F.min(f"_r{h}").alias(f"low{h}"), F.max(f"_r{h}").alias(f"high{h}"),
+    )]
+    sums = held.agg(*ends).first()
+    most: dict[int, int] = {}  # no residual of a step is further from zero
     for h in labels:
         model.means[h] = round(int(sums[f"s{h}"]) / sums[f"n{h}"]) if sums[f"n{h}"] else 0
+        most[h] = max(abs(sums[f"low{h}"] or 0), abs(sums[f"high{h}"] or 0)) + abs(model.means[h])
     pending = {h: [str(model.means[h])] for h in labels}
 
     def residuals() -> list[Column]:
@@ -109,48 +123,83 @@ def fit_boosted(
     at = [f"_b{i}" for i in range(len(features))]
     for done in range(1, trees + 1):
         now = held.select(*at, *residuals())
-        grown = _grown(now, len(features), list(labels), depth, rate, least)
+        kinds = {h: "BIGINT" if most[h] * sums[f"n{h}"] < 1 << 62 else "DECIMAL(38,0)" for h in labels}
+        grown = _grown(now, len(features), bins + 2, kinds, depth, rate, least)
         for h, tree in grown.items():
             model.trees[h].append(tree)
             if tree.leaves:
                 pending[h].append(tree.sql())
+                most[h] += max(map(abs, tree.leaves.values()))
         if done % ROUNDS == 0 and done < trees:
             held = materialize(held.select(*at, *residuals()), "boosting")
             pending = {h: [] for h in labels}
     return model
 
 
-def _grown(rows: DataFrame, features: int, steps: Sequence[int], depth: int, rate: float, least: int) -> dict[int, Tree]:
-    """One tree per step ahead, level by level."""
-    grown = {h: Tree() for h in steps}
-    todo = {h: {1} for h in steps}
+def _grown(rows: DataFrame, features: int, stride: int, kinds: dict[int, str], depth: int, rate: float, least: int) -> dict[int, Tree]:
+    """One tree per step ahead, level by level; ``kinds`` has the type of each step's sums, ``stride`` the bins of a feature."""
+    grown = {h: Tree() for h in kinds}
+    known: dict[tuple[int, int], Cells] = {}
+    todo = [(h, 1) for h in kinds]
+    siblings: list[tuple[int, int, int]] = []  # (step, node, sibling that is summed)
     for _ in range(depth):
-        # Rows in tree nodes that may still be split.
-        cells = ", ".join(
-            f"CASE WHEN _r{h} IS NOT NULL AND ({grown[h].sql(leaf=False)}) IN ({', '.join(map(str, sorted(todo[h])))}) "
-            f"THEN struct({h} AS h, {grown[h].sql(leaf=False)} AS node, _r{h} AS r) END" for h in steps if todo[h]
-        )
-        if not cells:
+        if not todo:
             break
-        at = ", ".join(f"struct({i} AS f, _b{i} AS bin)" for i in range(features))
-        found = rows.selectExpr("*", f"inline(array_compact(array({cells})))").selectExpr("h", "node", "r", f"inline(array({at}))")
-        histogram: dict[tuple[int, int], dict[tuple[int, int], tuple[int, int]]] = {}
-        # At most (steps x tree nodes x features x bins) rows.
-        for row in found.groupBy("h", "node", "f", "bin").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("r").cast("decimal(38,0)")).alias("s")).collect():
-            histogram.setdefault((row["h"], row["node"]), {})[row["f"], row["bin"]] = (row["n"], int(row["s"]))
-        todo = {h: set() for h in steps}
-        for (h, node), of_node in sorted(histogram.items()):
-            split = best_split(of_node, features, least)
+        for i in range(0, len(todo), AT_ONCE):
+            known |= _histograms(rows, grown, todo[i:i + AT_ONCE], features, stride, kinds)
+        level = list(todo)
+        for h, node, other in siblings:
+            known[h, node] = _rest(known[h, node // 2], known[h, other])
+            level.append((h, node))
+        todo, siblings = [], []
+        for h, node in sorted(level):
+            split = best_split(known[h, node], features, least)
             if split is None:
                 continue
             f, b, left, right = split
             grown[h].splits[node] = (f, b)
             for child, (n, s) in ((2 * node, left), (2 * node + 1, right)):
                 grown[h].leaves[child] = round(rate * s / n)
-                todo[h].add(child)
+            few, many = (2 * node, 2 * node + 1) if left[0] <= right[0] else (2 * node + 1, 2 * node)
+            todo.append((h, few))
+            siblings.append((h, many, few))
     return grown
 
 
+def _histograms(
+    rows: DataFrame, grown: dict[int, Tree], nodes: Sequence[tuple[int, int]], features: int, stride: int, kinds: dict[int, str],
+) -> dict[tuple[int, int], Cells]:
+    """The cells of some tree nodes, each node a column of residuals, in one aggregation.
+
+    A row goes to one group per pair of features; the few (pairs x bins x bins) groups give the cells of both.
+    """
+    inside = [f"CASE WHEN ({grown[h].sql(leaf=False)}) = {node} THEN CAST(_r{h} AS {kinds[h]}) END AS r{k}" for k, (h, node) in enumerate(nodes)]
+    names = [f"r{k}" for k in range(len(nodes))]
+    side = 2 if stride * stride <= PAIRED else 1
+    groups = [range(f, min(f + side, features)) for f in range(0, features, side)]
+    cells = ", ".join(f"{i * stride ** side} + " + " + ".join(f"_b{f} * {stride ** k}" for k, f in enumerate(fs)) for i, fs in enumerate(groups))
+    at = [f"_b{f}" for f in range(features)]
+    # Rows in none of the nodes have no list to take apart; a filter would move below and compute the residuals again.
+    any_of = " OR ".join(f"{r} IS NOT NULL" for r in names)
+    found = rows.selectExpr(*at, *inside).selectExpr(f"explode(CASE WHEN {any_of} THEN array({cells}) END) AS cell", *names)
+    out: dict[tuple[int, int], Cells] = {key: {} for key in nodes}
+    for row in found.groupBy("cell").agg(*[e for r in names for e in (F.count(r).alias(f"n_{r}"), F.sum(r).alias(f"s_{r}"))]).collect():
+        group, code = divmod(row["cell"], stride ** side)
+        places = [(f, code // stride ** k % stride) for k, f in enumerate(groups[group])]
+        for i, key in enumerate(nodes):
+            n, s = row[1 + 2 * i], row[2 + 2 * i]
+            for place in places if n else ():
+                before = out[key].get(place, (0, 0))
+                out[key][place] = (before[0] + n, before[1] + int(s))
+    return out
+
+
+def _rest(whole: Cells, part: Cells) -> Cells:
+    """What a part leaves of the whole, cells without rows left out."""
+    left = {at: (n - part.get(at, (0, 0))[0], s - part.get(at, (0, 0))[1]) for at, (n, s) in whole.items()}
+    return {at: c for at, c in left.items() if c[0]}
+
+
 def forecast_boosted(
     df: DataFrame, features: Sequence[str], target: str = "aqi", horizons: Sequence[int] = (1, 6, 12, 24),
     key: str = NODE, time: str = TIME, split: str = "split", size: int | None = None, **options,
@@ -158,12 +207,13 @@ def forecast_boosted(
     """One model over all nodes per step ahead, fitted on the train rows: (node, time, h, y_true, y_pred) of the test rows."""
     ahead = {f"_y{h}": (lambda w, h=h: F.lead(target, h).over(w)) for h in horizons}
     # Where the future row lies decides the fit, so no label of val or test leaks.
-    ahead |= {f"_s{h}": (lambda w, h=h: F.lead(split, h).over(w)) for h in horizons}
+    ahead |= {f"_s{h}": (lambda w, h=h: F.lead("_train", h).over(w)) for h in horizons}
     needed = list(dict.fromkeys([key, time, split, target, *features]))
     chunk = {} if size is None else {"size": size}
-    rows = windowed(df.select(*map(quoted, needed)).dropna(), ahead, lookahead=max(horizons), keys=[key], order=[time], **chunk)
+    known = df.select(*map(quoted, needed)).dropna().withColumn("_train", F.col(quoted(split)) == "train")
+    rows = windowed(known, ahead, lookahead=max(horizons), keys=[key], order=[time], **chunk)
     rows = materialize(rows, "boosted-rows")
-    fit = rows.where(F.col(split) == "train").withColumns({f"_y{h}": F.when(F.col(f"_s{h}") == "train", F.col(f"_y{h}")) for h in horizons})
+    fit = rows.where("_train").withColumns({f"_y{h}": F.when(F.col(f"_s{h}"), F.col(f"_y{h}")) for h in horizons})
     model = fit_boosted(fit, features, {h: f"_y{h}" for h in horizons}, **options)
     test = rows.where(F.col(split) == "test").select(key, time, *[f"_y{h}" for h in horizons], *model.binned())
     made = F.array(*[F.struct(F.lit(h).alias("h"), F.col(f"_y{h}").alias("y_true"), model.predicted(h).alias("y_pred")) for h in horizons])

@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from airpanel.operators import boosting
 from airpanel.operators.boosting import UNIT, best_split, fit_boosted, forecast_boosted
 from airpanel.operators.forecast import forecast_pooled
 
@@ -71,6 +72,28 @@ def test_a_fit_does_not_depend_on_how_rows_are_dealt(spark):
     assert models[0] == models[1]
 
 
+@pytest.mark.parametrize("bins, at_once, far", [(8, 8, 1), (70, 8, 1), (8, 1, 1), (8, 8, 10**9)])
+def test_a_level_sums_the_smaller_children_only(spark, monkeypatch, bins, at_once, far):
+    summed, kinds, whole = [], set(), boosting._histograms
+
+    def seen(rows, grown, nodes, features, stride, of):
+        summed.append(list(nodes))
+        kinds.update(of.values())
+        return whole(rows, grown, nodes, features, stride, of)
+
+    monkeypatch.setattr(boosting, "_histograms", seen)
+    monkeypatch.setattr(boosting, "AT_ONCE", at_once)
+    pdf = table(500, 5).assign(y=lambda d: d["y"] * far)
+    rows = spark.createDataFrame(pdf).repartition(3)
+    model = fit_boosted(rows, ["a", "b", "c d"], {1: "y"}, trees=2, depth=3, bins=bins, least=15)
+    got = rows.select("a", "b", "c d", "y", *model.binned()).select("a", "b", "c d", "y", model.predicted(1).alias("p")).toPandas()
+    want = brute(got[["a", "b", "c d"]].to_numpy(), got["y"].to_numpy(), model.bounds, 2, 3, bins, 0.3, 15)
+    np.testing.assert_allclose(got["p"], want * UNIT, rtol=1e-12, atol=1e-9)
+    nodes = [key for some in summed for key in some]
+    assert len(nodes) <= 2 * (1 + 1 + 2) and max(map(len, summed)) <= at_once
+    assert kinds == ({"BIGINT"} if far == 1 else {"DECIMAL(38,0)"})
+
+
 def test_missing_values_constants_and_empty_table(spark):
     rows = spark.createDataFrame([(None, 1.0, 5.0), (float("nan"), 1.0, 7.0), (2.0, 1.0, None)] * 30, "a double, b double, y double")
     model = fit_boosted(rows, ["a", "b"], {1: "y"}, trees=2)
