@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airpanel.session import materialize
+from airpanel.session import materialize, release_memory
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: The six characters that separate words, as a character class for Java, RE2 and Python.
@@ -23,8 +23,13 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the shared folder: computed once, safe from lost executors."""
-    return materialize(df, f"llm-{name}")
+    """``df`` as a table in the shared folder: computed once, safe from lost executors.
+
+    Operators plan many queries in a row; after each, the driver gives back the memory that planning left.
+    """
+    table = materialize(df, f"llm-{name}")
+    release_memory(df.sparkSession)
+    return table
 
 
 def text_of(name: str = "text") -> Column:

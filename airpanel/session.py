@@ -10,7 +10,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from py4j.protocol import Py4JJavaError
+from py4j.protocol import Py4JError, Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DIRS: dict[str, str] = {}
@@ -101,6 +101,26 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release_memory(spark: SparkSession) -> bool:
+    """Gives back to the system what the driver's JVM has freed and its C library keeps; whether the JVM can.
+
+    The JVM's compiler takes and frees much such memory while a driver plans one query after the other. The
+    command is that of ``jcmd <pid> System.trim_native_heap``, asked of the JVM's own management bean.
+    """
+    jvm = spark._jvm
+    try:
+        server = jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer()
+        asked = jvm.java.lang.Class.forName("javax.management.MBeanServerConnection").getMethods()
+        invoke = next(m for m in asked if m.getName() == "invoke")
+        values = spark.sparkContext._gateway.new_array(jvm.java.lang.Object, 4)
+        values[0] = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand")
+        values[1] = "systemTrimNativeHeap"
+        invoke.invoke(server, values)
+    except Py4JError:  # another C library, or a JVM without the command
+        return False
+    return True
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df.checkpoint()`` in the shared folder: keeps partitions and row order."""
     context = df.sparkSession.sparkContext

@@ -23,27 +23,33 @@ from airpanel.llm.queries import tokenizer_path
 from airpanel.llm.secrets import redact_secrets
 from airpanel.llm.simhash import one_of_each
 from airpanel.llm.toxicity import without_toxic
+from airpanel.session import release_memory
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release_memory(spark)
     return without_toxic(docs, read(spark, sf_dir, "labels"))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release_memory(spark)
     return without_copies(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release_memory(spark)
     return one_of_each(docs)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release_memory(spark)
     return redact_secrets(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    release_memory(spark)
     return pack_documents(docs, tokenizer_path("word_bpe_49k.json"))
 
 
