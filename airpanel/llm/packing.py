@@ -35,10 +35,8 @@ from pyspark.sql import functions as F
 
 from airpanel.llm.common import Cache, slices, written
 
-#: Tokens never span a space or newline if white space is dropped.
-CHUNKS = re.compile(r"[^ \n]+")
-#: Letters that every edition of Unicode knows and that normal form C leaves alone, and a mark that stands alone.
-PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)")
+#: Letters that every edition of Unicode knows and that normal form C leaves alone, and a run of marks, a token's own.
+PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
 #: What the pre-tokenizer of a vocabulary must be for texts to be cut at spaces, and words to be taken singly.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
@@ -46,7 +44,7 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 class ChunkEncoder(Cache):
     """Chunk of text -> its ids as little-endian bytes, asked of the ``tokenizers`` library when first met."""
 
-    def __init__(self, path: str, cache: int = 300_000):
+    def __init__(self, path: str, cache: int = 600_000):
         super().__init__(cache)
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -58,6 +56,7 @@ class ChunkEncoder(Cache):
         shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
         hidden = [b for b in range(256) if b not in shown]
         self.chars = {b: chr(256 + i) for i, b in enumerate(hidden)}
+        self.bytes_of = [i.to_bytes(4, "little") for i in range(1 + max(self.library.get_vocab().values(), default=0))]
 
     @staticmethod
     def _cuttable(path: str) -> bool:
@@ -70,7 +69,7 @@ class ChunkEncoder(Cache):
             and steps[1]["pattern"] == {"Regex": r"\s+"} and steps[1]["content"] == " "
             and [c["type"] for c in cutters] == ["Split", "ByteLevel"] and cutters[0]["behavior"] == "Removed"
             and cutters[0]["pattern"] == {"Regex": SPLIT} and not cutters[1]["add_prefix_space"]
-            and not any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in spec["added_tokens"])
+            and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["content"][:1].isalpha() for t in spec["added_tokens"])
         )
 
     def _library(self, text: str) -> bytes:
@@ -80,9 +79,11 @@ class ChunkEncoder(Cache):
         shown = word.lower()
         if not shown.isascii():
             shown = shown.encode().decode("latin-1").translate(self.chars)
-        return array("I", [t.id for t in self.word(shown)]).tobytes()
+        return b"".join([self.bytes_of[t.id] for t in self.word(shown)])
 
     def __missing__(self, chunk: str) -> bytes:
+        if not chunk:
+            return self.put(chunk, b"")
         ids = self.recall(chunk)
         if ids is not None:
             return ids
@@ -98,7 +99,8 @@ class ChunkEncoder(Cache):
     def encode(self, text: str) -> bytes:
         if not self.cuttable:
             return self._library(text)
-        return b"".join(map(self.__getitem__, CHUNKS.findall(text)))
+        # Tokens never span a space or newline if white space is dropped.
+        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 @lru_cache(2)

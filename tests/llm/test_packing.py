@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from airpanel.llm.packing import Bins, Knapsack, pack, pack_documents, packed, plan, token_pieces
+from airpanel.llm.packing import Bins, ChunkEncoder, Knapsack, pack, pack_documents, packed, plan, token_pieces
 
 P = pytest.importorskip("public_tokenizers")
 
@@ -110,3 +110,20 @@ def test_pieces_with_ids_and_bad_lengths(documents, spark):
     assert [r.length for r in rows] == [3, 1] and rows[1].ids == [1] and all(zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32 for r in rows)
     with pytest.raises(ValueError):
         pack(spark.createDataFrame([(1, 0, 0, 9, 0)], "id long, piece int, start long, length long, ids_crc32 long"), 8)
+
+
+def test_marks_after_a_word_are_asked_once(monkeypatch):
+    """The whole library is slow on short texts: a word with a run of marks is a word and a run met before."""
+    from tokenizers import Tokenizer
+
+    path = P.path("word_bpe_49k.json")
+    mine, library, asked = ChunkEncoder(path), Tokenizer.from_file(path), []
+    ask = mine._library
+    monkeypatch.setattr(mine, "_library", lambda text: asked.append(text) or ask(text))
+    marks = ["***", "###", "&&&", ",%%%", "'", "_", "^^", "<|", "|>", "\"]", "~`", "\\\\"]
+    texts = [f"{word}{mark}  Next\n\n{word} {mark}" for word in ["Tion", "élève", "ÑÖ", "x"] for mark in marks]
+    texts += ["it's we'll", "a***b", "", " ", "\n ", "end<|endoftext|>***", "a'", "a's'", "ǆ***", "e\u0301***", "a\t***"]
+    for text in texts:
+        assert np.frombuffer(mine.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
+    assert sorted(t for t in asked if t in marks) == sorted(marks)
+    assert not [t for t in asked if t.startswith(("Tion", "élève", "ÑÖ"))]
